@@ -109,7 +109,7 @@ def with_description(df: DataFrame, descriptor: Column, name: str = "described")
     df = df.withColumns({
         "_ts_index": _int(F.col("_ts")),
         "_single": is_digits(F.col("_msg")) | (is_avro & (F.col("_msg") == "-1")),
-        "_bounds": F.transform(F.split("_msg", ":"), F.trim),
+        "_bounds": F.transform(F.split("_msg", ":"), lambda bound: F.trim(bound)),
     })
     df = df.withColumns({
         "_msg_index": F.when(F.col("_single"), F.col("_msg").try_cast("int")),

@@ -5,7 +5,7 @@ from __future__ import annotations
 import time
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, MapType, StructField, StructType
 
@@ -51,17 +51,20 @@ def described_columns(spark: SparkSession, table: str) -> DataFrame:
     )
 
 
+def conform_columns(df: DataFrame, schema: StructType) -> list[Column]:
+    source = {c.strip().lower(): c for c in df.columns}
+    return [
+        (F.col(f"`{source[f.name]}`").try_cast(f.dataType) if f.name in source else F.lit(None).cast(f.dataType)).alias(f.name)
+        for f in schema.fields
+    ]
+
+
 def conform(df: DataFrame, schema: StructType) -> DataFrame:
     """Columns matched by lower-cased name and cast; absent ones become NULL.
 
     Matching is by name because a described schema gives no dependable order.
     """
-    source = {c.strip().lower(): c for c in df.columns}
-    columns = [
-        (F.col(f"`{source[f.name]}`").try_cast(f.dataType) if f.name in source else F.lit(None).cast(f.dataType)).alias(f.name)
-        for f in schema.fields
-    ]
-    return df.select(*columns)
+    return df.select(*conform_columns(df, schema))
 
 
 def schemas_by_topic(catalog: DataFrame, known: dict[str, StructType] | None = None) -> dict[str, StructType]:
