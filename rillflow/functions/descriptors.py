@@ -132,7 +132,7 @@ def with_description(df: DataFrame, descriptor: Column, name: str = "described")
     )
     described = F.struct(
         F.col("_kind").alias("type"),
-        F.col("_separator").alias("separator"),
+        F.coalesce(F.col("_separator"), F.lit("")).alias("separator"),
         split_pattern(F.col("_separator")).alias("split_on"),
         F.col("_ts_index").alias("ts_index"),
         F.when(F.col("_ts_ms").isNotNull(), F.lit(1)).otherwise(F.lit(1000)).alias("ts_scale"),
@@ -151,7 +151,7 @@ def load_descriptor(spark: SparkSession, text: str) -> Row:
     return with_description(spark.sql("SELECT :text AS d", {"text": text}), F.col("d")).first()["described"]
 
 
-def descriptor_literal(described: Row) -> Column:
-    """A loaded descriptor as a constant struct column."""
+def descriptor_literals(described: Row) -> dict[str, Column]:
+    """A loaded descriptor as constant columns."""
     types = {"ts_index": "int", "ts_scale": "int", "msg_index": "int", "msg_start": "int", "msg_end": "int"}
-    return F.struct(*[F.lit(v).cast(types.get(k, "string")).alias(k) for k, v in described.asDict().items()])
+    return {k: F.lit(v).cast(types.get(k, "string")) for k, v in described.asDict().items()}

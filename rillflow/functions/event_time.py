@@ -6,13 +6,15 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # The ISO-8601 shapes read as event time besides plain digits.
-EXTENDED_DATE = r"^[0-9]{4}-[0-9]{2}(-[0-9]{2})?$"
-EXTENDED_DATE_TIME = (
-    r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[T ][0-9]{2}(:[0-9]{2}(:[0-9]{2}(\.[0-9]+)?)?)?(Z|[+-][0-9]{2}:?[0-9]{2})?$"
+EXTENDED = (
+    r"^[0-9]{4}-[0-9]{2}(-[0-9]{2}([T ][0-9]{2}(:[0-9]{2}(:[0-9]{2}(\.[0-9]+)?)?)?(Z|[+-][0-9]{2}:?[0-9]{2})?)?)?$"
+)
+HOUR_ONLY = r"^([^T ]*[T ][0-9]{2})(Z|[+-].*)?$"
+BASIC_DATE_TIME = (
+    r"^([0-9]{4})([0-9]{2})([0-9]{2})T([0-9]{2})([0-9]{2})([0-9]{2})(\.[0-9]{3})?(Z|[+-][0-9]{4})$"
 )
 ORDINAL_DATE = r"^[0-9]{4}-[0-9]{3}$"
 WEEK_DATE = r"^[0-9]{4}-W[0-9]{2}(-[1-7])?$"
-BASIC_DATE_TIME = r"^[0-9]{8}T[0-9]{6}(\.[0-9]{3})?(Z|[+-][0-9]{4})$"
 
 DIGITS = r"\A[0-9]+\z"
 
@@ -26,20 +28,18 @@ def is_digits(text: Column) -> Column:
 
 def iso_to_millis(text: Column) -> Column:
     """Milliseconds of an ISO-8601 text, NULL when it is not one. No zone means UTC."""
-    hour_only = text.rlike(r"^[^T ]*[T ][0-9]{2}(Z|[+-].*)?$")
-    padded = F.when(hour_only, F.regexp_replace(text, r"^([^T ]*[T ][0-9]{2})", "$1:00")).otherwise(text)
-    year = F.substring(text, 1, 4)
-    week_start = F.date_trunc("week", F.concat(year, F.lit("-01-04")).try_cast("timestamp"))
-    week_day = F.coalesce(F.regexp_extract(text, r"-W[0-9]{2}-([1-7])$", 1).try_cast("int"), F.lit(1))
+    extended = F.regexp_replace(text, BASIC_DATE_TIME, "$1-$2-$3T$4:$5:$6$7$8")
+    extended = F.regexp_replace(extended, HOUR_ONLY, "$1:00$2")
+    extended = F.when(text.rlike(f"{EXTENDED}|{BASIC_DATE_TIME}"), extended.try_cast("timestamp"))
+    # Week 1 is the week of January 4th.
+    week_start = F.date_trunc("week", F.concat(F.substring(text, 1, 4), F.lit("-01-04")).try_cast("timestamp"))
     week = F.substring(text, 7, 2).try_cast("int")
+    day = F.coalesce(F.substring(text, 10, 1).try_cast("int"), F.lit(1))
+    week_date = F.when(week.between(1, 53), F.timestamp_add("DAY", week * 7 + day - 8, week_start))
     parsed = (
-        F.when(text.rlike(EXTENDED_DATE) | text.rlike(EXTENDED_DATE_TIME), padded.try_cast("timestamp"))
-        .when(text.rlike(BASIC_DATE_TIME), F.coalesce(
-            F.try_to_timestamp(text, F.lit("yyyyMMdd'T'HHmmss.SSSXX")),
-            F.try_to_timestamp(text, F.lit("yyyyMMdd'T'HHmmssXX")),
-        ))
+        F.when(text.rlike(WEEK_DATE), week_date)
         .when(text.rlike(ORDINAL_DATE), F.try_to_timestamp(text, F.lit("yyyy-DDD")))
-        .when(text.rlike(WEEK_DATE) & week.between(1, 53), F.timestamp_add("DAY", (week - 1) * 7 + week_day - 1, week_start))
+        .otherwise(extended)
     )
     return F.unix_millis(parsed)
 
@@ -54,16 +54,16 @@ def now_millis() -> Column:
     return F.unix_millis(F.current_timestamp())
 
 
-def event_millis(fields: Column, index: Column | int, scale: Column | int = 1) -> Column:
-    """Event time from the field at ``index``.
+def event_millis(field: Column, index: Column | int, scale: Column | int = 1) -> Column:
+    """Event time from the text of the time field.
 
     ``scale`` is 1 for millisecond fields and 1000 for second fields; it applies
-    to parsed ISO texts as well. A negative index means processing time. NULL
+    to parsed ISO texts as well. A negative ``index`` means processing time. NULL
     marks a missing or unreadable field.
     """
     index = index if isinstance(index, Column) else F.lit(index)
     scale = (scale if isinstance(scale, Column) else F.lit(scale)).cast("bigint")
-    return F.when(index < 0, now_millis()).otherwise(F.try_multiply(to_millis(F.get(fields, index)), scale))
+    return F.when(index < 0, now_millis()).otherwise(F.try_multiply(to_millis(field), scale))
 
 
 def millis_to_timestamp(millis: Column) -> Column:

@@ -25,7 +25,7 @@ from rillflow.functions.descriptors import (
     AVRO_TEXT_TYPE,
     NO_TIME_FIELD,
     TEXT_TYPE,
-    descriptor_literal,
+    descriptor_literals,
     load_descriptor,
     with_description,
 )
@@ -34,61 +34,85 @@ from rillflow.functions.text import decode_text, field_at, field_range, join_fie
 from rillflow.operators.catalog import codec_for, output_format_or_default
 from rillflow.operators.lookup import lookup_join
 
-def _parse_text(df: DataFrame, described: Column) -> DataFrame:
-    usable = (described["type"] == TEXT_TYPE) & described["problem"].isNull()
-    fields = F.when(usable, split_fields(decode_text(F.col("value")), described["split_on"]))
-    df = df.withColumn("_all", fields)
-    picked = (
-        F.when(described["msg_index"].isNotNull(), field_at(F.col("_all"), described["msg_index"]))
-        .otherwise(field_range(F.col("_all"), described["msg_start"], described["msg_end"]))
-    )
-    millis = event_millis(F.col("_all"), described["ts_index"], described["ts_scale"])
-    return df.withColumns({
-        "_fields": F.when(usable, picked),
-        "_ms": F.when(usable, millis),
+# Settings of the parser, as columns of the row (joined from the catalog) or as
+# constants.
+Settings = Mapping[str, Column]
+
+_SETTING_NAMES = ("type", "separator", "split_on", "ts_index", "ts_scale", "msg_index", "msg_start", "msg_end", "problem")
+_PREFIX = "_d_"
+
+
+def _flat(described: Column) -> list[Column]:
+    return [described[name].alias(_PREFIX + name) for name in _SETTING_NAMES]
+
+
+def _row_settings() -> Settings:
+    return {name: F.col(_PREFIX + name) for name in _SETTING_NAMES}
+
+
+def _parse_text(df: DataFrame, d: Settings) -> DataFrame:
+    """Adds ``_count`` (all fields), ``_fields`` (message fields) and ``_ms``.
+
+    Each step is a column of its own, so the generated code computes it once and
+    stays small enough for the JVM to compile.
+    """
+    usable = (d["type"] == TEXT_TYPE) & d["problem"].isNull()
+    df = df.withColumn("_all", F.when(usable, split_fields(decode_text(F.col("value")), d["split_on"])))
+    df = df.withColumns({
+        "_count": F.size("_all"),
+        "_time": F.when(d["ts_index"] >= 0, F.get("_all", d["ts_index"])),
+        "_fields": F.when(d["msg_index"].isNotNull(), field_at(F.col("_all"), d["msg_index"]))
+        .otherwise(field_range(F.col("_all"), d["msg_start"], d["msg_end"])),
     })
+    return df.withColumn("_ms", F.when(usable, event_millis(F.col("_time"), d["ts_index"], d["ts_scale"])))
 
 
-def _text_error(described: Column) -> Column:
-    count = F.size("_all")
+def _text_error(d: Settings) -> Column:
     return (
-        F.when(described.isNull(), F.lit(NO_TIME_FIELD))
-        .when(described["problem"].isNotNull(), described["problem"])
-        .when(described["type"] != TEXT_TYPE, F.lit(None).cast("string"))
+        F.when(d["problem"].isNotNull(), d["problem"])
+        .when(d["type"].isNull(), F.lit(NO_TIME_FIELD))
         .when(F.col("value").isNull(), F.lit("message has no value"))
-        .when(described["ts_index"] >= count, F.lit("time field is past the last field"))
-        .when(F.col("ts").isNull(), F.lit("time field is not a time"))
-        .when(described["msg_index"] >= count, F.lit("message field is past the last field"))
+        .when(d["ts_index"] >= F.col("_count"), F.lit("time field is past the last field"))
+        .when(F.col("_ts").isNull(), F.lit("time field is not a time"))
+        .when(d["msg_index"] >= F.col("_count"), F.lit("message field is past the last field"))
     )
 
 
-def _parse(df: DataFrame, described: Column, avro_schemas: Mapping[str, str], avro_settings: Mapping[str, tuple]) -> DataFrame:
-    keep = [c for c in df.columns if c not in ("_described", "_fields", "_ms", "_all")]
-    df = _parse_text(df, described)
-    is_avro = described["type"] == AVRO_TEXT_TYPE
-    avro_error = F.lit("no Avro schema given for the topic")
+def _parse_avro(df: DataFrame, d: Settings, schemas: Mapping[str, str], indexes: Mapping[str, tuple]) -> DataFrame:
+    is_avro = d["type"] == AVRO_TEXT_TYPE
+    decoded = avro_fn.decode_columns(df, schemas, indexes)
+    df = df.withColumn("_avro", F.when(is_avro & d["problem"].isNull(), decoded))
+    message = F.col("_avro")["message"]
+    return df.withColumns({
+        "_ms": F.when(is_avro, F.try_multiply(F.col("_avro")["ts_ms"], d["ts_scale"].cast("bigint"))).otherwise(F.col("_ms")),
+        "_fields": F.when(is_avro, F.when(message.isNotNull(), F.array(message))).otherwise(F.col("_fields")),
+    })
+
+
+def _avro_error(schemas: Mapping[str, str]) -> Column:
+    missing = F.lit("no Avro schema given for the topic")
+    if not schemas:
+        return missing
+    failed = F.when(F.col("_fields").isNull() | F.col("_ts").isNull(), F.lit("record cannot be decoded"))
+    return F.when(F.col("topic").isin(list(schemas)), failed).otherwise(missing)
+
+
+def _parse(df: DataFrame, d: Settings, avro_schemas: Mapping[str, str], avro_indexes: Mapping[str, tuple]) -> DataFrame:
+    keep = [c for c in df.columns if not c.startswith(_PREFIX)]
+    df = _parse_text(df, d)
     if avro_schemas:
-        decoded = avro_fn.decode_columns(df, avro_schemas, avro_settings)
-        df = df.withColumn("_avro", F.when(is_avro & described["problem"].isNull(), decoded))
-        df = df.withColumns({
-            "_ms": F.when(is_avro, F.try_multiply(F.col("_avro")["ts_ms"], described["ts_scale"].cast("bigint"))).otherwise(F.col("_ms")),
-            "_fields": F.when(is_avro, F.when(F.col("_avro")["message"].isNotNull(), F.array(F.col("_avro")["message"]))).otherwise(F.col("_fields")),
-        })
-        avro_error = F.when(~F.col("topic").isin(list(avro_schemas)), avro_error).when(
-            F.col("_fields").isNull() | F.col("ts").isNull(), F.lit("record cannot be decoded")
-        )
-    df = df.withColumn("ts", millis_to_timestamp(F.col("_ms")))
-    error = F.when(is_avro & described["problem"].isNull(), avro_error).otherwise(_text_error(described))
-    df = df.withColumn("error", error)
+        df = _parse_avro(df, d, avro_schemas, avro_indexes)
+    df = df.withColumn("_ts", millis_to_timestamp(F.col("_ms")))
+    is_avro = (d["type"] == AVRO_TEXT_TYPE) & d["problem"].isNull()
+    df = df.withColumn("error", F.when(is_avro, _avro_error(avro_schemas)).otherwise(_text_error(d)))
     ok = F.col("error").isNull()
-    separator = F.coalesce(F.when(is_avro, F.lit("")).otherwise(described["separator"]), F.lit(""))
     return df.select(
         *keep,
-        F.when(ok, F.col("ts")).alias("ts"),
+        F.when(ok, F.col("_ts")).alias("ts"),
         F.when(ok, F.col("_ms")).alias("ts_ms"),
         F.when(ok, F.col("_fields")).alias("fields"),
-        F.when(ok, join_fields(F.col("_fields"), separator)).alias("message"),
-        described["type"].alias("format_type"),
+        F.when(ok, join_fields(F.col("_fields"), d["separator"])).alias("message"),
+        d["type"].alias("format_type"),
         "error",
     )
 
@@ -106,27 +130,27 @@ def parse_messages(
     """
     described = with_description(catalog.select("log", "format", "output_format"), F.col("format"), "_described").select(
         "log",
-        "_described",
         codec_for(output_format_or_default(F.col("output_format"))).alias("_codec"),
+        *_flat(F.col("_described")),
     )
-    settings = {}
+    indexes = {}
     if avro_schemas:
         rows = described.filter(F.col("log").isin(list(avro_schemas)))
-        for row in rows.select("log", "_described.ts_index", "_described.msg_index").toLocalIterator():
-            settings[row["log"]] = (row["ts_index"], row["msg_index"])
+        for row in rows.select("log", "_d_ts_index", "_d_msg_index").toLocalIterator():
+            indexes[row["log"]] = (row["_d_ts_index"], row["_d_msg_index"])
     joined = lookup_join(messages, described, "topic", "log")
     unknown_codec = codec_for(output_format_or_default(F.lit(None).cast("string")))
     joined = joined.withColumn("codec", F.coalesce(F.col("_codec"), unknown_codec)).drop("_codec")
-    return _parse(joined, F.col("_described"), avro_schemas or {}, settings)
+    return _parse(joined, _row_settings(), avro_schemas or {}, indexes)
 
 
 def parse_with_descriptor(messages: DataFrame, descriptor: str) -> DataFrame:
     """Parse every text message with one descriptor; its settings become literals."""
-    literal = descriptor_literal(load_descriptor(messages.sparkSession, descriptor))
+    literal = descriptor_literals(load_descriptor(messages.sparkSession, descriptor))
     return _parse(messages, literal, {}, {})
 
 
 def parse_with_column(messages: DataFrame, descriptor: Column) -> DataFrame:
     """Parse each text message with a descriptor carried on the row itself."""
     df = with_description(messages, descriptor, "_described")
-    return _parse(df, F.col("_described"), {}, {})
+    return _parse(df.select(*messages.columns, *_flat(F.col("_described"))), _row_settings(), {}, {})
