@@ -1,3 +1,108 @@
+"""Counter, rate and statistics queries."""
+
+from __future__ import annotations
+
+import math
+
+from pyspark.sql import functions as F
+
+from rillflow.operators import metrics as ops
+from rillflow.operators.parse import parse_messages
+from rillflow.operators.quality import keyed_rows, with_hour_key
 from rillflow.queries import Registry
+from rillflow.queries.feeds import event_catalog, event_messages, events, parsed_events, table
+from rillflow.session import work_dir
+from rillflow.sinks import reports
 
 QUERIES = Registry()
+
+
+@QUERIES.add("""
+    SELECT event_type AS topic, strftime(ts, '%Y-%m-%d-%H') AS hour, count(*) AS messages FROM events GROUP BY 1, 2""")
+def topic_hour_counts(spark, sf_dir):
+    return ops.topic_hour_counts(keyed_rows(with_hour_key(parsed_events(spark, sf_dir))))
+
+
+@QUERIES.add("""
+    SELECT event_type AS topic, strftime(ts, '%Y-%m-%d-%H') AS hour, count(*) AS messages FROM events
+    WHERE event_type IN ('click', 'purchase') GROUP BY 1, 2""")
+def usable_topic_hours(spark, sf_dir):
+    """Only rows with an hour count; those of unusable descriptors have none."""
+    parsed = parse_messages(event_messages(spark, sf_dir), event_catalog(spark))
+    return ops.topic_hour_counts(keyed_rows(with_hour_key(parsed)))
+
+
+@QUERIES.add("""
+    SELECT 'in' AS phase, event_type AS topic, strftime(ts, '%Y%m%d%H%M') AS minute, count(*) AS n FROM events GROUP BY 2, 3""")
+def minute_counters(spark, sf_dir):
+    return ops.minute_counters(parsed_events(spark, sf_dir), "in")
+
+
+@QUERIES.add("""
+    SELECT 'bytes' AS phase, event_type AS topic, strftime(ts, '%Y%m%d%H%M') AS minute,
+           CAST(sum(length(concat_ws('|', event_id, user_id, event_type))) AS BIGINT) AS n
+    FROM events WHERE event_type = 'view' GROUP BY 2, 3""")
+def counters_by_topic(spark, sf_dir):
+    """Counters with an increment per row, read for one phase and topic."""
+    counters = ops.minute_counters(parsed_events(spark, sf_dir), "bytes", increment=F.octet_length("message"))
+    return ops.counters_of(counters, "bytes", "view")
+
+
+@QUERIES.add("""
+    SELECT phase, topic, minute, n FROM (
+        SELECT 'in' AS phase, event_type AS topic, strftime(ts, '%Y%m%d%H%M') AS minute, 2 * count(*) AS n FROM events GROUP BY 2, 3)""")
+def counter_store(spark, sf_dir):
+    """Two batches added up, one of them published twice and counted once."""
+    path = work_dir(spark, "counters")
+    counters = ops.minute_counters(parsed_events(spark, sf_dir), "in")
+    for batch in ("0", "1", "1"):
+        reports.publish_counters(counters, path, batch)
+    return reports.live_counters(spark, path)
+
+
+@QUERIES.add("""
+    WITH r AS (SELECT l_returnflag, CAST(l_quantity AS BIGINT) * 10 AS ms, l_linenumber AS m FROM lineitem)
+    SELECT l_returnflag, count(*) AS runs, CAST(sum(m) AS BIGINT) AS messages, CAST(round(avg(ms) * 1000) AS BIGINT) AS mean_us,
+           max(ms) AS max_ms, min(ms) AS min_ms, CAST(floor(sum(m) * 1000 / avg(ms)) AS BIGINT) AS rate_per_sec
+    FROM r GROUP BY 1""")
+def load_stats(spark, sf_dir):
+    runs = table(spark, sf_dir, "lineitem").select(
+        "l_returnflag", (F.col("l_quantity").cast("bigint") * 10).alias("elapsed_ms"), F.col("l_linenumber").alias("messages")
+    )
+    stats = ops.load_stats(runs, by=["l_returnflag"])
+    return stats.withColumn("mean_us", F.round(F.col("mean_ms") * 1000).cast("bigint")).drop("mean_ms")
+
+
+def _rate_sql(minutes: int) -> str:
+    alpha = 1 - math.exp(-1 / minutes)
+    return f"""round(1000000 * list_sum(list_transform(
+        list(struct_pack(i := i, n := n)) OVER (PARTITION BY topic ORDER BY i RANGE BETWEEN {40 * minutes} PRECEDING AND CURRENT ROW),
+        lambda x: x.n / 60.0 * exp((x.i - i) / {float(minutes)}) * CASE WHEN x.i = first THEN 1.0 ELSE {alpha!r} END)))"""
+
+
+@QUERIES.add(f"""
+    WITH c AS (SELECT event_type AS topic, epoch_us(ts) // 60000000 AS i, count(*) AS n FROM events GROUP BY 1, 2),
+         f AS (SELECT *, min(i) OVER (PARTITION BY topic) AS first FROM c)
+    SELECT topic, i AS minute_index, CAST(sum(n) OVER w AS BIGINT) AS count,
+           CAST(round(1000000 * (sum(n) OVER w) / ((i - first + 1) * 60)) AS BIGINT) AS mean_rate,
+           CAST({_rate_sql(1)} AS BIGINT) AS one_minute_rate, CAST({_rate_sql(5)} AS BIGINT) AS five_minute_rate
+    FROM f WINDOW w AS (PARTITION BY topic ORDER BY i ROWS UNBOUNDED PRECEDING)""")
+def rate_windows(spark, sf_dir):
+    """Rates in messages per million seconds, as whole numbers."""
+    rates = ops.message_rates(parsed_events(spark, sf_dir))
+    names = ["mean_rate", *ops.RATE_WINDOWS]
+    return rates.withColumns({name: F.round(F.col(name) * 1_000_000).cast("bigint") for name in names})
+
+
+@QUERIES.add("""
+    SELECT event_id % 4 AS partition, event_id // 4 // 1000 AS block, count(*) AS messages,
+           CAST(floor(CASE WHEN max(epoch_us(ts) // 1000) > min(epoch_us(ts) // 1000)
+               THEN count(*) * 1000.0 / (max(epoch_us(ts) // 1000) - min(epoch_us(ts) // 1000)) END) AS BIGINT) AS rate_per_sec
+    FROM events GROUP BY 1, 2""")
+def replay_rates(spark, sf_dir):
+    """Blocks of 1000 messages of a replayed topic with four partitions."""
+    rows = events(spark, sf_dir).select(
+        F.lit("replay").alias("topic"), (F.col("event_id") % 4).alias("partition"),
+        F.floor(F.col("event_id") / 4).alias("offset"), F.col("ts").alias("timestamp"),
+    )
+    return ops.replay_rates(rows, every=1000).drop("topic")
