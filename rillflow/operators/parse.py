@@ -104,17 +104,29 @@ def _parse(df: DataFrame, d: Settings, avro_schemas: Mapping[str, str], avro_ind
         df = _parse_avro(df, d, avro_schemas, avro_indexes)
     df = df.withColumn("_ts", millis_to_timestamp(F.col("_ms")))
     is_avro = (d["type"] == AVRO_TEXT_TYPE) & d["problem"].isNull()
-    df = df.withColumn("error", F.when(is_avro, _avro_error(avro_schemas)).otherwise(_text_error(d)))
-    ok = F.col("error").isNull()
-    return df.select(
-        *keep,
-        F.when(ok, F.col("_ts")).alias("ts"),
-        F.when(ok, F.col("_ms")).alias("ts_ms"),
-        F.when(ok, F.col("_fields")).alias("fields"),
-        F.when(ok, join_fields(F.col("_fields"), d["separator"])).alias("message"),
-        d["type"].alias("format_type"),
-        "error",
-    )
+    df = df.withColumn("_error", F.when(is_avro, _avro_error(avro_schemas)).otherwise(_text_error(d)))
+    ok = F.col("_error").isNull()
+    df = computed_once(df, {
+        "error": F.col("_error"),
+        "ts": F.when(ok, F.col("_ts")),
+        "ts_ms": F.when(ok, F.col("_ms")),
+        "fields": F.when(ok, F.col("_fields")),
+    })
+    message = join_fields(F.col("fields"), d["separator"])
+    return df.select(*keep, "ts", "ts_ms", "fields", message.alias("message"), d["type"].alias("format_type"), "error")
+
+
+def computed_once(df: DataFrame, columns: Mapping[str, Column]) -> DataFrame:
+    """Adds columns that later filters and projections refer to without repeating
+    them.
+
+    Catalyst moves a filter on a plain column below its projection and puts the
+    whole expression into the filter. For parsed rows that repeats the parsing
+    in every filter and makes generated methods too large for the JVM to
+    compile. A filter on the output of a generator stays above it.
+    """
+    row = F.struct(*[column.alias(name) for name, column in columns.items()])
+    return df.select("*", F.inline(F.array(row)))
 
 
 def parse_messages(

@@ -47,6 +47,43 @@ def event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events(spark, sf_dir).select("event_id", F.col("event_type").alias("topic"), bytes_of(line).alias("value"))
 
 
+# The events replayed sixty times as fast: the same rows in twelve hours instead of
+# thirty days, for queries that write a directory per topic and hour.
+REPLAY_START_MS = 1_704_067_200_000
+REPLAY_SPEED = 60
+REPLAY_SQL = f"""(SELECT * REPLACE (make_timestamp(
+        ({REPLAY_START_MS} + (epoch_us(ts) // 1000 - {REPLAY_START_MS}) // {REPLAY_SPEED}) * 1000) AS ts) FROM events) AS events"""
+
+
+def replayed(sql: str) -> str:
+    return sql.replace("FROM events", f"FROM {REPLAY_SQL}")
+
+
+def replay(df: DataFrame) -> DataFrame:
+    ms = F.lit(REPLAY_START_MS) + F.floor((F.unix_millis(F.col("ts").cast("timestamp")) - REPLAY_START_MS) / REPLAY_SPEED)
+    return df.withColumns({"ts": F.timestamp_millis(ms), "ms": ms})
+
+
+def replay_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return replay(table(spark, sf_dir, "events"))
+
+
+def replay_lines(df: DataFrame) -> DataFrame:
+    """``event_id, topic, value`` of replayed events, also as a stream."""
+    line = F.concat_ws("|", "event_id", "user_id", "event_type", "ms")
+    return replay(df).select("event_id", F.col("event_type").alias("topic"), bytes_of(line).alias("value"))
+
+
+def replay_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return replay_lines(table(spark, sf_dir, "events"))
+
+
+def parsed_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from rillflow.operators.parse import parse_with_descriptor
+
+    return parse_with_descriptor(replay_messages(spark, sf_dir), "txt:sep=pipe;msg=0:3;ts=3")
+
+
 def parsed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     from rillflow.operators.parse import parse_with_descriptor
 

@@ -1,3 +1,298 @@
+"""Write-then-read queries: landed files, the lake, tables, partitions, audit rows."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from rillflow.functions.keys import file_hour, file_topic
+from rillflow.operators import metrics, tables
+from rillflow.operators.catalog import PublishDefaults
+from rillflow.operators.parse import parse_messages, parse_with_descriptor
+from rillflow.operators.quality import keyed_rows, split_by_error, with_hour_key
+from rillflow.plans.ingest import IngestPlan, parsed_rows, run_ingest
+from rillflow.plans.publish import landed_hours, publish_hours, register_partitions
 from rillflow.queries import Registry
+from rillflow.queries.feeds import (
+    bytes_of,
+    event_catalog,
+    events,
+    landing_catalog,
+    parsed_replay,
+    replay_events,
+    replay_messages,
+    replayed,
+    table,
+)
+from rillflow.session import work_dir
+from rillflow.sinks import lake, landing, reports
+from rillflow.sources import files
 
 QUERIES = Registry()
+
+_LINE = "concat_ws('|', event_id, user_id, event_type)"
+_LANDED_SQL = f"SELECT event_type AS topic, strftime(ts, '%Y-%m-%d-%H') AS hour, {_LINE} AS line FROM events"
+
+
+@QUERIES.add(replayed(_LANDED_SQL))
+def text_roundtrip(spark, sf_dir):
+    """Lines by topic and hour, gzip, written and read back with their directories."""
+    path = work_dir(spark, "text")
+    landing.land_text(with_hour_key(parsed_replay(spark, sf_dir)), path)
+    return spark.read.schema(landing.LANDED_TEXT_SCHEMA).text(path).select("topic", "hour", F.col("value").alias("line"))
+
+
+@QUERIES.add(replayed(f"SELECT {_LINE} AS value FROM events"))
+def landed_lines(spark, sf_dir):
+    path = work_dir(spark, "lines")
+    landing.land_text(with_hour_key(parsed_replay(spark, sf_dir)), path, codec="none", writers=4)
+    return files.read_landed_lines(spark, path)
+
+
+@QUERIES.add(replayed("""
+    SELECT event_type AS topic, strftime(ts, '%Y-%m-%d-%H') AS hour, event_id, user_id, event_type AS name FROM events"""))
+def parquet_roundtrip(spark, sf_dir):
+    """Columns matched to a table schema by name and cast, gzip pages."""
+    path = work_dir(spark, "parquet")
+    rows = with_hour_key(parsed_replay(spark, sf_dir)).select(
+        "topic", "hour", F.get("fields", F.lit(2)).alias("NAME"), F.get("fields", F.lit(0)).alias("Event_Id"), F.get("fields", F.lit(1)).alias("USER_ID"),
+    )
+    schema = tables.write_schema(StructType.fromDDL("EVENT_ID bigint, user_id bigint, name string, dt string, hr string"))
+    landing.land_parquet(rows, path, schema)
+    return spark.read.parquet(path).withColumn("hour", F.col("hour").cast("string"))
+
+
+@QUERIES.add(replayed(f"""
+    SELECT CASE event_type WHEN 'click' THEN 'gzip' WHEN 'error' THEN 'none' WHEN 'purchase' THEN 'snappy'
+           WHEN 'signup' THEN 'bzip2' ELSE 'parquet' END AS codec, event_type AS topic, {_LINE} AS line FROM events"""))
+def codec_landing(spark, sf_dir):
+    """The default pipeline: each topic landed with the codec of its output format."""
+    path = work_dir(spark, "landing")
+    run_ingest(replay_messages(spark, sf_dir), landing_catalog(spark), IngestPlan(path))
+    text = spark.read.text(f"{path}/text").select("codec", "topic", F.col("value").alias("line"))
+    columnar = spark.read.parquet(f"{path}/parquet")
+    return text.unionByName(columnar.select(F.lit("parquet").alias("codec"), "topic", F.array_join("fields", "|").alias("line")))
+
+
+@QUERIES.add(replayed(f"""
+    SELECT strftime(ts, '%Y%m%d') AS date, strftime(ts, '%Y%m%d%H') AS hour, event_id, event_type AS topic FROM events"""))
+def lake_hourly(spark, sf_dir):
+    root = work_dir(spark, "lake")
+    rows = lake.with_layout(replay_events(spark, sf_dir), "datehour").select("event_id", F.col("event_type").alias("topic"), "date", "hour")
+    lake.write_lake(rows, root + "/", "/events/", "datehour")
+    return lake.read_lake(spark, root, "events", "datehour", "event_id bigint, topic string")
+
+
+@QUERIES.add("""
+    SELECT strftime(ts, '%Y%m%d') AS date, event_id, CASE WHEN ts >= TIMESTAMP '2024-01-20' THEN 'again' ELSE event_type END AS status
+    FROM events""")
+def lake_daily(spark, sf_dir):
+    """A daily lake; publishing some days again replaces exactly those days."""
+    root = work_dir(spark, "lake")
+    rows = lake.with_layout(events(spark, sf_dir), "date").select("event_id", F.col("event_type").alias("status"), "date")
+    lake.write_lake(rows, root, "daily", None)
+    again = rows.filter(F.col("date") >= "20240120").withColumn("status", F.lit("again"))
+    lake.write_lake(again, root, "daily", "other", replace_touched=True)
+    return lake.read_lake(spark, root, "daily", "date", "event_id bigint, status string")
+
+
+@QUERIES.add(replayed("""
+    SELECT event_type AS topic, error, count(*) AS n, count(DISTINCT line) AS n_lines FROM (
+        SELECT *, concat_ws('|', event_id, user_id, event_type, epoch_us(ts) // 1000) AS line,
+               CASE event_type WHEN 'error' THEN 'time field is not a time' WHEN 'view' THEN 'no parser for format type json'
+                    ELSE 'format names no ts, ts_ms or ts_sec field' END AS error
+        FROM events WHERE event_type IN ('error', 'signup', 'view')) GROUP BY 1, 2"""))
+def quarantine_written(spark, sf_dir):
+    """Bad rows below a quarantine folder with their bytes and error."""
+    root = work_dir(spark, "quarantine")
+    bad = split_by_error(parse_messages(replay_messages(spark, sf_dir), event_catalog(spark))).bad
+    rows = bad.select("topic", "value", "error").withColumn("received", F.current_timestamp())
+    lake.write_quarantine(rows, root, "bad")
+    stored = lake.read_lake(spark, root, "bad", "datehour", "topic string, value binary, error string")
+    return stored.groupBy("topic", "error").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("value").alias("n_lines"))
+
+
+def _land_all(spark, sf_dir, label):
+    """Every event landed as text, in two batches of different codecs."""
+    path = work_dir(spark, label)
+    rows = with_hour_key(parsed_replay(spark, sf_dir)).withColumn("codec", F.lit("gzip"))
+    landing.land_by_codec(rows.filter(F.col("topic") != "view"), path, ["gzip"], batch="0")
+    landing.land_by_codec(rows.filter(F.col("topic") == "view").withColumn("codec", F.lit("none")), path, ["none"], batch="1")
+    return path
+
+
+def _publish_catalog(spark, root, database):
+    from rillflow.operators.catalog import make_catalog
+
+    url = f"jdbc:hive2://localhost:10000/{database}"
+    return make_catalog(spark, [
+        {"log": "click", "base_partition": f"{root}/a/", "log_partition": "/click", "hive_table_name": "t_click", "hive_url": url},
+        {"log": "purchase", "base_partition": f"{root}/b", "log_partition": "sales", "date_format": "date", "hive_url": url},
+        {"log": "view", "base_partition": f"{root}/a", "log_partition": "view", "hive_url": ""},
+    ])
+
+
+_PUBLISHED_SQL = f"""
+    SELECT CASE event_type WHEN 'click' THEN 'a/click' WHEN 'purchase' THEN 'b/sales' WHEN 'view' THEN 'a/view'
+                ELSE 'default/' || event_type END AS place,
+           strftime(ts, '%Y%m%d') AS date,
+           CASE WHEN event_type <> 'purchase' THEN strftime(ts, '%Y%m%d%H') END AS hour, {_LINE} AS line
+    FROM events"""
+
+
+def _published(spark, root):
+    """Everything in the lake, with place and directory columns taken from the paths."""
+    lines = spark.read.option("recursiveFileLookup", True).text(root)
+    path = F.col("_metadata.file_path")
+    part = lambda pattern: F.nullif(F.regexp_extract(path, pattern, 1), F.lit(""))
+    return lines.select(
+        part(r"/([a-z]+/[a-z]+)/date=").alias("place"), part("/date=([0-9]+)/").alias("date"),
+        part("/hour=([0-9]+)/").alias("hour"), F.col("value").alias("line"),
+    )
+
+
+@QUERIES.add(replayed(_PUBLISHED_SQL))
+def publish_lake(spark, sf_dir):
+    """Landed hours to the lake by catalog; publishing them twice changes nothing."""
+    path = _land_all(spark, sf_dir, "landing")
+    root = work_dir(spark, "lake")
+    landed = landing.landed_text(spark, path)
+    hours = landed_hours(landed)
+    catalog = _publish_catalog(spark, root, "unused")
+    for _ in range(2):
+        publish_hours(spark, landed, hours, catalog, PublishDefaults(base_partition=f"{root}/default")).unpersist()
+    return _published(spark, root)
+
+
+@QUERIES.add(replayed("""
+    SELECT 't_click' AS name, strftime(ts, '%Y%m%d') AS dt, strftime(ts, '%Y%m%d%H') AS hr, count(*) AS n
+    FROM events WHERE event_type = 'click' GROUP BY ALL
+    UNION ALL
+    SELECT 'purchase', d, h, n
+    FROM (SELECT DISTINCT strftime(ts, '%Y%m%d') AS d, strftime(ts, '%Y%m%d%H') AS h FROM events WHERE event_type = 'purchase')
+    JOIN (SELECT strftime(ts, '%Y%m%d') AS d, count(*) AS n FROM events WHERE event_type = 'purchase' GROUP BY 1) USING (d)"""))
+def registered_partitions(spark, sf_dir):
+    """Published directories registered with two tables and read through them. A
+    daily topic has a partition per hour, each at its day's directory."""
+    path = _land_all(spark, sf_dir, "landing")
+    root = work_dir(spark, "lake")
+    database = "rf_" + root.rsplit("-", 1)[1]
+    tables.create_database(spark, database, f"{root}/db")
+    for name in ("t_click", "purchase"):
+        tables.create_landing_table(spark, f"{database}.{name}", "value string", "text")
+    landed = landing.landed_text(spark, path)
+    settings = publish_hours(spark, landed, landed_hours(landed), _publish_catalog(spark, root, database), PublishDefaults(base_partition=f"{root}/default"))
+    register_partitions(spark, settings)
+    settings.unpersist()
+    counted = [
+        spark.table(f"{database}.{name}").groupBy(F.lit(name).alias("name"), "dt", "hr").agg(F.count(F.lit(1)).alias("n"))
+        for name in ("t_click", "purchase")
+    ]
+    return counted[0].unionAll(counted[1])
+
+
+@QUERIES.add("""
+    SELECT * FROM (VALUES ('l_orderkey', 'bigint'), ('l_quantity', 'double'), ('l_returnflag', 'string')) c(col_name, data_type),
+        (SELECT count(*) AS n FROM lineitem)""")
+def described_table(spark, sf_dir):
+    """Data columns of a table described without its partition columns, beside its rows."""
+    root = work_dir(spark, "db")
+    database = "rf_" + root.rsplit("-", 1)[1]
+    tables.create_database(spark, database, root)
+    name = f"{database}.lines"
+    tables.create_landing_table(spark, name, "L_ORDERKEY bigint, l_quantity double, L_ReturnFlag string")
+    rows = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_quantity", "l_returnflag")
+    location = f"{root}/files"
+    rows.write.parquet(location)
+    tables.add_partition(spark, name, "20240101", "2024010100", location)
+    count = spark.table(name).agg(F.count(F.lit(1)).alias("n")).first()["n"]
+    return tables.described_columns(spark, name).withColumn("n", F.lit(count))
+
+
+@QUERIES.add("""
+    SELECT l_orderkey, CAST(l_partkey AS VARCHAR) AS partkey, CAST(NULL AS BIGINT) AS absent, l_returnflag AS flag, l_linenumber AS line
+    FROM lineitem""")
+def conformed_rows(spark, sf_dir):
+    rows = table(spark, sf_dir, "lineitem").select(
+        F.col("l_returnflag").alias(" FLAG "), F.col("l_linenumber").cast("string").alias("Line"),
+        F.col("l_partkey").alias("PartKey"), "l_orderkey", F.lit("x").alias("dt"),
+    )
+    schema = tables.write_schema(StructType.fromDDL("L_ORDERKEY bigint, partkey string, absent bigint, flag string, LINE int, dt string, hr string"))
+    return tables.conform(rows, schema)
+
+
+@QUERIES.add("""
+    SELECT source AS topic, list_filter(string_split(text, ' '), lambda x: x <> '')[1] AS "searchField" FROM documents""")
+def search_documents(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select(F.col("source").alias("topic"), bytes_of(F.col("text")).alias("value"))
+    return reports.search_documents(parse_with_descriptor(docs, "txt:sep=space;ts=-1"))
+
+
+@QUERIES.add(replayed("""
+    SELECT TIMESTAMP '2024-02-01' AS push_ts, event_type AS log_name, event_type || '-' || strftime(ts, '%Y-%m-%d-%H') || '.gz' AS file_name,
+           '/lake/' || event_type AS dir, 'h1' AS host, count(*) AS file_size, 'complete' AS status
+    FROM events GROUP BY ALL"""))
+def file_audit(spark, sf_dir):
+    """An audit row per published file; a file's size here is its number of messages."""
+    path = work_dir(spark, "audit")
+    counts = metrics.topic_hour_counts(keyed_rows(with_hour_key(parsed_replay(spark, sf_dir))))
+    name = F.concat(F.lit("/lake/"), "topic", F.lit("/"), "topic", F.lit("-"), "hour", F.lit(".gz"))
+    listing = counts.select("topic", name.alias("path"), F.col("messages").alias("length"))
+    audit = reports.file_audit(listing, F.col("topic"), F.lit("h1"), F.lit("complete"), F.lit("2024-02-01").cast("timestamp_ntz"))
+    reports.append_audit(audit, path)
+    return spark.read.parquet(path)
+
+
+@QUERIES.add(replayed("""
+    SELECT DISTINCT TIMESTAMP '2024-02-01' AS ts, event_type AS log, 'dt=' || strftime(ts, '%Y%m%d') || ',hr=' || strftime(ts, '%Y%m%d%H') AS "partition",
+           CASE WHEN event_type = 'error' THEN 'error' ELSE 'ok' END AS status, CASE WHEN event_type = 'error' THEN 'no table' END AS exception
+    FROM events"""))
+def partition_audit(spark, sf_dir):
+    hours = lake.with_layout(parsed_replay(spark, sf_dir), "datehour").select("topic", F.col("date").alias("dt"), F.col("hour").alias("hr")).distinct()
+    failure = F.when(F.col("topic") == "error", F.lit("no table"))
+    return reports.partition_audit(hours, failure, F.lit("2024-02-01").cast("timestamp_ntz"))
+
+
+@QUERIES.add(replayed("""
+    SELECT event_type AS topic, strftime(ts, '%Y-%m-%d-%H') AS hour, count(*) AS messages FROM events GROUP BY 1, 2"""))
+def messages_per_file(spark, sf_dir):
+    """Messages counted per landed file, then added up per topic and hour."""
+    path = work_dir(spark, "counted")
+    landing.land_text(with_hour_key(parsed_replay(spark, sf_dir)), path, max_records=500)
+    lines = spark.read.text(path)
+    per_file = metrics.messages_per_file(lines)
+    topic = F.regexp_extract("file", "/topic=([^/]+)/", 1)
+    hour = F.regexp_extract("file", "/hour=([^/]+)/", 1)
+    return per_file.groupBy(topic.alias("topic"), hour.alias("hour")).agg(F.sum("messages").alias("messages"))
+
+
+@QUERIES.add()
+def upload_meters(spark, sf_dir):
+    """Files and bytes of the landed data, after the integrity check."""
+    path = _land_all(spark, sf_dir, "metered")
+    return metrics.file_meters(files.check_files(files.list_files(spark, path, "*.gz")))
+
+
+@QUERIES.add(replayed("""
+    SELECT event_type AS topic, strftime(ts, '%Y-%m-%d-%H') AS hour, count(*) AS n FROM events GROUP BY 1, 2"""))
+def named_files(spark, sf_dir):
+    """Topic and hour of landed rows recovered from file names of the usual shape."""
+    ts = F.date_format("ts", "yyyy-MM-dd-HH")
+    name = F.concat(F.lit("/in/"), F.col("event_type"), F.lit("-"), ts, F.lit(".gz"))
+    df = replay_events(spark, sf_dir).select(name.alias("file"))
+    return df.groupBy(file_topic(F.col("file")).alias("topic"), file_hour(F.col("file")).alias("hour")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@QUERIES.add(replayed(f"""
+    SELECT event_type AS type, strftime(ts, '%Y-%m-%d-%H') AS hour, {_LINE} AS message FROM events
+    WHERE event_type IN ('click', 'purchase') AND event_type <> 'purchase'
+    UNION ALL SELECT 'sale', strftime(ts, '%Y-%m-%d-%H'), CAST(user_id AS VARCHAR) FROM events WHERE event_type = 'purchase'"""))
+def ingest_with_plugins(spark, sf_dir):
+    """Parsed rows through a pipeline that retags one topic."""
+    from rillflow.plans.ingest import apply_pipeline
+    from rillflow.plans.pipelines import Retag
+
+    catalog = event_catalog(spark)
+    good = split_by_error(parsed_rows(replay_messages(spark, sf_dir), catalog)).good
+    plan = IngestPlan("unused", {"plugins": {"sale": Retag("sale")}, "pipeline": ["->", ["match", "purchase", "sale"]]})
+    return apply_pipeline(good, catalog, plan).select("type", "hour", "message")
