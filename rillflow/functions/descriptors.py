@@ -146,9 +146,15 @@ def with_description(df: DataFrame, descriptor: Column, name: str = "described")
     return df.withColumn(name, described).drop(*[s for s in steps if s != name])
 
 
+_LOADED: dict[str, Row] = {}
+
+
 def load_descriptor(spark: SparkSession, text: str) -> Row:
     """Describe one descriptor now, on the driver, for use as literals in a plan."""
-    return with_description(spark.sql("SELECT :text AS d", {"text": text}), F.col("d")).first()["described"]
+    if text not in _LOADED:
+        row = with_description(spark.sql("SELECT :text AS d", {"text": text}), F.col("d")).first()
+        _LOADED[text] = row["described"]
+    return _LOADED[text]
 
 
 def descriptor_literals(described: Row) -> dict[str, Column]:

@@ -16,9 +16,10 @@ from rillflow.functions.keys import minute_key
 # Averaging windows of the message meter, in minutes.
 RATE_WINDOWS = {"one_minute_rate": 1, "five_minute_rate": 5}
 
-# exp(-40) is below half a unit in the last place of a double, so older minutes
-# cannot change a rate.
-_NEGLIGIBLE_EXPONENT = 40
+# Minutes per block of the moving rates. What lies before the previous block weighs
+# at most exp(-200 / 5), below half a unit in the last place of a double, so a
+# rate needs its own block and the one before.
+RATE_BLOCK_MINUTES = 200
 
 
 def topic_hour_counts(rows: DataFrame) -> DataFrame:
@@ -70,47 +71,58 @@ def load_stats(runs: DataFrame, elapsed_ms: str = "elapsed_ms", messages: str =
     )
 
 
-def _moving_rate(minutes: int) -> Column:
-    """Exponentially weighted rate over the counts in the look-back frame."""
-    alpha = 1 - math.exp(-1 / minutes)
-    frame = _frame(minutes)
-    history = F.collect_list(F.struct("minute_index", "n")).over(frame)
-    first = F.col("first_index")
-    now = F.col("minute_index")
-
-    def weight(entry: Column) -> Column:
-        decay = F.exp((entry["minute_index"] - now).cast("double") / minutes)
-        # The first minute seeds the average, so it is not scaled by alpha.
-        seed = F.when(entry["minute_index"] == first, F.lit(1.0)).otherwise(F.lit(alpha))
-        return entry["n"] / 60.0 * decay * seed
-
-    return F.aggregate(history, F.lit(0.0), lambda total, entry: total + weight(entry))
-
-
-def _frame(minutes: int):
-    back = _NEGLIGIBLE_EXPONENT * minutes
-    return Window.partitionBy("topic").orderBy("minute_index").rangeBetween(-back, 0)
-
-
 def message_rates(rows: DataFrame, ts: str = "ts") -> DataFrame:
     """Message meter per topic and minute: running count, mean rate since the
     first minute, and one- and five-minute moving rates, all per second.
 
-    Rows are first counted per minute, so a window partition holds one row per
-    minute of a topic however many messages the topic has.
+    A moving rate weighs each minute by ``alpha * exp(-age / window)``; the first
+    minute of a topic seeds it with weight ``exp(-age / window)``. Rows are first
+    counted per minute. Running sums are taken within blocks of minutes, so a
+    topic's history is spread over tasks, and blocks are linked by their totals.
     """
-    per_minute = rows.groupBy("topic", F.floor(F.unix_seconds(ts) / 60).alias("minute_index")).agg(
-        F.count(F.lit(1)).alias("n")
-    )
-    whole = Window.partitionBy("topic").orderBy("minute_index").rowsBetween(Window.unboundedPreceding, 0)
-    counted = per_minute.withColumns({
-        "count": F.sum("n").over(whole),
-        "first_index": F.min("minute_index").over(whole),
+    weights = {name: f"_w_{name}" for name in RATE_WINDOWS}
+    minute = F.floor(F.unix_seconds(ts) / 60).alias("minute_index")
+    per_minute = rows.groupBy("topic", minute).agg(F.count(F.lit(1)).alias("n"))
+    block = F.floor(F.col("minute_index") / RATE_BLOCK_MINUTES)
+    per_minute = per_minute.withColumn("block", block)
+    offset = (F.col("minute_index") - F.col("block") * RATE_BLOCK_MINUTES).cast("double")
+    per_minute = per_minute.withColumns({
+        "offset": offset,
+        **{weights[name]: F.col("n") * F.exp(offset / minutes) for name, minutes in RATE_WINDOWS.items()},
     })
-    rates = {name: _moving_rate(minutes) for name, minutes in RATE_WINDOWS.items()}
-    mean = F.col("count") / ((F.col("minute_index") - F.col("first_index") + 1) * 60)
-    counted = counted.withColumns({"mean_rate": mean, **rates})
-    return counted.select("topic", "minute_index", "count", "mean_rate", *RATE_WINDOWS)
+
+    summed = ["n", *weights.values()]
+    totals = per_minute.groupBy("topic", "block").agg(
+        F.min("minute_index").alias("first_index"),
+        F.min_by("n", "minute_index").alias("first_n"),
+        *[F.sum(c).alias(c) for c in summed],
+    )
+    by_block = Window.partitionBy("topic").orderBy("block")
+    so_far = by_block.rowsBetween(Window.unboundedPreceding, 0)
+    adjacent = F.lag("block").over(by_block) == F.col("block") - 1
+    linked = totals.select(
+        "topic",
+        "block",
+        (F.sum("n").over(so_far) - F.col("n")).alias("n_before"),
+        F.first("first_index").over(so_far).alias("first_index"),
+        F.first("first_n").over(so_far).alias("first_n"),
+        *[F.when(adjacent, F.lag(w).over(by_block)).otherwise(F.lit(0.0)).alias(f"{w}_before") for w in weights.values()],
+    )
+
+    running = Window.partitionBy("topic", "block").orderBy("minute_index").rowsBetween(Window.unboundedPreceding, 0)
+    counted = per_minute.withColumns({f"{c}_run": F.sum(c).over(running) for c in summed}).join(linked, ["topic", "block"])
+    age = (F.col("minute_index") - F.col("first_index")).cast("double")
+    count = F.col("n_before") + F.col("n_run")
+    rates = []
+    for name, minutes in RATE_WINDOWS.items():
+        alpha = 1 - math.exp(-1 / minutes)
+        carried = F.col(f"{weights[name]}_before") * math.exp(-RATE_BLOCK_MINUTES / minutes)
+        recent = (F.col(f"{weights[name]}_run") + carried) * F.exp(-F.col("offset") / minutes)
+        seed = F.col("first_n") * F.exp(-age / minutes)
+        rates.append(((alpha * recent + (1 - alpha) * seed) / 60).alias(name))
+    return counted.select(
+        "topic", "minute_index", count.alias("count"), (count / ((age + 1) * 60)).alias("mean_rate"), *rates
+    )
 
 
 def file_meters(files: DataFrame) -> DataFrame:
