@@ -229,7 +229,7 @@ def search_documents(spark, sf_dir):
 
 
 @QUERIES.add(replayed("""
-    SELECT TIMESTAMP '2024-02-01' AS push_ts, event_type AS log_name, event_type || '-' || strftime(ts, '%Y-%m-%d-%H') || '.gz' AS file_name,
+    SELECT '2024-02-01' AS push_ts, event_type AS log_name, event_type || '-' || strftime(ts, '%Y-%m-%d-%H') || '.gz' AS file_name,
            '/lake/' || event_type AS dir, 'h1' AS host, count(*) AS file_size, 'complete' AS status
     FROM events GROUP BY ALL"""))
 def file_audit(spark, sf_dir):
@@ -240,17 +240,18 @@ def file_audit(spark, sf_dir):
     listing = counts.select("topic", name.alias("path"), F.col("messages").alias("length"))
     audit = reports.file_audit(listing, F.col("topic"), F.lit("h1"), F.lit("complete"), F.lit("2024-02-01").cast("timestamp_ntz"))
     reports.append_audit(audit, path)
-    return spark.read.parquet(path)
+    return spark.read.parquet(path).withColumn("push_ts", F.date_format("push_ts", "yyyy-MM-dd"))
 
 
 @QUERIES.add(replayed("""
-    SELECT DISTINCT TIMESTAMP '2024-02-01' AS ts, event_type AS log, 'dt=' || strftime(ts, '%Y%m%d') || ',hr=' || strftime(ts, '%Y%m%d%H') AS "partition",
+    SELECT DISTINCT '2024-02-01' AS ts, event_type AS log, 'dt=' || strftime(ts, '%Y%m%d') || ',hr=' || strftime(ts, '%Y%m%d%H') AS "partition",
            CASE WHEN event_type = 'error' THEN 'error' ELSE 'ok' END AS status, CASE WHEN event_type = 'error' THEN 'no table' END AS exception
     FROM events"""))
 def partition_audit(spark, sf_dir):
     hours = lake.with_layout(parsed_replay(spark, sf_dir), "datehour").select("topic", F.col("date").alias("dt"), F.col("hour").alias("hr")).distinct()
     failure = F.when(F.col("topic") == "error", F.lit("no table"))
-    return reports.partition_audit(hours, failure, F.lit("2024-02-01").cast("timestamp_ntz"))
+    audit = reports.partition_audit(hours, failure, F.lit("2024-02-01").cast("timestamp_ntz"))
+    return audit.withColumn("ts", F.date_format("ts", "yyyy-MM-dd"))
 
 
 @QUERIES.add(replayed("""

@@ -24,7 +24,10 @@ RAW_MESSAGE_SCHEMA = StructType([StructField("topic", StringType()), StructField
 
 
 def list_files(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
-    """``path, modificationTime, length`` of every file below ``path``. No file is opened."""
+    """``path, modificationTime, length`` of every file below ``path``. No file is opened.
+
+    Spark's file sources leave out files of zero bytes; they hold no message.
+    """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
