@@ -12,18 +12,26 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rillflow.functions.keys import hour_dir, lake_dir, parse_hour_key
+from rillflow.functions.keys import file_hour, file_topic, hour_dir, lake_dir, parse_hour_key
 from rillflow.operators.catalog import PublishDefaults, with_publish_settings
-from rillflow.operators.lookup import lookup_join
 from rillflow.operators.tables import add_partition
+from rillflow.sinks.landing import HOURS_SCHEMA
 from rillflow.sinks.lake import layout_columns, with_layout, write_lake
 
 DESTINATION = ["base_partition", "log_partition", "date_format"]
 
 
-def landed_hours(lines: DataFrame) -> DataFrame:
-    """The distinct ``topic, hour`` pairs of landed rows."""
-    return lines.select("topic", "hour").distinct()
+def landed_hours(spark: SparkSession, landing: str, kind: str = "text") -> DataFrame:
+    """The ``topic, hour`` pairs below a landing folder, from the notes of its batches."""
+    return spark.read.schema(HOURS_SCHEMA).parquet(f"{landing}/hours/{kind}").select("topic", "hour").distinct()
+
+
+def rows_of_named_files(lines: DataFrame) -> DataFrame:
+    """Rows of files named ``topic-yyyy-MM-dd-HH...`` with topic and hour of the name.
+
+    ``lines`` hold a ``file`` column. Rows of other files have no topic or hour.
+    """
+    return lines.withColumns({"topic": file_topic(F.col("file")), "hour": file_hour(F.col("file"))}).drop("file")
 
 
 def publish_settings(hours: DataFrame, catalog: DataFrame, defaults: PublishDefaults = PublishDefaults()) -> DataFrame:
@@ -78,16 +86,23 @@ def publish_hours(
     return settings
 
 
-def quarantine_hours(spark: SparkSession, lines: DataFrame, catalog: DataFrame, defaults: PublishDefaults = PublishDefaults(), fmt: str = "text", codec: str = "gzip") -> None:
-    """The same layout below each topic's quarantine folder, for rows of corrupt files."""
-    settings = publish_settings(landed_hours(lines), catalog, defaults)
-    for row in settings.select("quarantine", "log_partition", "date_format").distinct().toLocalIterator():
-        topics = settings.filter(
-            (F.col("quarantine") == row["quarantine"]) & (F.col("log_partition") == row["log_partition"])
-        ).select("topic").distinct()
-        mine = lookup_join(lines, topics, "topic", "topic", "left_semi")
-        rows = with_layout(mine.withColumn("_ts", parse_hour_key(F.col("hour"))).drop("topic", "hour"), row["date_format"], "_ts")
-        write_lake(rows.drop("_ts"), row["quarantine"], row["log_partition"], row["date_format"], fmt=fmt, compression=codec)
+def quarantine_files(spark: SparkSession, checked: DataFrame, catalog: DataFrame, defaults: PublishDefaults = PublishDefaults()) -> None:
+    """Corrupt files, whole, in the lake layout below their topic's quarantine folder.
+
+    ``checked`` holds ``path, file_ok``. A file becomes a row of its path and its
+    bytes. Only the paths of corrupt files pass the driver; their bytes go from
+    task to task. A file without an hour in its name is filed under no date.
+    """
+    bad = checked.filter(~F.col("file_ok")).select(
+        "path", file_topic(F.col("path")).alias("topic"), file_hour(F.col("path")).alias("hour")
+    )
+    settings = publish_settings(bad, catalog, defaults)
+    part = F.coalesce("log_partition", F.lit("unnamed")).alias("part")
+    places = settings.groupBy("quarantine", part, "date_format").agg(F.collect_list("path").alias("paths"))
+    for row in places.toLocalIterator():
+        content = spark.read.format("binaryFile").load(row["paths"]).select("path", "content")
+        rows = with_layout(content.withColumn("_ts", parse_hour_key(file_hour(F.col("path")))), row["date_format"], "_ts")
+        write_lake(rows.drop("_ts"), row["quarantine"], row["part"], row["date_format"], writers=0)
 
 
 def register_partitions(spark: SparkSession, settings: DataFrame, **retry) -> int:

@@ -157,7 +157,7 @@ def publish_lake(spark, sf_dir):
     path = _land_all(spark, sf_dir, "landing")
     root = work_dir(spark, "lake")
     landed = landing.landed_text(spark, path)
-    hours = landed_hours(landed)
+    hours = landed_hours(spark, path)
     catalog = _publish_catalog(spark, root, "unused")
     for _ in range(2):
         publish_hours(spark, landed, hours, catalog, PublishDefaults(base_partition=f"{root}/default")).unpersist()
@@ -181,7 +181,7 @@ def registered_partitions(spark, sf_dir):
     for name in ("t_click", "purchase"):
         tables.create_landing_table(spark, f"{database}.{name}", "value string", "text")
     landed = landing.landed_text(spark, path)
-    settings = publish_hours(spark, landed, landed_hours(landed), _publish_catalog(spark, root, database), PublishDefaults(base_partition=f"{root}/default"))
+    settings = publish_hours(spark, landed, landed_hours(spark, path), _publish_catalog(spark, root, database), PublishDefaults(base_partition=f"{root}/default"))
     register_partitions(spark, settings)
     settings.unpersist()
     counted = [

@@ -7,8 +7,8 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# Size at which landed and published files are cut; AQE uses it as its target
-# partition size for the rebalance before a write.
+# Fixed value: size at which files are rolled over. Adaptive execution takes it as
+# the target size of a task, so the rebalance before a write cuts files there.
 ROLLOVER_BYTES = 115_000_000
 
 SQL_SETTINGS = {
@@ -18,6 +18,7 @@ SQL_SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(ROLLOVER_BYTES),
 }
 
 

@@ -14,6 +14,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 from rillflow.functions.avro import has_avro_package
 from rillflow.operators.quality import keyed_rows
 from rillflow.operators.tables import conform_columns
+from rillflow.sources.files import list_files
 
 # Codecs of landed text, and the page compression of landed Parquet.
 TEXT_CODECS = ("none", "gzip", "snappy", "bzip2")
@@ -21,6 +22,7 @@ PARQUET_CODEC = "gzip"
 
 LANDING_PARTITIONS = ("topic", "hour")
 LANDED_TEXT_SCHEMA = "value string, topic string, hour string"
+HOURS_SCHEMA = "topic string, hour string"
 
 
 def gather(rows: DataFrame, keys: tuple[str, ...], writers: int | None = None) -> DataFrame:
@@ -29,8 +31,11 @@ def gather(rows: DataFrame, keys: tuple[str, ...], writers: int | None = None) -
     Adaptive execution cuts a directory with much data into tasks of the
     advisory partition size and joins small ones, so one hot topic-hour is
     written by many tasks. With a fixed number of ``writers``, as in a
-    micro-batch, each key is spread over that many instead.
+    micro-batch, each key is spread over that many instead. ``writers=0`` keeps
+    the tasks as they are, without a shuffle, for input already ordered by time.
     """
+    if writers == 0:
+        return rows
     if writers:
         hashable = [f.name for f in rows.schema.fields if "map<" not in f.dataType.simpleString()]
         salt = F.pmod(F.xxhash64(*hashable), F.lit(writers))
@@ -92,6 +97,30 @@ def land_by_codec(rows: DataFrame, path: str, codecs: Sequence[str] | None = Non
             land_parquet(mine, f"{path}/parquet/batch={batch}", plain, mode, writers)
         else:
             land_parquet(mine, f"{path}/parquet/batch={batch}", schema, mode, writers)
+    record_hours(rows.sparkSession, path, batch, codecs or (*TEXT_CODECS, "parquet"))
+
+
+def hours_of_files(files: DataFrame) -> DataFrame:
+    """Distinct ``topic, hour`` of landed files, from their directory names."""
+    def part(name: str) -> Column:
+        raw = F.regexp_extract("path", f"/{name}=([^/]*)/", 1)
+        # Spark writes special characters of a directory value as %XX and leaves
+        # the plus sign alone, which URL decoding would turn into a space.
+        return F.url_decode(F.replace(raw, F.lit("+"), F.lit("%2B"))).alias(name)
+
+    return files.select(part("topic"), part("hour")).distinct()
+
+
+def record_hours(spark: SparkSession, path: str, batch: str, codecs: Sequence[str]) -> None:
+    """Notes which topic-hours a batch landed, below ``path/hours``.
+
+    The files are listed, not read, so the publisher learns what changed without
+    another pass over the data.
+    """
+    for kind in ("text", "parquet"):
+        if any((codec == "parquet") == (kind == "parquet") for codec in codecs):
+            hours = hours_of_files(list_files(spark, f"{path}/{kind}/batch={batch}", "part-*"))
+            hours.coalesce(1).write.mode("overwrite").parquet(f"{path}/hours/{kind}/batch={batch}")
 
 
 def landed_text(spark: SparkSession, path: str) -> DataFrame:

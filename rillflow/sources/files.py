@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from datetime import datetime, timedelta, timezone
+from urllib.parse import quote
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -53,7 +54,7 @@ def _footer_ok(path: str) -> bool:
     import pyarrow.parquet as pq
     from pyarrow import ArrowInvalid, fs
 
-    uri = re.sub(r"^file:/(?!/)", "file:///", path)
+    uri = quote(re.sub(r"^file:/(?!/)", "file:///", path), safe=":/@")
     try:
         system, inner = fs.FileSystem.from_uri(uri)
         with system.open_input_file(inner) as handle:

@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from rillflow.operators.catalog import PublishDefaults
-from rillflow.plans.publish import landed_hours, publish_hours, register_partitions
-from rillflow.sinks.landing import LANDED_TEXT_SCHEMA, landed_text
+from rillflow.plans.publish import publish_hours, register_partitions
+from rillflow.sinks.landing import HOURS_SCHEMA, landed_parquet, landed_text
 from rillflow.streaming.ingest import with_trigger
 
 # Milliseconds between two publish rounds and between two reads of
@@ -28,22 +29,27 @@ def start_publish(
     interval_ms: int = PUBLISH_INTERVAL_MS,
     register: bool = True,
     writers: int | None = None,
+    parquet_schema: StructType | None = None,
 ) -> StreamingQuery:
-    """Publish every topic-hour that gets new landed files.
+    """Publish every topic-hour that gets new landed rows.
 
-    The stream only tells which hours changed. Each of them is then published
-    whole from the landing folder, so a round that is run again changes nothing.
+    The stream follows the notes ingest leaves of the topic-hours it landed; no
+    landed row is read to find them. Each of them is then published whole from the
+    landing folder, so a round that is run again changes nothing. With a
+    ``parquet_schema`` the landed Parquet rows are published instead of the text.
     """
+    kind = "text" if parquet_schema is None else "parquet"
 
     def publish(batch: DataFrame, batch_id: int) -> None:
-        hours = landed_hours(batch)
-        settings = publish_hours(spark, landed_text(spark, landing), hours, load_catalog(), defaults, writers=writers)
+        hours = batch.distinct()
+        landed = landed_text(spark, landing) if kind == "text" else landed_parquet(spark, landing, parquet_schema)
+        settings = publish_hours(spark, landed, hours, load_catalog(), defaults, fmt=kind, writers=writers)
         try:
             if register:
                 register_partitions(spark, settings)
         finally:
             settings.unpersist()
 
-    landed = spark.readStream.schema(LANDED_TEXT_SCHEMA).text(f"{landing}/text")
-    writer = landed.writeStream.foreachBatch(publish).option("checkpointLocation", checkpoint)
+    notes = spark.readStream.schema(HOURS_SCHEMA).parquet(f"{landing}/hours/{kind}").select("topic", "hour")
+    writer = notes.writeStream.foreachBatch(publish).option("checkpointLocation", checkpoint)
     return with_trigger(writer, available_now, interval_ms).start()

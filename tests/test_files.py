@@ -9,7 +9,7 @@ from pyspark.sql.types import StructType
 from rillflow.functions import keys
 from rillflow.operators import metrics, tables
 from rillflow.operators.catalog import PublishDefaults, make_catalog
-from rillflow.plans.publish import publish_hours, publish_settings, quarantine_hours
+from rillflow.plans.publish import landed_hours, publish_hours, publish_settings, quarantine_files, rows_of_named_files
 from rillflow.sinks import lake, landing, reports
 from rillflow.sources import files, generator
 
@@ -54,7 +54,7 @@ def test_temporary_names_are_skipped(spark, tmp_path):
 def test_finished_files_and_integrity(spark, tmp_path):
     spark.range(5).coalesce(1).write.parquet(f"{tmp_path}/p")
     good = next(n for n in os.listdir(tmp_path / "p") if n.endswith(".parquet"))
-    os.rename(tmp_path / "p" / good, tmp_path / "t-2016-03-20-09.parquet")
+    os.rename(tmp_path / "p" / good, tmp_path / "t %41-2016-03-20-09.parquet")
     (tmp_path / "bad-2016-03-20-09.parquet").write_bytes(b"PAR1 not a footer")
     (tmp_path / "empty-2016-03-20-09.parquet").write_bytes(b"")  # not listed: zero bytes
     (tmp_path / "t-2016-03-20-09.gz").write_bytes(gzip.compress(b"x\n"))
@@ -66,7 +66,7 @@ def test_finished_files_and_integrity(spark, tmp_path):
     found = files.check_files(files.finished_files(spark, str(tmp_path)))
     got = {r["path"].rsplit("/", 1)[1]: r["file_ok"] for r in found.collect()}
     assert got == {
-        "t-2016-03-20-09.parquet": True, "bad-2016-03-20-09.parquet": False, "t-2016-03-20-09.gz": True,
+        "t %41-2016-03-20-09.parquet": True, "bad-2016-03-20-09.parquet": False, "t-2016-03-20-09.gz": True,
     }
     assert [r["value"] for r in files.read_finished_text(spark, str(tmp_path)).collect()] == ["x"]
     meters = metrics.file_meters(found).first()
@@ -105,8 +105,40 @@ def test_publish_replaces_and_keeps_other_hours(spark, tmp_path):
     assert sorted(map(tuple, rows)) == [("v1", "20160320", "2016032009"), ("v2!", "20160320", "2016032010")]
     daily = lake.read_lake(spark, f"{tmp_path}/lake", "daily", "date", "value string", "text").collect()
     assert [tuple(r) for r in daily] == [("d", "20160320")]
-    quarantine_hours(spark, landed.filter(F.col("value") == "v1"), catalog, defaults)
-    assert os.path.isdir(tmp_path / "q/test/date=20160320/hour=2016032009")
+
+
+def test_named_files_are_published_and_corrupt_ones_kept(spark, tmp_path):
+    source = tmp_path / "in"
+    source.mkdir()
+    (source / "test-2016-03-20-09.gz").write_bytes(gzip.compress(b"one\ntwo\n"))
+    (source / "test-2016-03-20-10.1458.gz").write_bytes(gzip.compress(b"three\n"))
+    (source / "test-2016-03-20-11.parquet").write_bytes(b"PAR1 broken")
+    (source / "noname.parquet").write_bytes(b"PAR1 broken too")
+    old = time.time() - 60
+    for name in os.listdir(source):
+        os.utime(source / name, (old, old))
+    defaults = PublishDefaults(base_partition=f"{tmp_path}/lake", quarantine=f"{tmp_path}/q")
+    catalog = make_catalog(spark, [])
+    checked = files.check_files(files.finished_files(spark, str(source)))
+    quarantine_files(spark, checked, catalog, defaults)
+    rows = rows_of_named_files(files.read_finished_text(spark, str(source)))
+    publish_hours(spark, rows, rows.select("topic", "hour").distinct(), catalog, defaults)
+    got = lake.read_lake(spark, f"{tmp_path}/lake", "test", "datehour", "value string", "text").collect()
+    assert sorted(map(tuple, got)) == [("one", "20160320", "2016032009"), ("three", "20160320", "2016032010"), ("two", "20160320", "2016032009")]
+    kept = lake.read_lake(spark, f"{tmp_path}/q", "test", "datehour", "path string, content binary").collect()
+    assert [(bytes(r["content"]), r["date"], r["hour"]) for r in kept] == [(b"PAR1 broken", "20160320", "2016032011")]
+    unnamed = spark.read.parquet(f"{tmp_path}/q/unnamed").collect()
+    assert [bytes(r["content"]) for r in unnamed] == [b"PAR1 broken too"]
+
+
+def test_hours_are_noted_from_directory_names(spark, tmp_path):
+    topics = ["plain", "a b", "x=y", "50%", "p+q", "t:1"]
+    rows = spark.createDataFrame([(t, "2016-03-20-09", "m", "gzip") for t in topics], "topic string, hour string, message string, codec string")
+    landing.land_by_codec(rows, f"{tmp_path}/out", ["gzip"])
+    noted = landed_hours(spark, f"{tmp_path}/out")
+    assert sorted(map(tuple, noted.collect())) == sorted((t, "2016-03-20-09") for t in topics)
+    landed = landing.landed_text(spark, f"{tmp_path}/out")
+    assert sorted(r["topic"] for r in landed.collect()) == sorted(topics)
 
 
 def test_lower_cased_schemas():
