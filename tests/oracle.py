@@ -32,7 +32,7 @@ def _rows(columns, rows):
     return [columns[i] for i in order], sorted((tuple(_plain(r[i]) for i in order) for r in rows), key=repr)
 
 
-def compare(spark, con, sf_dir, registered):
+def compare(spark, con, sf_dir, registered, allow_empty=False):
     """None when equal, else what differs."""
     df = registered.run(spark, sf_dir)
     got = _rows(df.columns, [tuple(r) for r in df.collect()])
@@ -44,7 +44,7 @@ def compare(spark, con, sf_dir, registered):
         return f"columns {got[0]} != {want[0]}"
     if len(got[1]) != len(want[1]):
         return f"{len(got[1])} rows != {len(want[1])}"
-    if not got[1]:
+    if not got[1] and not allow_empty:
         return "no rows"
     for g, w in zip(got[1], want[1]):
         if g != w or [type(x) for x in g] != [type(x) for x in w]:

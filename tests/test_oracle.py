@@ -20,7 +20,8 @@ def con():
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, con, name):
-    assert oracle.compare(spark, con, SF_DIR, QUERIES[name]) is None
+    # A threshold query may find nothing in the smallest tables.
+    assert oracle.compare(spark, con, SF_DIR, QUERIES[name], allow_empty=True) is None
 
 
 def test_driver_contract(spark):
