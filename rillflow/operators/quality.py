@@ -53,3 +53,18 @@ def flagged_topics(parsed: DataFrame, threshold: int = ERROR_THRESHOLD) -> DataF
         F.floor(F.col("errors") / step).alias("times_flagged"),
         (F.col("errors") % step).alias("errors_left"),
     )
+
+
+ERROR_TOTALS_SCHEMA = "topic string, errors bigint, times_flagged bigint"
+
+
+def add_errors(totals: DataFrame, batch_errors: DataFrame, threshold: int = ERROR_THRESHOLD) -> DataFrame:
+    """Error totals per topic after another batch, from those before it.
+
+    ``newly_flagged`` marks topics whose count passed the threshold in this batch.
+    """
+    before = totals.select("topic", "errors", "times_flagged")
+    now = batch_errors.select("topic", "errors", F.lit(0).cast("bigint").alias("times_flagged"))
+    summed = before.unionByName(now).groupBy("topic").agg(F.sum("errors").alias("errors"), F.max("times_flagged").alias("_before"))
+    times = F.floor(F.col("errors") / (threshold + 1))
+    return summed.select("topic", "errors", times.alias("times_flagged"), (times > F.col("_before")).alias("newly_flagged"))

@@ -55,6 +55,20 @@ def flagged_topics(spark, sf_dir):
     return ops.flagged_topics(_parsed(spark, sf_dir))
 
 
+@QUERIES.add(f"""
+    WITH e AS (SELECT event_type AS topic, count(*) AS errors, count(*) FILTER (ts < TIMESTAMP '2024-01-16') AS early
+               FROM events WHERE {_BROKEN_SQL} GROUP BY 1)
+    SELECT topic, errors, errors // 101 AS times_flagged, errors // 101 > early // 101 AS newly_flagged FROM e""")
+def errors_across_batches(spark, sf_dir):
+    """Totals after two batches, the first and the second half of the month."""
+    early = F.col("event_ts") < F.lit("2024-01-16").cast("timestamp")
+    times = events(spark, sf_dir).select("event_id", F.col("ts").alias("event_ts"))
+    parsed = _parsed(spark, sf_dir).join(times, "event_id")
+    totals = spark.createDataFrame([], ops.ERROR_TOTALS_SCHEMA)
+    totals = ops.add_errors(totals, ops.errors_per_topic(parsed.filter(early)))
+    return ops.add_errors(totals, ops.errors_per_topic(parsed.filter(~early)))
+
+
 @QUERIES.add("""
     SELECT topic, count(*) AS errors FROM (
         SELECT event_type AS topic FROM events WHERE event_type NOT IN ('click', 'purchase')) GROUP BY topic""")

@@ -11,13 +11,22 @@ from collections.abc import Callable
 from dataclasses import dataclass, replace
 
 from pyspark import StorageLevel
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from rillflow.operators.catalog import disable_topics
 from rillflow.operators.metrics import minute_counters
-from rillflow.operators.quality import flagged_topics, keyed_rows, split_by_error, with_hour_key
+from rillflow.operators.quality import (
+    ERROR_THRESHOLD,
+    ERROR_TOTALS_SCHEMA,
+    add_errors,
+    errors_per_topic,
+    keyed_rows,
+    split_by_error,
+    with_hour_key,
+)
 from rillflow.plans.ingest import IngestPlan, apply_pipeline, parsed_rows
 from rillflow.sinks.reports import publish_counters
 from rillflow.sources.kafka import BATCH_MILLIS
@@ -29,15 +38,18 @@ ROLLOVER_MILLIS = 600_000
 @dataclass
 class StreamPlan:
     """Folders of a streaming ingest. ``load_catalog`` is called for every
-    micro-batch, so catalog changes take effect without a restart."""
+    micro-batch, so catalog changes take effect without a restart. With an
+    ``errors`` folder, errors count across micro-batches and topics that pass the
+    threshold go to ``on_flagged``."""
 
     ingest: IngestPlan
     load_catalog: Callable[[], DataFrame]
     checkpoint: str
     quarantine: str | None = None
     counters: str | None = None
+    errors: str | None = None
     on_flagged: Callable[[DataFrame], None] | None = None
-    error_threshold: int = 100
+    error_threshold: int = ERROR_THRESHOLD
 
 
 def batch_dir(root: str, batch_id: int) -> str:
@@ -62,12 +74,32 @@ def ingest_batch(plan: StreamPlan, batch: DataFrame, batch_id: int) -> None:
             landed = minute_counters(split.good, "in")
             failed = minute_counters(split.bad.withColumn("ts", F.current_timestamp()), "error")
             publish_counters(landed.unionByName(failed), plan.counters, str(batch_id))
-        if plan.on_flagged:
-            plan.on_flagged(flagged_topics(parsed, plan.error_threshold))
+        if plan.errors:
+            flag_topics(plan, errors_per_topic(parsed), batch_id)
     finally:
         parsed.unpersist()
 
 
+def flag_topics(plan: StreamPlan, batch_errors: DataFrame, batch_id: int) -> None:
+    """Error totals after this batch, built from those of the batch before, and the
+    topics that passed the threshold handed to ``on_flagged``.
+
+    Totals are kept per batch, so a batch that is run again starts from the same
+    totals. A batch reads one small table, however long the stream has run.
+    """
+    spark = batch_errors.sparkSession
+    totals = spark.createDataFrame([], ERROR_TOTALS_SCHEMA)
+    if batch_id > 0:
+        try:
+            totals = spark.read.schema(ERROR_TOTALS_SCHEMA).parquet(batch_dir(plan.errors, batch_id - 1))
+        except AnalysisException:
+            pass  # counting starts with this batch
+    current = batch_dir(plan.errors, batch_id)
+    add_errors(totals, batch_errors, plan.error_threshold).coalesce(1).write.mode("overwrite").parquet(current)
+    if plan.on_flagged:
+        plan.on_flagged(spark.read.parquet(current).filter("newly_flagged").select("topic"))
+
+
 def start_ingest(messages: DataFrame, plan: StreamPlan, available_now: bool = False, interval_ms: int = BATCH_MILLIS) -> StreamingQuery:
     """Start the stream. Its read position is the checkpoint."""
     writer = messages.writeStream.foreachBatch(lambda batch, batch_id: ingest_batch(plan, batch, batch_id))

@@ -22,7 +22,7 @@ def test_stream_restarts_from_its_checkpoint_and_picks_up_the_catalog(spark, tmp
     save_catalog(make_catalog(spark, [{"log": "a", "format": "txt:sep=pipe;ts=0;msg=1"}]), state, 1)
     plan = ingest.StreamPlan(
         IngestPlan(f"{tmp_path}/land", writers=2), lambda: load_catalog(spark, state), f"{tmp_path}/cp",
-        quarantine=f"{tmp_path}/bad", counters=f"{tmp_path}/n", error_threshold=2,
+        quarantine=f"{tmp_path}/bad", counters=f"{tmp_path}/n", errors=f"{tmp_path}/e", error_threshold=3,
         on_flagged=ingest.disable_flagged(lambda: load_catalog(spark, state), lambda c: save_catalog(c.repartition(1), state, 2)),
     )
 
@@ -40,7 +40,9 @@ def test_stream_restarts_from_its_checkpoint_and_picks_up_the_catalog(spark, tmp
     assert spark.read.parquet(f"{tmp_path}/bad").count() == 5
     live = reports.live_counters(spark, f"{tmp_path}/n")
     assert live.filter("phase = 'in'").agg(F.sum("n")).first()[0] == 2
-    # Three errors in one batch passed the threshold of two.
+    # One error and then three more passed the threshold of three; b has only one.
+    totals = {r["topic"]: tuple(r)[1:] for r in spark.read.parquet(f"{tmp_path}/e/batch=1").collect()}
+    assert totals == {"a": (4, 1, True), "b": (1, 0, False)}
     assert load_catalog(spark, state).first()["enabled"] == 0
 
 
@@ -48,8 +50,11 @@ def test_batch_run_again_leaves_the_same_files(spark, tmp_path):
     catalog = make_catalog(spark, [{"log": "a", "format": "txt:sep=pipe;ts=0;msg=1", "output_format": "snappy"}])
     plan = ingest.StreamPlan(IngestPlan(f"{tmp_path}/land"), lambda: catalog, "unused", quarantine=f"{tmp_path}/bad", counters=f"{tmp_path}/n")
     batch = raw(spark, [("a", "1458465011123|one"), ("a", "nope")])
+    flagged = []
+    plan.errors, plan.error_threshold, plan.on_flagged = f"{tmp_path}/e", 0, lambda df: flagged.append([r["topic"] for r in df.collect()])
     for _ in range(2):
         ingest.ingest_batch(plan, batch, 7)
+    assert flagged == [["a"], ["a"]] and spark.read.parquet(f"{tmp_path}/e/batch=7").first()["errors"] == 1
     assert landing.landed_text(spark, f"{tmp_path}/land").count() == 1
     assert spark.read.parquet(f"{tmp_path}/bad").count() == 1
     assert {r["phase"]: r["n"] for r in reports.live_counters(spark, f"{tmp_path}/n").collect()} == {"in": 1, "error": 1}
