@@ -8,16 +8,29 @@ joined to files of the advisory size.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rillflow.functions.keys import file_hour, file_topic, hour_dir, lake_dir, parse_hour_key
+from rillflow.functions.keys import (
+    file_hour,
+    file_topic,
+    hour_dir,
+    lake_dir,
+    parse_hour_key,
+    strip_first_slash,
+    strip_last_slash,
+)
 from rillflow.operators.catalog import PublishDefaults, with_publish_settings
 from rillflow.operators.tables import add_partition
 from rillflow.sinks.landing import HOURS_SCHEMA
 from rillflow.sinks.lake import layout_columns, with_layout, write_lake
 
+# Destinations written at the same time.
+PARALLEL_WRITES = 4
+
 DESTINATION = ["base_partition", "log_partition", "date_format"]
 
 
@@ -69,11 +82,22 @@ def publish_hours(
     registered is what was written; the caller unpersists them.
     """
     settings = publish_settings(hours, catalog, defaults).persist(StorageLevel.MEMORY_AND_DISK)
-    usable = settings.filter(~F.col("bad_name"))
-    destinations = usable.groupBy(*DESTINATION).agg(
-        F.collect_set("topic").alias("topics"), F.collect_set("dt").alias("days"), F.collect_set("hr").alias("hrs")
+    # An hour is replaced for every topic that shares its destination, so a
+    # destination writes all of its topics, changed or not.
+    sharing = with_publish_settings(catalog.select(F.col("log").alias("topic")), catalog, "topic", defaults)
+    touched_hours = settings.filter(~F.col("bad_name")).select(*DESTINATION, "topic", "dt", "hr")
+    destinations = (
+        touched_hours.unionByName(sharing.select(*DESTINATION, "topic"), allowMissingColumns=True)
+        .withColumns({
+            "base_partition": strip_last_slash(F.col("base_partition")),
+            "log_partition": strip_last_slash(strip_first_slash(F.col("log_partition"))),
+        })
+        .groupBy(*DESTINATION)
+        .agg(F.collect_set("topic").alias("topics"), F.collect_set("dt").alias("days"), F.collect_set("hr").alias("hrs"))
+        .filter(F.size("hrs") > 0)
     )
-    for row in destinations.toLocalIterator():
+
+    def write(row) -> None:
         hourly = "hour" in layout_columns(row["date_format"])
         ts = parse_hour_key(F.col("hour"))
         touched = hour_dir(ts).isin(row["hrs"]) if hourly else F.date_format(ts, "yyyyMMdd").isin(row["days"])
@@ -83,6 +107,12 @@ def publish_hours(
             rows, row["base_partition"], row["log_partition"], row["date_format"],
             fmt=fmt, replace_touched=True, writers=writers, compression=codec,
         )
+
+    # Writes of different destinations are independent jobs; several at once keep
+    # the cluster busy while one of them commits.
+    with ThreadPoolExecutor(PARALLEL_WRITES) as pool:
+        for _ in pool.map(inheritable_thread_target(spark)(write), destinations.toLocalIterator()):
+            pass
     return settings
 
 

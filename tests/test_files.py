@@ -107,6 +107,21 @@ def test_publish_replaces_and_keeps_other_hours(spark, tmp_path):
     assert [tuple(r) for r in daily] == [("d", "20160320")]
 
 
+def test_topics_that_share_a_destination_keep_each_other(spark, tmp_path):
+    landed = spark.createDataFrame([("one", "a", "2016-03-20-09"), ("two", "b", "2016-03-20-09")], "value string, topic string, hour string")
+    catalog = make_catalog(spark, [
+        {"log": "a", "base_partition": f"{tmp_path}/lake/", "log_partition": "/all"},
+        {"log": "b", "base_partition": f"{tmp_path}/lake", "log_partition": "all/"},
+        {"log": "idle", "base_partition": f"{tmp_path}/lake", "log_partition": "idle"},
+    ])
+    hours = landed.select("topic", "hour")
+    for changed in (hours, hours.filter("topic = 'a'"), hours.filter("topic = 'b'")):
+        publish_hours(spark, landed, changed, catalog)
+        got = lake.read_lake(spark, f"{tmp_path}/lake", "all", "datehour", "value string", "text").collect()
+        assert sorted(r["value"] for r in got) == ["one", "two"]
+    assert os.listdir(tmp_path / "lake") == ["all"]
+
+
 def test_named_files_are_published_and_corrupt_ones_kept(spark, tmp_path):
     source = tmp_path / "in"
     source.mkdir()
