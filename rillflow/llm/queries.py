@@ -5,8 +5,9 @@ from __future__ import annotations
 import importlib.util
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from rillflow.llm import packing, token_files
+from rillflow.llm import decontaminate, near_dup, packing, token_files
 from rillflow.llm.shared import table
 from rillflow.queries import Query, Registered
 
@@ -44,3 +45,72 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in windows of 1024 tokens, with lexical neighbours side by side."""
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), 0)
+
+
+DECONTAMINATION_SQL = r"""
+WITH words AS (
+    SELECT *, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                 '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+    FROM (SELECT row_number() OVER () AS r, doc_id, text FROM documents)
+), item_words AS (
+    SELECT CAST(item_id AS VARCHAR) AS item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                 '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+    FROM benchmark
+), sized AS (SELECT item_id, w, least(len(w), 13) AS size FROM item_words WHERE len(w) > 0),
+windows AS (
+    SELECT DISTINCT item_id, size, array_to_string(list_slice(w, p, p + size - 1), ' ') AS win
+    FROM (SELECT *, unnest(range(1, len(w) - size + 2)) AS p FROM sized)
+), sizes AS (SELECT DISTINCT size FROM windows),
+doc_windows AS (
+    SELECT r, size, p, array_to_string(list_slice(w, p, p + size - 1), ' ') AS win
+    FROM (SELECT r, w, size, unnest(range(1, len(w) - size + 2)) AS p FROM words, sizes WHERE len(w) >= size)
+), found AS (SELECT r, size, p, item_id FROM doc_windows JOIN windows USING (size, win)),
+hit AS (SELECT r, count(DISTINCT place) AS n_hit FROM (SELECT r, unnest(range(p, p + size)) AS place FROM found) GROUP BY r),
+items AS (SELECT r, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT item_id, ',' ORDER BY item_id) AS ids FROM found GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM words LEFT JOIN hit USING (r) LEFT JOIN items USING (r)
+"""
+
+
+@registered(DECONTAMINATION_SQL)
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark windows in every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    marked = decontaminate.with_decision(decontaminate.mark(docs, table(spark, sf_dir, "benchmark")))
+    return marked.select(
+        "doc_id", F.col("_n_words").alias("n_words"), F.col("_n_hit").alias("n_hit"), F.size("_items").cast("bigint").alias("n_items"),
+        F.sha2(F.concat_ws(",", "_items"), 256).alias("items_sha256"), F.col("_contaminated").alias("contaminated"),
+    )
+
+
+def _shingles(source: str) -> str:
+    """SQL for ``r, doc_id, s``: the 4-word shingles of every row of ``source``."""
+    return f"""
+    SELECT DISTINCT r, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+        ELSE list_transform(range(1, len(w) - 2), lambda p: array_to_string(list_slice(w, p, p + 3), ' ')) END) AS s
+    FROM (SELECT r, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM {source})"""
+
+
+NEAR_DUP_SQL = f"""
+WITH RECURSIVE docs AS (SELECT row_number() OVER () AS r, doc_id, text FROM documents),
+shingle AS MATERIALIZED ({_shingles('docs')}),
+sizes AS MATERIALIZED (SELECT r, count(*) AS n FROM shingle GROUP BY r),
+common AS MATERIALIZED (
+    SELECT a.r AS a, b.r AS b, count(*) AS n FROM shingle a JOIN shingle b ON a.s = b.s AND a.r <> b.r GROUP BY a.r, b.r
+), links AS MATERIALIZED (
+    SELECT c.a, c.b FROM common c JOIN sizes x ON x.r = c.a JOIN sizes y ON y.r = c.b WHERE 100 * c.n >= 80 * (x.n + y.n - c.n)
+), reach AS (
+    SELECT r AS a, r AS b FROM docs
+    UNION
+    SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b
+), ids AS (SELECT reach.a AS r, min(docs.doc_id) AS component_id FROM reach JOIN docs ON docs.r = reach.b GROUP BY reach.a)
+SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM docs JOIN ids USING (r) LEFT JOIN sizes USING (r)
+"""
+
+
+@registered(NEAR_DUP_SQL)
+def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of documents linked at a similarity of 0.8."""
+    return near_dup.near_duplicates(table(spark, sf_dir, "documents"))

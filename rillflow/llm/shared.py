@@ -63,28 +63,20 @@ def text_bytes(array: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[offsets[0]:offsets[-1]], offsets - offsets[0]
 
 
-def word_table(separators: bytes) -> np.ndarray:
-    """For each byte the byte it becomes in a word, 0 for separators; A-Z become a-z."""
-    out = np.arange(256, dtype=np.uint8)
-    out[65:91] += 32
-    out[list(separators)] = 0
-    return out
-
-
-# Separators of the two word definitions.
+# The bytes that separate words in the two definitions of a word.
 BLANKS = bytes([0x20, *range(0x09, 0x0E)])
 NOT_ALPHANUMERIC = bytes([*range(0x00, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x80)])
 
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
 
-def words_of(array: pa.Array, becomes: np.ndarray) -> tuple[pa.Array, np.ndarray]:
-    """The words of all texts as one binary array, and each text's offset in it.
 
-    A word is a longest run of bytes that ``becomes`` does not make 0. Bytes of
-    NUL are words only where 0 is no separator's mark, so both definitions treat
-    NUL apart: see ``keep_nul``.
-    """
-    raw, offsets = text_bytes(array)
-    return words_from(becomes[raw], becomes[raw] != 0, offsets)
+def words_of(texts: pa.Array, separators: bytes) -> tuple[pa.Array, np.ndarray]:
+    """The words of all texts, A-Z lower-cased, as one binary array, and each text's offset in it."""
+    raw, offsets = text_bytes(texts)
+    inside = np.ones(256, bool)
+    inside[[b for b in separators if not 65 <= b <= 90]] = False
+    return words_from(_LOWER[raw], inside[raw], offsets)
 
 
 def words_from(data: np.ndarray, inside: np.ndarray, offsets: np.ndarray) -> tuple[pa.Array, np.ndarray]:
