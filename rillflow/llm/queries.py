@@ -7,7 +7,7 @@ import importlib.util
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rillflow.llm import decontaminate, near_dup, packing, token_files
+from rillflow.llm import decontaminate, hilbert, near_dup, packing, token_files
 from rillflow.llm.shared import table
 from rillflow.queries import Query, Registered
 
@@ -114,3 +114,11 @@ FROM docs JOIN ids USING (r) LEFT JOIN sizes USING (r)
 def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of documents linked at a similarity of 0.8."""
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@registered()
+def op4_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents in 40 shards along the curve over language, source and size."""
+    rows = hilbert.metadata(table(spark, sf_dir, "documents"))
+    sharded = hilbert.hilbert_shards(rows, ["lang_code", "source_code", "size"], 40, "text_hash", "doc_id")
+    return sharded.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
