@@ -7,7 +7,7 @@ import importlib.util
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rillflow.llm import decontaminate, hilbert, near_dup, packing, token_files
+from rillflow.llm import decontaminate, hilbert, near_dup, packing, token_files, warc
 from rillflow.llm.shared import table
 from rillflow.queries import Query, Registered
 
@@ -122,3 +122,23 @@ def op4_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = hilbert.metadata(table(spark, sf_dir, "documents"))
     sharded = hilbert.hilbert_shards(rows, ["lang_code", "source_code", "size"], 40, "text_hash", "doc_id")
     return sharded.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+WARC_SQL = """
+WITH rows AS (
+    SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS sha, min(page_id) OVER (PARTITION BY coalesce(html, '')) AS first FROM pages
+)
+SELECT page_id, CAST(octet_length(encode(html)) AS BIGINT) AS payload_bytes,
+       array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+           1 + ((CAST('0x' || substr(sha, 1 + 5 * (i // 4), 5) AS BIGINT) >> (15 - 5 * (i % 4))) & 31), 1)), '') AS payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM rows
+"""
+
+
+@registered(WARC_SQL)
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written to archives and read back by byte ranges."""
+    records = warc.read_warc(spark, warc.warc_archive(table(spark, sf_dir, "pages")), payloads=False)
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
