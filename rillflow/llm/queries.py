@@ -7,7 +7,7 @@ import importlib.util
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rillflow.llm import decontaminate, hilbert, near_dup, packing, token_files, warc
+from rillflow.llm import decontaminate, hilbert, near_dup, packing, secrets, token_files, warc
 from rillflow.llm.shared import table
 from rillflow.queries import Query, Registered
 
@@ -142,3 +142,66 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pages written to archives and read back by byte ranges."""
     records = warc.read_warc(spark, warc.warc_archive(table(spark, sf_dir, "pages")), payloads=False)
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def _either_case(words: str) -> str:
+    return "".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in words)
+
+
+def _found_sql(kind: int, pattern: str, condition: str = "true") -> str:
+    """SQL for the spans of one pattern: lengths of what lies between the matches and of the matches."""
+    quoted = pattern.replace("'", "''")
+    return f"""
+    SELECT r, {kind} AS kind, e - length(m) AS s, e, m FROM (
+        SELECT r, m[i] AS m, list_sum(list_transform(between[1:i], lambda x: length(x))) + list_sum(list_transform(m[1:i], lambda x: length(x))) AS e
+        FROM (SELECT r, m, between, unnest(range(1, len(m) + 1)) AS i FROM (
+            SELECT r, regexp_extract_all(text, '{quoted}') AS m, regexp_split_to_array(text, '{quoted}') AS between FROM docs WHERE regexp_matches(text, '{quoted}')
+        ))
+    ) WHERE {condition}"""
+
+
+_ASSIGN_RE = f"(?:{_either_case('password')}|{_either_case('passwd')}|{_either_case('secret')}|{_either_case('token')}|{_either_case('api')}_?{_either_case('key')})" + r"""["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
+SECRETS_SQL = f"""
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+strong AS MATERIALIZED (
+    {_found_sql(0, _ASSIGN_RE, "length(regexp_extract(m, '" + _ASSIGN_RE.replace("'", "''") + "', 1)) >= 6")}
+    UNION ALL {_found_sql(1, secrets.ACCESS)} UNION ALL {_found_sql(2, secrets.HEX)}
+), weak AS MATERIALIZED (
+    SELECT r, kind, s, e FROM ({_found_sql(3, secrets.IDENTIFIER)}
+    UNION ALL {_found_sql(4, secrets.SECRET, "regexp_matches(m, '[0-9]') AND regexp_matches(m, '[A-Z]') AND regexp_matches(m, '[a-z]')")}
+    UNION ALL {_found_sql(5, secrets.ENDPOINT)}) w
+    WHERE NOT EXISTS (SELECT 1 FROM strong t WHERE t.r = w.r AND t.s < w.e AND t.e > w.s)
+), each_part AS (SELECT r, kind, s, e FROM strong UNION ALL SELECT r, kind, s, e FROM weak),
+ids AS (SELECT * FROM each_part WHERE kind IN (1, 3)), keys AS (SELECT * FROM each_part WHERE kind IN (0, 2, 4)),
+scoped AS (
+    SELECT w.*, EXISTS (SELECT 1 FROM ids x WHERE x.r = w.r AND x.s <= w.e + {secrets.SCOPE} AND x.e >= w.s - {secrets.SCOPE}) AS by_id,
+           EXISTS (SELECT 1 FROM keys x WHERE x.r = w.r AND x.s <= w.e + {secrets.SCOPE} AND x.e >= w.s - {secrets.SCOPE}) AS by_key
+    FROM weak w
+), every AS (
+    SELECT r, kind, s, e FROM strong
+    UNION ALL SELECT r, kind, s, e FROM scoped WHERE (kind = 3 AND by_key) OR (kind = 4 AND by_id) OR (kind = 5 AND by_id AND by_key)
+), told AS (SELECT *, ['assign', 'access', 'hex', 'identifier', 'secret', 'endpoint'][kind + 1] || ':' || CAST(s AS BIGINT) || ':' || CAST(e AS BIGINT) AS span FROM every),
+listed AS (
+    SELECT r, count(*) FILTER (kind = 0) AS n_assign, count(*) FILTER (kind = 1) AS n_access, count(*) FILTER (kind = 2) AS n_hex,
+           string_agg(span, ',' ORDER BY s, kind) FILTER (kind < 3) AS base, string_agg(span, ',' ORDER BY s, kind) AS spans
+    FROM told GROUP BY r
+)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM docs LEFT JOIN listed USING (r)
+"""
+
+
+@registered(SECRETS_SQL)
+def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document, weak parts only where they complete each other."""
+    found = secrets.find_secrets(table(spark, sf_dir, "documents"), "doc_id")
+    base = secrets.listed(F.col("strong"))
+    return found.select(
+        "doc_id", *[_of_kind(k).alias(f"n_{secrets.KINDS[k]}") for k in range(3)],
+        F.sha2(base, 256).alias("base_sha256"), secrets.listed(F.col("spans")).alias("spans"),
+    )
+
+
+def _of_kind(kind: int):
+    return F.size(F.filter("strong", lambda s: s["kind"] == kind)).cast("bigint")
