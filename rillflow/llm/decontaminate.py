@@ -23,6 +23,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
 from rillflow.llm.shared import NOT_ALPHANUMERIC, ranges, slices, stage, sums_between, words_of
 
@@ -174,7 +175,10 @@ def _holding(docs: DataFrame, block: Block) -> np.ndarray:
     return out
 
 
-FOUND = "_n_words bigint, _hit_from array<bigint>, _hit_to array<bigint>, _items array<string>"
+FOUND = [
+    StructField("_n_words", LongType()), StructField("_hit_from", ArrayType(LongType())), StructField("_hit_to", ArrayType(LongType())),
+    StructField("_items", ArrayType(StringType())),
+]
 
 
 def _marked(docs: DataFrame, block: Block, again: bool) -> DataFrame:
@@ -217,10 +221,7 @@ def _marked(docs: DataFrame, block: Block, again: bool) -> DataFrame:
                 names=columns + ["_n_words", "_hit_from", "_hit_to", "_items"],
             )
 
-    from pyspark.sql.types import StructType, _parse_datatype_string
-
-    schema = StructType(kept + _parse_datatype_string(FOUND).fields)
-    return docs.mapInArrow(mark, schema)
+    return docs.mapInArrow(mark, StructType(kept + FOUND))
 
 
 def mark(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:

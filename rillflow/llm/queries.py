@@ -7,7 +7,7 @@ import importlib.util
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rillflow.llm import decontaminate, hilbert, near_dup, packing, secrets, token_files, warc
+from rillflow.llm import ann, decontaminate, hilbert, language, near_dup, packing, secrets, token_files, warc
 from rillflow.llm.shared import table
 from rillflow.queries import Query, Registered
 
@@ -205,3 +205,18 @@ def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _of_kind(kind: int):
     return F.size(F.filter("strong", lambda s: s["kind"] == kind)).cast("bigint")
+
+
+@registered()
+def op1_multiprobe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 nearest found of every hundredth vector among all others."""
+    return ann.nearest(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", lambda key: key % 100 == 0)
+
+
+@registered()
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learned from two thirds of them."""
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", language.held_out())
+    model = language.learn(docs.where(~F.col("held_out")))
+    named = language.predict(docs.select("doc_id", "held_out", "text"), model)
+    return named.select("doc_id", "held_out", F.col("_lang").alias("lang_pred"), F.col("_score").alias("score"))
