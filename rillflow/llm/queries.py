@@ -7,8 +7,8 @@ import importlib.util
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rillflow.llm import ann, decontaminate, hilbert, language, near_dup, packing, secrets, token_files, warc
-from rillflow.llm.shared import table
+from rillflow.llm import ann, decontaminate, hilbert, language, near_dup, packing, secrets, token_files, toxicity, warc
+from rillflow.llm.shared import stage, table
 from rillflow.queries import Query, Registered
 
 QUERIES: dict[str, Registered] = {}
@@ -220,3 +220,14 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = language.learn(docs.where(~F.col("held_out")))
     named = language.predict(docs.select("doc_id", "held_out", "text"), model)
     return named.select("doc_id", "held_out", F.col("_lang").alias("lang_pred"), F.col("_score").alias("score"))
+
+
+@registered()
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Low quality, then toxicity, of every document; the second also learns from the first."""
+    docs = table(spark, sf_dir, "documents")
+    categories = {"low_quality": 1 - F.col("quality"), "toxicity": F.col("toxic")}
+    sample = stage(toxicity.labelled_sample(docs, table(spark, sf_dir, "labels"), categories), "labelled")
+    chain = toxicity.learn(sample, list(categories))
+    scored = toxicity.predict(docs, chain, list(categories))
+    return scored.select("doc_id", "low_quality", "toxicity", (F.col("toxicity") >= 0.5).alias("toxic"))
