@@ -10,7 +10,8 @@ million. Every link is confirmed on the full sets.
 
 Copies are no problem of pairs: documents with equal sets are one node. Of a
 key's nodes each is first compared with the smallest; only nodes that this
-leaves in different groups are compared with each other, in blocks.
+leaves in different groups are compared with each other, in blocks, by tasks
+that give links and never pairs.
 
 Null or empty texts have no shingles and stand alone, as do texts of blanks. A
 text of fewer words than a shingle is one shingle. Equal rows, or rows with one
@@ -32,11 +33,11 @@ from rillflow.llm.shared import BLANKS, coded, ranges, slices, stage, sums_betwe
 
 SHINGLE = 4
 VALUES, CHUNK = 40, 4
-REACH = 22
 PERCENT = 80
 BITMAP_BITS = 1 << 26
-CELL_ROWS = 20_000
 BLOCK_NODES = 512
+CELL_HASHES = 2_000_000
+COLUMNS = 4096
 
 _SEEDS = np.random.default_rng(20240607).integers(1, 2**63, (2, VALUES), dtype=np.uint64) | np.uint64(1)
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -234,42 +235,83 @@ def components(edges: DataFrame) -> DataFrame:
     return edges.select(F.col("a").alias("node"), F.col("b").alias("group"))
 
 
-def _left_apart(keys: DataFrame, nodes: DataFrame, groups: DataFrame) -> DataFrame:
-    """Pairs of a key's nodes that are in different groups and within the signatures' reach.
+def _spanning(a: np.ndarray, b: np.ndarray, size: int) -> list[int]:
+    """The links that join something new, so that a unit gives fewer links than it has nodes."""
+    parent = list(range(size))
 
-    Only keys with nodes of several groups count. A key with many nodes is cut
-    into blocks, and every pair of blocks is one unit of work, so that no task
-    holds more than two blocks of a key.
+    def root(x: int) -> int:
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    kept = []
+    for k, (x, y) in enumerate(zip(a.tolist(), b.tolist())):
+        x, y = root(x), root(y)
+        if x != y:
+            parent[x] = y
+            kept.append(k)
+    return kept
+
+
+def _links_within(unit: pd.DataFrame, same_block: bool) -> list[tuple[int, int]]:
+    """Confirmed links between nodes of different groups, of one block or of two.
+
+    The common shingles of all pairs at once: a product of the nodes' incidence
+    with the shingles that more than one of them has, some columns at a time.
     """
-    # A key of two nodes has been compared whole.
-    grouped = keys.join(groups, "node", "left").withColumn("group", F.coalesce("group", "node"))
-    several = grouped.groupBy("key").agg(F.count("*").alias("size"), F.min("group").alias("g0"), F.max("group").alias("g1"))
-    several = several.where("size > 2 AND g0 <> g1").select("key", "size")
-    rows = grouped.join(several, "key").join(nodes.select("node", "n_shingles", "signature"), "node")
+    node, group, block = (unit[c].to_numpy() for c in ("node", "group", "block"))
+    sizes = unit["hashes"].map(len).to_numpy()
+    owner = np.repeat(np.arange(len(unit)), sizes)
+    distinct, column, times = np.unique(np.concatenate([np.asarray(h, np.int64) for h in unit["hashes"]]), return_inverse=True, return_counts=True)
+    shared = times > 1
+    place = np.cumsum(shared) - 1
+    kept = shared[column]
+    owner, column = owner[kept], place[column[kept]]
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    common = np.zeros((len(unit), len(unit)), np.float32)
+    for first in range(0, int(shared.sum()), COLUMNS):
+        a, b = np.searchsorted(column, (first, first + COLUMNS))
+        incidence = np.zeros((len(unit), COLUMNS), np.float32)
+        incidence[owner[a:b], column[a:b] - first] = 1
+        common += incidence @ incidence.T
+    alike = common * 100 >= (sizes[:, None] + sizes[None] - common) * PERCENT
+    alike &= group[:, None] != group[None]
+    if not same_block:
+        alike &= block[:, None] != block[None]
+    i, j = np.nonzero(np.triu(alike, 1))
+    return [(int(node[i[k]]), int(node[j[k]])) for k in _spanning(i, j, len(unit))]
+
+
+def _links_apart(members: DataFrame, groups: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links between nodes that share a key and that the comparison with the keys' first nodes left apart.
+
+    Nodes joined by such keys are a family, and a family is compared whole, in
+    blocks: every pair of blocks is one unit of work, which gets each set once
+    and gives links, not pairs. Keys of two nodes have been compared already.
+    """
+    grouped = members.join(groups, "node", "left").withColumn("group", F.coalesce("group", "node"))
+    several = grouped.groupBy("key").agg(F.count("*").alias("size"), F.min("node").alias("least"), F.min("group").alias("g0"), F.max("group").alias("g1"))
+    several = several.where("size > 2 AND g0 <> g1").select("key", "least")
+    rest = stage(grouped.join(several, "key").select("node", "group", "least").distinct(), "apart")
+    families = components(rest.select(F.col("node").alias("a"), F.col("least").alias("b")))
+    rows = rest.select("node", "group").distinct().join(families.withColumnRenamed("group", "family"), "node", "left")
+    rows = rows.withColumn("family", F.coalesce("family", "node"))
+    sizes = rows.groupBy("family").agg(F.count("*").alias("size"))
     blocks = F.ceil(F.col("size") / BLOCK_NODES).cast("int")
-    rows = rows.withColumn("block", F.pmod(F.xxhash64("node"), blocks).cast("int"))
+    rows = rows.join(sizes, "family").withColumn("block", F.pmod(F.xxhash64("node"), blocks).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    rows = rows.withColumns({"lo": F.least("block", "other"), "hi": F.greatest("block", "other")})
-    rows = stage(rows.select("key", "lo", "hi", "block", "node", "group", "n_shingles", "signature"), "apart")
-    cells = max(1, -(-rows.count() // CELL_ROWS))
-
-    def pairs(frame: pd.DataFrame) -> pd.DataFrame:
-        found = set()
-        for (_, lo, hi), unit in frame.groupby(["key", "lo", "hi"], sort=False):
-            node, group, size = (unit[c].to_numpy() for c in ("node", "group", "n_shingles"))
-            values = np.frombuffer(b"".join(unit["signature"]), "<u2").reshape(len(unit), VALUES)
-            block = unit["block"].to_numpy()
-            for i in range(len(unit)):
-                other = (group != group[i]) & (node > node[i]) & (np.minimum(size, size[i]) * 100 >= np.maximum(size, size[i]) * PERCENT)
-                if lo != hi:
-                    other &= block != block[i]
-                other = np.flatnonzero(other)
-                near = other[(values[other] != values[i]).sum(1) <= REACH]
-                found.update((int(node[i]), int(node[j])) for j in near)
-        return pd.DataFrame(sorted(found), columns=["a", "b"], dtype="int64")
-
-    dealt = rows.withColumn("cell", F.pmod(F.xxhash64("key", "lo", "hi"), F.lit(cells)))
-    return dealt.groupBy("cell").applyInPandas(pairs, "a bigint, b bigint").distinct()
+    rows = rows.select("family", "node", "group", "block", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"))
+    units = stage(rows.join(sets, "node"), "units")
+    cells = max(1, -(-(units.agg(F.sum(F.size("hashes"))).first()[0] or 0) // CELL_HASHES))
+
+    def links(frame: pd.DataFrame) -> pd.DataFrame:
+        found = [pair for (_, lo, hi), unit in frame.groupby(["family", "lo", "hi"], sort=False) for pair in _links_within(unit, lo == hi)]
+        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+
+    dealt = units.withColumn("cell", F.pmod(F.xxhash64("family", "lo", "hi"), F.lit(cells)))
+    return dealt.groupBy("cell").applyInPandas(links, "a bigint, b bigint").distinct()
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -291,8 +333,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     sets = stage(full_sets(docs, wanted), "sets")
     links = stage(_confirmed(stars, sets), "links")
     groups = components(links)
-    more = _confirmed(_left_apart(members.select("key", "node"), nodes, groups), sets)
-    more = stage(more, "links")
+    more = stage(_links_apart(members.select("key", "node"), groups, sets), "links")
     if not more.isEmpty():
         groups = components(links.unionByName(more))
     placed = nodes.select("node", "digest", "min_doc").join(groups, "node", "left").withColumn("group", F.coalesce("group", "node"))
