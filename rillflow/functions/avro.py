@@ -1,49 +1,24 @@
 """Avro-wrapped text: framed records, the time and message fields picked by position.
 
-A framed value is one zero byte, a four-byte schema id and the record. Decoding
-uses Spark's Avro package when it is on the class path; without it an
-Arrow-batched helper reads flat records of primitive fields.
+A framed value is one zero byte, a four-byte schema id and the record. Records
+are decoded and encoded by Spark's Avro package; everything after that works on
+the struct.
 """
 
 from __future__ import annotations
 
-import json
-import struct
-from collections.abc import Iterator, Mapping
+from collections.abc import Mapping
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import (
-    BinaryType,
-    BooleanType,
-    DataType,
-    DoubleType,
-    FloatType,
-    IntegerType,
-    LongType,
-    StringType,
-    StructField,
-    StructType,
-)
-
-from rillflow.functions.event_time import now_millis, to_millis
+from pyspark.sql.types import DoubleType, FloatType, IntegerType, LongType, StructType
+
+from rillflow.functions.event_time import now_millis
 
 # Bytes before the record in a framed value.
 HEADER_BYTES = 5
 MAGIC_BYTE = 0
 
-_SPARK_TYPES: dict[str, DataType] = {
-    "long": LongType(),
-    "int": IntegerType(),
-    "string": StringType(),
-    "bytes": BinaryType(),
-    "boolean": BooleanType(),
-    "float": FloatType(),
-    "double": DoubleType(),
-}
-
-
 def has_avro_package(spark: SparkSession) -> bool:
     loader = spark.sparkContext._jvm.java.lang.Thread.currentThread().getContextClassLoader()
     try:
@@ -53,6 +28,11 @@ def has_avro_package(spark: SparkSession) -> bool:
     return True
 
 
+def _require(spark: SparkSession) -> None:
+    if not has_avro_package(spark):
+        raise RuntimeError("start the session with the spark-avro package")
+
+
 def strip_header(value: Column) -> Column:
     """The record inside a framed value; NULL when the frame is malformed."""
     framed = (F.octet_length(value) > HEADER_BYTES) & (F.substring(value, 1, 1) == F.lit(bytes([MAGIC_BYTE])))
@@ -64,139 +44,20 @@ def add_header(record: Column, schema_id: int) -> Column:
     return F.concat(F.lit(header), record)
 
 
-def _field_kinds(schema_json: str) -> list[tuple[str, str, int | None]]:
-    """Name, primitive type and position of ``null`` in its union, per field."""
-    fields = []
-    for field in json.loads(schema_json)["fields"]:
-        kind = field["type"]
-        null_at = None
-        if isinstance(kind, list):
-            null_at = kind.index("null")
-            kind = next(k for k in kind if k != "null")
-        if isinstance(kind, dict):
-            kind = kind["type"]
-        if kind not in _SPARK_TYPES:
-            raise ValueError(f"field {field['name']} of type {kind} needs the Avro package")
-        fields.append((field["name"], kind, null_at))
-    return fields
-
-
-def record_type(schema_json: str) -> StructType:
-    return StructType([StructField(name, _SPARK_TYPES[kind]) for name, kind, _ in _field_kinds(schema_json)])
-
-
-def _read_long(data: bytes, at: int) -> tuple[int, int]:
-    shift = raw = 0
-    while True:
-        byte = data[at]
-        at += 1
-        raw |= (byte & 0x7F) << shift
-        if byte < 0x80:
-            return (raw >> 1) ^ -(raw & 1), at
-        shift += 7
-
-
-def _read_field(kind: str, data: bytes, at: int):
-    if kind in ("long", "int"):
-        return _read_long(data, at)
-    if kind in ("string", "bytes"):
-        size, at = _read_long(data, at)
-        if size < 0 or at + size > len(data):
-            raise IndexError("text runs past the record")
-        raw = data[at:at + size]
-        return (raw.decode("utf-8", "replace") if kind == "string" else raw), at + size
-    if kind == "boolean":
-        return data[at] == 1, at + 1
-    size, code = (4, "<f") if kind == "float" else (8, "<d")
-    return struct.unpack_from(code, data, at)[0], at + size
-
-
-def _read_record(fields: list, data: bytes | None) -> tuple | None:
-    if data is None:
-        return None
-    at, values = 0, []
-    try:
-        for _, kind, null_at in fields:
-            if null_at is not None:
-                branch, at = _read_long(data, at)
-                if branch == null_at:
-                    values.append(None)
-                    continue
-            value, at = _read_field(kind, data, at)
-            values.append(value)
-    except (IndexError, struct.error):
-        return None
-    return tuple(values)
-
-
-def _write_long(number: int) -> bytes:
-    raw = (number << 1) ^ (number >> 63)
-    out = bytearray()
-    while raw > 0x7F:
-        out.append((raw & 0x7F) | 0x80)
-        raw >>= 7
-    out.append(raw)
-    return bytes(out)
-
-
-def _write_field(kind: str, value) -> bytes:
-    if kind in ("long", "int"):
-        return _write_long(int(value))
-    if kind in ("string", "bytes"):
-        raw = value.encode("utf-8") if kind == "string" else bytes(value)
-        return _write_long(len(raw)) + raw
-    if kind == "boolean":
-        return b"\x01" if value else b"\x00"
-    return struct.pack("<f" if kind == "float" else "<d", value)
-
-
 def decode_record(spark: SparkSession, record: Column, schema_json: str) -> Column:
-    """Record bytes to a struct; malformed bytes give NULL."""
-    if has_avro_package(spark):
-        from pyspark.sql.avro.functions import from_avro
-
-        return from_avro(record, schema_json, {"mode": "PERMISSIVE"})
+    """Record bytes to a struct; malformed bytes give NULL. Needs Spark's Avro package."""
+    _require(spark)
+    from pyspark.sql.avro.functions import from_avro
 
-    fields = _field_kinds(schema_json)
-    names = [name for name, _, _ in fields]
-
-    @F.pandas_udf(StructType([StructField("ok", BooleanType()), StructField("record", record_type(schema_json))]))
-    def read(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            rows = [_read_record(fields, data) for data in batch]
-            records = [None if row is None else dict(zip(names, row)) for row in rows]
-            yield pd.DataFrame({"ok": [r is not None for r in records], "record": records})
-
-    result = read(record)
-    return F.when(result["ok"], result["record"])
+    return from_avro(record, schema_json, {"mode": "PERMISSIVE"})
 
 
 def encode_record(spark: SparkSession, record: Column, schema_json: str) -> Column:
-    """A struct to record bytes."""
-    if has_avro_package(spark):
-        from pyspark.sql.avro.functions import to_avro
-
-        return to_avro(record, schema_json)
-
-    fields = _field_kinds(schema_json)
-
-    @F.pandas_udf(BinaryType())
-    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.Series]:
-        for batch in batches:
-            encoded = []
-            for row in batch.itertuples(index=False):
-                parts = []
-                for (_, kind, null_at), value in zip(fields, row):
-                    if null_at is not None:
-                        missing = value is None or value is pd.NA
-                        parts.append(_write_long(null_at if missing else 1 - null_at))
-                        if missing:
-                            continue
-                    parts.append(_write_field(kind, value))
-                encoded.append(b"".join(parts))
-            yield pd.Series(encoded, dtype=object)
-
-    return write(record)
+    """A struct to record bytes. Needs Spark's Avro package."""
+    _require(spark)
+    from pyspark.sql.avro.functions import to_avro
+
+    return to_avro(record, schema_json)
 
 
 def frame(spark: SparkSession, record: Column, schema_json: str, schema_id: int) -> Column:

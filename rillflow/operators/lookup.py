@@ -42,8 +42,10 @@ def lookup_join(
         joined = left.join(F.broadcast(side), left[left_key] == F.col("_lookup_key"), how)
         return joined.drop("_lookup_key")
 
-    # The salt is a function of the row, so a recomputed task repeats it.
-    salted = left.withColumn("_salt", F.pmod(F.xxhash64(*left.columns), F.lit(salts)).cast("int"))
+    # The salt is the row's place in its partition: equal rows are spread too, and
+    # a task that reads its source again repeats it.
+    salts = max(salts, int(left.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    salted = left.withColumn("_salt", F.pmod(F.monotonically_increasing_id(), F.lit(salts)).cast("int"))
     spread = side.withColumn("_lookup_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     matches = (salted[left_key] == F.col("_lookup_key")) & (F.col("_salt") == F.col("_lookup_salt"))
     return salted.join(spread, matches, how).drop("_lookup_key", "_lookup_salt", "_salt")

@@ -5,6 +5,7 @@ from __future__ import annotations
 import time
 from collections.abc import Iterable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, MapType, StructField, StructType
@@ -16,6 +17,8 @@ PARTITION_COLUMNS = ("dt", "hr")
 PARTITION_RETRIES = 5
 RETRY_SECONDS = 2
 
+PARTITIONS_PER_STATEMENT = 200
+
 
 def lower_type(data_type: DataType) -> DataType:
     """A type with every nested field name trimmed and lower-cased."""
@@ -95,27 +98,30 @@ def create_landing_table(spark: SparkSession, table: str, columns: str = "tname
     spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({columns}, dt string, hr string) USING {using} PARTITIONED BY (dt, hr)")
 
 
-def add_partition(spark: SparkSession, table: str, dt: str, hr: str, location: str, retries: int = PARTITION_RETRIES, pause: float = RETRY_SECONDS) -> None:
-    """Register one day-hour partition.
+def add_partitions(spark: SparkSession, table: str, partitions: Iterable[tuple[str, str, str]], retries: int = PARTITION_RETRIES, pause: float = RETRY_SECONDS) -> str | None:
+    """Register ``(dt, hr, location)`` partitions, many in a statement; the error that stopped it, or None.
 
     The directories say ``date=``/``hour=`` and the table says ``dt``/``hr``, so
-    the location is always given.
+    the location is always given. What analysis refuses, such as a missing
+    table, is not tried again; other failures are.
     """
-    statement = f"ALTER TABLE {table} ADD IF NOT EXISTS PARTITION (dt='{dt}', hr='{hr}') LOCATION '{location}'"
+    wanted = list(partitions)
+    for first in range(0, len(wanted), PARTITIONS_PER_STATEMENT):
+        specs = " ".join(f"PARTITION (dt='{dt}', hr='{hr}') LOCATION '{place}'" for dt, hr, place in wanted[first:first + PARTITIONS_PER_STATEMENT])
+        failure = _tried(spark, f"ALTER TABLE {table} ADD IF NOT EXISTS {specs}", retries, pause)
+        if failure:
+            return failure
+    return None
+
+
+def _tried(spark: SparkSession, statement: str, retries: int, pause: float) -> str | None:
     for attempt in range(retries + 1):
         try:
             spark.sql(statement)
-            return
-        except Exception:
+            return None
+        except AnalysisException as refused:
+            return str(refused)
+        except Exception as failed:
             if attempt == retries:
-                raise
+                return str(failed)
             time.sleep(pause)
-
-
-def add_partitions(spark: SparkSession, table: str, partitions: Iterable[tuple[str, str, str]], **retry) -> int:
-    """Register ``(dt, hr, location)`` partitions; returns how many were given."""
-    count = 0
-    for dt, hr, location in partitions:
-        add_partition(spark, table, dt, hr, location, **retry)
-        count += 1
-    return count

@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from rillflow.operators.catalog import codec_for, output_format_or_default
 from rillflow.operators.parse import parse_messages
 from rillflow.operators.quality import split_by_error, with_hour_key
-from rillflow.plans.pipelines import TYPE, Context, SideEffect, build_pipeline
+from rillflow.plans.pipelines import TYPE, Context, Plugin, build_pipeline
+from rillflow.session import work_dir
 from rillflow.sinks.landing import land_by_codec
 
 
@@ -21,6 +23,8 @@ class IngestPlan:
     """What an ingest run needs besides its messages.
 
     ``definition`` is a pipeline definition; the default lands every message.
+    ``run`` names the run: running it again replaces its own files and no others.
+    Without a name a plan is a run of its own.
     """
 
     landing: str
@@ -30,8 +34,9 @@ class IngestPlan:
     avro_schemas: Mapping[str, str] | None = None
     parquet_schema: StructType | None = None
     writers: int | None = None
+    run: str = field(default_factory=lambda: uuid.uuid4().hex)
     batch: str = "0"
-    mode: str = "append"
+    mode: str = "overwrite"
 
 
 def parsed_rows(messages: DataFrame, catalog: DataFrame, avro_schemas: Mapping[str, str] | None = None) -> DataFrame:
@@ -39,34 +44,59 @@ def parsed_rows(messages: DataFrame, catalog: DataFrame, avro_schemas: Mapping[s
     return with_hour_key(parse_messages(messages, catalog, avro_schemas)).withColumn(TYPE, F.col("topic"))
 
 
-def catalog_codecs(catalog: DataFrame) -> list[str]:
-    """The codecs a catalog asks for: at most one per known codec."""
-    codec = codec_for(output_format_or_default(F.col("output_format")))
-    return sorted(r["codec"] for r in catalog.select(codec.alias("codec")).distinct().toLocalIterator())
+class DiskWriter(Plugin):
+    """The built-in plugin that lands its rows. Rows that no sink takes are kept as ``rejected``."""
 
+    def __init__(self, plan: IngestPlan):
+        self.plan = plan
+        self.rejected: list[DataFrame] = []
 
-def disk_writer(plan: IngestPlan, catalog: DataFrame) -> SideEffect:
-    """The built-in plugin that lands its rows."""
-    codecs = catalog_codecs(catalog)
-    return SideEffect(
-        lambda rows: land_by_codec(rows, plan.landing, codecs, plan.parquet_schema, plan.batch, plan.mode, plan.writers)
-    )
+    def apply(self, df: DataFrame) -> DataFrame:
+        plan = self.plan
+        self.rejected.append(land_by_codec(df, plan.landing, plan.parquet_schema, plan.run, plan.batch, plan.mode, plan.writers))
+        return df
 
 
-def apply_pipeline(good: DataFrame, catalog: DataFrame, plan: IngestPlan) -> DataFrame:
-    ctx = Context(plan.conf, {"disk-writer": disk_writer(plan, catalog), **plan.plugins})
-    pipeline = build_pipeline(plan.definition, ctx)
-    try:
-        return pipeline.apply(good)
-    finally:
-        pipeline.close()
+class IngestPipeline:
+    """The plan's pipeline, built once with its plugins started.
+
+    The caller closes it after the rows of its output have run: plugins are
+    needed until then.
+    """
+
+    def __init__(self, plan: IngestPlan):
+        self.writer = DiskWriter(plan)
+        self.pipeline = build_pipeline(plan.definition, Context(plan.conf, {"disk-writer": self.writer, **plan.plugins}))
+
+    def apply(self, good: DataFrame, plan: IngestPlan | None = None) -> tuple[DataFrame, list[DataFrame]]:
+        """The pipeline's output, and the rows that its disk writer could not land."""
+        self.writer.plan = plan or self.writer.plan
+        self.writer.rejected = []
+        return self.pipeline.apply(good), self.writer.rejected
+
+    def close(self) -> None:
+        self.pipeline.close()
+
+
+def with_rejected(bad: DataFrame, rejected: list[DataFrame]) -> DataFrame:
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), rejected, bad)
 
 
 def run_ingest(messages: DataFrame, catalog: DataFrame, plan: IngestPlan) -> DataFrame:
     """Parse, run the pipeline on the good rows, return the bad ones.
 
-    The caller quarantines and counts what is returned.
+    Messages are parsed once, into a staged table that everything after reads,
+    so the raw input is scanned once whatever the codecs. The caller
+    quarantines and counts what is returned.
     """
-    split = split_by_error(parsed_rows(messages, catalog, plan.avro_schemas))
-    apply_pipeline(split.good, catalog, plan)
-    return split.bad
+    spark = messages.sparkSession
+    staged = work_dir(spark, "parsed")
+    parsed = parsed_rows(messages, catalog, plan.avro_schemas)
+    parsed.write.parquet(staged)
+    split = split_by_error(spark.read.schema(parsed.schema).parquet(staged))
+    pipeline = IngestPipeline(plan)
+    try:
+        _, rejected = pipeline.apply(split.good)
+        return with_rejected(split.bad, rejected)
+    finally:
+        pipeline.close()

@@ -169,9 +169,21 @@ class FanOut(Plugin):
 Matcher = str | re.Pattern
 
 
+_FLAGS = ((re.I, "iu"), (re.M, "m"), (re.S, "s"), (re.X, "x"))
+
+
+def _java_pattern(matcher: re.Pattern) -> str:
+    """The pattern with its flags, as Java reads them; what Java reads otherwise is refused."""
+    if matcher.flags & (re.A | re.L) or "(?P" in matcher.pattern or "(?(" in matcher.pattern or r"\Z" in matcher.pattern:
+        raise ValueError(f"pattern cannot be used in Spark: {matcher.pattern}")
+    flags = "".join(letters for flag, letters in _FLAGS if matcher.flags & flag)
+    # Letters, digits and blanks are Unicode's in Python.
+    return f"(?U{flags})" + matcher.pattern
+
+
 def _matches(kind: Column, matcher: Matcher) -> Column:
     if isinstance(matcher, re.Pattern):
-        return kind.rlike(matcher.pattern)
+        return kind.rlike(_java_pattern(matcher))
     return kind == matcher
 
 
@@ -319,6 +331,6 @@ def build_pipeline(definition: Mapping[str, object] | None, ctx: Context | None
             if len(rest) % 2:
                 raise ValueError("match takes pairs of matcher and step")
             return Match([(rest[i], resolve(rest[i + 1])) for i in range(0, len(rest), 2)])
-        raise ValueError(f"{action} must be one of all, match or ->")
+        raise ValueError(f"unknown action {action!r}: a list starts with '->', 'all' or 'match'")
 
     return Pipeline(plugins, resolve(definition["pipeline"]))

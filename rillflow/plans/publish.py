@@ -1,42 +1,36 @@
 """Publish: landed hours to the lake, with partitions registered for good rows.
 
-An hour is always published whole: every landed row of the hour replaces what
-the lake holds for it. A publish that runs twice, or that sees an hour again
-because late rows landed, gives the same lake, and small landed files come out
-joined to files of the advisory size.
+Publishing adds increments: each landed batch once, in files of its own name. A
+publish that runs twice replaces only its own files; late rows are added to
+their hour; topics and layouts that share a directory never touch each other's
+files. So a round reads what is new, however much the lake holds.
 """
 
 from __future__ import annotations
 
+import re
+import uuid
+from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
+from urllib.parse import unquote
 
 from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from rillflow.functions.keys import (
-    file_hour,
-    file_topic,
-    hour_dir,
-    lake_dir,
-    parse_hour_key,
-    strip_first_slash,
-    strip_last_slash,
-)
+from rillflow.functions.keys import file_hour, file_topic, hour_dir, lake_dir, parse_hour_key, strip_last_slash
 from rillflow.operators.catalog import PublishDefaults, with_publish_settings
-from rillflow.operators.tables import add_partition
-from rillflow.sinks.landing import HOURS_SCHEMA
-from rillflow.sinks.lake import layout_columns, with_layout, write_lake
-
-# Destinations written at the same time.
+from rillflow.operators.lookup import lookup_join
+from rillflow.operators.tables import add_partitions
+from rillflow.sinks.lake import with_layout, write_lake
+from rillflow.sinks.landing import batch_folder, gather, landed_parquet, landed_text
+from rillflow.sinks.reports import partition_audit
+from rillflow.sources.store import files_below, make_folder, move, names_in, remove
+
+# Base folders written, and files renamed, at the same time.
 PARALLEL_WRITES = 4
-
-DESTINATION = ["base_partition", "log_partition", "date_format"]
-
-
-def landed_hours(spark: SparkSession, landing: str, kind: str = "text") -> DataFrame:
-    """The ``topic, hour`` pairs below a landing folder, from the notes of its batches."""
-    return spark.read.schema(HOURS_SCHEMA).parquet(f"{landing}/hours/{kind}").select("topic", "hour").distinct()
+PARALLEL_MOVES = 16
 
 
 def rows_of_named_files(lines: DataFrame) -> DataFrame:
@@ -63,9 +57,8 @@ def publish_settings(hours: DataFrame, catalog: DataFrame, defaults: PublishDefa
     })
 
 
-def publish_hours(
-    spark: SparkSession,
-    landed: DataFrame,
+def publish_rows(
+    rows: DataFrame,
     hours: DataFrame,
     catalog: DataFrame,
     defaults: PublishDefaults = PublishDefaults(),
@@ -73,49 +66,103 @@ def publish_hours(
     codec: str = "gzip",
     writers: int | None = None,
 ) -> DataFrame:
-    """Write every landed row of the given topic-hours to its lake directory.
-
-    ``landed`` holds ``value, topic, hour``. A daily topic replaces whole days, so
-    its hours are widened to all landed hours of those days. There is one write
-    per destination; a destination reads only the landed directories of its
-    topics. Returns the settings of the hours published, kept so that what is
-    registered is what was written; the caller unpersists them.
+    """Add rows to the lake, once.
+
+    ``rows`` hold ``topic, hour, publication`` and data columns; ``hours`` their
+    topic-hours. A publication is the name of an increment, safe in a file name.
+    Its rows are written beside the lake, in one write for each base folder, and
+    the finished files are moved to their directories under the publication's
+    name. A publication that runs again first removes the files of its own
+    name, and no other file is ever touched: late rows, other topics of a
+    directory and earlier increments stay. Returns the settings of the hours
+    published, kept so that what is registered is what was written; the caller
+    unpersists them.
     """
-    settings = publish_settings(hours, catalog, defaults).persist(StorageLevel.MEMORY_AND_DISK)
-    # An hour is replaced for every topic that shares its destination, so a
-    # destination writes all of its topics, changed or not.
-    sharing = with_publish_settings(catalog.select(F.col("log").alias("topic")), catalog, "topic", defaults)
-    touched_hours = settings.filter(~F.col("bad_name")).select(*DESTINATION, "topic", "dt", "hr")
-    destinations = (
-        touched_hours.unionByName(sharing.select(*DESTINATION, "topic"), allowMissingColumns=True)
-        .withColumns({
-            "base_partition": strip_last_slash(F.col("base_partition")),
-            "log_partition": strip_last_slash(strip_first_slash(F.col("log_partition"))),
-        })
-        .groupBy(*DESTINATION)
-        .agg(F.collect_set("topic").alias("topics"), F.collect_set("dt").alias("days"), F.collect_set("hr").alias("hrs"))
-        .filter(F.size("hrs") > 0)
-    )
-
-    def write(row) -> None:
-        hourly = "hour" in layout_columns(row["date_format"])
-        ts = parse_hour_key(F.col("hour"))
-        touched = hour_dir(ts).isin(row["hrs"]) if hourly else F.date_format(ts, "yyyyMMdd").isin(row["days"])
-        mine = landed.filter(F.col("topic").isin(row["topics"]) & touched)
-        rows = with_layout(mine.withColumn("_ts", ts).drop("topic", "hour"), row["date_format"], "_ts").drop("_ts")
-        write_lake(
-            rows, row["base_partition"], row["log_partition"], row["date_format"],
-            fmt=fmt, replace_touched=True, writers=writers, compression=codec,
-        )
-
-    # Writes of different destinations are independent jobs; several at once keep
-    # the cluster busy while one of them commits.
+    spark = rows.sparkSession
+    settings = publish_settings(hours.select("topic", "hour").distinct(), catalog, defaults).persist(StorageLevel.MEMORY_AND_DISK)
+    usable = settings.filter(~F.col("bad_name")).withColumn("_base", strip_last_slash(F.col("base_partition")))
+    key = F.concat_ws("\0", "topic", "hour")
+    keyed = rows.withColumn("_key", key)
+
+    def write(base: str) -> None:
+        places = usable.filter(F.col("_base") == base).select(key.alias("_place_key"), "dir").distinct()
+        mine = lookup_join(keyed, places, "_key", "_place_key", how="inner").drop("_key", "topic", "hour")
+        staged = f"{base}/_publishing/{uuid.uuid4().hex}"
+        parts = gather(mine, ("dir", "publication"), writers)
+        parts.write.partitionBy("dir", "publication").option("compression", codec).format(fmt).save(staged)
+        _move_into_place(spark, staged)
+        remove(spark, staged)
+
+    # Bases are independent jobs; several at once keep the cluster busy while one commits.
     with ThreadPoolExecutor(PARALLEL_WRITES) as pool:
-        for _ in pool.map(inheritable_thread_target(spark)(write), destinations.toLocalIterator()):
+        bases = [r["_base"] for r in usable.select("_base").distinct().toLocalIterator()]
+        for _ in pool.map(inheritable_thread_target(spark)(write), bases):
             pass
     return settings
 
 
+_STAGED = re.compile(r"/dir=([^/]*)/publication=([^/]*)/(part-[^/]*)$")
+
+
+def _move_into_place(spark: SparkSession, staged: str) -> None:
+    """Renames the finished files of a staged write; file names, never rows, pass the driver."""
+    moves = [(path, *map(unquote, found.groups())) for path, _ in files_below(spark, staged) if (found := _STAGED.search(path))]
+    for directory in sorted({m[1] for m in moves}):
+        own = tuple(f"{publication}-part-" for _, d, publication, _ in moves if d == directory)
+        for name in names_in(spark, directory):
+            if name.startswith(own):
+                remove(spark, f"{directory}/{name}")
+    with ThreadPoolExecutor(PARALLEL_MOVES) as pool:
+        for _ in pool.map(lambda m: move(spark, m[0], f"{m[1]}/{m[2]}-{m[3]}"), moves):
+            pass
+
+
+def landed_batches(spark: SparkSession, landing: str, kind: str = "text") -> list[tuple[str, str]]:
+    """Run and batch of what was landed and not yet published, from the folders of their notes."""
+    noted, done = (_batch_folders(spark, f"{landing}/{name}/{kind}") for name in ("hours", "published"))
+    return sorted(noted - done)
+
+
+def _batch_folders(spark: SparkSession, root: str) -> set[tuple[str, str]]:
+    runs = [n for n in names_in(spark, root) if n.startswith("run=")]
+    return {(r[4:], b[6:]) for r in runs for b in names_in(spark, f"{root}/{r}") if b.startswith("batch=")}
+
+
+def publish_batches(
+    spark: SparkSession,
+    landing: str,
+    batches: Sequence[tuple[str, str]],
+    catalog: DataFrame,
+    defaults: PublishDefaults = PublishDefaults(),
+    schema: StructType | None = None,
+    codec: str = "gzip",
+    writers: int | None = None,
+) -> DataFrame:
+    """Publish landed batches, each under its own name, and note that they are.
+
+    Only the folders of these batches are read. With a ``schema`` their Parquet
+    rows are published, else their text.
+    """
+    kind = "text" if schema is None else "parquet"
+    landed = landed_text(spark, landing, batches) if schema is None else landed_parquet(spark, landing, schema, batches)
+    rows = landed.withColumn("publication", F.concat_ws(".", "run", "batch")).drop("run", "batch")
+    notes = [batch_folder(f"{landing}/hours/{kind}", *b) for b in batches]
+    hours = spark.read.schema("topic string, hour string").parquet(*notes) if notes else spark.createDataFrame([], "topic string, hour string")
+    settings = publish_rows(rows, hours, catalog, defaults, kind, codec, writers)
+    for batch in batches:
+        make_folder(spark, batch_folder(f"{landing}/published/{kind}", *batch))
+    return settings
+
+
+def remove_published(spark: SparkSession, landing: str, kind: str = "text") -> int:
+    """Removes landed batches that were published, with their notes; returns how many."""
+    done = _batch_folders(spark, f"{landing}/published/{kind}")
+    for batch in sorted(done):
+        for root in (f"{landing}/{kind}", f"{landing}/hours/{kind}", f"{landing}/published/{kind}"):
+            remove(spark, batch_folder(root, *batch))
+    return len(done)
+
+
 def quarantine_files(spark: SparkSession, checked: DataFrame, catalog: DataFrame, defaults: PublishDefaults = PublishDefaults()) -> None:
     """Corrupt files, whole, in the lake layout below their topic's quarantine folder.
 
@@ -135,16 +182,21 @@ def quarantine_files(spark: SparkSession, checked: DataFrame, catalog: DataFrame
         write_lake(rows.drop("_ts"), row["quarantine"], row["part"], row["date_format"], writers=0)
 
 
-def register_partitions(spark: SparkSession, settings: DataFrame, **retry) -> int:
+def register_partitions(spark: SparkSession, settings: DataFrame, **retry) -> DataFrame:
     """Register the published directories with the tables of topics that have a
-    Hive URL. Returns how many partitions were given to the catalog.
+    Hive URL; returns an audit row for each (``log, partition, status, exception``).
 
     Daily topics get a day-hour partition per hour too, at their day's directory.
+    A table that refuses its partitions is reported and the others go on.
     """
     wanted = settings.filter(~F.col("bad_name") & (F.coalesce(F.col("hive_url"), F.lit("")) != ""))
-    count = 0
-    for row in wanted.select("hive_db_name", "hive_table_name", "dt", "hr", "dir").distinct().toLocalIterator():
-        table = f"`{row['hive_db_name']}`.`{row['hive_table_name']}`"
-        add_partition(spark, table, row["dt"], row["hr"], row["dir"], **retry)
-        count += 1
-    return count
+    by_table: dict[str, list] = {}
+    for row in wanted.select("topic", "hive_db_name", "hive_table_name", "dt", "hr", "dir").distinct().toLocalIterator():
+        by_table.setdefault(f"`{row['hive_db_name']}`.`{row['hive_table_name']}`", []).append(row)
+    told = []
+    for table, rows in sorted(by_table.items()):
+        places = sorted({(r["dt"], r["hr"], r["dir"]) for r in rows})
+        failure = add_partitions(spark, table, places, **retry)
+        told += [(r["topic"], r["dt"], r["hr"], failure) for r in rows]
+    partitions = spark.createDataFrame(told, "topic string, dt string, hr string, failure string")
+    return partition_audit(partitions, F.col("failure"))

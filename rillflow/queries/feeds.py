@@ -47,41 +47,10 @@ def event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events(spark, sf_dir).select("event_id", F.col("event_type").alias("topic"), bytes_of(line).alias("value"))
 
 
-# The events replayed sixty times as fast: the same rows in twelve hours instead of
-# thirty days, for queries that write a directory per topic and hour.
-REPLAY_START_MS = 1_704_067_200_000
-REPLAY_SPEED = 60
-REPLAY_SQL = f"""(SELECT * REPLACE (make_timestamp(
-        ({REPLAY_START_MS} + (epoch_us(ts) // 1000 - {REPLAY_START_MS}) // {REPLAY_SPEED}) * 1000) AS ts) FROM events) AS events"""
-
-
-def replayed(sql: str) -> str:
-    return sql.replace("FROM events", f"FROM {REPLAY_SQL}")
-
-
-def replay(df: DataFrame) -> DataFrame:
-    ms = F.lit(REPLAY_START_MS) + F.floor((F.unix_millis(F.col("ts").cast("timestamp")) - REPLAY_START_MS) / REPLAY_SPEED)
-    return df.withColumns({"ts": F.timestamp_millis(ms), "ms": ms})
-
-
-def replay_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return replay(table(spark, sf_dir, "events"))
-
-
-def replay_lines(df: DataFrame) -> DataFrame:
-    """``event_id, topic, value`` of replayed events, also as a stream."""
-    line = F.concat_ws("|", "event_id", "user_id", "event_type", "ms")
-    return replay(df).select("event_id", F.col("event_type").alias("topic"), bytes_of(line).alias("value"))
-
-
-def replay_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return replay_lines(table(spark, sf_dir, "events"))
-
-
-def parsed_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from rillflow.operators.parse import parse_with_descriptor
-
-    return parse_with_descriptor(replay_messages(spark, sf_dir), "txt:sep=pipe;msg=0:3;ts=3")
+def event_lines(df: DataFrame) -> DataFrame:
+    """``event_id, topic, value`` of an events table, also as a stream."""
+    line = F.concat_ws("|", "event_id", "user_id", "event_type", F.unix_millis(F.col("ts").cast("timestamp")))
+    return df.select("event_id", F.col("event_type").alias("topic"), bytes_of(line).alias("value"))
 
 
 def parsed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -101,7 +70,7 @@ def order_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # One descriptor per event type, with every way to fail among them.
 EVENT_CATALOG = [
-    {"log": "click", "format": "txt:sep=pipe;ts=3;msg=0:3", "output_format": "parquet", "log_group": "etl", "base_partition": "/lake", "log_partition": "click", "hive_url": "jdbc:mysql://localhost:3306/abc"},
+    {"log": "click", "format": "txt:sep=pipe;ts=3;msg=0:3", "output_format": "parquet", "log_group": "etl", "base_partition": "/lake", "log_partition": "click", "hive_url": "jdbc:hive2://lake.example:10000/clicks"},
     {"log": "error", "format": "txt:sep=comma;ts=0", "output_format": "txt", "log_group": "etl"},
     {"log": "purchase", "format": "txt:sep=pipe;ts=3;msg=1", "output_format": "Snappy", "log_group": "etl", "date_format": "date"},
     {"log": "view", "format": "json:ts=0", "log_group": "web", "enabled": 0},
@@ -138,7 +107,7 @@ def customer_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("/lake/"), segment, F.lit("/")).alias("base_partition"),
         F.concat(F.lit("/c"), key.cast("string"), F.lit("/")).alias("log_partition"),
         F.when(key % 3 != 0, F.concat(F.lit("t_"), key.cast("string"))).alias("hive_table_name"),
-        F.when(key % 2 != 0, F.concat(F.lit("jdbc:mysql://localhost:3306/"), segment, F.lit("?profileSQL=true"))).alias("hive_url"),
+        F.when(key % 2 != 0, F.concat(F.lit("jdbc:mariadb://db.example:3307/"), segment, F.lit("?connectTimeout=5"))).alias("hive_url"),
         F.lit("u").alias("hive_user"),
         F.lit(None).cast("string").alias("hive_password"),
         F.lit("/q").alias("quarantine"),
@@ -155,7 +124,7 @@ CUSTOMER_CATALOG_SQL = f"""
            '/lake/' || lower(c_mktsegment) || '/' AS base_partition,
            '/c' || c_custkey || '/' AS log_partition,
            CASE WHEN c_custkey % 3 <> 0 THEN 't_' || c_custkey END AS hive_table_name,
-           CASE WHEN c_custkey % 2 <> 0 THEN 'jdbc:mysql://localhost:3306/' || lower(c_mktsegment) || '?profileSQL=true' END AS hive_url,
+           CASE WHEN c_custkey % 2 <> 0 THEN 'jdbc:mariadb://db.example:3307/' || lower(c_mktsegment) || '?connectTimeout=5' END AS hive_url,
            'u' AS hive_user, CAST(NULL AS VARCHAR) AS hive_password, '/q' AS quarantine,
            {pick_sql('c_custkey', *LAYOUTS)} AS date_format,
            c_mktsegment AS log_group,

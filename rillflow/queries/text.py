@@ -47,7 +47,7 @@ def txt_index(spark, sf_dir):
     return parsed.select("event_id", "message", "ts_ms", "error")
 
 
-_RANGES = ("-1:-1", "2:-1", "2:4", "2:2", "2:1", "1:1000", "10000:1000", ":2", "1:", "-1", "3", "0:", ":-7")
+_RANGES = ("-1:-1", "2:-1", "2:4", "2:2", "2:1", "1:640", "7000:900", ":2", "1:", "-1", "3", "0:", ":-7")
 
 
 @QUERIES.add(f"""
@@ -186,35 +186,29 @@ def multi_format_parse(spark, sf_dir):
 
 
 def _records(spark, sf_dir):
+    """Events as records of a time and a text, the shape of a decoded Avro message."""
     record = F.struct(F.col("ms").alias("ts"), F.concat_ws(" ", "event_type", "props").alias("data"))
-    return events(spark, sf_dir).select(
-        "event_id",
-        F.concat(F.lit("avro-"), "event_type").alias("topic"),
-        avro.frame(spark, record, RECORD_SCHEMA, 7).alias("value"),
-    )
-
-
-_AVRO_TOPICS = ("avro-click", "avro-error", "avro-purchase", "avro-signup", "avro-view")
+    return events(spark, sf_dir).select("event_id", record.alias("record"))
 
 
 @QUERIES.add("""
-    SELECT event_id, 'avro-' || event_type AS topic, epoch_us(ts) // 1000 AS ts_ms, event_type || ' ' || props AS message,
-           CAST(NULL AS VARCHAR) AS error FROM events""")
-def avro_text(spark, sf_dir):
-    """Framed records written and read back, time and message picked by position."""
-    catalog = make_catalog(spark, [{"log": t, "format": "avro-txt:ts=0;msg=1"} for t in _AVRO_TOPICS])
-    parsed = parse_messages(_records(spark, sf_dir), catalog, {t: RECORD_SCHEMA for t in _AVRO_TOPICS})
-    return parsed.select("event_id", "topic", "ts_ms", "message", "error")
+    SELECT event_id, epoch_us(ts) // 1000 AS ts_ms, event_type || ' ' || props AS message, CAST(NULL AS VARCHAR) AS past FROM events""")
+def record_picks(spark, sf_dir):
+    """Time and message of records picked by position; a position past the last field has nothing."""
+    rows = _records(spark, sf_dir)
+    schema, record = rows.schema["record"].dataType, F.col("record")
+    return rows.select(
+        "event_id", avro.record_millis(record, schema, 0).alias("ts_ms"), avro.record_text(record, schema, 1).alias("message"),
+        avro.record_text(record, schema, 2).alias("past"),
+    )
 
 
 @QUERIES.add("""
     SELECT event_id, '{"ts":' || (epoch_us(ts) // 1000) || ',"data":"' || event_type || '"}' AS message FROM events""")
-def avro_whole_record(spark, sf_dir):
-    record = F.struct(F.col("ms").alias("ts"), F.col("event_type").alias("data"))
-    framed = events(spark, sf_dir).select("event_id", avro.frame(spark, record, RECORD_SCHEMA, 1).alias("value"))
-    schema = avro.record_type(RECORD_SCHEMA)
-    decoded = framed.withColumn("record", avro.unframe(spark, F.col("value"), RECORD_SCHEMA))
-    return decoded.select("event_id", avro.record_text(F.col("record"), schema, -1).alias("message"))
+def record_whole_text(spark, sf_dir):
+    """A whole record as JSON text."""
+    rows = events(spark, sf_dir).select("event_id", F.struct(F.col("ms").alias("ts"), F.col("event_type").alias("data")).alias("record"))
+    return rows.select("event_id", F.decode(avro.text_bytes(F.col("record"), rows.schema["record"].dataType, -1), "UTF-8").alias("message"))
 
 
 @QUERIES.add("""

@@ -16,6 +16,9 @@ SQL_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # A write of many small directories costs by the file, not by the byte: small
+    # shuffles are still cut into a task for each core.
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "8k",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(ROLLOVER_BYTES),

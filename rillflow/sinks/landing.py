@@ -15,6 +15,7 @@ from rillflow.functions.avro import has_avro_package
 from rillflow.operators.quality import keyed_rows
 from rillflow.operators.tables import conform_columns
 from rillflow.sources.files import list_files
+from rillflow.sources.store import exists
 
 # Codecs of landed text, and the page compression of landed Parquet.
 TEXT_CODECS = ("none", "gzip", "snappy", "bzip2")
@@ -22,7 +23,10 @@ PARQUET_CODEC = "gzip"
 
 LANDING_PARTITIONS = ("topic", "hour")
 LANDED_TEXT_SCHEMA = "value string, topic string, hour string"
-HOURS_SCHEMA = "topic string, hour string"
+HOURS_SCHEMA = "topic string, hour string, run string, batch string"
+COLUMNAR_CODECS = ("parquet", "avro")
+KINDS = ("text", "parquet", "avro")
+_PLACE = [StructField(name, StringType()) for name in ("topic", "hour", "run", "batch")]
 
 
 def gather(rows: DataFrame, keys: tuple[str, ...], writers: int | None = None) -> DataFrame:
@@ -31,15 +35,15 @@ def gather(rows: DataFrame, keys: tuple[str, ...], writers: int | None = None) -
     Adaptive execution cuts a directory with much data into tasks of the
     advisory partition size and joins small ones, so one hot topic-hour is
     written by many tasks. With a fixed number of ``writers``, as in a
-    micro-batch, each key is spread over that many instead. ``writers=0`` keeps
+    micro-batch, each key is spread over that many instead, by the rows' places
+    in their partitions, so that equal rows are spread too. ``writers=0`` keeps
     the tasks as they are, without a shuffle, for input already ordered by time.
     """
     if writers == 0:
         return rows
     if writers:
-        hashable = [f.name for f in rows.schema.fields if "map<" not in f.dataType.simpleString()]
-        salt = F.pmod(F.xxhash64(*hashable), F.lit(writers))
-        return rows.repartition(writers, *keys, salt)
+        salt = F.pmod(F.monotonically_increasing_id(), F.lit(writers))
+        return rows.withColumn("_writer", salt).repartition(writers, *keys, "_writer").drop("_writer")
     return rows.hint("rebalance", *keys)
 
 
@@ -72,32 +76,56 @@ def land_parquet(rows: DataFrame, path: str, schema: StructType, mode: str = "ap
     )
 
 
-def land_avro(rows: DataFrame, path: str, schema_json: str, mode: str = "append") -> None:
-    """Rows as Avro files; their columns must be those of the schema."""
+def land_avro(rows: DataFrame, path: str, schema_json: str | None = None, mode: str = "append", writers: int | None = None) -> None:
+    """Rows as Avro files; with a schema their columns must be those of the schema."""
     if not has_avro_package(rows.sparkSession):
         raise RuntimeError("start the session with the spark-avro package")
     keyed = keyed_rows(rows)
-    gather(keyed, LANDING_PARTITIONS).write.mode(mode).partitionBy(*LANDING_PARTITIONS).option("avroSchema", schema_json).format("avro").save(path)
+    writer = gather(keyed, LANDING_PARTITIONS, writers).write.mode(mode).partitionBy(*LANDING_PARTITIONS)
+    if schema_json:
+        writer = writer.option("avroSchema", schema_json)
+    writer.format("avro").save(path)
 
 
-def land_by_codec(rows: DataFrame, path: str, codecs: Sequence[str] | None = None, schema: StructType | None = None, batch: str = "0", mode: str = "append", writers: int | None = None) -> None:
+def batch_folder(root: str, run: str, batch: str) -> str:
+    """The folder of one batch of one run. A run is a streaming query or a batch
+    job; two runs never share a folder, whatever their batches are called."""
+    return f"{root}/run={run}/batch={batch}"
+
+
+def with_sink(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows whose codec has a sink and that name a topic, and the others with an ``error``."""
+    known = F.coalesce(F.col("codec").isin(*TEXT_CODECS, *COLUMNAR_CODECS), F.lit(False))
+    named = F.coalesce(F.col("topic") != "", F.lit(False))
+    error = F.when(~named, F.lit("message has no topic")).otherwise(F.concat(F.lit("no sink for codec "), F.coalesce("codec", F.lit("NULL"))))
+    return rows.filter(known & named), rows.filter(~(known & named)).withColumn("error", error)
+
+
+def land_by_codec(rows: DataFrame, path: str, schema: StructType | None = None, run: str = "batch", batch: str = "0", mode: str = "append", writers: int | None = None) -> DataFrame:
     """Each row with its own codec: text below ``path/text``, Parquet below
-    ``path/parquet``, each with a folder per ``batch``.
+    ``path/parquet``, Avro below ``path/avro``, each with a folder per run and batch.
 
-    There is one write per codec, as a write has one codec. ``codecs`` names
-    those that can occur, so that no write looks for rows that cannot exist.
-    Parquet rows take ``schema``, or their fields when there is none.
+    There is one write per codec that the rows have, as a write has one codec;
+    the rows should be staged or persisted, since each write reads them. Parquet
+    and Avro rows take ``schema``, or their time and fields when there is none.
+    Returns the rows that no sink takes, with the reason.
     """
-    for codec in codecs or (*TEXT_CODECS, "parquet"):
-        mine = rows.filter(F.col("codec") == codec)
-        if codec != "parquet":
-            land_text(mine, f"{path}/text/batch={batch}/codec={codec}", codec, mode, writers)
-        elif schema is None:
-            plain = StructType([f for f in rows.schema.fields if f.name in ("ts", "fields")])
-            land_parquet(mine, f"{path}/parquet/batch={batch}", plain, mode, writers)
+    landable, rejected = with_sink(rows)
+    codecs = sorted(r["codec"] for r in landable.select("codec").distinct().collect())
+    if "avro" in codecs and not has_avro_package(rows.sparkSession):
+        raise RuntimeError("start the session with the spark-avro package")
+    for codec in codecs:
+        mine = landable.filter(F.col("codec") == codec)
+        columns = schema or StructType([f for f in rows.schema.fields if f.name in ("ts", "fields")])
+        if codec == "parquet":
+            land_parquet(mine, batch_folder(f"{path}/parquet", run, batch), columns, mode, writers)
+        elif codec == "avro":
+            names = [f.name for f in columns.fields if f.name not in LANDING_PARTITIONS]
+            land_avro(mine.select(*names, *LANDING_PARTITIONS), batch_folder(f"{path}/avro", run, batch), mode=mode, writers=writers)
         else:
-            land_parquet(mine, f"{path}/parquet/batch={batch}", schema, mode, writers)
-    record_hours(rows.sparkSession, path, batch, codecs or (*TEXT_CODECS, "parquet"))
+            land_text(mine, f"{batch_folder(f'{path}/text', run, batch)}/codec={codec}", codec, mode, writers)
+    record_hours(rows.sparkSession, path, run, batch)
+    return rejected
 
 
 def hours_of_files(files: DataFrame) -> DataFrame:
@@ -111,26 +139,36 @@ def hours_of_files(files: DataFrame) -> DataFrame:
     return files.select(part("topic"), part("hour")).distinct()
 
 
-def record_hours(spark: SparkSession, path: str, batch: str, codecs: Sequence[str]) -> None:
+def record_hours(spark: SparkSession, path: str, run: str, batch: str) -> None:
     """Notes which topic-hours a batch landed, below ``path/hours``.
 
     The files are listed, not read, so the publisher learns what changed without
     another pass over the data.
     """
-    for kind in ("text", "parquet"):
-        if any((codec == "parquet") == (kind == "parquet") for codec in codecs):
-            hours = hours_of_files(list_files(spark, f"{path}/{kind}/batch={batch}", "part-*"))
-            hours.coalesce(1).write.mode("overwrite").parquet(f"{path}/hours/{kind}/batch={batch}")
+    for kind in KINDS:
+        landed = batch_folder(f"{path}/{kind}", run, batch)
+        if exists(spark, landed):
+            hours = hours_of_files(list_files(spark, landed, "part-*"))
+            hours.coalesce(1).write.mode("overwrite").parquet(batch_folder(f"{path}/hours/{kind}", run, batch))
+
+
+def landed_text(spark: SparkSession, path: str, batches: Sequence[tuple[str, str]] | None = None) -> DataFrame:
+    """Lines landed by ``land_by_codec`` with their topic, hour, run and batch; of all batches, or only of the given ones."""
+    full = StructType([StructField("value", StringType()), *_PLACE])
+    return _landed(spark, f"{path}/text", batches, full, "text")
 
 
-def landed_text(spark: SparkSession, path: str) -> DataFrame:
-    """Lines landed by ``land_by_codec`` with their topic and hour."""
-    return spark.read.schema(LANDED_TEXT_SCHEMA).text(f"{path}/text").select("value", "topic", "hour")
+def landed_parquet(spark: SparkSession, path: str, schema: StructType, batches: Sequence[tuple[str, str]] | None = None) -> DataFrame:
+    full = StructType([*schema.fields, *_PLACE])
+    return _landed(spark, f"{path}/parquet", batches, full, "parquet")
 
 
-def landed_parquet(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    full = StructType([*schema.fields, StructField("topic", StringType()), StructField("hour", StringType())])
-    return spark.read.schema(full).parquet(f"{path}/parquet").select(*full.names)
+def _landed(spark: SparkSession, root: str, batches: Sequence[tuple[str, str]] | None, schema: StructType, fmt: str) -> DataFrame:
+    folders = [root] if batches is None else [batch_folder(root, *b) for b in batches]
+    present = [f for f in folders if exists(spark, f)]
+    if not present:
+        return spark.createDataFrame([], schema)
+    return spark.read.format(fmt).schema(schema).option("basePath", root).load(present).select(*schema.names)
 
 
 def message_bytes(message: Column) -> Column:

@@ -8,21 +8,35 @@ from pyspark.sql import functions as F
 from rillflow.functions.descriptors import TEXT_TYPE
 from rillflow.functions.keys import base_name
 from rillflow.sources.kafka import has_kafka_package
+from rillflow.sources.store import remove
 
 # Fixed value: seconds a counter lives after its last increment.
 COUNTER_EXPIRY_SECONDS = 86_400
 
-COUNTER_SCHEMA = "phase string, topic string, minute string, n bigint, updated_at timestamp, batch string"
+COUNTER_SCHEMA = "phase string, topic string, minute string, n bigint, updated_at timestamp, run string, batch string"
 
 
-def publish_counters(counters: DataFrame, path: str, batch: str) -> None:
+def publish_counters(counters: DataFrame, path: str, run: str, batch: str) -> None:
     """Adds a batch of increments to the counter table.
 
-    Increments are stored per batch and summed on reading, so a batch that is
-    run again replaces its own increments and is not counted twice.
+    Increments are stored per run and batch and summed on reading, so a batch
+    that is run again replaces its own increments and is not counted twice.
     """
     stamped = counters.withColumn("updated_at", F.current_timestamp())
-    stamped.coalesce(1).write.mode("overwrite").parquet(f"{path}/batch={batch}")
+    stamped.coalesce(1).write.mode("overwrite").parquet(f"{path}/run={run}/batch={batch}")
+
+
+def expire_counters(spark: SparkSession, path: str, now: Column | None = None, expiry_seconds: int = COUNTER_EXPIRY_SECONDS) -> int:
+    """Removes the increments of batches in which every counter has expired; returns how many batches.
+
+    The batches' newest increments, one row each, pass the driver.
+    """
+    now = F.current_timestamp() if now is None else now
+    newest = spark.read.schema(COUNTER_SCHEMA).parquet(path).groupBy("run", "batch").agg(F.max("updated_at").alias("at"))
+    old = newest.filter(F.unix_micros("at") <= F.unix_micros(now) - expiry_seconds * 1_000_000).collect()
+    for row in old:
+        remove(spark, f"{path}/run={row['run']}/batch={row['batch']}")
+    return len(old)
 
 
 def live_counters(spark: SparkSession, path: str, now: Column | None = None, expiry_seconds: int = COUNTER_EXPIRY_SECONDS) -> DataFrame:

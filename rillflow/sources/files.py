@@ -2,17 +2,15 @@
 
 from __future__ import annotations
 
-import re
-from collections.abc import Iterator
 from datetime import datetime, timedelta, timezone
-from urllib.parse import quote
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from rillflow.functions.keys import base_name
+from rillflow.operators.lookup import lookup_join
+from rillflow.sources.store import empty_below, footer_ok
 
 # Extensions of finished files, how long a file must rest before it
 # counts as finished, and the folder of copies in progress.
@@ -27,7 +25,7 @@ RAW_MESSAGE_SCHEMA = StructType([StructField("topic", StringType()), StructField
 def list_files(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
     """``path, modificationTime, length`` of every file below ``path``. No file is opened.
 
-    Spark's file sources leave out files of zero bytes; they hold no message.
+    Spark's file sources leave out files of zero bytes: see ``empty_files``.
     """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
     if glob:
@@ -35,6 +33,13 @@ def list_files(spark: SparkSession, path: str, glob: str | None = None) -> DataF
     return reader.load(path).select("path", "modificationTime", "length")
 
 
+def empty_files(spark: SparkSession, path: str) -> DataFrame:
+    """Files of zero bytes below ``path``, in the columns of ``list_files``; their listing alone passes the driver."""
+    found = [(name, when, 0) for name, when in empty_below(spark, path)]
+    listed = spark.createDataFrame(found, "path string, at bigint, length bigint")
+    return listed.select("path", F.timestamp_millis("at").alias("modificationTime"), "length")
+
+
 def is_finished(files: DataFrame, wait_ms: int = FILE_WAIT_MS, now: datetime | None = None) -> DataFrame:
     """Files with a finished name that rested long enough and are not copies in progress."""
     now = now or datetime.now(timezone.utc)
@@ -47,36 +52,35 @@ def is_finished(files: DataFrame, wait_ms: int = FILE_WAIT_MS, now: datetime | N
 
 
 def finished_files(spark: SparkSession, path: str, wait_ms: int = FILE_WAIT_MS, now: datetime | None = None) -> DataFrame:
-    return is_finished(list_files(spark, path, FINISHED_GLOB), wait_ms, now)
-
-
-def _footer_ok(path: str) -> bool:
-    import pyarrow.parquet as pq
-    from pyarrow import ArrowInvalid, fs
-
-    uri = quote(re.sub(r"^file:/(?!/)", "file:///", path), safe=":/@")
-    try:
-        system, inner = fs.FileSystem.from_uri(uri)
-        with system.open_input_file(inner) as handle:
-            pq.read_metadata(handle)
-        return True
-    except (ArrowInvalid, EOFError):
-        return False
+    return is_finished(list_files(spark, path, FINISHED_GLOB).unionByName(empty_files(spark, path)), wait_ms, now)
 
 
 def check_files(files: DataFrame) -> DataFrame:
     """Adds ``file_ok``: Parquet files must have a readable footer, others pass.
 
-    Only the footer of a file is read, in a task of its partition.
+    Spark reads the footers, in tasks, on whatever store the files are. A file
+    from which it gets a row is sound. The few others, broken or without rows,
+    are opened one by one through Hadoop, where only a footer that is no Parquet
+    footer counts as corrupt; a store that fails is an error, not a verdict.
     """
-    columns = files.columns
-
-    def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            yield batch.assign(file_ok=[not p.endswith(".parquet") or _footer_ok(p) for p in batch["path"]])
-
-    schema = StructType([*files.schema.fields]).add("file_ok", "boolean")
-    return files.select(*columns).mapInPandas(check, schema)
+    spark = files.sparkSession
+    kept = files.persist()
+    parquet = kept.filter(F.col("path").endswith(".parquet")).select("path")
+    paths = [r["path"] for r in parquet.collect()]
+    if not paths:
+        return kept.withColumn("file_ok", F.lit(True))
+    readable = _with_rows(spark, paths)
+    doubtful = [r["path"] for r in parquet.join(readable, "path", "left_anti").collect()]
+    corrupt = spark.createDataFrame([(p, True) for p in doubtful if not footer_ok(spark, p)], "path string, _corrupt boolean")
+    return lookup_join(kept, corrupt.withColumnRenamed("path", "_corrupt_path"), "path", "_corrupt_path").withColumn(
+        "file_ok", F.col("_corrupt").isNull()
+    ).drop("_corrupt")
+
+
+def _with_rows(spark: SparkSession, paths: list[str]) -> DataFrame:
+    reader = spark.read.schema(StructType([])).option("ignoreCorruptFiles", True).option("ignoreMissingFiles", True)
+    found = reader.parquet(*paths)
+    return found.select(F.col("_metadata.file_path").alias("path")).distinct()
 
 
 def read_finished_text(spark: SparkSession, path: str, wait_ms: int = FILE_WAIT_MS) -> DataFrame:

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Letters per message and the schema of a generated record.
+# Letters per message and the fields of a generated record.
 MESSAGE_LETTERS = 100
-RECORD_SCHEMA = '{"type": "record", "name": "TestMessage", "namespace": "Test", "fields": [{"name": "ts", "type": "long"}, {"name": "data", "type": "string"}]}'
+RECORD_SCHEMA = '{"type": "record", "name": "Generated", "namespace": "rillflow", "fields": [{"name": "ts", "type": "long"}, {"name": "data", "type": "string"}]}'
 
 
 def random_letters(length: int = MESSAGE_LETTERS) -> Column:

@@ -6,8 +6,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Messages per micro-batch and its interval.
-BATCH_MESSAGES = 10_000
+# Fixed value: milliseconds between micro-batches.
 BATCH_MILLIS = 500
 
 
@@ -25,9 +24,9 @@ def _require(spark: SparkSession) -> None:
         raise RuntimeError("start the session with the spark-sql-kafka package")
 
 
-def stream_options(brokers: str, topics: Iterable[str], earliest: bool = False, max_per_trigger: int | None = BATCH_MESSAGES) -> dict[str, str]:
+def stream_options(brokers: str, topics: Iterable[str], earliest: bool = False, max_per_trigger: int | None = None) -> dict[str, str]:
     """Options of a topic stream. ``earliest`` matters only until the checkpoint
-    holds offsets of a topic."""
+    holds offsets of a topic. A trigger takes all there is, unless it is given a limit."""
     options = {
         "kafka.bootstrap.servers": brokers,
         "subscribe": ",".join(sorted(topics)),
@@ -47,7 +46,7 @@ def replay_options(brokers: str, topic: str) -> dict[str, str]:
     }
 
 
-def stream_topics(spark: SparkSession, brokers: str, topics: Iterable[str], earliest: bool = False, max_per_trigger: int | None = BATCH_MESSAGES) -> DataFrame:
+def stream_topics(spark: SparkSession, brokers: str, topics: Iterable[str], earliest: bool = False, max_per_trigger: int | None = None) -> DataFrame:
     _require(spark)
     options = stream_options(brokers, topics, earliest, max_per_trigger)
     return spark.readStream.format("kafka").options(**options).load().select("topic", "value", "timestamp")

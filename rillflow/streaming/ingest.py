@@ -1,18 +1,20 @@
 """The ingest plan as a stream.
 
-Every micro-batch writes into folders named after its batch id and overwrites
-them, so a batch that is run again after a failure leaves the same files: rows,
-quarantine and counters arrive exactly once.
+Every micro-batch writes into folders named after its query and batch id and
+overwrites them, so a batch that is run again after a failure leaves the same
+files: rows, quarantine and counters arrive exactly once. The query's id is the
+one Spark keeps with the checkpoint: two queries, or a query with a new
+checkpoint, never touch each other's folders.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 from dataclasses import dataclass, replace
 
 from pyspark import StorageLevel
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
@@ -27,9 +29,11 @@ from rillflow.operators.quality import (
     split_by_error,
     with_hour_key,
 )
-from rillflow.plans.ingest import IngestPlan, apply_pipeline, parsed_rows
+from rillflow.plans.ingest import IngestPipeline, IngestPlan, parsed_rows, with_rejected
+from rillflow.sinks.landing import batch_folder
 from rillflow.sinks.reports import publish_counters
 from rillflow.sources.kafka import BATCH_MILLIS
+from rillflow.sources.store import names_in, remove
 
 # Fixed value: milliseconds after which landed files are rolled over.
 ROLLOVER_MILLIS = 600_000
@@ -52,57 +56,81 @@ class StreamPlan:
     error_threshold: int = ERROR_THRESHOLD
 
 
-def batch_dir(root: str, batch_id: int) -> str:
-    return f"{root}/batch={batch_id}"
+def query_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that Spark keeps with a checkpoint, for as long as it exists."""
+    return json.loads(spark.read.text(f"{checkpoint}/metadata").first()["value"])["id"]
 
 
-def ingest_batch(plan: StreamPlan, batch: DataFrame, batch_id: int) -> None:
-    """One micro-batch: land, quarantine, count.
+class IngestStream:
+    """A running ingest: its pipeline is built once and closed when the query has ended."""
 
-    The parsed rows feed several writes, so they are kept for the batch and
-    dropped at its end. A lost executor's share is parsed again from the source.
-    """
-    catalog = plan.load_catalog()
-    parsed = parsed_rows(batch, catalog, plan.ingest.avro_schemas).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        split = split_by_error(parsed)
-        apply_pipeline(split.good, catalog, replace(plan.ingest, batch=str(batch_id), mode="overwrite"))
+    def __init__(self, plan: StreamPlan, run: str | None = None):
+        self.plan = plan
+        self.run = run
+        self.pipeline = IngestPipeline(plan.ingest)
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        """One micro-batch: land, quarantine, count.
+
+        The parsed rows feed several writes, so they are kept for the batch and
+        dropped at its end. A lost executor's share is parsed again from the source.
+        """
+        plan = self.plan
+        if self.run is None:
+            self.run = query_id(batch.sparkSession, plan.checkpoint)
+        catalog = plan.load_catalog()
+        parsed = parsed_rows(batch, catalog, plan.ingest.avro_schemas).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            split = split_by_error(parsed)
+            _, rejected = self.pipeline.apply(split.good, replace(plan.ingest, run=self.run, batch=str(batch_id), mode="overwrite"))
+            failed = with_rejected(split.bad, rejected).select("topic", "value", "error").persist(StorageLevel.MEMORY_AND_DISK)
+            try:
+                self._report(split.good, failed, batch_id)
+            finally:
+                failed.unpersist()
+            if plan.errors:
+                flag_topics(plan, errors_per_topic(parsed), self.run, batch_id)
+        finally:
+            parsed.unpersist()
+
+    def _report(self, good: DataFrame, bad: DataFrame, batch_id: int) -> None:
+        plan = self.plan
         if plan.quarantine:
-            bad = split.bad.select("topic", "value", "error")
-            bad.write.mode("overwrite").parquet(batch_dir(plan.quarantine, batch_id))
+            bad.write.mode("overwrite").parquet(batch_folder(plan.quarantine, self.run, str(batch_id)))
         if plan.counters:
-            landed = minute_counters(split.good, "in")
-            failed = minute_counters(split.bad.withColumn("ts", F.current_timestamp()), "error")
-            publish_counters(landed.unionByName(failed), plan.counters, str(batch_id))
-        if plan.errors:
-            flag_topics(plan, errors_per_topic(parsed), batch_id)
-    finally:
-        parsed.unpersist()
+            landed = minute_counters(good, "in")
+            failed = minute_counters(bad.withColumn("ts", F.current_timestamp()), "error")
+            publish_counters(landed.unionByName(failed), plan.counters, self.run, str(batch_id))
+
+    def close(self) -> None:
+        self.pipeline.close()
 
 
-def flag_topics(plan: StreamPlan, batch_errors: DataFrame, batch_id: int) -> None:
-    """Error totals after this batch, built from those of the batch before, and the
+def flag_topics(plan: StreamPlan, batch_errors: DataFrame, run: str, batch_id: int) -> None:
+    """Error totals after this batch, built on the newest before it, and the
     topics that passed the threshold handed to ``on_flagged``.
 
     Totals are kept per batch, so a batch that is run again starts from the same
-    totals. A batch reads one small table, however long the stream has run.
+    totals. Counting starts where the query has no totals yet; totals that are
+    there and cannot be read fail the batch.
     """
     spark = batch_errors.sparkSession
+    root = f"{plan.errors}/run={run}"
+    earlier = sorted(int(name[6:]) for name in names_in(spark, root) if name.startswith("batch=") and int(name[6:]) < batch_id)
     totals = spark.createDataFrame([], ERROR_TOTALS_SCHEMA)
-    if batch_id > 0:
-        try:
-            totals = spark.read.schema(ERROR_TOTALS_SCHEMA).parquet(batch_dir(plan.errors, batch_id - 1))
-        except AnalysisException:
-            pass  # counting starts with this batch
-    current = batch_dir(plan.errors, batch_id)
+    if earlier:
+        totals = spark.read.schema(ERROR_TOTALS_SCHEMA).parquet(f"{root}/batch={earlier[-1]}")
+    current = f"{root}/batch={batch_id}"
     add_errors(totals, batch_errors, plan.error_threshold).coalesce(1).write.mode("overwrite").parquet(current)
+    for old in earlier[:-1]:
+        remove(spark, f"{root}/batch={old}")
     if plan.on_flagged:
         plan.on_flagged(spark.read.parquet(current).filter("newly_flagged").select("topic"))
 
 
 def start_ingest(messages: DataFrame, plan: StreamPlan, available_now: bool = False, interval_ms: int = BATCH_MILLIS) -> StreamingQuery:
     """Start the stream. Its read position is the checkpoint."""
-    writer = messages.writeStream.foreachBatch(lambda batch, batch_id: ingest_batch(plan, batch, batch_id))
+    writer = messages.writeStream.foreachBatch(IngestStream(plan))
     return with_trigger(writer.option("checkpointLocation", plan.checkpoint), available_now, interval_ms).start()
 
 

@@ -7,6 +7,8 @@ stopped, and nothing sent meanwhile is lost.
 
 from __future__ import annotations
 
+import logging
+import threading
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +16,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from rillflow.operators.catalog import enabled_topics, topics_to_start, topics_to_stop
 
+logger = logging.getLogger(__name__)
+
 # Fixed value: milliseconds between two looks at the catalog.
 TOPIC_REFRESH_MS = 10_000
 
@@ -27,7 +31,9 @@ def reconcile(
 ) -> tuple[list[str], list[str]]:
     """Start queries of newly enabled topics and stop those of disabled ones.
 
-    ``running`` is updated in place. Returns the topics started and stopped.
+    ``running`` is updated in place. A query that failed is no longer active and
+    its topic is started again, from its checkpoint. Returns the topics started
+    and stopped.
     """
     spark = catalog.sparkSession
     enabled = enabled_topics(catalog, group)
@@ -36,6 +42,29 @@ def reconcile(
     stopping = sorted(r["log"] for r in topics_to_stop(enabled, active).toLocalIterator())
     for topic in stopping:
         running.pop(topic).stop()
+    for topic in [t for t, q in running.items() if not q.isActive]:
+        running.pop(topic)
     for topic in starting:
         running[topic] = start(topic)
     return starting, stopping
+
+
+def follow_catalog(
+    load_catalog: Callable[[], DataFrame], group: str, start: Callable[[str], StreamingQuery],
+    stopped: threading.Event, interval_ms: int = TOPIC_REFRESH_MS,
+) -> dict[str, StreamingQuery]:
+    """Keeps the queries equal to the catalog until ``stopped`` is set; then stops them all and returns them.
+
+    A look at the catalog that fails is logged and tried again at the next interval.
+    """
+    running: dict[str, StreamingQuery] = {}
+    while True:
+        try:
+            reconcile(load_catalog(), group, running, start)
+        except Exception:
+            logger.exception("topics could not be refreshed")
+        if stopped.wait(interval_ms / 1000):
+            break
+    for query in running.values():
+        query.stop()
+    return running

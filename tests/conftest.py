@@ -15,7 +15,7 @@ def spark(tmp_path_factory):
         "local[8]",
         {
             "spark.sql.shuffle.partitions": "8",
-            "spark.default.parallelism": "2",
+            "spark.default.parallelism": "8",
             "spark.ui.showConsoleProgress": "false",
             "spark.ui.enabled": "false",
             "spark.driver.memory": "4g",

@@ -9,24 +9,24 @@ from pyspark.sql.types import StructType
 from rillflow.functions import keys
 from rillflow.operators import metrics, tables
 from rillflow.operators.catalog import PublishDefaults, make_catalog
-from rillflow.plans.publish import landed_hours, publish_hours, publish_settings, quarantine_files, rows_of_named_files
+from rillflow.plans.publish import landed_batches, publish_batches, publish_rows, publish_settings, quarantine_files, register_partitions, remove_published, rows_of_named_files
 from rillflow.sinks import lake, landing, reports
 from rillflow.sources import files, generator
 
 
 def messages(spark, n, topic="test"):
     return spark.range(n).select(
-        F.lit(topic).alias("topic"), F.lit("2016-03-20-09").alias("hour"), F.lit("HI").alias("message"), F.lit("none").alias("codec")
+        F.lit(topic).alias("topic"), F.lit("2016-03-20-09").alias("hour"), F.lit("ping").alias("message"), F.lit("none").alias("codec")
     )
 
 
-def test_two_thousand_lines(spark, tmp_path):
+def test_lines_of_two_writes(spark, tmp_path):
     for _ in range(2):
-        landing.land_text(messages(spark, 1000), f"{tmp_path}/out", codec="none", max_records=50, writers=2)
+        landing.land_text(messages(spark, 700), f"{tmp_path}/out", codec="none", max_records=50, writers=2)
     lines = files.read_landed_lines(spark, f"{tmp_path}/out")
-    assert lines.count() == 2000 and lines.distinct().collect()[0]["value"] == "HI"
+    assert lines.count() == 1400 and lines.distinct().collect()[0]["value"] == "ping"
     counts = [r["messages"] for r in metrics.messages_per_file(spark.read.text(f"{tmp_path}/out")).collect()]
-    assert sum(counts) == 2000 and max(counts) <= 50
+    assert sum(counts) == 1400 and max(counts) <= 50
 
 
 @pytest.mark.parametrize("codec,ending", [("none", ".txt"), ("gzip", ".gz"), ("snappy", ".snappy"), ("bzip2", ".bz2")])
@@ -56,7 +56,7 @@ def test_finished_files_and_integrity(spark, tmp_path):
     good = next(n for n in os.listdir(tmp_path / "p") if n.endswith(".parquet"))
     os.rename(tmp_path / "p" / good, tmp_path / "t %41-2016-03-20-09.parquet")
     (tmp_path / "bad-2016-03-20-09.parquet").write_bytes(b"PAR1 not a footer")
-    (tmp_path / "empty-2016-03-20-09.parquet").write_bytes(b"")  # not listed: zero bytes
+    (tmp_path / "empty-2016-03-20-09.parquet").write_bytes(b"")
     (tmp_path / "t-2016-03-20-09.gz").write_bytes(gzip.compress(b"x\n"))
     (tmp_path / "t-2016-03-20-09.gz.tmp").write_text("x")
     old = time.time() - 60
@@ -66,60 +66,87 @@ def test_finished_files_and_integrity(spark, tmp_path):
     found = files.check_files(files.finished_files(spark, str(tmp_path)))
     got = {r["path"].rsplit("/", 1)[1]: r["file_ok"] for r in found.collect()}
     assert got == {
-        "t %41-2016-03-20-09.parquet": True, "bad-2016-03-20-09.parquet": False, "t-2016-03-20-09.gz": True,
+        "t %41-2016-03-20-09.parquet": True, "bad-2016-03-20-09.parquet": False, "t-2016-03-20-09.gz": True, "empty-2016-03-20-09.parquet": False,
     }
     assert [r["value"] for r in files.read_finished_text(spark, str(tmp_path)).collect()] == ["x"]
     meters = metrics.file_meters(found).first()
-    assert meters["files"] == 3 and meters["bytes"] > 0
+    assert meters["files"] == 4 and meters["bytes"] > 0
 
 
 def test_destination_of_files(spark):
-    df = spark.createDataFrame([("test-2016-03-20-09.gz",), ("myfile-2016-03-20-09.1458.gz",), ("mytopic-test-2016-05-17-00.gz",), ("x.gz",)], "f string")
+    df = spark.createDataFrame([("hits-2021-07-04-18.gz",), ("clicks-2021-07-04-18.77.gz",), ("two-part-2021-12-31-00.gz",), ("x.gz",)], "f string")
     got = df.select(
         keys.file_topic(F.col("f")), keys.file_hour(F.col("f")),
         keys.destination_path(F.lit("/log/base/"), keys.file_topic(F.col("f")), F.lit("datehour"), F.lit("h"), F.col("f")),
     ).collect()
     assert [tuple(r) for r in got] == [
-        ("test", "2016-03-20-09", "/log/base/test/date=20160320/hour=2016032009/h-test-2016-03-20-09.gz"),
-        ("myfile", "2016-03-20-09", "/log/base/myfile/date=20160320/hour=2016032009/h-myfile-2016-03-20-09.1458.gz"),
-        ("mytopic-test", "2016-05-17-00", "/log/base/mytopic-test/date=20160517/hour=2016051700/h-mytopic-test-2016-05-17-00.gz"),
+        ("hits", "2021-07-04-18", "/log/base/hits/date=20210704/hour=2021070418/h-hits-2021-07-04-18.gz"),
+        ("clicks", "2021-07-04-18", "/log/base/clicks/date=20210704/hour=2021070418/h-clicks-2021-07-04-18.77.gz"),
+        ("two-part", "2021-12-31-00", "/log/base/two-part/date=20211231/hour=2021123100/h-two-part-2021-12-31-00.gz"),
         (None, None, None),
     ]
 
 
-def test_publish_replaces_and_keeps_other_hours(spark, tmp_path):
-    landed = spark.createDataFrame(
+def test_publication_replaces_only_itself(spark, tmp_path):
+    rows = spark.createDataFrame(
         [("v1", "test", "2016-03-20-09"), ("v2", "test", "2016-03-20-10"), ("d", "daily", "2016-03-20-09"), ("n", "test", "notime")],
         "value string, topic string, hour string",
     )
     catalog = make_catalog(spark, [{"log": "daily", "base_partition": f"{tmp_path}/lake", "log_partition": "daily", "date_format": "date", "quarantine": f"{tmp_path}/q"}])
     defaults = PublishDefaults(base_partition=f"{tmp_path}/lake", quarantine=f"{tmp_path}/q")
-    hours = landed.select("topic", "hour")
-    settings = publish_settings(hours, catalog, defaults)
-    assert [r["hour"] for r in settings.filter("bad_name").collect()] == ["notime"]
-    publish_hours(spark, landed, hours, catalog, defaults)
-    only = hours.filter(F.col("hour") == "2016-03-20-10")
-    changed = landed.withColumn("value", F.concat("value", F.lit("!")))
-    publish_hours(spark, changed, only, catalog, defaults)
-    rows = lake.read_lake(spark, f"{tmp_path}/lake", "test", "datehour", "value string", "text").collect()
-    assert sorted(map(tuple, rows)) == [("v1", "20160320", "2016032009"), ("v2!", "20160320", "2016032010")]
+    hours = rows.select("topic", "hour")
+    assert [r["hour"] for r in publish_settings(hours, catalog, defaults).filter("bad_name").collect()] == ["notime"]
+    publish_rows(rows.withColumn("publication", F.lit("one")), hours, catalog, defaults)
+    late = rows.filter("value = 'v2'").withColumn("value", F.lit("late")).withColumn("publication", F.lit("two"))
+    for _ in range(2):
+        publish_rows(late, late.select("topic", "hour"), catalog, defaults)
+    got = lake.read_lake(spark, f"{tmp_path}/lake", "test", "datehour", "value string", "text").collect()
+    assert sorted(map(tuple, got)) == [("late", "20160320", "2016032010"), ("v1", "20160320", "2016032009"), ("v2", "20160320", "2016032010")]
     daily = lake.read_lake(spark, f"{tmp_path}/lake", "daily", "date", "value string", "text").collect()
     assert [tuple(r) for r in daily] == [("d", "20160320")]
 
 
-def test_topics_that_share_a_destination_keep_each_other(spark, tmp_path):
-    landed = spark.createDataFrame([("one", "a", "2016-03-20-09"), ("two", "b", "2016-03-20-09")], "value string, topic string, hour string")
+def _land(spark, path, batch, *rows):
+    made = spark.createDataFrame(list(rows), "message string, topic string, hour string").withColumn("codec", F.lit("gzip"))
+    landing.land_by_codec(made, path, run="r", batch=batch)
+
+
+def test_batches_are_published_once_and_removed(spark, tmp_path):
+    path, lake_root = f"{tmp_path}/land", f"{tmp_path}/lake"
     catalog = make_catalog(spark, [
-        {"log": "a", "base_partition": f"{tmp_path}/lake/", "log_partition": "/all"},
-        {"log": "b", "base_partition": f"{tmp_path}/lake", "log_partition": "all/"},
-        {"log": "idle", "base_partition": f"{tmp_path}/lake", "log_partition": "idle"},
+        {"log": "a", "base_partition": f"{lake_root}/", "log_partition": "/all"}, {"log": "b", "base_partition": lake_root, "log_partition": "all/"},
+        {"log": "c", "base_partition": lake_root, "log_partition": "all", "date_format": "other"},
     ])
-    hours = landed.select("topic", "hour")
-    for changed in (hours, hours.filter("topic = 'a'"), hours.filter("topic = 'b'")):
-        publish_hours(spark, landed, changed, catalog)
-        got = lake.read_lake(spark, f"{tmp_path}/lake", "all", "datehour", "value string", "text").collect()
-        assert sorted(r["value"] for r in got) == ["one", "two"]
-    assert os.listdir(tmp_path / "lake") == ["all"]
+    _land(spark, path, "0", ("one", "a", "2016-03-20-09"), ("two", "b", "2016-03-20-09"), ("day", "c", "2016-03-20-09"))
+    assert landed_batches(spark, path) == [("r", "0")]
+    for _ in range(2):
+        publish_batches(spark, path, [("r", "0")], catalog)
+    assert landed_batches(spark, path) == [] and remove_published(spark, path) == 1
+    # A late row, and a batch id that the first one's name begins with.
+    _land(spark, path, "01", ("late", "a", "2016-03-20-09"))
+    publish_batches(spark, path, landed_batches(spark, path), catalog)
+    got = spark.read.option("recursiveFileLookup", True).text(f"{lake_root}/all").collect()
+    assert sorted(r["value"] for r in got) == ["day", "late", "one", "two"]
+
+
+def test_a_round_reads_its_own_batch(spark, tmp_path):
+    for batch in ("0", "1"):
+        _land(spark, f"{tmp_path}/land", batch, (f"m{batch}", "a", "2016-03-20-09"))
+    files_read = landing.landed_text(spark, f"{tmp_path}/land", [("r", "1")]).inputFiles()
+    assert files_read and all("/batch=1/" in f for f in files_read)
+
+
+def test_missing_table_is_reported_and_others_go_on(spark, tmp_path):
+    spark.sql("CREATE DATABASE IF NOT EXISTS audited")
+    tables.create_landing_table(spark, "audited.here", "value string", "text")
+    url = "jdbc:hive2://lake.example:10000/audited"
+    catalog = make_catalog(spark, [
+        {"log": t, "base_partition": f"{tmp_path}/lake", "log_partition": t, "hive_table_name": t, "hive_url": url} for t in ("here", "gone")
+    ])
+    hours = spark.createDataFrame([("here", "2016-03-20-09"), ("gone", "2016-03-20-09")], "topic string, hour string")
+    audit = {r["log"]: r["status"] for r in register_partitions(spark, publish_settings(hours, catalog)).collect()}
+    assert audit == {"here": "ok", "gone": "error"}
+    assert spark.sql("SHOW PARTITIONS audited.here").count() == 1
 
 
 def test_named_files_are_published_and_corrupt_ones_kept(spark, tmp_path):
@@ -137,7 +164,7 @@ def test_named_files_are_published_and_corrupt_ones_kept(spark, tmp_path):
     checked = files.check_files(files.finished_files(spark, str(source)))
     quarantine_files(spark, checked, catalog, defaults)
     rows = rows_of_named_files(files.read_finished_text(spark, str(source)))
-    publish_hours(spark, rows, rows.select("topic", "hour").distinct(), catalog, defaults)
+    publish_rows(rows.withColumn("publication", F.lit("run")), rows.select("topic", "hour"), catalog, defaults)
     got = lake.read_lake(spark, f"{tmp_path}/lake", "test", "datehour", "value string", "text").collect()
     assert sorted(map(tuple, got)) == [("one", "20160320", "2016032009"), ("three", "20160320", "2016032010"), ("two", "20160320", "2016032009")]
     kept = lake.read_lake(spark, f"{tmp_path}/q", "test", "datehour", "path string, content binary").collect()
@@ -149,11 +176,26 @@ def test_named_files_are_published_and_corrupt_ones_kept(spark, tmp_path):
 def test_hours_are_noted_from_directory_names(spark, tmp_path):
     topics = ["plain", "a b", "x=y", "50%", "p+q", "t:1"]
     rows = spark.createDataFrame([(t, "2016-03-20-09", "m", "gzip") for t in topics], "topic string, hour string, message string, codec string")
-    landing.land_by_codec(rows, f"{tmp_path}/out", ["gzip"])
-    noted = landed_hours(spark, f"{tmp_path}/out")
+    landing.land_by_codec(rows, f"{tmp_path}/out")
+    noted = spark.read.schema(landing.HOURS_SCHEMA).parquet(f"{tmp_path}/out/hours/text").select("topic", "hour")
     assert sorted(map(tuple, noted.collect())) == sorted((t, "2016-03-20-09") for t in topics)
     landed = landing.landed_text(spark, f"{tmp_path}/out")
     assert sorted(r["topic"] for r in landed.collect()) == sorted(topics)
+    defaults = PublishDefaults(base_partition=f"{tmp_path}/lake")
+    publish_batches(spark, f"{tmp_path}/out", landed_batches(spark, f"{tmp_path}/out"), make_catalog(spark, []), defaults)
+    assert spark.read.option("recursiveFileLookup", True).text(f"{tmp_path}/lake").count() == len(topics)
+
+
+def test_rows_without_a_sink_come_back(spark, tmp_path):
+    rows = spark.createDataFrame(
+        [("a", "2016-03-20-09", "m", "zip"), ("a", "2016-03-20-09", "m", None), ("", "2016-03-20-09", "m", "gzip"), ("a", "2016-03-20-09", "m", "gzip")],
+        "topic string, hour string, message string, codec string",
+    )
+    back = landing.land_by_codec(rows, f"{tmp_path}/out")
+    assert sorted(r["error"] for r in back.collect()) == ["message has no topic", "no sink for codec NULL", "no sink for codec zip"]
+    assert landing.landed_text(spark, f"{tmp_path}/out").count() == 1
+    with pytest.raises(RuntimeError, match="spark-avro"):
+        landing.land_by_codec(rows.withColumn("codec", F.lit("avro")), f"{tmp_path}/out")
 
 
 def test_lower_cased_schemas():
@@ -182,7 +224,7 @@ def test_schemas_by_topic(spark):
     assert {t: s.simpleString() for t, s in got.items()} == {"known": "struct<z:int>", "p": "struct<a:bigint,b:string>"}
 
 
-def test_partition_statement_is_retried(spark, monkeypatch):
+def test_partition_statement_is_retried(spark):
     calls = []
 
     class Broken:
@@ -191,12 +233,14 @@ def test_partition_statement_is_retried(spark, monkeypatch):
             if len(calls) < 3:
                 raise RuntimeError("try again")
 
-    tables.add_partition(Broken(), "t", "20160320", "2016032009", "/x", pause=0)
-    assert len(calls) == 3 and "IF NOT EXISTS PARTITION (dt='20160320', hr='2016032009') LOCATION '/x'" in calls[0]
+    places = [("20160320", "2016032009", "/x"), ("20160320", "2016032010", "/y")]
+    assert tables.add_partitions(Broken(), "t", places, pause=0) is None
+    assert len(calls) == 3 and calls[0].endswith(
+        "IF NOT EXISTS PARTITION (dt='20160320', hr='2016032009') LOCATION '/x' PARTITION (dt='20160320', hr='2016032010') LOCATION '/y'"
+    )
     calls.clear()
-    with pytest.raises(RuntimeError):
-        tables.add_partition(Broken(), "t", "d", "h", "/x", retries=1, pause=0)
-    assert len(calls) == 2
+    assert tables.add_partitions(Broken(), "t", places, retries=1, pause=0) == "try again" and len(calls) == 2
+    assert "TABLE_OR_VIEW_NOT_FOUND" in tables.add_partitions(spark, "nowhere.t", places, pause=60)
 
 
 def test_generated_messages(spark):

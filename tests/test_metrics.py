@@ -46,7 +46,7 @@ def test_flags_count_anew(spark):
 def test_counters_expire_a_day_after_their_last_increment(spark, tmp_path):
     counters = spark.createDataFrame([("in", "a", "201603200910", 5)], "phase string, topic string, minute string, n bigint")
     for batch in ("1", "2", "2"):
-        reports.publish_counters(counters, str(tmp_path), batch)
+        reports.publish_counters(counters, str(tmp_path), "q", batch)
     assert [r["n"] for r in reports.live_counters(spark, str(tmp_path)).collect()] == [10]
     later = F.current_timestamp() + F.expr("INTERVAL 23 HOURS")
     assert reports.live_counters(spark, str(tmp_path), later).count() == 1

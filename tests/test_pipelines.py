@@ -131,3 +131,12 @@ def test_batch_plugin_set_up_per_partition(spark, tmp_path):
 
     assert result(Marked().apply(rows(spark, "a"))) == {"a": 1}
     assert (tmp_path / "done").read_text() == "yes"
+
+
+def test_pattern_flags(spark):
+    df = rows(spark, "Ab", "ab", "x\ny")
+    got = Match([(re.compile("^A", re.I), Retag("a")), (re.compile("x.y", re.S), Retag("s"))]).apply(df)
+    assert sorted(r["type"] for r in got.collect()) == ["a", "a", "s"]
+    for refused in (re.compile("(?P<n>a)"), re.compile("a", re.A)):
+        with pytest.raises(ValueError):
+            Match([(refused, Retag("a"))]).apply(df)

@@ -1,3 +1,5 @@
+import threading
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -10,7 +12,7 @@ from rillflow.sources import kafka
 from rillflow.sources.files import stream_messages
 from rillflow.sources.generator import RECORD_SCHEMA
 from rillflow.streaming import ingest
-from rillflow.streaming.topics import reconcile
+from rillflow.streaming.topics import follow_catalog, reconcile
 
 
 def raw(spark, rows):
@@ -35,13 +37,14 @@ def test_stream_restarts_from_its_checkpoint_and_picks_up_the_catalog(spark, tmp
     raw(spark, [("a", "1458465011123|two"), ("b", "1|2")] + [("a", "y|bad")] * 3).coalesce(1).write.mode("append").parquet(source)
     run()
     run()
-    landed = landing.landed_text(spark, f"{tmp_path}/land").collect()
+    landed = landing.landed_text(spark, f"{tmp_path}/land").select("value", "topic", "hour").collect()
     assert sorted(map(tuple, landed)) == [("one", "a", "2016-03-20-09"), ("two", "a", "2016-03-20-09")]
     assert spark.read.parquet(f"{tmp_path}/bad").count() == 5
     live = reports.live_counters(spark, f"{tmp_path}/n")
     assert live.filter("phase = 'in'").agg(F.sum("n")).first()[0] == 2
     # One error and then three more passed the threshold of three; b has only one.
-    totals = {r["topic"]: tuple(r)[1:] for r in spark.read.parquet(f"{tmp_path}/e/batch=1").collect()}
+    run = ingest.query_id(spark, plan.checkpoint)
+    totals = {r["topic"]: tuple(r)[1:] for r in spark.read.parquet(f"{tmp_path}/e/run={run}/batch=1").collect()}
     assert totals == {"a": (4, 1, True), "b": (1, 0, False)}
     assert load_catalog(spark, state).first()["enabled"] == 0
 
@@ -53,11 +56,16 @@ def test_batch_run_again_leaves_the_same_files(spark, tmp_path):
     flagged = []
     plan.errors, plan.error_threshold, plan.on_flagged = f"{tmp_path}/e", 0, lambda df: flagged.append([r["topic"] for r in df.collect()])
     for _ in range(2):
-        ingest.ingest_batch(plan, batch, 7)
-    assert flagged == [["a"], ["a"]] and spark.read.parquet(f"{tmp_path}/e/batch=7").first()["errors"] == 1
+        ingest.IngestStream(plan, "q")(batch, 7)
+    assert flagged == [["a"], ["a"]] and spark.read.parquet(f"{tmp_path}/e/run=q/batch=7").first()["errors"] == 1
     assert landing.landed_text(spark, f"{tmp_path}/land").count() == 1
     assert spark.read.parquet(f"{tmp_path}/bad").count() == 1
     assert {r["phase"]: r["n"] for r in reports.live_counters(spark, f"{tmp_path}/n").collect()} == {"in": 1, "error": 1}
+    # Another query with the same batch id has folders of its own.
+    ingest.IngestStream(plan, "r")(batch, 7)
+    assert landing.landed_text(spark, f"{tmp_path}/land").count() == 2
+    assert reports.expire_counters(spark, f"{tmp_path}/n") == 0
+    assert reports.expire_counters(spark, f"{tmp_path}/n", expiry_seconds=-1) == 2
 
 
 def test_topics_follow_the_catalog(spark):
@@ -73,47 +81,47 @@ def test_topics_follow_the_catalog(spark):
     assert reconcile(catalog, "g", running, lambda topic: Query()) == (["a"], ["c"])
     assert set(running) == {"a", "b"} and not c.isActive and b.isActive
     assert reconcile(catalog, "g", running, lambda topic: Query()) == ([], [])
+    # A query that failed is started again.
+    running["b"].stop()
+    assert reconcile(catalog, "g", running, lambda topic: Query()) == (["b"], [])
+    stopped = threading.Event()
+    stopped.set()
+    ended = follow_catalog(lambda: catalog, "g", lambda topic: Query(), stopped, 1)
+    assert set(ended) == {"a", "b"} and not any(q.isActive for q in ended.values())
 
 
 def test_kafka_options(spark):
     assert kafka.stream_options("b:9092", ["y", "x"], earliest=True) == {
-        "kafka.bootstrap.servers": "b:9092", "subscribe": "x,y", "startingOffsets": "earliest", "maxOffsetsPerTrigger": "10000",
+        "kafka.bootstrap.servers": "b:9092", "subscribe": "x,y", "startingOffsets": "earliest",
     }
-    assert kafka.stream_options("b:9092", ["x"], max_per_trigger=None)["startingOffsets"] == "latest"
+    limited = kafka.stream_options("b:9092", ["x"], max_per_trigger=50)
+    assert limited["startingOffsets"] == "latest" and limited["maxOffsetsPerTrigger"] == "50"
     assert kafka.replay_options("b:9092", "x")["endingOffsets"] == "latest"
     if not kafka.has_kafka_package(spark):
         with pytest.raises(RuntimeError):
             kafka.stream_topics(spark, "b:9092", ["x"])
 
 
-def test_thousand_avro_records_in_order(spark):
-    ids = spark.range(1000)
-    schema = '{"type":"record","name":"T","fields":[{"name":"timestamp","type":"long"},{"name":"line","type":"string"}]}'
-    record = F.struct(F.unix_millis(F.current_timestamp()).alias("timestamp"), F.col("id").cast("string").alias("line"))
-    framed = ids.select("id", F.lit("t").alias("topic"), avro.frame(spark, record, schema, 3).alias("value"))
+def test_avro_needs_its_package(spark):
+    if avro.has_avro_package(spark):
+        pytest.skip("the package is here")
     catalog = make_catalog(spark, [{"log": "t", "format": "avro-txt:ts=0;msg=1"}])
-    got = parse_messages(framed, catalog, {"t": schema}).orderBy("id").collect()
-    assert [r["message"] for r in got] == [str(i) for i in range(1000)]
-    assert all(r["error"] is None and r["ts"] is not None for r in got)
+    with pytest.raises(RuntimeError, match="spark-avro"):
+        parse_messages(raw(spark, [("t", "junk")]), catalog, {"t": RECORD_SCHEMA})
 
 
-def test_avro_values_and_bad_frames(spark):
-    schema = (
-        '{"type":"record","name":"T","fields":[{"name":"a","type":"long"},{"name":"b","type":["null","string"]},'
-        '{"name":"c","type":"double"},{"name":"d","type":"boolean"},{"name":"e","type":"float"},{"name":"f","type":"bytes"},{"name":"g","type":"int"}]}'
-    )
-    values = [(0, None, 1.5, True, 0.5, bytearray(b"\x00\xff"), -1), (-(2**63), "é", -0.25, False, 2.0, bytearray(), 2**31 - 1), (2**63 - 1, "", 0.0, True, 0.0, bytearray(b"x"), 0)]
-    df = spark.createDataFrame(values, "a bigint, b string, c double, d boolean, e float, f binary, g int")
-    framed = df.select("a", avro.frame(spark, F.struct("*"), schema, 1).alias("v"))
-    back = framed.select(avro.unframe(spark, F.col("v"), schema).alias("r")).select("r.*").collect()
-    assert sorted(map(tuple, back)) == sorted(map(tuple, df.collect()))
-    bad = spark.createDataFrame([(bytearray(b"\x01\x00\x00\x00\x01\x02"),), (bytearray(b"\x00"),), (None,), (bytearray(b"\x00\x00\x00\x00\x01\x02\x7f"),)], "v binary")
-    assert [r["r"] for r in bad.select(avro.unframe(spark, F.col("v"), RECORD_SCHEMA).alias("r")).collect()] == [None] * 4
-
-
-def test_bad_avro_rows_keep_their_bytes(spark):
-    catalog = make_catalog(spark, [{"log": "t", "format": "avro-txt:ts=0;msg=1"}, {"log": "u", "format": "avro-txt:ts=0"}])
-    got = parse_messages(raw(spark, [("t", "junk"), ("u", "junk")]), catalog, {"t": RECORD_SCHEMA, "u": RECORD_SCHEMA})
-    assert {r["topic"]: (r["error"], bytes(r["value"])) for r in got.collect()} == {
-        "t": ("record cannot be decoded", b"junk"), "u": ("format names no msg index", b"junk"),
-    }
+def test_frames(spark):
+    rows = spark.createDataFrame([(bytearray(b"\x00\x00\x00\x00\x07ab"),), (bytearray(b"\x01\x00\x00\x00\x07ab"),), (bytearray(b"\x00"),), (None,)], "v binary")
+    got = [r[0] for r in rows.select(avro.strip_header(F.col("v"))).collect()]
+    assert [None if g is None else bytes(g) for g in got] == [b"ab", None, None, None]
+    assert bytes(spark.range(1).select(avro.add_header(F.lit(b"ab"), 7)).first()[0]) == b"\x00\x00\x00\x00\x07ab"
+
+
+def test_record_fields_by_position(spark):
+    df = spark.createDataFrame([((5, "x", 1.5),), ((None, None, None),), (None,)], "r struct<a: bigint, b: string, c: double>")
+    schema, record = df.schema["r"].dataType, F.col("r")
+    got = df.select(
+        avro.record_millis(record, schema, 0).alias("ms"), avro.record_text(record, schema, 1).alias("b"), avro.record_text(record, schema, 7).alias("none"),
+        avro.record_text(record, schema, -1).alias("all"),
+    ).collect()
+    assert tuple(got[0]) == (5, "x", None, '{"a":5,"b":"x","c":1.5}') and got[1]["b"] is None and got[1]["ms"] > 10**12
