@@ -225,7 +225,10 @@ def _marked(docs: DataFrame, block: Block, again: bool) -> DataFrame:
 
 
 def mark(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """``docs`` with ``_n_words``, the word ranges that benchmark windows cover and the items these are of."""
+    """``docs`` with ``_n_words``, the word ranges that benchmark windows cover and the items these are of.
+
+    Columns of these names that ``docs`` has are replaced.
+    """
     out, blocks = docs, _item_blocks(benchmark, block_bytes)
     for number, part in enumerate(blocks):
         block = Block.of([(r["item_id"], r["text"]) for r in part.collect()])

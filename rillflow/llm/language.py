@@ -135,8 +135,12 @@ def learn(docs: DataFrame, per_language: int = PER_LANGUAGE) -> tuple[list[str],
 
 
 def predict(docs: DataFrame, model: tuple[list[str], np.ndarray]) -> DataFrame:
-    """``docs`` with ``_lang`` and ``_score``, the cosine of the nearest prototype, at least 0."""
+    """``docs`` with ``_lang`` and ``_score``, the cosine of the nearest prototype, at least 0.
+
+    Columns of these names that ``docs`` has are replaced.
+    """
     languages, prototypes = model
+    docs = docs.drop("_lang", "_score")
     shared = docs.sparkSession.sparkContext.broadcast((languages, prototypes))
     columns = docs.columns
 

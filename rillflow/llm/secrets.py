@@ -154,13 +154,15 @@ def listed(span_array: Column) -> Column:
 def redacted(docs: DataFrame) -> DataFrame:
     """``docs`` with every span of ``text`` replaced by a mark; ``n_chars``, where there is one, follows.
 
-    Only texts in which a part is found are joined with their spans.
+    Only texts in which a part is found are joined with their spans. Other
+    columns pass through; the names ``_found_key`` and ``_found_spans`` are taken.
     """
+    docs = docs.drop("_found_key", "_found_spans")
     text = F.coalesce("text", F.lit(""))
     suspect = text.rlike(ASSIGN) | text.rlike(ACCESS) | text.rlike(HEX) | _has_identifier(text)
     dirty = docs.where(suspect)
-    by_text = find_secrets(dirty.select("text").distinct()).where(F.size("spans") > 0).select(F.col("text_key").alias("_text_key"), F.col("spans").alias("_spans"))
-    joined = dirty.withColumn("_text_key", F.sha2("text", 256)).join(by_text, "_text_key", "left")
+    by_text = find_secrets(dirty.select("text").distinct()).where(F.size("spans") > 0).select(F.col("text_key").alias("_found_key"), F.col("spans").alias("_found_spans"))
+    joined = dirty.withColumn("_found_key", F.sha2("text", 256)).join(by_text, "_found_key", "left")
 
     def cover(done: Column, s: Column) -> Column:
         fresh = s["start"] >= done["to"]
@@ -171,9 +173,9 @@ def redacted(docs: DataFrame) -> DataFrame:
         )
 
     start = F.struct(F.lit("").alias("out"), F.lit(0).cast("bigint").alias("to"))
-    clean = F.aggregate("_spans", start, cover, lambda d: F.concat(d["out"], F.substring(F.col("text"), (d["to"] + 1).cast("int"), F.length("text"))))
+    clean = F.aggregate("_found_spans", start, cover, lambda d: F.concat(d["out"], F.substring(F.col("text"), (d["to"] + 1).cast("int"), F.length("text"))))
     new = {"text": F.coalesce(clean, F.col("text"))}
     out = joined.withColumns(new)
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("_spans").isNull(), F.col("n_chars")).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType)))
+        out = out.withColumn("n_chars", F.when(F.col("_found_spans").isNull(), F.col("n_chars")).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType)))
     return docs.where(~suspect).unionByName(out.select(*docs.columns))
