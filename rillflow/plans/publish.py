@@ -106,14 +106,23 @@ _STAGED = re.compile(r"/dir=([^/]*)/publication=([^/]*)/(part-[^/]*)$")
 
 def _move_into_place(spark: SparkSession, staged: str) -> None:
     """Renames the finished files of a staged write; file names, never rows, pass the driver."""
-    moves = [(path, *map(unquote, found.groups())) for path, _ in files_below(spark, staged) if (found := _STAGED.search(path))]
-    for directory in sorted({m[1] for m in moves}):
-        own = tuple(f"{publication}-part-" for _, d, publication, _ in moves if d == directory)
+    moves: dict[str, list[tuple[str, str]]] = {}
+    for path, _ in files_below(spark, staged):
+        if found := _STAGED.search(path):
+            directory, publication, name = map(unquote, found.groups())
+            moves.setdefault(directory, []).append((path, f"{publication}-{name}"))
+
+    def place(directory: str) -> None:
+        make_folder(spark, directory)
+        own = tuple({name.partition("-part-")[0] + "-part-" for _, name in moves[directory]})
         for name in names_in(spark, directory):
             if name.startswith(own):
                 remove(spark, f"{directory}/{name}")
+        for path, name in moves[directory]:
+            move(spark, path, f"{directory}/{name}")
+
     with ThreadPoolExecutor(PARALLEL_MOVES) as pool:
-        for _ in pool.map(lambda m: move(spark, m[0], f"{m[1]}/{m[2]}-{m[3]}"), moves):
+        for _ in pool.map(place, moves):
             pass
 
 

@@ -11,7 +11,7 @@ from rillflow.operators.catalog import PublishDefaults
 from rillflow.operators.parse import parse_messages, parse_with_descriptor
 from rillflow.operators.quality import keyed_rows, split_by_error, with_hour_key
 from rillflow.plans.ingest import IngestPipeline, IngestPlan, parsed_rows, run_ingest
-from rillflow.plans.publish import landed_batches, publish_batches, register_partitions, remove_published
+from rillflow.plans.publish import landed_batches, publish_batches, publish_settings, register_partitions, remove_published
 from rillflow.queries import Registry
 from rillflow.queries.feeds import (
     bytes_of,
@@ -152,25 +152,25 @@ def _published(spark, root):
 
 @QUERIES.add(_PUBLISHED_SQL)
 def publish_lake(spark, sf_dir):
-    """Landed hours to the lake by catalog; publishing them twice changes nothing."""
+    """Landed batches to the lake by catalog; publishing one of them again changes nothing."""
     path = _land_all(spark, sf_dir, "landing")
     root = work_dir(spark, "lake")
     catalog = _publish_catalog(spark, root, "unused")
     batches = landed_batches(spark, path)
-    for _ in range(2):
-        publish_batches(spark, path, batches, catalog, PublishDefaults(base_partition=f"{root}/default")).unpersist()
+    for chosen in (batches, batches[1:]):
+        publish_batches(spark, path, chosen, catalog, PublishDefaults(base_partition=f"{root}/default")).unpersist()
     return _published(spark, root)
 
 
-@QUERIES.add(_PUBLISHED_SQL)
+@QUERIES.add(f"""
+    SELECT 'default/events' AS place, strftime(ts, '%Y%m%d') AS date, strftime(ts, '%Y%m%d%H') AS hour, {_LINE} AS line FROM events""")
 def publish_late_rows(spark, sf_dir):
     """Half of every hour published, the landing folder cleaned, then the late half: all rows are in the lake."""
     path, root = work_dir(spark, "landing"), work_dir(spark, "lake")
-    rows = with_hour_key(parsed_events(spark, sf_dir)).withColumn("codec", F.lit("gzip"))
-    catalog, defaults = _publish_catalog(spark, root, "unused"), PublishDefaults(base_partition=f"{root}/default")
+    rows = with_hour_key(parsed_events(spark, sf_dir)).withColumns({"codec": F.lit("gzip"), "topic": F.lit("events")})
     for batch in range(2):
         landing.land_by_codec(rows.filter(F.col("event_id") % 2 == batch), path, run="events", batch=str(batch))
-        publish_batches(spark, path, landed_batches(spark, path), catalog, defaults).unpersist()
+        publish_batches(spark, path, landed_batches(spark, path), event_catalog(spark), PublishDefaults(base_partition=f"{root}/default")).unpersist()
         remove_published(spark, path)
     return _published(spark, root)
 
@@ -188,9 +188,8 @@ def publish_shared_destination(spark, sf_dir):
     rows = with_hour_key(parsed_events(spark, sf_dir)).withColumn("codec", F.lit("gzip"))
     # The topic without a row is published under its own name, here the shared one.
     named = rows.withColumn("topic", F.when(F.col("topic") == "view", F.lit("one")).otherwise(F.col("topic")))
-    for batch in range(2):
-        landing.land_by_codec(named.filter(F.col("event_id") % 2 == batch), path, run="events", batch=str(batch))
-        publish_batches(spark, path, landed_batches(spark, path), catalog, PublishDefaults(base_partition=f"{root}/all")).unpersist()
+    landing.land_by_codec(named, path, run="events")
+    publish_batches(spark, path, landed_batches(spark, path), catalog, PublishDefaults(base_partition=f"{root}/all")).unpersist()
     return _published(spark, root)
 
 
@@ -200,13 +199,12 @@ def publish_shared_destination(spark, sf_dir):
         FROM events WHERE event_type IN ('click', 'purchase')) GROUP BY 1, 2""")
 def register_with_missing_table(spark, sf_dir):
     """One of two tables is missing: its partitions are reported, the other's registered."""
-    path, root = _land_all(spark, sf_dir, "landing"), work_dir(spark, "lake")
+    root = work_dir(spark, "lake")
     database = "rf_" + root.rsplit("-", 1)[1]
     tables.create_database(spark, database, f"{root}/db")
     tables.create_landing_table(spark, f"{database}.t_click", "value string", "text")
-    settings = publish_batches(spark, path, landed_batches(spark, path), _publish_catalog(spark, root, database), PublishDefaults(base_partition=f"{root}/default"))
-    audit = register_partitions(spark, settings)
-    settings.unpersist()
+    hours = metrics.topic_hour_counts(keyed_rows(with_hour_key(parsed_events(spark, sf_dir)))).select("topic", "hour")
+    audit = register_partitions(spark, publish_settings(hours, _publish_catalog(spark, root, database)))
     return audit.groupBy("log", "status").agg(F.count("*").alias("n"))
 
 

@@ -46,10 +46,9 @@ def names_in(spark: SparkSession, path: str) -> list[str]:
 
 
 def move(spark: SparkSession, path: str, target: str) -> None:
-    """Renames one file. Both paths are in one store."""
+    """Renames one file into a folder that is there. Both paths are in one store."""
     system, place = _place(spark, path)
     goal = spark._jvm.org.apache.hadoop.fs.Path(target)
-    system.mkdirs(goal.getParent())
     if not system.rename(place, goal):
         raise OSError(f"cannot move {path} to {target}")
 
