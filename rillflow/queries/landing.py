@@ -43,7 +43,7 @@ def text_roundtrip(spark, sf_dir):
 @QUERIES.add(f"SELECT {_LINE} AS value FROM events")
 def landed_lines(spark, sf_dir):
     path = work_dir(spark, "lines")
-    landing.land_text(with_hour_key(parsed_events(spark, sf_dir)), path, codec="none", writers=4)
+    landing.land_text(with_hour_key(parsed_events(spark, sf_dir)), path, codec="none", writers=2)
     return files.read_landed_lines(spark, path)
 
 
@@ -316,8 +316,7 @@ def messages_per_file(spark, sf_dir):
 def upload_meters(spark, sf_dir):
     """Files and bytes of the landed data, after the integrity check: here a file per topic and hour."""
     path = work_dir(spark, "metered")
-    rows = with_hour_key(parsed_events(spark, sf_dir)).repartition(1)
-    landing.land_text(rows, path, writers=0)
+    landing.land_text(with_hour_key(parsed_events(spark, sf_dir)), path, writers=1)
     meters = metrics.file_meters(files.check_files(files.list_files(spark, path, "*.gz")))
     return meters.select("files", (F.col("bytes") > 0).alias("has_bytes"))
 

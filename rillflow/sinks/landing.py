@@ -43,7 +43,7 @@ def gather(rows: DataFrame, keys: tuple[str, ...], writers: int | None = None) -
         return rows
     if writers:
         salt = F.pmod(F.monotonically_increasing_id(), F.lit(writers))
-        return rows.withColumn("_writer", salt).repartition(writers, *keys, "_writer").drop("_writer")
+        return rows.withColumn("_writer", salt).repartition(*keys, "_writer").drop("_writer")
     return rows.hint("rebalance", *keys)
 
 
