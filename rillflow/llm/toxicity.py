@@ -124,7 +124,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, categories: dict, sample
 
 
 def _flat(frame: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    lengths = frame["features"].map(len).to_numpy()
+    lengths = np.array([len(x) for x in frame["features"]], np.int64)
     return np.repeat(np.arange(len(frame)), lengths), np.concatenate([np.asarray(x, np.int64) for x in frame["features"]]) if len(frame) else np.zeros(0, np.int64)
 
 
