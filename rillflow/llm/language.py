@@ -28,6 +28,8 @@ from rillflow.llm.shared import slices
 DIMENSIONS = 1024
 PER_LANGUAGE = 4000
 LEARNING_PARTS = 8
+#: Vectors of three-grams held at once, a byte for each dimension.
+MOST_GRAMS = 20_000
 #: Cosines below this reject a text in the pipeline: noise of letters scores lower.
 LEAST_SCORE = 0.25
 UNKNOWN = "und"
@@ -84,12 +86,14 @@ def text_vectors(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         times.append(number.astype(np.float32))
     if grams:
         distinct, place = np.unique(np.concatenate(grams), return_inverse=True)
-        vectors = gram_vectors(distinct).astype(np.float32) if len(distinct) <= 60_000 else None
+        vectors = gram_vectors(distinct) if len(distinct) <= MOST_GRAMS else None
         at = 0
         for i, own, number in zip(owners, grams, times):
-            rows = vectors[place[at:at + len(own)]] if vectors is not None else gram_vectors(own).astype(np.float32)
+            for first in range(0, len(own), MOST_GRAMS):
+                part = slice(first, first + MOST_GRAMS)
+                rows = vectors[place[at:at + len(own)][part]] if vectors is not None else gram_vectors(own[part])
+                out[i] += number[part] @ rows.astype(np.float32)
             at += len(own)
-            out[i] = number @ rows
             out[i] /= max(1e-9, float(np.linalg.norm(out[i])))
     lettered = np.zeros(len(texts), bool)
     lettered[owners] = True
