@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from rillflow.llm.shared import slices
+from rillflow.operators.lookup import lookup_join
 
 DIMENSIONS = 1024
 PER_LANGUAGE = 4000
@@ -103,10 +104,11 @@ def text_vectors(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
 def _training(docs: DataFrame, per_language: int) -> DataFrame:
     """``text, lang`` of labelled rows, about ``per_language`` of each language at most, chosen by a hash."""
     labelled = docs.where("lang IS NOT NULL AND text IS NOT NULL").select("text", "lang", F.xxhash64("doc_id", "text").alias("h"))
-    counts = labelled.groupBy("lang").agg(F.count("*").alias("n"))
+    counts = labelled.groupBy(F.col("lang").alias("of")).agg(F.count("*").alias("n"))
     share = F.least(F.lit(1.0), F.lit(float(per_language)) / F.col("n"))
     drawn = F.pmod("h", F.lit(1 << 20)) < share * (1 << 20)
-    return labelled.join(counts, "lang").where(drawn).select("text", "lang")
+    # The counts are measured and sent to the texts: a language's texts never meet in one task.
+    return lookup_join(labelled, counts, "lang", "of", "inner").where(drawn).select("text", "lang")
 
 
 def learn(docs: DataFrame, per_language: int = PER_LANGUAGE) -> tuple[list[str], np.ndarray]:
