@@ -6,6 +6,9 @@ next to it in the order of their estimated success: the smaller the squared
 distances to the boundaries that a set of steps crosses, the sooner. What the
 tables yield is merged and ranked by the exact distance.
 
+Queries that found fewer ids than there are to find go on: with wider cells, by
+their own distances to the rows, and at last against all rows, in blocks.
+
 Equal vectors are one candidate with its smallest ids, as many as a result can
 need. Buckets are dealt to slots, whose number follows the rows and is bounded;
 a slot with many rows is cut into blocks of rows and of queries, so no task
@@ -32,6 +35,9 @@ from rillflow.llm.shared import stage
 TABLES, FUNCTIONS, WIDTH, PROBES = 6, 5, 1.0, 100
 SAMPLE = 512
 BLOCK = 4096
+#: Rounds with wider cells before the rest is compared with all rows, which is done at once below this number of pairs.
+WIDER_ROUNDS = 3
+EXACT_PAIRS = 1 << 27
 MOST_SLOTS = 1 << 20
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -100,6 +106,18 @@ class Hashes:
         return self.keys(out, tables)
 
 
+class Everything:
+    """One bucket that holds and is visited by all: the exact end."""
+
+    tables = 1
+
+    def buckets(self, x: np.ndarray) -> np.ndarray:
+        return np.zeros((len(x), 1), np.int64)
+
+    def probes(self, x: np.ndarray, number: int) -> np.ndarray:
+        return np.zeros((len(x), 1, 1), np.int64)
+
+
 def _in_order(inside: np.ndarray, number: int) -> Iterator[list[tuple[int, int]]]:
     """Sets of steps to neighbouring cells, the likeliest first; the empty set leads.
 
@@ -135,19 +153,50 @@ def nearest(vectors: DataFrame, key: str, vector: str, is_query, k: int = 10, ta
     """``query_id, rank, vec_id, score``: the ``k`` nearest found of every row for which the column ``is_query(id)`` holds.
 
     The scale of the cells is the median distance within the ``SAMPLE`` vectors
-    with the smallest hashes; all vectors are indexed.
+    with the smallest hashes; all vectors are indexed. Every query gets ``k``
+    rows, or as many as there are other ids.
     """
     spark = vectors.sparkSession
     rows = usable(vectors, key, vector)
     classes = stage(classes_of(rows, k + 1), "vectors")
-    queries = rows.where(is_query(F.col("id"))).distinct().select("id", "v")
+    queries = stage(rows.where(is_query(F.col("id"))).distinct().select("id", "v"), "queries")
     drawn = classes.orderBy(F.xxhash64("v"), "ids").limit(SAMPLE).toArrow()
     if not drawn.num_rows:
         return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
     sample = _matrix(drawn["v"].combine_chunks())
     apart = np.sqrt(((sample[:, None] - sample[None]) ** 2).sum(2))[np.triu_indices(len(sample), 1)]
-    hashes = Hashes(sample.shape[1], float(np.median(apart)) if len(apart) and np.median(apart) > 0 else 1.0, tables, functions, width)
-    slots = 1 << min(MOST_SLOTS.bit_length() - 1, max(4, (classes.count() * tables // BLOCK).bit_length()))
+    scale = float(np.median(apart)) if len(apart) and np.median(apart) > 0 else 1.0
+    number = classes.count()
+    enough = min(k, rows.select("id").distinct().limit(k + 1).count() - 1)
+    best = stage(_found(classes, number, queries, Hashes(sample.shape[1], scale, tables, functions, width), k, probes), "nearest")
+    for n in range(WIDER_ROUNDS + 1):
+        full = best.groupBy("query_id").count().where(F.col("count") >= enough).select(F.col("query_id").alias("id"))
+        short = stage(queries.join(full, "id", "left_anti").select("id", "v"), "queries")
+        left = short.count() if enough else 0
+        if not left:
+            break
+        exact = n == WIDER_ROUNDS or left * number <= EXACT_PAIRS
+        if not exact:
+            own = _matrix(short.select("v").orderBy(F.xxhash64("v")).limit(SAMPLE).toArrow()["v"].combine_chunks())
+            scale = max(2 * scale, float(np.median([np.median(np.sqrt(((sample - x) ** 2).sum(1))) for x in own])))
+        hashes = Everything() if exact else Hashes(sample.shape[1], scale, tables, functions, width)
+        more = _found(classes, number, short, hashes, k, probes)
+        best = stage(_best(best.select("query_id", "vec_id", "score").unionByName(more.select("query_id", "vec_id", "score")), k), "nearest")
+        if exact:
+            break
+    return best
+
+
+def _best(found: DataFrame, k: int) -> DataFrame:
+    best = found.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
+    rank = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))
+    return best.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+
+def _found(classes: DataFrame, number: int, queries: DataFrame, hashes: Hashes | Everything, k: int, probes: int) -> DataFrame:
+    """The ``k`` nearest of every query in the buckets that it visits."""
+    spark = classes.sparkSession
+    slots = 1 << min(MOST_SLOTS.bit_length() - 1, max(4, (number * hashes.tables // BLOCK).bit_length()))
     shared = spark.sparkContext.broadcast(hashes)
 
     def counted(keys_of):
@@ -226,9 +275,7 @@ def nearest(vectors: DataFrame, key: str, vector: str, is_query, k: int = 10, ta
         return _search(rows, queries, k)
 
     found = base.groupBy(*unit).cogroup(asked.groupBy(*unit)).applyInPandas(search, "query_id bigint, vec_id bigint, score double")
-    best = found.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))
-    return best.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    return _best(found, k)
 
 
 def _search(rows: pd.DataFrame, queries: pd.DataFrame, k: int) -> pd.DataFrame:
@@ -238,12 +285,14 @@ def _search(rows: pd.DataFrame, queries: pd.DataFrame, k: int) -> pd.DataFrame:
         order = np.argsort(rows["key"].to_numpy(), kind="stable")
         keys, vectors = rows["key"].to_numpy()[order], np.stack(rows["v"].to_numpy()[order]).astype(np.float64)
         ids = rows["ids"].to_numpy()[order]
+        only = np.array([x[0] for x in ids], np.int64), np.array([len(x) == 1 for x in ids])
         for own, visited, vector in zip(queries["id"], queries["keys"], queries["v"]):
             starts, ends = np.searchsorted(keys, visited, "left"), np.searchsorted(keys, visited, "right")
             spans = [np.arange(a, b) for a, b in zip(starts, ends) if a < b]
             if not spans:
                 continue
             at = np.concatenate(spans)
+            at = at[~(only[1][at] & (only[0][at] == own))]  # other vectors of the query's own id
             score = np.sqrt(((vectors[at] - np.asarray(vector, np.float64)) ** 2).sum(1))
             if len(at) > k + 1:
                 kept = score <= np.partition(score, k)[k]

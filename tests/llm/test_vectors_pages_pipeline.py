@@ -51,6 +51,32 @@ def test_odd_vectors(spark, monkeypatch):
     assert ann.nearest(frame.where("vec_id = 100"), "vec_id", "embedding", lambda k: k % 100 == 0).count() == 0
 
 
+@pytest.mark.parametrize("case", ["tiny", "cluster", "norms", "own"])
+@pytest.mark.parametrize("exact_pairs", [ann.EXACT_PAIRS, 0])
+def test_every_query_finds_all_it_can(spark, monkeypatch, case, exact_pairs):
+    monkeypatch.setattr(ann, "EXACT_PAIRS", exact_pairs)
+    random_ = np.random.default_rng(5)
+    x = random_.normal(size=(5 if case == "tiny" else 800, 16))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    ids = np.arange(len(x))
+    if case == "cluster":
+        x[200:] = x[200] + 1e-4 * x[200:]
+    if case == "norms":
+        x *= random_.lognormal(0, 2, (len(x), 1))
+    if case == "own":
+        ids[100:140], x[100:140] = 100, x[100] + 1e-6 * x[100:140]
+    frame = spark.createDataFrame([(int(i), v.tolist()) for i, v in zip(ids, x)], "vec_id bigint, embedding array<double>")
+    asked = (lambda c: c >= 0) if case == "tiny" else (lambda c: c % 10 == 0)
+    got = {}
+    for r in ann.nearest(frame, "vec_id", "embedding", asked).collect():
+        got.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))
+    want = {int(i) for i in ids if case == "tiny" or i % 10 == 0}
+    most = min(10, len(set(ids.tolist())) - 1)
+    assert set(got) == want
+    for q, own in got.items():
+        assert [r for r, _, _ in sorted(own)] == list(range(1, most + 1)) and len({v for _, v, _ in own} - {q}) == most
+
+
 def test_steps_come_in_order_of_their_cost():
     inside = np.random.default_rng(3).random(4)
     sets = list(ann._in_order(inside, 81))
