@@ -23,12 +23,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rillflow.llm.shared import slices, stage, task_number
+from rillflow.llm.shared import ranges, slices, stage, task_number
 from rillflow.llm.tokens import encoder, with_end
 
 WINDOW = 1024
 SHARD_DOCS = 2048
-QUERY_TERMS = 48
+#: Terms in more than one of this many tails of a shard have a row of scores each, the others a list.
+COMMON = 8
 K1, B = 1.2, 0.75
 _TOKENS = pa.schema([
     ("row", pa.int64()), ("doc_id", pa.int64()), ("doc_tokens", pa.int64()), ("full_crcs", pa.binary()), ("tail", pa.binary()),
@@ -130,16 +131,19 @@ class Index:
         self.own = np.split(by_doc, np.cumsum(np.bincount(self.holder, minlength=len(tails)))[:-1]) if len(tails) else []
         self.place = np.searchsorted(self.terms, term)
         self.size = len(tails)
+        common = (self.ends - self.starts) * COMMON > self.size
+        self.row_of = np.where(common, np.cumsum(common) - 1, -1)
+        self.rows = np.zeros((int(common.sum()), self.size), np.float32)
+        held = common[self.place]
+        self.rows[self.row_of[self.place[held]], self.holder[held]] = self.weight[held]
 
     def scores(self, seed: int) -> np.ndarray:
-        """Of every tail for the seed's heaviest terms."""
-        postings = self.own[seed]
-        if len(postings) > QUERY_TERMS:
-            postings = postings[np.argpartition(-self.weight[postings], QUERY_TERMS)[:QUERY_TERMS]]
-        at = self.place[postings]
-        lists = [np.arange(a, b) for a, b in zip(self.starts[at], self.ends[at])]
-        found = np.concatenate(lists) if lists else np.zeros(0, np.int64)
-        return np.bincount(self.holder[found], self.weight[found], minlength=self.size)
+        """Of every tail for all of the seed's terms."""
+        at = self.place[self.own[seed]]
+        rows = self.row_of[at]
+        rare = at[rows < 0]
+        found = ranges(self.starts[rare], self.ends[rare] - self.starts[rare])
+        return np.bincount(self.holder[found], self.weight[found], minlength=self.size) + self.rows[rows[rows >= 0]].sum(0)
 
 
 def _pack_shard(frame: pd.DataFrame, weight: np.ndarray, mean_length: float, window: int) -> pd.DataFrame:

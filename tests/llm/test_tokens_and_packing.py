@@ -1,7 +1,7 @@
 """Tokens, token files and packing against the tokenizer itself."""
 
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
@@ -116,3 +116,21 @@ def test_neighbours_share_windows():
     frame = pd.DataFrame({"shard": 0, "row": range(4), "doc_id": range(4), "doc_tokens": 5, "full_crcs": [b""] * 4, "tail": [packing._packed(t) for t in tails]})
     packed = packing._pack_shard(frame, weight, 5.0, window)
     assert packed.groupby("sequence_id")["doc_id"].apply(set).tolist() == [{0, 2}, {1, 3}]
+
+
+def plain_scores(bags, weight, mean_length, seed):
+    """BM25 of all texts, given as term counts, for every term of one."""
+    lengths = [sum(b.values()) for b in bags]
+    norm = [packing.K1 * (1 - packing.B + packing.B * n / mean_length) for n in lengths]
+    return [sum(weight[t] * b[t] * (packing.K1 + 1) / (b[t] + norm[i]) for t in bags[seed] if t in b) for i, b in enumerate(bags)]
+
+
+def test_all_terms_count():
+    random_ = np.random.default_rng(3)
+    weight = random_.random(900)
+    weight[:100] += 10
+    tails = [np.arange(300, dtype="<u4"), np.arange(100, 300, dtype="<u4"), np.arange(400, 500, dtype="<u4")]
+    tails += [random_.integers(100, 900, n).astype("<u4") for n in (5, 50, 500, 1000, 1)]
+    index = packing.Index(tails, weight, 150.0)
+    for seed in range(len(tails)):
+        assert np.allclose(index.scores(seed), plain_scores([Counter(t.tolist()) for t in tails], weight, 150.0, seed), rtol=1e-5)
