@@ -1,9 +1,13 @@
 """Packing by lexical retrieval.
 
 Every document is cut into full windows; what is left of it, its tail, is packed
-with the tails that resemble it. Tails are dealt to shards of a bounded number
-of documents. A shard has an inverted index of its tails' tokens, weighted by
-BM25 with document frequencies and mean length of the whole corpus. A window
+with the tails of documents that resemble it. Documents are dealt to shards by
+likeness over the whole corpus: a random projection of a document's BM25 weights
+goes down a tree of halving planes, learned from a bounded sample; neighbouring
+leaves share a shard, leaves with more documents than a shard holds are split. A
+shard has an inverted index of its documents' tokens, weighted by BM25 with
+document frequencies and mean length of the whole corpus. Neighbours come from
+the seed's shard; README gives the share of the best ones found. A window
 starts with the first unused tail and takes its unused neighbours, best first;
 the one that does not fit is cut, and its rest starts the next window. So only
 a shard's last window is not full.
@@ -16,6 +20,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -31,17 +36,21 @@ SHARD_DOCS = 2048
 #: Terms in more than one of this many tails of a shard have a row of scores each, the others a list.
 COMMON = 8
 K1, B = 1.2, 0.75
+SKETCH = 128
+LEAVES_PER_SHARD = 4
+SAMPLE_PER_LEAF, MOST_SAMPLE = 32, 1 << 15
 _TOKENS = pa.schema([
-    ("row", pa.int64()), ("doc_id", pa.int64()), ("doc_tokens", pa.int64()), ("full_crcs", pa.binary()), ("tail", pa.binary()),
+    ("row", pa.int64()), ("doc_id", pa.int64()), ("doc_tokens", pa.int64()), ("full_crcs", pa.binary()), ("tail", pa.binary()), ("bag", pa.binary()),
     ("terms", pa.list_(pa.int32())), ("holders", pa.list_(pa.int64())),
 ])
-_TOKENS_SQL = "row bigint, doc_id bigint, doc_tokens bigint, full_crcs binary, tail binary, terms array<int>, holders array<bigint>"
+_TOKENS_SQL = "row bigint, doc_id bigint, doc_tokens bigint, full_crcs binary, tail binary, bag binary, terms array<int>, holders array<bigint>"
 PIECE_SCHEMA = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint"
 
 
 def tokenized(docs: DataFrame, tokenizer: str, end: int, window: int = WINDOW) -> DataFrame:
-    """A row per document with checksums of its full windows and its tail's ids, and a row per task
-    with the number of its documents that hold each token (``terms, holders``)."""
+    """A row per document with checksums of its full windows, its tail's ids and, if that is not all of it, its
+    distinct ids and their numbers (``bag``), and a row per task with the number of its documents that hold each
+    token (``terms, holders``)."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = task_number() << 40
@@ -51,7 +60,7 @@ def tokenized(docs: DataFrame, tokenizer: str, end: int, window: int = WINDOW) -
             ids, counts = with_end(*encode(batch.column("text")), end)
             if ids.max() >= len(holders):
                 holders = np.concatenate([holders, np.zeros(int(ids.max()) + 1 - len(holders), np.int64)])
-            out = {name: [] for name in ("row", "doc_id", "doc_tokens", "full_crcs", "tail")}
+            out = {name: [] for name in ("row", "doc_id", "doc_tokens", "full_crcs", "tail", "bag")}
             at = 0
             ids = ids.astype("<u4")
             for key, n in zip(batch.column("doc_id").to_pylist(), counts.tolist()):
@@ -62,6 +71,7 @@ def tokenized(docs: DataFrame, tokenizer: str, end: int, window: int = WINDOW) -
                 out["doc_tokens"].append(n)
                 out["full_crcs"].append(np.array([zlib.crc32(own[i:i + window]) for i in range(0, full, window)], "<u4").tobytes())
                 out["tail"].append(_packed(own[full:]))
+                out["bag"].append(_packed(np.concatenate(np.unique(own, return_counts=True))) if full else None)
                 at, number = at + n, number + 1
             owner = np.repeat(np.arange(len(counts), dtype=np.uint64), counts)
             both = np.unique((owner << np.uint64(32)) | ids)
@@ -88,6 +98,113 @@ def _unpacked(data: bytes) -> np.ndarray:
     return np.frombuffer(data, f"<u{data[0]}", offset=1).astype("<u4")
 
 
+def _bag(tail: bytes, bag: bytes | None) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct ids of the whole document and how often each occurs."""
+    if bag is None:
+        return np.unique(_unpacked(tail), return_counts=True)
+    both = _unpacked(bag)
+    return both[:len(both) // 2], both[len(both) // 2:].astype(np.int64)
+
+
+def sketches(bags: list[tuple[np.ndarray, np.ndarray]], weight: np.ndarray, mean_length: float) -> np.ndarray:
+    """A unit vector for each document: its terms' BM25 weights, randomly projected."""
+    signs = _signs(len(weight))
+    out = np.zeros((len(bags), SKETCH), np.float32)
+    for i, (terms, times) in enumerate(bags):
+        norm = K1 * (1 - B + B * times.sum() / mean_length)
+        out[i] = (weight[terms] * times * (K1 + 1) / (times + norm)).astype(np.float32) @ signs[terms]
+    return out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-9)
+
+
+@lru_cache(1)
+def _signs(terms: int) -> np.ndarray:
+    return np.random.default_rng(20240607).choice(np.array([-1, 1], np.float32), (terms, SKETCH))
+
+
+def tree_of(sample: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """Planes that part the sample ``depth`` times: normals and thresholds, by node.
+
+    A node's two means, found from the halves along its main axis, give the
+    normal; the plane lies where vectors are fewest, between the quarters.
+    """
+    normals, limits = np.zeros(((1 << depth) - 1, sample.shape[1]), np.float32), np.zeros((1 << depth) - 1, np.float32)
+    parts = [sample]
+    for node in range(len(limits)):
+        own = parts[node]
+        if len(own) > 1:
+            centred = own - own.mean(0)
+            axis = centred[np.argmax((centred**2).sum(1))]
+            for _ in range(8):
+                axis = centred.T @ (centred @ axis)
+                axis /= max(1e-12, float(np.linalg.norm(axis)))
+            right = centred @ axis > np.median(centred @ axis)
+            for _ in range(8):
+                if right.all() or not right.any():
+                    break
+                axis = centred[right].mean(0) - centred[~right].mean(0)
+                right = centred @ axis > (centred[right].mean(0) + centred[~right].mean(0)) @ axis / 2
+            along = own @ axis
+            ordered, near = np.sort(along), max(1, len(own) // 32)
+            at = np.arange(max(1, len(own) // 4), max(1, len(own) * 3 // 4) + 1)
+            gaps = ordered[np.minimum(at + near - 1, len(own) - 1)] - ordered[np.maximum(at - near, 0)]
+            best = at[np.argmax(gaps)]
+            normals[node], limits[node] = axis, (ordered[best - 1] + ordered[best]) / 2
+            right = along > limits[node]
+            parts += [own[~right], own[right]]
+        else:
+            parts += [own, own[:0]]
+        parts[node] = None
+    return normals, limits
+
+
+def leaf_of(vectors: np.ndarray, tree: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    normals, limits = tree
+    node = np.zeros(len(vectors), np.int64)
+    for _ in range((len(limits) + 1).bit_length() - 1):
+        node = 2 * node + 1 + (np.einsum("ij,ij->i", vectors, normals[node]) > limits[node])
+    return node - len(limits)
+
+
+def _dealt(counts: dict[int, int], shard_docs: int) -> list[tuple[int, int, int]]:
+    """Leaf, first shard and number of shards: neighbouring leaves share one, large ones are split."""
+    out, shard, filled = [], -1, shard_docs
+    for leaf, n in sorted(counts.items()):
+        parts = -(-n // shard_docs)
+        if filled + n > shard_docs:
+            shard, filled = shard + 1, 0
+        out.append((leaf, shard, parts))
+        shard, filled = shard + parts - 1, (filled + n if parts == 1 else shard_docs)
+    return out
+
+
+def sharded(rows: DataFrame, total: int, weight: np.ndarray, mean_length: float, shard_docs: int) -> DataFrame:
+    """``rows`` with the ``shard`` of each document. Leaves are staged, as they are counted first."""
+    spark = rows.sparkSession
+    depth = max(0, (LEAVES_PER_SHARD * (total - 1) // shard_docs).bit_length()) if total > shard_docs else 0
+    if not depth:
+        return rows.withColumn("shard", F.lit(0).cast("bigint"))
+    shared = spark.sparkContext.broadcast((weight, mean_length))
+
+    def sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            vectors = sketches([_bag(*x) for x in zip(batch.column("tail").to_pylist(), batch.column("bag").to_pylist())], *shared.value)
+            yield pa.RecordBatch.from_arrays([pa.array(vectors.tolist(), pa.list_(pa.float32()))], names=["v"])
+
+    drawn = F.pmod(F.xxhash64("row"), F.lit(1 << 20)) < min(MOST_SAMPLE, SAMPLE_PER_LEAF << depth) / total * (1 << 20)
+    sample = rows.where(drawn).select("tail", "bag").mapInArrow(sketched, "v array<float>").toArrow()["v"].combine_chunks()
+    tree = spark.sparkContext.broadcast(tree_of(sample.flatten().to_numpy().reshape(-1, SKETCH), depth))
+
+    def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            vectors = sketches([_bag(*x) for x in zip(batch.column("tail").to_pylist(), batch.column("bag").to_pylist())], *shared.value)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(leaf_of(vectors, tree.value), pa.int64())], names=[*batch.schema.names, "leaf"])
+
+    kept = stage(rows.mapInArrow(placed, _TOKENS_SQL.partition(", terms")[0] + ", leaf bigint"), "packing-leaves")
+    counts = {r["leaf"]: r["count"] for r in kept.groupBy("leaf").count().collect()}
+    places = spark.createDataFrame(_dealt(counts, shard_docs), "leaf bigint, first bigint, parts bigint")
+    return kept.join(F.broadcast(places), "leaf").withColumn("shard", F.col("first") + F.pmod(F.xxhash64("row"), F.col("parts"))).drop("leaf", "first", "parts")
+
+
 def pack(docs: DataFrame, tokenizer: str, end: int, window: int = WINDOW, shard_docs: int = SHARD_DOCS) -> DataFrame:
     """``doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset`` for every piece.
 
@@ -98,31 +215,33 @@ def pack(docs: DataFrame, tokenizer: str, end: int, window: int = WINDOW, shard_
     counts = staged.where("terms IS NOT NULL").select(F.explode(F.arrays_zip("terms", "holders")).alias("x"))
     frequencies = counts.groupBy("x.terms").agg(F.sum("x.holders").alias("n")).collect()
     rows = staged.where("terms IS NULL").drop("terms", "holders")
-    total, tokens = rows.agg(F.count("row"), F.sum(F.octet_length("tail") / 2)).first()
+    total, tokens = rows.agg(F.count("row"), F.sum("doc_tokens")).first()
     if not total:
         return docs.sparkSession.createDataFrame([], PIECE_SCHEMA)
-    shards = max(1, -(-total // shard_docs))
     weight = np.zeros(max((r["terms"] for r in frequencies), default=0) + 1)
     for r in frequencies:
         weight[r["terms"]] = np.log1p((total - r["n"] + 0.5) / (r["n"] + 0.5))
-    shared = docs.sparkSession.sparkContext.broadcast((weight, max(1.0, float(tokens) / total)))
-    sharded = rows.withColumn("shard", F.pmod(F.xxhash64("row"), F.lit(shards)))
+    mean_length = max(1.0, float(tokens) / total)
+    shared = docs.sparkSession.sparkContext.broadcast((weight, mean_length))
 
     def pack_shard(frame: pd.DataFrame) -> pd.DataFrame:
         return _pack_shard(frame.sort_values("row"), *shared.value, window)
 
-    return sharded.groupBy("shard").applyInPandas(pack_shard, PIECE_SCHEMA)
+    return sharded(rows, total, weight, mean_length, shard_docs).groupBy("shard").applyInPandas(pack_shard, PIECE_SCHEMA)
 
 
 class Index:
-    """BM25 over one shard's tails."""
+    """BM25 over one shard's documents: their tails, or ``bags`` of distinct ids and their numbers."""
 
-    def __init__(self, tails: list[np.ndarray], weight: np.ndarray, mean_length: float):
-        owner = np.repeat(np.arange(len(tails)), [len(t) for t in tails])
-        ids = np.concatenate(tails).astype(np.int64) if tails else np.zeros(0, np.int64)
-        pairs, times = np.unique(ids << 32 | owner, return_counts=True)
+    def __init__(self, tails: list[np.ndarray], weight: np.ndarray, mean_length: float, bags: list[tuple[np.ndarray, np.ndarray]] | None = None):
+        bags = bags if bags is not None else [np.unique(t, return_counts=True) for t in tails]
+        owner = np.repeat(np.arange(len(tails)), [len(terms) for terms, _ in bags])
+        pairs = np.concatenate([terms for terms, _ in bags]).astype(np.int64) << 32 | owner if bags else np.zeros(0, np.int64)
+        times = np.concatenate([n for _, n in bags]) if bags else np.zeros(0, np.int64)
+        order = np.argsort(pairs, kind="stable")
+        pairs, times = pairs[order], times[order]
         term, self.holder = pairs >> 32, (pairs & 0xFFFFFFFF).astype(np.int64)
-        lengths = np.array([len(t) for t in tails])
+        lengths = np.array([n.sum() for _, n in bags])
         norm = K1 * (1 - B + B * lengths / mean_length)
         self.weight = weight[term] * times * (K1 + 1) / (times + norm[self.holder])
         self.terms, self.starts = np.unique(term, return_index=True)
@@ -156,7 +275,8 @@ def _pack_shard(frame: pd.DataFrame, weight: np.ndarray, mean_length: float, win
         for k, crc in enumerate(np.frombuffer(crcs, "<u4").tolist()):
             pieces.append((keys[i], k * window, window, crc, doc_tokens[i], sequence, 0))
             sequence += 1
-    index = Index(tails, weight, mean_length)
+    bags = [_bag(*x) for x in zip(frame["tail"], frame["bag"])] if "bag" in frame else None
+    index = Index(tails, weight, mean_length, bags)
     unused = np.array([len(t) > 0 for t in tails], bool)
     taken = [0] * len(tails)
     filled, first = 0, 0

@@ -134,3 +134,49 @@ def test_all_terms_count():
     index = packing.Index(tails, weight, 150.0)
     for seed in range(len(tails)):
         assert np.allclose(index.scores(seed), plain_scores([Counter(t.tolist()) for t in tails], weight, 150.0, seed), rtol=1e-5)
+
+
+def share_of_best_neighbours(docs, pieces, path, best=1, step=1):
+    """Of documents with text: how many of their ``best`` documents by plain BM25 over all are in their shard."""
+    encode = tokens.encoder(path).encode
+    rows = [(r["doc_id"], r["text"]) for r in docs.collect() if r["text"]]
+    ids, counts = encode(pa.array([t for _, t in rows]))
+    bags = [np.unique(x, return_counts=True) for x in np.split(ids.astype(np.int64), np.cumsum(counts)[:-1])]
+    holders = np.bincount(np.concatenate([b[0] for b in bags]))
+    weight = np.log1p((len(bags) - holders + 0.5) / (holders + 0.5))
+    mean = float(counts.mean())
+    terms = np.zeros((len(bags), len(weight)), np.float32)
+    asked = np.arange(0, len(bags), step)
+    held = np.zeros((len(asked), len(weight)), np.float32)
+    for i, place in enumerate(asked):
+        held[i, bags[place][0]] = 1
+    for i, (own, n) in enumerate(bags):
+        terms[i, own] = weight[own] * n * (packing.K1 + 1) / (n + packing.K1 * (1 - packing.B + packing.B * n.sum() / mean))
+    scores = held @ terms.T
+    scores[np.arange(len(asked)), asked] = -1
+    shard = {p["doc_id"]: p["sequence_id"] >> 32 for p in pieces if p["start"] + p["length"] == p["doc_tokens"]}
+    own = np.array([shard[key] for key, _ in rows])
+    return float((own[np.argsort(-scores, axis=1)[:, :best]] == own[asked][:, None]).mean())
+
+
+def test_neighbours_come_from_the_whole_corpus(spark):
+    path = tokenizer_path("byte_bpe_50k.json")
+    random_ = np.random.default_rng(11)
+    words = ["".join(w) for w in random_.choice(list("abcdefghijklmnoprstuvw"), (320, 6))]
+    topics = [words[i:i + 40] for i in range(0, 320, 40)]
+    rows = [(i, " ".join(random_.choice(topics[i % 8], 60)), "", "") for i in range(400)]
+    # Long documents whose remainder is of another topic than the whole.
+    rows += [(400 + i, " ".join(random_.choice(topics[i % 8], 900)) + " ok ok", "", "") for i in range(40)]
+    docs = docs_of(spark, rows)
+    pieces = packing.pack(docs, path, 0, shard_docs=80).collect()
+    check_pieces(pieces, expected(path, [(r[0], r[1]) for r in rows], 0))
+    shards = defaultdict(int)
+    for p in pieces:
+        shards[p["sequence_id"] >> 32] += p["start"] + p["length"] == p["doc_tokens"]
+    assert len(shards) > 4 and max(shards.values()) <= 100
+    assert share_of_best_neighbours(docs, pieces, path) > 0.6  # by chance less than 0.2
+
+
+def test_equal_documents_are_split_over_shards():
+    dealt = packing._dealt({0: 10, 1: 20, 2: 250, 3: 90, 5: 20}, 100)
+    assert dealt == [(0, 0, 1), (1, 0, 1), (2, 1, 3), (3, 4, 1), (5, 5, 1)]
