@@ -10,7 +10,7 @@ response, the others revisit it.
 Read: the text source with the gzip magic as its line end cuts files into byte
 ranges; a task has the candidates that start in its range. A candidate is a
 member if its header inflates to a WARC header; else it goes on the member
-before it. What a range begins with and cannot place, or leaves open at its
+before it. One too short to tell stays open until what follows decides. What a range begins with and cannot place, or leaves open at its
 end, is joined to its neighbour's part in a second step.
 
 Null html or url: empty, or left out. Equal rows become equal records, all of
@@ -137,14 +137,21 @@ def _page(uri: str | None) -> int | None:
     return int(text) if text.lstrip("-").isdigit() else None
 
 
-def _starts_member(data: bytes) -> bool:
-    """Whether what follows a magic is a member's header and inflates to a WARC header."""
-    if len(data) < 7 or data[0] & 0xE0:
-        return False
-    try:
-        return zlib.decompressobj(31).decompress(MAGIC + data[:PROBE], 5) == b"WARC/"
-    except zlib.error:
+def _starts_member(data: bytes) -> bool | None:
+    """Whether what follows a magic is a member's header and inflates to a WARC header; None if it is too short to tell."""
+    if data and data[0] & 0xE0:
         return False
+    for most in (PROBE, len(data)):
+        inflate = zlib.decompressobj(31)
+        try:
+            text = inflate.decompress(MAGIC + data[:most], 5)
+        except zlib.error:
+            return False
+        if text == b"WARC/":
+            return True
+        if inflate.eof or not b"WARC/".startswith(text):
+            return False
+    return None
 
 
 class _Range:
@@ -154,31 +161,62 @@ class _Range:
         self.member = None
         self.parts: list[bytes] = []
         self.text: list[bytes] = []
-        self.placed = False
+        self.proven = self.placed = False
 
-    def _feed(self, data: bytes) -> bool:
+    def _feed(self, part: bytes) -> bool:
         """Goes on with the open member; False if the data is not its continuation."""
         try:
-            self.text.append(self.member.decompress(data))
+            self.text.append(self.member.decompress(part))
         except zlib.error:
             return False
-        self.parts.append(data)
+        if not self.proven:
+            text = b"".join(self.text)[:5]
+            if not b"WARC/".startswith(text) or (self.member.eof and text != b"WARC/"):
+                return False
+            self.proven = text == b"WARC/"
+            self.placed |= self.proven
+        self.parts.append(part)
         return True
 
-    def add(self, data: bytes) -> tuple[bytes | None, bytes | None]:
-        """A whole record's text, or a part that belongs to the range before."""
-        if self.member is not None and not self._feed(MAGIC + data):
+    def _ended(self) -> list[tuple[bytes | None, bytes | None]]:
+        if not self.member.eof:
+            return []
+        self.member = None
+        return [(b"".join(self.text), None)]
+
+    def take(self, data: bytes) -> list[tuple[bytes | None, bytes | None]]:
+        """Whole records' texts, or parts that belong to the range before, in order.
+
+        A start too short to decide stays open; if it is refused later, the
+        parts that followed it are tried anew.
+        """
+        part = MAGIC + data
+        if self.member is not None:
+            if self._feed(part):
+                return self._ended()
             self.member = None
-        elif self.member is None and not _starts_member(data):
-            return None, (None if self.placed else MAGIC + data)
-        if self.member is None and _starts_member(data):
-            self.member, self.parts, self.text, self.placed = zlib.decompressobj(31), [], [], True
-            if not self._feed(MAGIC + data):
-                self.member = None
-        if self.member is not None and self.member.eof:
+            if not self.proven:
+                again = [*self.parts[1:], part]
+                out = self._refused(self.parts[0])
+                for other in again:
+                    out += self.take(other[len(MAGIC):])
+                return out
+        starts = _starts_member(data)
+        if starts is False:
+            return self._refused(part)
+        self.member, self.parts, self.text, self.proven = zlib.decompressobj(31), [], [], False
+        if not self._feed(part):
             self.member = None
-            return b"".join(self.text), None
-        return None, None
+            self.placed |= bool(starts)
+            return [] if starts else self._refused(part)
+        return self._ended()
+
+    def _refused(self, part: bytes) -> list[tuple[bytes | None, bytes | None]]:
+        return [] if self.placed else [(None, part)]
+
+    def add(self, data: bytes) -> tuple[bytes | None, bytes | None]:
+        """The first of what ``take`` gives."""
+        return next(iter(self.take(data)), (None, None))
 
     def open_part(self) -> bytes | None:
         return b"".join(self.parts) if self.member is not None else None
@@ -211,7 +249,7 @@ def read_warc(spark: SparkSession, path: str, payloads: bool = True) -> DataFram
 
         def left_open():
             part = current.open_part() if current else None
-            return [] if part is None else [{"path": here[0], "range_start": here[1], "number": number, "opens": True, "part": part}]
+            return [] if part is None else [{"path": here[0], "range_start": here[1], "number": number + 1, "opens": current.proven, "part": part}]
 
         for batch in slices(batches, "data"):
             out = []
@@ -221,13 +259,13 @@ def read_warc(spark: SparkSession, path: str, payloads: bool = True) -> DataFram
                     here, current, number = (path_, start), _Range(), 0
                     if start == 0:
                         continue  # what stands before the first magic
-                number += 1
-                text, before = current.add(data)
-                row = _parsed(text) if text else None
-                if row:
-                    out.append(row if payloads else row | {"payload": None})
-                if before is not None:
-                    out.append({"path": path_, "range_start": start, "number": number, "opens": False, "part": before})
+                for text, before in current.take(data):
+                    row = _parsed(text) if text else None
+                    if row:
+                        out.append(row if payloads else row | {"payload": None})
+                    if before is not None:
+                        number += 1
+                        out.append({"path": path_, "range_start": start, "number": number, "opens": False, "part": before})
             if out:
                 yield pa.RecordBatch.from_pylist(out, _RECORD)
         out = left_open()
@@ -239,20 +277,15 @@ def read_warc(spark: SparkSession, path: str, payloads: bool = True) -> DataFram
     parts = found.where("part IS NOT NULL").select("path", "range_start", "number", "part", F.sum(F.col("opens").cast("int")).over(in_file).alias("member"))
 
     def joined(frame: pd.DataFrame) -> pd.DataFrame:
-        member, text = zlib.decompressobj(31), []
-        try:
-            for part in frame.sort_values(["range_start", "number"])["part"]:
-                text.append(member.decompress(part))
-                if member.eof:
-                    break
-        except zlib.error:
-            return pd.DataFrame(columns=RECORD_COLUMNS)
-        row = _parsed(b"".join(text)) if member.eof else None
-        if row and not payloads:
-            row["payload"] = None
-        return pd.DataFrame([row] if row else [], columns=RECORD_COLUMNS).astype({c: "Int64" for c in ("page_id", "refers_to", "payload_bytes")})
-
-    across = parts.where("member > 0").groupBy("path", "member").applyInPandas(joined, _RECORD_SQL.partition(", path")[0])
+        whole, rows = _Range(), []
+        for part in frame.sort_values(["range_start", "number"])["part"]:
+            for data in part.split(MAGIC)[1:]:
+                rows += [row for text, _ in whole.take(data) if text and (row := _parsed(text))]
+        if not payloads:
+            rows = [row | {"payload": None} for row in rows]
+        return pd.DataFrame(rows, columns=RECORD_COLUMNS).astype({c: "Int64" for c in ("page_id", "refers_to", "payload_bytes")})
+
+    across = parts.groupBy("path", "member").applyInPandas(joined, _RECORD_SQL.partition(", path")[0])
     return found.where("part IS NULL").select(*RECORD_COLUMNS).unionByName(across)
 
 

@@ -164,6 +164,32 @@ def test_false_magic_is_part_of_its_member():
     assert [tail.add(p)[1] for p in parts[1:]] == [warc.MAGIC + p for p in parts[1:]]
 
 
+def test_magic_near_a_members_start(spark, tmp_path):
+    # In the time field and in the name, both before the first inflated byte.
+    wanted = list(range(60))
+    data = b""
+    for i in wanted:
+        body = random.Random(i).randbytes(40 + 7 * i)
+        text = b"WARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:page:%d>\r\nContent-Length: %d\r\n\r\n" % (i, len(body)) + body + b"\r\n\r\n"
+        packed = warc._gzip(text)
+        time = warc.MAGIC + b"\0" if i % 3 == 0 else b"\0" * 4
+        name = (b"n" * (i % 9) + warc.MAGIC) * (1 + i % 2) + b"\0"
+        data += warc.MAGIC + b"\x08" + time + packed[8:10] + name + packed[10:]
+    assert gzip.decompress(data).count(b"WARC/1.1\r\n") == len(wanted)
+    (tmp_path / "part-0").write_bytes(data)
+    whole = warc._Range()
+    assert sum(text is not None for part in data.split(warc.MAGIC)[1:] for text, _ in whole.take(part)) == len(wanted)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        for most in ("100000", "701", "97"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", most)
+            assert sorted(r["page_id"] for r in warc.read_warc(spark, str(tmp_path / "part-0")).collect()) == wanted
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
 def test_stages_keep_their_columns_and_take_effect(spark):
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
     columns, counts = docs.columns, [docs.count()]
