@@ -15,7 +15,7 @@ from rillflow.llm.shared import stage, table
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Names each document's language; those without letters, or unlike every language, go.
+    """Names each document's language; those without letters, or unlike every language for their length, go.
 
     Labels of a third of the documents are not learned from, as in the query.
     """

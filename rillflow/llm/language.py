@@ -31,8 +31,10 @@ PER_LANGUAGE = 4000
 LEARNING_PARTS = 8
 #: Vectors of three-grams held at once, a byte for each dimension.
 MOST_GRAMS = 20_000
-#: Cosines below this reject a text in the pipeline: noise of letters scores lower.
+#: Scores for the length below this reject a text in the pipeline: noise of letters scores lower.
 LEAST_SCORE = 0.25
+#: The cosine of a text of fewer three-grams than this falls with the root of their number.
+FULL_GRAMS = 200
 UNKNOWN = "und"
 _LETTERS: dict[int, int] = {}
 _VECTORS: dict[int, np.ndarray] = {}
@@ -140,9 +142,14 @@ def learn(docs: DataFrame, per_language: int = PER_LANGUAGE) -> tuple[list[str],
     return [r["lang"] for r in rows], prototypes.astype(np.float32)
 
 
-def predict(docs: DataFrame, model: tuple[list[str], np.ndarray]) -> DataFrame:
+def _grams():
+    return F.length(F.trim(F.regexp_replace("text", r"[^\p{L}]+", " ")))
+
+
+def predict(docs: DataFrame, model: tuple[list[str], np.ndarray], for_length: bool = True) -> DataFrame:
     """``docs`` with ``_lang`` and ``_score``, the cosine of the nearest prototype, at least 0.
 
+    With ``for_length`` the cosine is divided by what a text of so many three-grams can reach of a long text's.
     Columns of these names that ``docs`` has are replaced.
     """
     languages, prototypes = model
@@ -163,7 +170,11 @@ def predict(docs: DataFrame, model: tuple[list[str], np.ndarray]) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(langs), pa.array(scores)], names=[*columns, "_lang", "_score"])
 
     schema = StructType([*docs.schema.fields, StructField("_lang", StringType()), StructField("_score", DoubleType())])
-    return docs.mapInArrow(name, schema)
+    named = docs.mapInArrow(name, schema)
+    if not for_length:
+        return named
+    reach = F.sqrt(F.least(F.lit(1.0), F.greatest(F.lit(1.0), F.coalesce(_grams(), F.lit(1))) / F.lit(float(FULL_GRAMS))))
+    return named.withColumn("_score", F.least(F.lit(1.0), F.col("_score") / reach))
 
 
 def held_out():

@@ -218,7 +218,7 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every document, learned from two thirds of them."""
     docs = table(spark, sf_dir, "documents").withColumn("held_out", language.held_out())
     model = language.learn(docs.where(~F.col("held_out")))
-    named = language.predict(docs.select("doc_id", "held_out", "text"), model)
+    named = language.predict(docs.select("doc_id", "held_out", "text"), model, for_length=False)
     return named.select("doc_id", "held_out", F.col("_lang").alias("lang_pred"), F.col("_score").alias("score"))
 
 

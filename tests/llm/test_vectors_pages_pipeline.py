@@ -214,6 +214,22 @@ def test_stages_keep_their_columns_and_take_effect(spark):
     assert {r["doc_id"] for r in docs.collect()} == last
 
 
+def test_short_clean_documents_stay(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    long = docs.where("length(text) > 400").orderBy("doc_id").collect()
+    columns, cut = docs.columns, []
+    for lang in sorted({r["lang"] for r in long if r["lang"]}):
+        for i, r in enumerate([r for r in long if r["lang"] == lang][:40]):
+            words = [w for w in r["text"].split() if w.isalpha()]
+            cut.append(r.asDict() | {"doc_id": 10**9 + len(cut), "text": " ".join(words[5:6 + i % 10])})
+    letters = random.Random(2)
+    noise = [cut[0] | {"doc_id": 2 * 10**9 + i, "lang": None, "text": " ".join("".join(letters.choices("qxzjkwv", k=7)) for _ in range(2 + i % 9))} for i in range(40)]
+    both = docs.unionByName(spark.createDataFrame(cut + noise, docs.schema).select(*columns))
+    kept = {r["doc_id"] for r in corpus_pipeline.identify_language(spark, both, SF_DIR).select("doc_id").collect()}
+    assert sum(r["doc_id"] in kept for r in cut) >= 0.93 * len(cut)
+    assert sum(r["doc_id"] in kept for r in noise) <= 4
+
+
 def test_stages_take_empty_and_odd_documents(spark):
     rows = [(1, None, "en", "s", None), (2, "", None, "s", 0), (3, "the and of that with this", "en", "s", 25), (3, "the and of that with this", "en", "s", 25)]
     schema = "doc_id bigint, text string, lang string, source string, n_chars bigint"
