@@ -7,7 +7,7 @@ import importlib.util
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rillflow.llm import ann, decontaminate, hilbert, language, near_dup, packing, secrets, token_files, toxicity, warc
+from rillflow.llm import ann, bpe, decontaminate, hilbert, language, near_dup, packing, ranked, runs, secrets, token_files, toxicity, warc
 from rillflow.llm.shared import stage, table
 from rillflow.queries import Query, Registered
 
@@ -24,14 +24,19 @@ def registered(sql: str | None = None):
     return add
 
 
-def tokenizer_path(name: str) -> str:
-    """Where the installed package of public vocabularies keeps a file."""
+def public_vocabularies():
+    """The installed package of public vocabularies."""
     spec = importlib.util.find_spec("public_tokenizers")
     if spec is None:
         raise RuntimeError("the package public_tokenizers is not installed")
     module = importlib.util.module_from_spec(spec)
     spec.loader.exec_module(module)
-    return module.path(name)
+    return module
+
+
+def tokenizer_path(name: str) -> str:
+    """Where the installed package of public vocabularies keeps a file."""
+    return public_vocabularies().path(name)
 
 
 @registered()
@@ -231,3 +236,107 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     chain = toxicity.learn(sample, list(categories))
     scored = toxicity.predict(docs, chain, list(categories))
     return scored.select("doc_id", "low_quality", "toxicity", (F.col("toxicity") >= 0.5).alias("toxic"))
+
+
+@registered()
+def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's ids by the public ranks, and the bytes that they decode to."""
+    vocabularies = public_vocabularies()
+    shared = bpe.shared_vocabulary(spark, bpe.Vocabulary.from_file(vocabularies.path("byte_bpe_50k.tiktoken")))
+    encoded = bpe.encode(table(spark, sf_dir, "documents"), shared, vocabularies.PATTERN, keep=["doc_id"])
+    decoded = bpe.decode(encoded, shared)
+    return decoded.select(
+        "doc_id", F.expr("octet_length(_ids) div 4").alias("n_tokens"), F.sha2("_ids", 256).alias("ids_sha256"), F.sha2("_decoded", 256).alias("decoded_sha256")
+    )
+
+
+RUNS_SQL = r"""
+WITH words AS MATERIALIZED (
+    SELECT r, doc_id, h, h // 10 AS g, w, len(w) AS n FROM (
+        SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+               xor(4294967295, list_reduce(
+                   list_prepend(CAST(4294967295 AS BIGINT), list_transform(range(0, 8 * length(CAST(doc_id AS VARCHAR))),
+                       lambda i: CAST((ascii(substr(CAST(doc_id AS VARCHAR), CAST(1 + i // 8 AS INT), 1)) >> CAST(i % 8 AS INT)) & 1 AS BIGINT))),
+                   lambda crc, bit: xor(crc >> 1, 3988292384 * (xor(crc, bit) & 1)))) AS h
+        FROM documents)
+), turned AS MATERIALIZED (
+    SELECT r, doc_id, n, CASE WHEN h % 10 = 0 AND n > 0 THEN list_transform(range(0, n), lambda i:
+               w[1 + CASE WHEN i < g % n THEN i ELSE g % n + (i - g % n) % (1 + (n - g % n) // (3 + g % 8)) END]) ELSE w END AS w
+    FROM words
+), grams AS MATERIALIZED (
+    SELECT r, i, hash(array_to_string(list_slice(w, i + 1, i + 16), ' ')) AS x FROM (SELECT r, w, unnest(range(0, n - 15)) AS i FROM turned WHERE n >= 24)
+), often AS (SELECT r, x FROM grams GROUP BY r, x HAVING count(*) > 1),
+repeated AS MATERIALIZED (SELECT grams.* FROM grams JOIN often USING (r, x)),
+same AS (SELECT a.r, a.i, b.i - a.i AS q FROM repeated a JOIN repeated b ON a.r = b.r AND a.x = b.x AND b.i > a.i),
+stretch AS (
+    SELECT r, q, min(i) AS s, max(i) + 16 + q AS e
+    FROM (SELECT *, i - row_number() OVER (PARTITION BY r, q ORDER BY i) AS island FROM same) GROUP BY r, q, island
+), run AS MATERIALIZED (
+    SELECT r, s AS "start", e - s AS "length", min(q) AS period FROM stretch WHERE e - s >= greatest(24, 3 * q) GROUP BY r, s, e
+), told AS (
+    SELECT r, count(*) AS n_runs, string_agg("start" || ',' || "length" || ',' || period || chr(10), '' ORDER BY "start", period) AS runs FROM run GROUP BY r
+), best AS (
+    SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY r ORDER BY "length" / period DESC, "start", period) AS place FROM run) WHERE place = 1
+), dropped AS (SELECT DISTINCT r, unnest(range("start" + period, "start" + "length")) AS i FROM run),
+collapsed AS (
+    SELECT r, string_agg(x.word, ' ' ORDER BY x.i) AS kept
+    FROM (SELECT r, unnest(list_zip(w, range(0, n))) AS p FROM turned) t, LATERAL (SELECT t.p[1] AS word, t.p[2] AS i) x
+    WHERE NOT EXISTS (SELECT 1 FROM dropped d WHERE d.r = t.r AND d.i = x.i) GROUP BY r
+)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, "start", "length", period, 1000 * "length" // period AS exponent_milli,
+       sha256(coalesce(runs, '')) AS runs_sha256, sha256(coalesce(kept, '')) AS collapsed_sha256
+FROM turned LEFT JOIN told USING (r) LEFT JOIN best USING (r) LEFT JOIN collapsed USING (r)
+"""
+
+
+def _with_periods(docs: DataFrame) -> DataFrame:
+    """``doc_id`` and the text as the contract has it: in a tenth of the documents, by the checksum of the id, words repeat from one on."""
+    checksum = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    turned = F.expr(r"""
+        element_at(transform(array(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+', 0)), w ->
+            if(size(w) = 0, '', element_at(transform(array(named_struct('a', cast(_g % size(w) as int), 'p', cast(1 + (size(w) - _g % size(w)) div (3 + _g % 8) as int))), c ->
+                array_join(transform(w, (x, i) -> if(i < c.a, x, get(w, c.a + (i - c.a) % c.p))), ' ')), 1))), 1)""")
+    rows = docs.select("doc_id", "text", checksum.alias("_h"), F.floor(checksum / 10).alias("_g"))
+    return rows.select("doc_id", F.when(F.col("_h") % 10 == 0, turned).otherwise(F.col("text")).alias("text"))
+
+
+@registered(RUNS_SQL)
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The runs of every document's words, and the words without their repetitions."""
+    found = runs.periodic_runs(_with_periods(table(spark, sf_dir, "documents")), keep=["doc_id"])
+    best = F.expr("""aggregate(_runs, _runs[0], (b, x) -> if(x.length * b.period > b.length * x.period, x, b))""")
+    told = F.expr("""array_join(transform(_runs, x -> concat(x.start, ',', x.length, ',', x.period, '\n')), '')""")
+    rows = found.select("doc_id", F.size("_runs").cast("bigint").alias("n_runs"), F.when(F.size("_runs") > 0, best).alias("b"), told.alias("told"), "_collapsed")
+    return rows.select(
+        "doc_id", "n_runs", "b.start", "b.length", "b.period", F.expr("1000 * b.length div b.period").alias("exponent_milli"),
+        F.sha2("told", 256).alias("runs_sha256"), F.sha2("_collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+RANKED_SQL = r"""
+WITH terms AS (
+    SELECT r, doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM (SELECT row_number() OVER () AS r, doc_id, text FROM documents)
+), counted AS MATERIALIZED (SELECT r, doc_id, term, count(*) AS tf FROM terms GROUP BY r, doc_id, term),
+sizes AS (SELECT r, CAST(sum(tf) AS BIGINT) AS n FROM counted GROUP BY r),
+corpus AS (SELECT count(*) AS all_docs, CAST(sum(n) AS BIGINT) AS all_terms FROM sizes),
+weights AS (SELECT term, CAST(floor(1000 * ln((2 * all_docs + 2) / (2 * df + 1))) AS BIGINT) AS w FROM (SELECT term, count(*) AS df FROM counted GROUP BY term), corpus),
+wanted AS (
+    SELECT item, item_id, term, count(*) AS times FROM (
+        SELECT item, item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+        FROM (SELECT row_number() OVER () AS item, item_id, text FROM benchmark)) GROUP BY item, item_id, term
+), scored AS (
+    SELECT item, item_id, r, doc_id, CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * all_docs) // all_terms)))) AS BIGINT) AS score
+    FROM wanted JOIN weights USING (term) JOIN counted USING (term) JOIN sizes USING (r), corpus GROUP BY item, item_id, r, doc_id
+)
+SELECT item_id, CAST(place AS INT) AS rank, doc_id, score FROM (
+    SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id) AS place FROM scored WHERE score > 0) WHERE place <= 10
+"""
+
+
+@registered(RANKED_SQL)
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten documents that score highest for every benchmark item."""
+    return ranked.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

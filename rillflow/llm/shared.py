@@ -24,6 +24,13 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def free_name(name: str, taken: list[str]) -> str:
+    """``name``, longer by underscores while one of ``taken`` is called so."""
+    while name.lower() in {t.lower() for t in taken}:
+        name += "_"
+    return name
+
+
 def task_number() -> int:
     from pyspark import TaskContext
 
