@@ -50,7 +50,7 @@ class PieceEncoder:
             kept_spaces = json.load(f)["normalizer"] is None
         self.keeps_spaces = kept_spaces
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.model = self.tokenizer.model
         self.pieces: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
@@ -61,17 +61,29 @@ class PieceEncoder:
         """All ids of the texts as uint32 and each text's number of ids; a null text is empty."""
         if texts.null_count:
             texts = texts.fill_null("")
+        whole = self._with_added(texts)
+        if whole.any():
+            ids, counts = self.encode(texts.filter(pa.array(~whole)))
+            loose = [np.frombuffer(x, np.uint32) for x in self._whole(texts.filter(pa.array(whole)).to_pylist())]
+            return self._merge(~whole, ids, counts, loose)
         if not self.keeps_spaces:
             return self._split(texts, None)
         plain = pc.invert(pc.match_substring_regex(texts, _OTHER_BLANK)).to_numpy(zero_copy_only=False)
         if plain.all():
             return self._split(texts, _MARK)
         ids, counts = self._split(texts.filter(pa.array(plain)), _MARK)
-        return self._merge(plain, ids, counts, texts.filter(pa.array(~plain)).to_pylist())
+        return self._merge(plain, ids, counts, [self._by_piece(text) for text in texts.filter(pa.array(~plain)).to_pylist()])
 
-    def _merge(self, plain, ids, counts, odd):
-        """Plain texts' ids and those of texts with other white space, in the order of the rows."""
-        loose = [self._by_piece(text) for text in odd]
+    def _with_added(self, texts: pa.Array) -> np.ndarray:
+        """Texts that hold an added token, in any case: the tokenizer takes it out before it cuts, so these go to it whole."""
+        found = np.zeros(len(texts), bool)
+        for token in self.added:
+            found |= pc.match_substring(texts, token, ignore_case=True).to_numpy(zero_copy_only=False)
+        return found
+
+    @staticmethod
+    def _merge(plain: np.ndarray, ids: np.ndarray, counts: np.ndarray, loose: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """The plain texts' ids and those of the other texts, in the order of the rows."""
         all_counts = np.zeros(len(plain), np.int64)
         all_counts[plain] = counts
         all_counts[~plain] = [len(x) for x in loose]

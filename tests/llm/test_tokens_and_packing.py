@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pyarrow as pa
 import pytest
+from tokenizers import Tokenizer
 
 from rillflow.llm import packing, token_files, tokens
 from rillflow.llm.queries import QUERIES, tokenizer_path
@@ -13,7 +14,7 @@ from rillflow.llm.queries import QUERIES, tokenizer_path
 SF_DIR = "/root/testdata/sf0.001"
 ODD = [
     None, "", " ", "\n", "  ", "a  b", " a\n\nb\n", "\na b ", "x\n", "tab\tx y", " q", "don't  we'll it's", "a\r\nb  c\n\n\n d",
-    "<|endoftext|> x <|startoftext|>", "ǅ İstanbul ΣΑΣ é ́ ñ", "12 345a b2c $$ 100%", "日本語 テスト  x", "a b\xa0c",
+    "<|endoftext|> x <|startoftext|>", "a<|endoftext|>b", "a <|ENDOFTEXT|> b", "<|endoftext|", "x<|startoftext|><|endoftext|> \xa0 y", "ǅ İstanbul ΣΑΣ é ́ ñ", "12 345a b2c $$ 100%", "日本語 テスト  x", "a b\xa0c",
     "\x1c a\x1f b", "a.'s b!'t", "x_y __z", "É ÉÉ! ß", "a b ", "word " * 3000,
 ]
 
@@ -21,7 +22,7 @@ ODD = [
 @pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
 def test_pieces_give_the_tokenizers_ids(name):
     encode = tokens.PieceEncoder(tokenizer_path(name))
-    whole = [e.ids for e in encode.tokenizer.encode_batch([t or "" for t in ODD], add_special_tokens=False)]
+    whole = [e.ids for e in Tokenizer.from_file(tokenizer_path(name)).encode_batch([t or "" for t in ODD], add_special_tokens=False)]
     for _ in range(2):  # the second time from the cache
         ids, counts = encode.encode(pa.array(ODD, pa.string()))
         parts = np.split(ids, np.cumsum(counts)[:-1])
@@ -41,7 +42,7 @@ def test_directly_addressable_codes(n):
 
 
 def expected(path, rows, end):
-    tokenizer = tokens.encoder(path).tokenizer
+    tokenizer = Tokenizer.from_file(path)
     return {key: np.array(tokenizer.encode(text or "", add_special_tokens=False).ids + [end], "<u4") for key, text in rows}
 
 
