@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rillflow.llm.shared import BLANKS, coded, ranges, slices, stage, sums_between, task_number, words_of
+from rillflow.llm.shared import BLANKS, coded, free_name, ranges, slices, stage, sums_between, task_number, words_of
 
 SHINGLE = 4
 VALUES, CHUNK = 40, 4
@@ -90,12 +90,16 @@ def _digests(hashes: np.ndarray, counts: np.ndarray) -> list[bytes | None]:
     return [d.tobytes() if ok else None for d, ok in zip(out, full)]
 
 
-def signatures(docs: DataFrame) -> DataFrame:
-    """``row, doc_id, n_shingles, digest, signature``; a set's digest and signature are null when it is empty."""
+def signatures(docs: DataFrame, row: str | None = None) -> DataFrame:
+    """``row, doc_id, n_shingles, digest, signature``; a set's digest and signature are null when it is empty.
+
+    ``row``: a column that numbers the rows; without one they are numbered here.
+    """
     schema = "row bigint, doc_id bigint, n_shingles bigint, digest binary, signature binary"
+    own = row is not None
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        row = task_number() << 40
+        number = task_number() << 40
         for batch in slices(batches):
             hashes, counts = shingle_sets(batch.column("text"))
             full = np.flatnonzero(counts)
@@ -105,13 +109,14 @@ def signatures(docs: DataFrame) -> DataFrame:
                 least = np.minimum.reduceat((hashes ^ _SEEDS[0, k]) * _SEEDS[1, k], starts)
                 values[full, k] = least & np.uint64(0xFFFF)
             signed = [v.tobytes() if n else None for v, n in zip(values, counts)]
-            rows = np.arange(row, row + len(counts))
-            row += len(counts)
+            rows = batch.column("row") if own else pa.array(np.arange(number, number + len(counts)))
+            number += len(counts)
             yield pa.RecordBatch.from_arrays([
-                pa.array(rows), batch.column("doc_id"), pa.array(counts), pa.array(_digests(hashes, counts), pa.binary()), pa.array(signed, pa.binary()),
+                rows, batch.column("doc_id"), pa.array(counts), pa.array(_digests(hashes, counts), pa.binary()), pa.array(signed, pa.binary()),
             ], names=["row", "doc_id", "n_shingles", "digest", "signature"])
 
-    return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(sign, schema)
+    numbered = [F.col(row).cast("bigint").alias("row")] if own else []
+    return docs.select(F.col("doc_id").cast("bigint"), "text", *numbered).mapInArrow(sign, schema)
 
 
 def index_keys(nodes: DataFrame) -> DataFrame:
@@ -314,12 +319,14 @@ def _links_apart(members: DataFrame, groups: DataFrame, sets: DataFrame) -> Data
     return dealt.groupBy("cell").applyInPandas(links, "a bigint, b bigint").distinct()
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept`` for every row of ``docs``."""
-    signed = stage(signatures(docs), "signatures")
+def _grouped(docs: DataFrame, row: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """The signed rows, and the distinct sets (``node, digest, min_doc, first``) with their ``group``."""
+    signed = stage(signatures(docs, row), "signatures")
+    # The row that stands for a set: that of the smallest id, null last, then of the smallest number.
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row")).alias("first")
     nodes = stage(
         signed.where("digest IS NOT NULL").groupBy("digest")
-        .agg(F.min("row").alias("node"), F.min("doc_id").alias("min_doc"), F.first("n_shingles").alias("n_shingles"), F.first("signature").alias("signature")),
+        .agg(F.min("row").alias("node"), F.min("doc_id").alias("min_doc"), first, F.first("n_shingles").alias("n_shingles"), F.first("signature").alias("signature")),
         "nodes",
     )
     keys = index_keys(nodes)
@@ -336,10 +343,31 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     more = stage(_links_apart(members.select("key", "node"), groups, sets), "links")
     if not more.isEmpty():
         groups = components(links.unionByName(more))
-    placed = nodes.select("node", "digest", "min_doc").join(groups, "node", "left").withColumn("group", F.coalesce("group", "node"))
+    return signed, nodes.select("node", "digest", "min_doc", "first").join(groups, "node", "left").withColumn("group", F.coalesce("group", "node"))
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """``doc_id, n_shingles, component_id, kept`` for every row of ``docs``."""
+    signed, placed = _grouped(docs)
     ids = placed.groupBy("group").agg(F.min("min_doc").alias("component"))
     by_set = placed.join(ids, "group").select("digest", "component")
     out = signed.join(by_set, "digest", "left")
     alone = F.col("digest").isNull()
     component = F.when(alone, F.col("doc_id")).otherwise(F.col("component"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """``docs`` with one row of every group: that of the smallest id, null last, whichever of equal ones.
+
+    Rows are told apart by a number of their own, so a row goes only if its own
+    text is like the one that stays: repeated rows leave one, rows of one id with
+    different texts are judged apart, and rows without words all stay.
+    """
+    row = free_name("_row", docs.columns)
+    numbered = stage(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    signed, placed = _grouped(numbered, row)
+    stays = placed.groupBy("group").agg(F.min("first").alias("stays"))
+    by_set = placed.join(stays, "group").select("digest", F.col("stays.row").alias("stays"))
+    gone = signed.join(by_set, "digest").where("row <> stays").select(F.col("row").alias(row))
+    return numbered.join(gone, row, "left_anti").select(*docs.columns)
