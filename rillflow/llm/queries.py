@@ -172,9 +172,10 @@ strong AS MATERIALIZED (
     {_found_sql(0, _ASSIGN_RE, "length(regexp_extract(m, '" + _ASSIGN_RE.replace("'", "''") + "', 1)) >= 6")}
     UNION ALL {_found_sql(1, secrets.ACCESS)} UNION ALL {_found_sql(2, secrets.HEX)}
 ), weak AS MATERIALIZED (
-    SELECT r, kind, s, e FROM ({_found_sql(3, secrets.IDENTIFIER)}
-    UNION ALL {_found_sql(4, secrets.SECRET, "regexp_matches(m, '[0-9]') AND regexp_matches(m, '[A-Z]') AND regexp_matches(m, '[a-z]')")}
-    UNION ALL {_found_sql(5, secrets.ENDPOINT)}) w
+    SELECT r, kind, s, e FROM (SELECT r, kind, s, e FROM ({_found_sql(3, secrets.IDENTIFIER)}
+    UNION ALL {_found_sql(4, secrets.SECRET, "regexp_matches(m, '[0-9]') AND regexp_matches(m, '[A-Z]') AND regexp_matches(m, '[a-z]')")})
+    UNION ALL SELECT r, kind, s, s + length(host) AS e FROM (
+        SELECT *, regexp_replace(regexp_extract(m, '{secrets.HOST}'), '[.:-]+$', '') AS host FROM ({_found_sql(5, secrets.ENDPOINT)})) WHERE host <> '') w
     WHERE NOT EXISTS (SELECT 1 FROM strong t WHERE t.r = w.r AND t.s < w.e AND t.e > w.s)
 ), each_part AS (SELECT r, kind, s, e FROM strong UNION ALL SELECT r, kind, s, e FROM weak),
 ids AS (SELECT * FROM each_part WHERE kind IN (1, 3)), keys AS (SELECT * FROM each_part WHERE kind IN (0, 2, 4)),

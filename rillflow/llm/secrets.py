@@ -35,7 +35,10 @@ KINDS = ("assign", "access", "hex", "identifier", "secret", "endpoint")
 # Weak parts.
 IDENTIFIER = r"""(?:(?i:user_?name|user|login|client_?id|account|key_?id)["']?\x20*[:=]\x20*["']?[A-Za-z0-9._@-]{3,}|(?:ASIA|AROA|AIDA)[A-Z0-9]{16,})"""
 SECRET = "[A-Za-z0-9+/_-]{20,}={0,2}"
-ENDPOINT = r"""(?:https?://[A-Za-z0-9.:/_%-]+|(?:[0-9]{1,3}[.]){3}[0-9]{1,3}(?::[0-9]{1,5})?|[A-Za-z0-9-]+(?:[.][A-Za-z0-9-]+)*[.](?:com|net|org|io|internal|local)(?::[0-9]{1,5})?)"""
+# An endpoint is an address or a whole run of host letters, which is then cut behind its last known suffix, or
+# dropped. A run is consumed at once and no group repeats, so any text takes linear time and no deep stack.
+ENDPOINT = "(?:https?://[A-Za-z0-9.:/_%-]+|[A-Za-z0-9.-]+(?::[0-9]{1,5})?)"
+HOST = r"^(?:https?://.*|(?:[0-9]{1,3}[.]){3}[0-9]{1,3}(?::[0-9]{1,5})?$|[A-Za-z0-9.-]*[A-Za-z0-9-][.](?:com|net|org|io|internal|local)(?:$|:[0-9]{1,5}$|[.:-]))"
 _SPAN = "array<struct<kind:int,start:bigint,end:bigint>>"
 
 
@@ -60,9 +63,16 @@ def running_totals(numbers: Column) -> Column:
     return F.when(F.size(numbers) > 0, _named(numbers, in_blocks)).otherwise(F.array().cast("array<bigint>"))
 
 
-def spans(text: Column, pattern: str, kind: int, keep=None) -> Column:
+def host_part(match: Column) -> Column:
+    """The part of a match of ``ENDPOINT`` that names an endpoint; empty if none does."""
+    return F.regexp_replace(F.regexp_extract(match, HOST, 0), "[.:-]+$", "")
+
+
+def spans(text: Column, pattern: str, kind: int, keep=None, cut=None) -> Column:
     """Leftmost non-overlapping matches as (kind, start, end), those that ``keep`` holds for.
 
+    ``cut`` gives the first part of a match that counts; an empty one drops the match.
+
     What lies between matches and the matches alternate, so their lengths give
     the positions. Texts without a match are only searched once.
     """
@@ -75,15 +85,14 @@ def spans(text: Column, pattern: str, kind: int, keep=None) -> Column:
         placed = F.zip_with(m, ends, lambda a, e: F.struct(a.alias("text"), (e - F.length(a)).alias("start"), e.alias("end")))
         if keep is not None:
             placed = F.filter(placed, lambda x: keep(x["text"]))
+        if cut is not None:
+            placed = F.transform(placed, lambda x: F.struct(x["text"].alias("text"), x["start"].alias("start"), (x["start"] + F.length(cut(x["text"]))).alias("end")))
+            placed = F.filter(placed, lambda x: x["end"] > x["start"])
         return F.transform(placed, lambda x: F.struct(F.lit(kind).alias("kind"), x["start"].alias("start"), x["end"].alias("end")))
 
     return F.when(text.rlike(pattern), _named(matches, place)).otherwise(F.array().cast(_SPAN)).cast(_SPAN)
 
 
-def _clear_of(weak: Column, strong: Column) -> Column:
-    return F.filter(weak, lambda w: ~F.exists(strong, lambda s: (s["start"] < w["end"]) & (s["end"] > w["start"])))
-
-
 def _is_mixed(text: Column) -> Column:
     return text.rlike("[0-9]") & text.rlike("[A-Z]") & text.rlike("[a-z]")
 
@@ -93,21 +102,30 @@ def _has_identifier(text: Column) -> Column:
 
 
 def parts(docs: DataFrame, *keep: str) -> DataFrame:
-    """``keep`` with ``text_key, strong, weak``: the arrays of spans of every row; weak ones only beside an identifier."""
+    """``keep`` with ``text_key, strong, weak``: the arrays of spans of every row; weak ones only beside an identifier, those that overlap strong ones too."""
     text = F.coalesce("text", F.lit(""))
     assign = spans(text, ASSIGN, 0, lambda m: F.length(F.regexp_extract(m, ASSIGN, 2)) >= 6)
     rows = docs.select(*keep, text.alias("_text"), F.sha2(text, 256).alias("text_key"), F.concat(assign, spans(text, ACCESS, 1), spans(text, HEX, 2)).alias("strong"))
     text = F.col("_text")
-    weak = F.concat(spans(text, IDENTIFIER, 3), spans(text, SECRET, 4, _is_mixed), spans(text, ENDPOINT, 5))
+    weak = F.concat(spans(text, IDENTIFIER, 3), spans(text, SECRET, 4, _is_mixed), spans(text, ENDPOINT, 5, cut=host_part))
     # Without an identifier nothing weak is ever complete.
-    weak = F.when(_has_identifier(text), _clear_of(weak, F.col("strong"))).otherwise(F.array().cast(_SPAN))
+    weak = F.when(_has_identifier(text), weak).otherwise(F.array().cast(_SPAN))
     return rows.select(*keep, "text_key", "strong", weak.alias("weak"))
 
 
+def _clear_of_strong(each: DataFrame) -> DataFrame:
+    """The spans without the weak ones that overlap a strong one: what overlaps shares a block of the text."""
+    blocks = each.withColumn("block", F.explode(F.sequence(F.floor(F.col("start") / SCOPE), F.floor((F.col("end") - 1) / SCOPE))))
+    strong = blocks.where("kind < 3").select(F.col("text_key").alias("k"), F.col("block").alias("b"), F.col("start").alias("s"), F.col("end").alias("e"))
+    meets = (F.col("text_key") == F.col("k")) & (F.col("block") == F.col("b")) & (F.col("s") < F.col("end")) & (F.col("e") > F.col("start"))
+    covered = blocks.where("kind >= 3").join(strong, meets, "left_semi").select("text_key", "kind", "start", "end").distinct()
+    return each.join(covered, ["text_key", "kind", "start", "end"], "left_anti")
+
+
 def linked(found: DataFrame) -> DataFrame:
     """``text_key, added``: the weak spans of each text whose complementary parts are in scope."""
     texts = found.where(F.size("weak") > 0).groupBy("text_key").agg(F.first("strong").alias("strong"), F.first("weak").alias("weak"))
-    each = texts.select("text_key", F.explode(F.concat("strong", "weak")).alias("s")).select("text_key", "s.kind", "s.start", "s.end")
+    each = _clear_of_strong(texts.select("text_key", F.explode(F.concat("strong", "weak")).alias("s")).select("text_key", "s.kind", "s.start", "s.end"))
     block = F.floor(F.col("start") / SCOPE)
     identifiers = each.where(F.col("kind").isin(1, 3))
     secrets = each.where(F.col("kind").isin(0, 2, 4))

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -109,6 +110,17 @@ def test_groups_equal_a_plain_search(spark):
     assert near_dup.near_duplicates(frame.limit(0)).collect() == []
 
 
+def test_one_row_of_each_group_stays(spark):
+    a, b, c, e = (" ".join(words(40, seed)) for seed in (21, 22, 23, 24))
+    rows = [(4, a), (5, a), (5, b), (7, c), (7, c), (None, e), (None, e), (8, None), (8, None), (9, ""), (9, " "), (3, a + " z"), (None, c)]
+    frame = spark.createDataFrame([(k, t, "own") for k, t in rows], "doc_id bigint, text string, _row string").repartition(3)
+    kept = near_dup.one_of_each(frame)
+    assert kept.columns == frame.columns
+    got = sorted(((r["doc_id"] or -1, r["text"] or "") for r in kept.collect()))
+    assert got == sorted([(3, a + " z"), (5, b), (7, c), (-1, e), (8, ""), (8, ""), (9, ""), (9, " ")])
+    assert near_dup.one_of_each(frame.limit(0)).collect() == []
+
+
 def test_links_of_a_family_cut_into_blocks(spark, monkeypatch):
     monkeypatch.setattr(near_dup, "BLOCK_NODES", 7)
     monkeypatch.setattr(near_dup, "COLUMNS", 16)
@@ -160,6 +172,38 @@ def test_spans(spark):
     assert secrets.find_secrets(frame.limit(0), "doc_id").count() == 0
 
 
+def test_endpoints_are_whole_hosts(spark):
+    hosts = {
+        "db.example.com": "db.example.com", "db.example.com.": "db.example.com", "db.example.com:5432": "db.example.com:5432", "a.com.b.net-": "a.com.b.net", "a.community": "",
+        "a.com.community": "a.com", "10.0.0.1": "10.0.0.1", "10.0.0.1:80": "10.0.0.1:80", "1.2.3": "", "word": "", "http://x/y%20.com": "http://x/y%20.com", ".com": "", "x.com:99": "x.com:99",
+    }
+    frame = spark.createDataFrame([(h,) for h in hosts], "m string")
+    assert {r["m"]: r["h"] for r in frame.select("m", secrets.host_part(F.col("m")).alias("h")).collect()} == hosts
+
+
+def test_long_runs_take_linear_time_and_no_deep_stack(spark):
+    size = 1_000_000
+    runs = ["a." * (size // 2), "a" * size, "1.2" * (size // 3), "f" * size, "aB3" * (size // 3), "user=" + "b" * size, "x.com." * (size // 6), "https://" + "p/" * (size // 2), "token=" + "=" * size]
+    rows = [(i, f"user=abc {run} at db.example.com x") for i, run in enumerate(runs)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string")
+    began = time.time()
+    found = {r["doc_id"]: r["all"] for r in secrets.find_secrets(frame, "doc_id").select("doc_id", secrets.listed(F.col("spans")).alias("all")).collect()}
+    cleaned = {r["doc_id"]: r["text"] for r in secrets.redacted(frame).collect()}
+    assert time.time() - began < 120
+    assert found[3] == f"identifier:0:8,hex:9:{9 + size}" and found[8].startswith("identifier:0:8,assign:9:")
+    assert len(cleaned) == len(runs) and cleaned[3] == "[REDACTED] [REDACTED] at db.example.com x"
+
+
+def test_weak_parts_clear_of_many_strong_ones(spark):
+    """A dump: thousands of strong and weak spans in one text, the weak ones inside strong ones gone."""
+    text = " ".join(f"user=u{i} token=wJalrXUtnFEMI7K{i:07d} {'0' * 24}" for i in range(4000))
+    frame = spark.createDataFrame([(1, text)], "doc_id bigint, text string")
+    row = secrets.find_secrets(frame, "doc_id").select(secrets.listed(F.col("strong")).alias("base"), secrets.listed(F.col("spans")).alias("all")).first()
+    assert row["base"] == plain_base(text)
+    added = [s for s in row["all"].split(",") if s.split(":")[0] not in ("assign", "access", "hex")]
+    assert len(added) == 4000 and {s.split(":")[0] for s in added} == {"identifier"}
+
+
 def test_redaction(spark):
     frame = spark.createDataFrame([(1, f"é password=hunter22 {KEY}!", 99, "s"), (2, "plain", 5, "s"), (3, None, None, "s"), (1, f"{KEY}", 20, "s")], "doc_id bigint, text string, n_chars bigint, _found_spans string")
     got = secrets.redacted(frame.drop("_found_spans")).collect()
