@@ -6,6 +6,9 @@ again. All but the last return the columns of ``documents``.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,6 +17,25 @@ from rillflow.llm.queries import tokenizer_path
 from rillflow.llm.shared import stage, table
 
 
+#: Bytes of a batch that goes to a Python worker. Whole rows pass through the stages' workers, in and out of both
+#: processes, so this, and not the number of rows, must bound them; one longer text is a batch alone.
+BATCH_BYTES = 4 << 20
+
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def in_small_batches(work: Stage) -> Stage:
+    """The setting stays with the session, as the stage's rows are only computed when they are written."""
+
+    @wraps(work)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+        return work(spark, docs, sf_dir)
+
+    return run_stage
+
+
+@in_small_batches
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Names each document's language; those without letters, or unlike every language for their length, go.
 
@@ -25,23 +47,25 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return named.where(accepted).withColumn("lang", F.col("_lang")).select(*docs.columns)
 
 
+@in_small_batches
 def remove_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays, the one with the smallest id."""
-    groups = near_dup.near_duplicates(docs)
-    dropped = groups.where(~F.col("kept")).select("doc_id").distinct()
-    return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
+    """One row of each group stays, that of the smallest id; rows without words all stay."""
+    return near_dup.one_of_each(docs)
 
 
+@in_small_batches
 def remove_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of which benchmark windows cover a twentieth or more go."""
     return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
 
 
+@in_small_batches
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets are replaced by a mark; every document stays."""
     return secrets.redacted(docs)
 
 
+@in_small_batches
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents in windows of 1024 tokens."""
     return packing.pack(docs, tokenizer_path("byte_bpe_50k.json"), 0)
@@ -64,5 +88,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs
 
 
-#: Tokenizing and the vectors of letters cannot be stated in SQL; tests/llm compares with a plain version.
+#: Tokenizing and the vectors of letters cannot be stated in SQL; tests/llm runs the stages one by one.
 ORACLE_SQL = None
