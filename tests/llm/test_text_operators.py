@@ -196,7 +196,7 @@ def test_long_runs_take_linear_time_and_no_deep_stack(spark):
 
 def test_weak_parts_clear_of_many_strong_ones(spark):
     """A dump: thousands of strong and weak spans in one text, the weak ones inside strong ones gone."""
-    text = " ".join(f"user=u{i} token=wJalrXUtnFEMI7K{i:07d} {'0' * 24}" for i in range(4000))
+    text = " ".join(f"user=u{i:04d} token=wJalrXUtnFEMI7K{i:07d} {'0' * 24}" for i in range(4000))
     frame = spark.createDataFrame([(1, text)], "doc_id bigint, text string")
     row = secrets.find_secrets(frame, "doc_id").select(secrets.listed(F.col("strong")).alias("base"), secrets.listed(F.col("spans")).alias("all")).first()
     assert row["base"] == plain_base(text)
