@@ -31,6 +31,8 @@ PER_LANGUAGE = 4000
 LEARNING_PARTS = 8
 #: Vectors of three-grams held at once, a byte for each dimension.
 MOST_GRAMS = 20_000
+GRAM_BLOCK = 2_000
+BATCH_BYTES = 2 << 20
 #: Scores for the length below this reject a text in the pipeline: noise of letters scores lower.
 LEAST_SCORE = 0.25
 #: The cosine of a text of fewer three-grams than this falls with the root of their number.
@@ -92,8 +94,8 @@ def text_vectors(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         vectors = gram_vectors(distinct) if len(distinct) <= MOST_GRAMS else None
         at = 0
         for i, own, number in zip(owners, grams, times):
-            for first in range(0, len(own), MOST_GRAMS):
-                part = slice(first, first + MOST_GRAMS)
+            for first in range(0, len(own), GRAM_BLOCK):
+                part = slice(first, first + GRAM_BLOCK)
                 rows = vectors[place[at:at + len(own)][part]] if vectors is not None else gram_vectors(own[part])
                 out[i] += number[part] @ rows.astype(np.float32)
             at += len(own)
@@ -121,7 +123,7 @@ def learn(docs: DataFrame, per_language: int = PER_LANGUAGE) -> tuple[list[str],
 
     def bundle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
-        for batch in slices(batches):
+        for batch in slices(batches, limit=BATCH_BYTES):
             vectors, lettered = text_vectors(batch.column("text").to_pylist())
             langs = np.array(batch.column("lang").to_pylist(), object)
             for lang in set(langs[lettered]):
@@ -159,7 +161,7 @@ def predict(docs: DataFrame, model: tuple[list[str], np.ndarray], for_length: bo
 
     def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, table = shared.value
-        for batch in slices(batches):
+        for batch in slices(batches, limit=BATCH_BYTES):
             vectors, lettered = text_vectors(batch.column("text").to_pylist())
             langs, scores = [UNKNOWN] * batch.num_rows, np.zeros(batch.num_rows)
             if names:

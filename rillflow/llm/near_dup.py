@@ -36,7 +36,8 @@ VALUES, CHUNK = 40, 4
 PERCENT = 80
 BITMAP_BITS = 1 << 26
 BLOCK_NODES = 512
-CELL_HASHES = 2_000_000
+CELL_HASHES = 500_000
+BATCH_BYTES = 1 << 20
 COLUMNS = 4096
 
 _SEEDS = np.random.default_rng(20240607).integers(1, 2**63, (2, VALUES), dtype=np.uint64) | np.uint64(1)
@@ -100,7 +101,7 @@ def signatures(docs: DataFrame, row: str | None = None) -> DataFrame:
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = task_number() << 40
-        for batch in slices(batches):
+        for batch in slices(batches, limit=BATCH_BYTES):
             hashes, counts = shingle_sets(batch.column("text"))
             full = np.flatnonzero(counts)
             starts = (np.cumsum(counts) - counts)[full]
@@ -177,7 +178,7 @@ def full_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bitmap = shared.value
-        for batch in slices(batches):
+        for batch in slices(batches, limit=BATCH_BYTES):
             hashes, counts = shingle_sets(batch.column("text"))
             digests = _digests(hashes, counts)
             full = np.flatnonzero(counts)
