@@ -114,6 +114,22 @@ def add_partitions(spark: SparkSession, table: str, partitions: Iterable[tuple[s
     return None
 
 
+def set_locations(spark: SparkSession, table: str, partitions: Iterable[tuple[str, str, str]], retries: int = PARTITION_RETRIES, pause: float = RETRY_SECONDS) -> str | None:
+    """Switch ``(dt, hr, location)`` partitions that lie elsewhere, one statement each; the error that stopped it, or None."""
+    for dt, hr, place in partitions:
+        spec = f"PARTITION (dt='{dt}', hr='{hr}')"
+        try:
+            told = spark.sql(f"DESCRIBE FORMATTED {table} {spec}").where("col_name = 'Location'").first()
+        except AnalysisException as refused:
+            return str(refused)
+        if told and told["data_type"].rstrip("/") == place.rstrip("/"):
+            continue
+        failure = _tried(spark, f"ALTER TABLE {table} {spec} SET LOCATION '{place}'", retries, pause)
+        if failure:
+            return failure
+    return None
+
+
 def _tried(spark: SparkSession, statement: str, retries: int, pause: float) -> str | None:
     for attempt in range(retries + 1):
         try:

@@ -10,6 +10,7 @@ from rillflow.operators import metrics, tables
 from rillflow.operators.catalog import PublishDefaults
 from rillflow.operators.parse import parse_messages, parse_with_descriptor
 from rillflow.operators.quality import keyed_rows, split_by_error, with_hour_key
+from rillflow.plans import versions
 from rillflow.plans.ingest import IngestPipeline, IngestPlan, parsed_rows, run_ingest
 from rillflow.plans.publish import landed_batches, publish_batches, publish_settings, register_partitions, remove_published
 from rillflow.queries import Registry
@@ -22,7 +23,7 @@ from rillflow.queries.feeds import (
     parsed_events,
     table,
 )
-from rillflow.session import work_dir
+from rillflow.session import ROLLOVER_BYTES, work_dir
 from rillflow.sinks import lake, landing, reports
 from rillflow.sources import files
 
@@ -361,3 +362,108 @@ def ingest_with_plugins(spark, sf_dir):
     good = split_by_error(parsed_rows(event_messages(spark, sf_dir), catalog)).good
     plan = IngestPlan("unused", {"plugins": {"sale": Retag("sale")}, "pipeline": ["->", ["match", "purchase", "sale"]]})
     return IngestPipeline(plan).apply(good)[0].select("type", "hour", "message")
+
+
+def _place_columns(root):
+    """Place below ``root``, date and hour of a published directory."""
+    part = lambda pattern: F.nullif(F.regexp_extract("place", pattern, 1), F.lit(""))
+    return [part(r"/([a-z]+/[a-z]+)/date=").alias("place"), part("/date=([0-9]+)").alias("date"), part("/hour=([0-9]+)").alias("hour")]
+
+
+def _daily_catalog(root, spark, **base):
+    """Topics by day; ``base`` gives a topic another base."""
+    from rillflow.operators.catalog import make_catalog
+
+    topics = ("click", "error", "purchase", "signup", "view")
+    return make_catalog(spark, [{"log": t, "base_partition": f"{root}/{base.get(t, 'days')}", "log_partition": "all", "date_format": "date"} for t in topics])
+
+
+def _event_increments(spark, sf_dir):
+    rows = with_hour_key(parsed_events(spark, sf_dir)).select("topic", "hour", "event_id", F.col("message").alias("value"))
+    return rows, rows.select("topic", "hour").distinct()
+
+
+@QUERIES.add(f"""
+    SELECT 'days/all' AS place, strftime(ts, '%Y%m%d') AS date, CAST(NULL AS VARCHAR) AS hour, {_LINE} AS line, CAST(0 AS BIGINT) AS seen_half_way FROM events""")
+def publish_at_once(spark, sf_dir):
+    """A publisher that stops with all files written and none in the manifest, then runs again: readers see none, then all once."""
+    root = work_dir(spark, "lake")
+    rows, hours = _event_increments(spark, sf_dir)
+    catalog = _daily_catalog(root, spark)
+    versions.write_increment(rows.drop("event_id"), hours, catalog, f"{root}/log", "first")
+    half_way = versions.read_published(spark, f"{root}/log").count()
+    versions.publish_increment(rows.drop("event_id"), hours, catalog, f"{root}/log", "first")
+    versions.remove_unseen(spark, f"{root}/log", unfinished=True)
+    seen = versions.read_published(spark, f"{root}/log")
+    return seen.select(*_place_columns(root), F.col("value").alias("line"), F.lit(half_way).alias("seen_half_way"))
+
+
+@QUERIES.add(f"""
+    SELECT CASE event_type WHEN 'click' THEN 'moved/all' ELSE 'days/all' END AS place, strftime(ts, '%Y%m%d') AS date, {_LINE} AS line FROM events""")
+def publish_moved(spark, sf_dir):
+    """A publication run again after the catalog has moved a topic: its rows are at the new place alone, and no old file is left."""
+    root = work_dir(spark, "lake")
+    rows, hours = _event_increments(spark, sf_dir)
+    for catalog in (_daily_catalog(root, spark), _daily_catalog(root, spark, click="moved")):
+        versions.publish_increment(rows.drop("event_id"), hours, catalog, f"{root}/log", "events")
+    versions.remove_unseen(spark, f"{root}/log")
+    # Read from the store, not through the manifest: what is on it is what is published.
+    seen = versions.live_files(spark, f"{root}/log").select(versions.own_path(F.col("path")).alias("own"), "place")
+    lines = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "part-*.txt.gz").text([f"{root}/{base}/{versions.FILES}" for base in ("days", "moved")])
+    stored = lines.select(versions.own_path(F.col("_metadata.file_path")).alias("own"), F.col("value").alias("line"))
+    return stored.join(seen, "own", "left").select(*_place_columns(root)[:2], "line")
+
+
+@QUERIES.add(f"""
+    SELECT strftime(ts, '%Y%m%d') AS date, count(*) AS n, count(DISTINCT {_LINE}) AS n_lines, true AS few_files, CAST(sum(event_id) AS BIGINT) AS ids
+    FROM events GROUP BY 1""")
+def publish_compacted(spark, sf_dir):
+    """Twenty increments joined, the last of them published while the others are being joined, then joined as well.
+
+    Files of a day: as many as its bytes need, and one more for the late increment before the second round.
+    """
+    root = work_dir(spark, "lake")
+    log = f"{root}/log"
+    rows, _ = _event_increments(spark, sf_dir)
+    catalog = _daily_catalog(root, spark)
+    for i in range(20):
+        if i == 19:
+            first = versions.write_compaction(spark, log)
+        mine = rows.where(F.col("event_id") % 20 == i).drop("event_id")
+        versions.publish_increment(mine, mine.select("topic", "hour").distinct(), catalog, log, f"part-{i}", writers=1)
+    versions.commit(first)
+    between = versions.live_files(spark, log).groupBy("place").agg(F.count("*").alias("between"))
+    versions.compact(spark, log)
+    versions.remove_unseen(spark, log)
+    files = versions.live_files(spark, log).groupBy("place").agg(F.count("*").alias("files"), F.sum("length").alias("bytes"))
+    few = files.join(between, "place").select("place", ((F.col("files") == F.ceil(F.col("bytes") / F.lit(ROLLOVER_BYTES))) & (F.col("between") <= F.col("files") + 1)).alias("few_files"))
+    lines = versions.read_published(spark, log).join(few, "place")
+    return lines.groupBy(_place_columns(root)[1], "few_files").agg(
+        F.count("*").alias("n"), F.count_distinct("value").alias("n_lines"), F.sum(F.split_part("value", F.lit("|"), F.lit(1)).cast("bigint")).alias("ids")
+    )
+
+
+@QUERIES.add("""
+    SELECT strftime(ts, '%Y%m%d') AS dt, count(*) AS n, 'ok' AS status FROM events WHERE event_type = 'click' GROUP BY 1""")
+def switched_partitions(spark, sf_dir):
+    """A table's days in two folders wait, are joined whole, and the table is switched to the joined folders."""
+    from rillflow.operators.catalog import make_catalog
+
+    root = work_dir(spark, "lake")
+    log, database = f"{root}/log", "rf_" + root.rsplit("-", 1)[1]
+    tables.create_database(spark, database, f"{root}/db")
+    tables.create_landing_table(spark, f"{database}.t_click", "value string", "text")
+    catalog = make_catalog(spark, [{
+        "log": "click", "base_partition": f"{root}/days", "log_partition": "all", "date_format": "date", "hive_table_name": "t_click",
+        "hive_url": f"jdbc:hive2://lake.example:10000/{database}",
+    }])
+    rows, _ = _event_increments(spark, sf_dir)
+    rows = rows.where("topic = 'click'")
+    settings = publish_settings(rows.select("topic", "hour").distinct(), catalog)
+    for i in range(2):
+        mine = rows.where(F.col("event_id") % 2 == i).drop("event_id")
+        versions.publish_increment(mine, mine.select("topic", "hour").distinct(), catalog, log, f"half-{i}", writers=1)
+        versions.switch_partitions(spark, log, settings, pause=0)
+    versions.compact(spark, log, whole=True)
+    told = versions.switch_partitions(spark, log, settings, pause=0).groupBy("dt").agg(F.max("status").alias("status"), F.min("hr").alias("hr"))
+    return spark.table(f"{database}.t_click").join(told, ["dt", "hr"]).groupBy("dt", "status").agg(F.count("*").alias("n"))

@@ -56,7 +56,7 @@ def counter_store(spark, sf_dir):
     path = work_dir(spark, "counters")
     counters = ops.minute_counters(parsed_events(spark, sf_dir), "in")
     for batch in ("0", "1", "1"):
-        reports.publish_counters(counters, path, batch)
+        reports.publish_counters(counters, path, "run", batch)
     return reports.live_counters(spark, path)
 
 
