@@ -30,6 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rillflow.llm.shared import BLANKS, coded, free_name, ranges, slices, stage, sums_between, task_number, words_of
+from rillflow.operators.lookup import BROADCAST_BYTES, measured_bytes
 
 SHINGLE = 4
 VALUES, CHUNK = 40, 4
@@ -370,5 +371,7 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     signed, placed = _grouped(numbered, row)
     stays = placed.groupBy("group").agg(F.min("first").alias("stays"))
     by_set = placed.join(stays, "group").select("digest", F.col("stays.row").alias("stays"))
-    gone = signed.join(by_set, "digest").where("row <> stays").select(F.col("row").alias(row))
-    return numbered.join(gone, row, "left_anti").select(*docs.columns)
+    gone = stage(signed.join(by_set, "digest").where("row <> stays").select(F.col("row").alias(row)), "gone")
+    # The numbers of the rows that go are measured: while they are few they are sent to the texts, not the texts to them.
+    side = F.broadcast(gone) if measured_bytes(gone) <= BROADCAST_BYTES else gone
+    return numbered.join(side, row, "left_anti").select(*docs.columns)
