@@ -19,7 +19,7 @@ import pyarrow.compute as pc
 
 from rillflow.llm.shared import ranges, sums_between, text_bytes, words_from
 
-CACHE_PIECES = 300_000
+CACHE_PIECES = 100_000
 _MARK = ""
 _OTHER_BLANK = "[\\t\\v\\f\\r\\x1c-\\x1f\\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}\\x{e000}]|[ \\n][ \\n]"
 _LETTERS_THEN_MARKS = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
