@@ -28,11 +28,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rillflow.llm.shared import ranges, slices, stage, task_number
-from rillflow.llm.tokens import encoder, with_end
+from rillflow.llm.shared import BATCH_BYTES, ranges, slices, stage, task_number
+from rillflow.llm.tokens import CACHE_PIECES, encoder, with_end
 
 WINDOW = 1024
-BATCH_BYTES = 1 << 20
 SHARD_DOCS = 2048
 #: Terms in more than one of this many tails of a shard have a row of scores each, the others a list.
 COMMON = 8
@@ -48,16 +47,16 @@ _TOKENS_SQL = "row bigint, doc_id bigint, doc_tokens bigint, full_crcs binary, t
 PIECE_SCHEMA = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint"
 
 
-def tokenized(docs: DataFrame, tokenizer: str, end: int, window: int = WINDOW) -> DataFrame:
+def tokenized(docs: DataFrame, tokenizer: str, end: int, window: int = WINDOW, batch_bytes: int = BATCH_BYTES, pieces: int = CACHE_PIECES) -> DataFrame:
     """A row per document with checksums of its full windows, its tail's ids and, if that is not all of it, its
     distinct ids and their numbers (``bag``), and a row per task with the number of its documents that hold each
     token (``terms, holders``)."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = task_number() << 40
-        encode = encoder(tokenizer).encode
+        encode = encoder(tokenizer, pieces).encode
         holders = np.zeros(1 << 16, np.int64)
-        for batch in slices(batches, limit=BATCH_BYTES):
+        for batch in slices(batches, limit=batch_bytes):
             ids, counts = with_end(*encode(batch.column("text")), end)
             if ids.max() >= len(holders):
                 holders = np.concatenate([holders, np.zeros(int(ids.max()) + 1 - len(holders), np.int64)])
@@ -206,13 +205,16 @@ def sharded(rows: DataFrame, total: int, weight: np.ndarray, mean_length: float,
     return kept.join(F.broadcast(places), "leaf").withColumn("shard", F.col("first") + F.pmod(F.xxhash64("row"), F.col("parts"))).drop("leaf", "first", "parts")
 
 
-def pack(docs: DataFrame, tokenizer: str, end: int, window: int = WINDOW, shard_docs: int = SHARD_DOCS) -> DataFrame:
+def pack(
+    docs: DataFrame, tokenizer: str, end: int, window: int = WINDOW, shard_docs: int = SHARD_DOCS, batch_bytes: int = BATCH_BYTES, pieces: int = CACHE_PIECES,
+) -> DataFrame:
     """``doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset`` for every piece.
 
     Staged: ids of tails and token counts, read twice. The frequencies have a
     row for each token of the vocabulary, whatever the corpus, and go to all tasks.
+    ``batch_bytes`` and ``pieces`` bound a worker's memory while it encodes.
     """
-    staged = stage(tokenized(docs, tokenizer, end, window), "packing")
+    staged = stage(tokenized(docs, tokenizer, end, window, batch_bytes, pieces), "packing")
     counts = staged.where("terms IS NOT NULL").select(F.explode(F.arrays_zip("terms", "holders")).alias("x"))
     frequencies = counts.groupBy("x.terms").agg(F.sum("x.holders").alias("n")).collect()
     rows = staged.where("terms IS NULL").drop("terms", "holders")

@@ -19,7 +19,7 @@ import pyarrow.compute as pc
 
 from rillflow.llm.shared import ranges, sums_between, text_bytes, words_from
 
-CACHE_PIECES = 100_000
+CACHE_PIECES = 300_000
 _MARK = ""
 _OTHER_BLANK = "[\\t\\v\\f\\r\\x1c-\\x1f\\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}\\x{e000}]|[ \\n][ \\n]"
 _LETTERS_THEN_MARKS = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
@@ -27,10 +27,11 @@ _AFTER_WORD = re.compile(r"(?<=\S)(?=\s)")
 _ENCODERS: dict[str, PieceEncoder] = {}
 
 
-def encoder(path: str) -> PieceEncoder:
-    """This worker's encoder of a tokenizer file."""
+def encoder(path: str, pieces: int = CACHE_PIECES) -> PieceEncoder:
+    """This worker's encoder of a tokenizer file, which remembers about ``pieces`` pieces, twice."""
     if path not in _ENCODERS:
         _ENCODERS[path] = PieceEncoder(path)
+    _ENCODERS[path].most = pieces
     return _ENCODERS[path]
 
 
@@ -52,6 +53,7 @@ class PieceEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.model = self.tokenizer.model
+        self.most = CACHE_PIECES
         self.pieces: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
         self.letters = _byte_letters()
@@ -75,10 +77,10 @@ class PieceEncoder:
         return self._merge(plain, ids, counts, [self._by_piece(text) for text in texts.filter(pa.array(~plain)).to_pylist()])
 
     def _with_added(self, texts: pa.Array) -> np.ndarray:
-        """Texts that hold an added token, in any case: the tokenizer takes it out before it cuts, so these go to it whole."""
+        """Texts that hold an added token, in any case if the tokenizer lower-cases: it takes them out before it cuts, so these go to it whole."""
         found = np.zeros(len(texts), bool)
         for token in self.added:
-            found |= pc.match_substring(texts, token, ignore_case=True).to_numpy(zero_copy_only=False)
+            found |= pc.match_substring(texts, token, ignore_case=not self.keeps_spaces).to_numpy(zero_copy_only=False)
         return found
 
     @staticmethod
@@ -151,7 +153,7 @@ class PieceEncoder:
 
     def _trim(self) -> None:
         """Pieces not seen lately go: two generations, the older dropped when the newer is full."""
-        if len(self.pieces) > CACHE_PIECES:
+        if len(self.pieces) > self.most:
             self.pieces, self.older = {}, self.pieces
 
     def _literal(self, piece: str) -> str:
