@@ -68,7 +68,7 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 @in_small_batches
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents in windows of 1024 tokens."""
-    return packing.pack(docs, tokenizer_path("byte_bpe_50k.json"), 0)
+    return packing.pack(docs, tokenizer_path("byte_bpe_50k.json"), 0, batch_bytes=BATCH_BYTES, pieces=100_000)
 
 
 STAGES = [
