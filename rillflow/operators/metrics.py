@@ -7,9 +7,12 @@ counts.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from rillflow.functions.keys import minute_key
 
@@ -125,6 +128,50 @@ def message_rates(rows: DataFrame, ts: str = "ts") -> DataFrame:
     )
 
 
+METER_SCHEMA = "topic string, minute_index bigint, count bigint, mean_rate double, " + ", ".join(f"{name} double" for name in RATE_WINDOWS)
+_METER_STATE = "first bigint, last bigint, count bigint, " + ", ".join(f"{name} double" for name in RATE_WINDOWS)
+
+
+def _advance_meter(key: tuple[str], minutes: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    """A topic's meter moved on by its closed minutes, in their order; a minute without messages only lets the rates fall."""
+    if state.hasTimedOut:
+        state.remove()
+        return
+    closed = pd.concat(list(minutes)).sort_values("minute_index")
+    first, last, count, *rates = state.get if state.exists else (None, None, 0, *[0.0] * len(RATE_WINDOWS))
+    told = []
+    for minute, n in zip(closed["minute_index"].tolist(), closed["n"].tolist()):
+        if first is None:
+            first, rates = minute, [n / 60] * len(rates)
+        else:
+            rates = [old * math.exp((last - minute) / window) + (1 - math.exp(-1 / window)) * n / 60 for old, window in zip(rates, RATE_WINDOWS.values())]
+        last, count = minute, count + n
+        told.append((key[0], minute, count, count / ((minute - first + 1) * 60), *rates))
+    state.update((first, last, count, *rates))
+    yield pd.DataFrame(told, columns=["topic", "minute_index", "count", "mean_rate", *RATE_WINDOWS])
+
+
+def streamed_rates(rows: DataFrame, ts: str = "ts", watermark: str = "1 hour", idle_ms: int | None = None) -> DataFrame:
+    """``message_rates`` of a stream: each minute's values when the watermark has closed it.
+
+    Minutes are counted by Spark's windows, so a hot topic sends a row a minute to
+    its meter. The meter's state is one row per topic: its first and last minute,
+    the count and the moving rates. Rows later than the watermark are not counted.
+    With ``idle_ms`` a topic that is silent for so long is forgotten and starts
+    anew; this is the clock's time.
+    """
+    counted = rows.withWatermark(ts, watermark).groupBy("topic", F.window(ts, "1 minute").alias("w")).agg(F.count(F.lit(1)).alias("n"))
+    minutes = counted.select("topic", F.floor(F.unix_seconds("w.start") / 60).alias("minute_index"), "n")
+
+    def advance(key: tuple[str], parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        yield from _advance_meter(key, parts, state)
+        if idle_ms is not None and state.exists:
+            state.setTimeoutDuration(idle_ms)
+
+    timeout = GroupStateTimeout.NoTimeout if idle_ms is None else GroupStateTimeout.ProcessingTimeTimeout
+    return minutes.groupBy("topic").applyInPandasWithState(advance, METER_SCHEMA, _METER_STATE, "append", timeout)
+
+
 def file_meters(files: DataFrame) -> DataFrame:
     """Files and bytes of a file listing (``path``, ``length``)."""
     return files.agg(F.count(F.lit(1)).alias("files"), F.coalesce(F.sum("length"), F.lit(0)).alias("bytes"))

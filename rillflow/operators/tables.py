@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import hashlib
 import time
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DataType, MapType, StructField, StructType
+from pyspark.sql.types import ArrayType, DataType, MapType, StringType, StructField, StructType
 
 # Partition columns of a published table.
 PARTITION_COLUMNS = ("dt", "hr")
@@ -54,14 +55,45 @@ def described_columns(spark: SparkSession, table: str) -> DataFrame:
     )
 
 
+def conform_value(value: Column, have: DataType, want: DataType) -> Column:
+    """A value in another type. Fields of nested structs are matched by lower-cased name, absent ones are NULL.
+
+    Text becomes a nested value by its JSON; any other value that cannot become one is NULL.
+    """
+    if isinstance(want, StructType) and isinstance(have, StructType):
+        source = {f.name.strip().lower(): f for f in have.fields}
+        fields = [
+            (conform_value(value.getField(source[f.name].name), source[f.name].dataType, f.dataType) if f.name in source else F.lit(None).cast(f.dataType)).alias(f.name)
+            for f in want.fields
+        ]
+        return F.when(value.isNotNull(), F.struct(*fields))
+    if isinstance(want, ArrayType) and isinstance(have, ArrayType):
+        return F.transform(value, lambda v: conform_value(v, have.elementType, want.elementType))
+    if isinstance(want, MapType) and isinstance(have, MapType):
+        return F.transform_values(value, lambda _, v: conform_value(v, have.valueType, want.valueType)).try_cast(want)
+    if isinstance(want, (StructType, ArrayType, MapType)):
+        return F.from_json(value, want) if isinstance(have, StringType) else F.lit(None).cast(want)
+    return value.try_cast(want)
+
+
 def conform_columns(df: DataFrame, schema: StructType) -> list[Column]:
-    source = {c.strip().lower(): c for c in df.columns}
+    source = {f.name.strip().lower(): f for f in df.schema.fields}
     return [
-        (F.col(f"`{source[f.name]}`").try_cast(f.dataType) if f.name in source else F.lit(None).cast(f.dataType)).alias(f.name)
+        (conform_value(F.col(f"`{source[f.name].name}`"), source[f.name].dataType, f.dataType) if f.name in source else F.lit(None).cast(f.dataType)).alias(f.name)
         for f in schema.fields
     ]
 
 
+def schema_groups(schemas: Mapping[str, StructType]) -> dict[str, tuple[StructType, list[str]]]:
+    """Topics by the fingerprint of their schema, with that schema. The order of columns does not count."""
+    groups: dict[str, tuple[StructType, list[str]]] = {}
+    for topic, schema in sorted(schemas.items()):
+        ordered = StructType(sorted(schema.fields, key=lambda f: f.name))
+        fingerprint = hashlib.md5(ordered.simpleString().encode()).hexdigest()
+        groups.setdefault(fingerprint, (ordered, []))[1].append(topic)
+    return groups
+
+
 def conform(df: DataFrame, schema: StructType) -> DataFrame:
     """Columns matched by lower-cased name and cast; absent ones become NULL.
 

@@ -33,6 +33,7 @@ class IngestPlan:
     conf: Mapping[str, object] = field(default_factory=dict)
     avro_schemas: Mapping[str, str] | None = None
     parquet_schema: StructType | None = None
+    schemas: Mapping[str, StructType] | None = None
     writers: int | None = None
     run: str = field(default_factory=lambda: uuid.uuid4().hex)
     batch: str = "0"
@@ -53,7 +54,7 @@ class DiskWriter(Plugin):
 
     def apply(self, df: DataFrame) -> DataFrame:
         plan = self.plan
-        self.rejected.append(land_by_codec(df, plan.landing, plan.parquet_schema, plan.run, plan.batch, plan.mode, plan.writers))
+        self.rejected.append(land_by_codec(df, plan.landing, plan.parquet_schema, plan.run, plan.batch, plan.mode, plan.writers, plan.schemas))
         return df
 
 

@@ -23,10 +23,9 @@ from rillflow.functions.keys import file_hour, file_topic, hour_dir, lake_dir, p
 from rillflow.operators.catalog import PublishDefaults, with_publish_settings
 from rillflow.operators.lookup import lookup_join
 from rillflow.operators.tables import add_partitions
-from rillflow.sinks.lake import with_layout, write_lake
 from rillflow.sinks.landing import batch_folder, gather, landed_parquet, landed_text
 from rillflow.sinks.reports import partition_audit
-from rillflow.sources.store import files_below, make_folder, move, names_in, remove
+from rillflow.sources.store import files_below, make_folder, move, move_file, names_in, remove
 
 # Base folders written, and files renamed, at the same time.
 PARALLEL_WRITES = 4
@@ -172,23 +171,28 @@ def remove_published(spark: SparkSession, landing: str, kind: str = "text") -> i
     return len(done)
 
 
-def quarantine_files(spark: SparkSession, checked: DataFrame, catalog: DataFrame, defaults: PublishDefaults = PublishDefaults()) -> None:
-    """Corrupt files, whole, in the lake layout below their topic's quarantine folder.
+def quarantine_files(spark: SparkSession, checked: DataFrame, catalog: DataFrame, defaults: PublishDefaults = PublishDefaults(), label: str = "found") -> DataFrame:
+    """Moves corrupt files, as they are, into the lake layout below their topic's quarantine folder.
 
-    ``checked`` holds ``path, file_ok``. A file becomes a row of its path and its
-    bytes. Only the paths of corrupt files pass the driver; their bytes go from
-    task to task. A file without an hour in its name is filed under no date.
+    ``checked`` holds ``path, length, file_ok``. A file keeps its name, in a folder
+    named after ``label`` and the folder that it came from, so files of one name
+    stay apart; one without an hour in its name lies below ``unnamed``. Names
+    alone pass the driver, the store moves the bytes. The same call again goes on
+    where it stopped. Returns ``path, target, length``.
     """
     bad = checked.filter(~F.col("file_ok")).select(
-        "path", file_topic(F.col("path")).alias("topic"), file_hour(F.col("path")).alias("hour")
+        "path", "length", file_topic(F.col("path")).alias("topic"), file_hour(F.col("path")).alias("hour")
     )
     settings = publish_settings(bad, catalog, defaults)
-    part = F.coalesce("log_partition", F.lit("unnamed")).alias("part")
-    places = settings.groupBy("quarantine", part, "date_format").agg(F.collect_list("path").alias("paths"))
-    for row in places.toLocalIterator():
-        content = spark.read.format("binaryFile").load(row["paths"]).select("path", "content")
-        rows = with_layout(content.withColumn("_ts", parse_hour_key(file_hour(F.col("path")))), row["date_format"], "_ts")
-        write_lake(rows.drop("_ts"), row["quarantine"], row["part"], row["date_format"], writers=0)
+    quarantine = strip_last_slash(F.col("quarantine"))
+    place = F.coalesce(lake_dir(quarantine, F.col("log_partition"), F.col("date_format"), parse_hour_key(F.col("hour"))), F.concat(quarantine, F.lit("/unnamed")))
+    source = F.md5(F.regexp_replace("path", "/[^/]*$", "").cast("binary"))
+    target = F.concat(place, F.lit(f"/{label}-"), source, F.lit("/"), F.substring_index("path", "/", -1))
+    moves = [(r["path"], r["target"], r["length"]) for r in settings.select("path", target.alias("target"), "length").toLocalIterator()]
+    with ThreadPoolExecutor(PARALLEL_MOVES) as pool:
+        for _ in pool.map(lambda m: move_file(spark, m[0], m[1]), moves):
+            pass
+    return spark.createDataFrame(moves, "path string, target string, length bigint")
 
 
 def register_partitions(spark: SparkSession, settings: DataFrame, **retry) -> DataFrame:

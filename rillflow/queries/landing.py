@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timedelta, timezone
+
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -10,7 +12,7 @@ from rillflow.operators import metrics, tables
 from rillflow.operators.catalog import PublishDefaults
 from rillflow.operators.parse import parse_messages, parse_with_descriptor
 from rillflow.operators.quality import keyed_rows, split_by_error, with_hour_key
-from rillflow.plans import versions
+from rillflow.plans import named_files as named, versions
 from rillflow.plans.ingest import IngestPipeline, IngestPlan, parsed_rows, run_ingest
 from rillflow.plans.publish import landed_batches, publish_batches, publish_settings, register_partitions, remove_published
 from rillflow.queries import Registry
@@ -26,6 +28,7 @@ from rillflow.queries.feeds import (
 from rillflow.session import ROLLOVER_BYTES, work_dir
 from rillflow.sinks import lake, landing, reports
 from rillflow.sources import files
+from rillflow.sources.store import make_folder, move
 
 QUERIES = Registry()
 
@@ -312,14 +315,13 @@ def messages_per_file(spark, sf_dir):
     return per_file.groupBy(topic.alias("topic"), hour.alias("hour")).agg(F.sum("messages").alias("messages"))
 
 
-@QUERIES.add("""
-    SELECT count(DISTINCT event_type || strftime(ts, '%Y%m%d%H')) AS files, true AS has_bytes FROM events""")
+@QUERIES.add(f"""
+    SELECT count(DISTINCT event_type || strftime(ts, '%Y%m%d%H')) AS files, CAST(sum(strlen({_LINE}) + 1) AS BIGINT) AS bytes FROM events""")
 def upload_meters(spark, sf_dir):
-    """Files and bytes of the landed data, after the integrity check: here a file per topic and hour."""
+    """Files and bytes of the landed data, after the integrity check: here a plain file per topic and hour."""
     path = work_dir(spark, "metered")
-    landing.land_text(with_hour_key(parsed_events(spark, sf_dir)), path, writers=1)
-    meters = metrics.file_meters(files.check_files(files.list_files(spark, path, "*.gz")))
-    return meters.select("files", (F.col("bytes") > 0).alias("has_bytes"))
+    landing.land_text(with_hour_key(parsed_events(spark, sf_dir)), path, codec="none", writers=1)
+    return metrics.file_meters(files.check_files(files.list_files(spark, path, "part-*"), path).filter("file_ok"))
 
 
 @QUERIES.add(f"""
@@ -467,3 +469,135 @@ def switched_partitions(spark, sf_dir):
     versions.compact(spark, log, whole=True)
     told = versions.switch_partitions(spark, log, settings, pause=0).groupBy("dt").agg(F.max("status").alias("status"), F.min("hr").alias("hr"))
     return spark.table(f"{database}.t_click").join(told, ["dt", "hr"]).groupBy("dt", "status").agg(F.count("*").alias("n"))
+
+
+def _put(spark, rows, target, fmt="text"):
+    """One file of the given rows under a name of its own."""
+    staged = work_dir(spark, "put")
+    rows.coalesce(1).write.option("compression", "gzip" if target.endswith(".gz") else "none").format(fmt).save(staged)
+    part = files.list_files(spark, staged, "part-*").unionByName(files.empty_files(spark, staged)).filter("path LIKE '%/part-%'").first()
+    move(spark, part["path"], target)
+
+
+def _named_feed(spark, sf_dir, root):
+    """A finished gzip file per topic and day below ``root``; a corrupt and an empty Parquet file for each topic, one of no topic."""
+    make_folder(spark, root)
+    staged = work_dir(spark, "finished")
+    rows = with_hour_key(parsed_events(spark, sf_dir)).withColumn("hour", F.concat(F.substring("hour", 1, 10), F.lit("-00")))
+    landing.land_text(rows, staged, writers=1)
+    for row in files.list_files(spark, staged, "part-*").select("path").toLocalIterator():
+        topic, hour = (part.split("=")[1] for part in row["path"].split("/")[-3:-1])
+        move(spark, row["path"], f"{root}/{topic}-{hour}.gz")
+    topics = [r["topic"] for r in rows.select("topic").distinct().collect()]
+    for topic in topics:
+        _put(spark, spark.range(1).select(F.lit("PAR1 is not all").alias("value")), f"{root}/{topic}-2024-01-01-00.parquet")
+        _put(spark, spark.range(0).select(F.lit("").alias("value")), f"{root}/{topic}-2024-01-02-00.parquet")
+    _put(spark, spark.range(1).select(F.lit("line").alias("value")), f"{root}/noname.gz")
+
+
+@QUERIES.add("""
+    WITH n AS (SELECT event_type AS topic, count(DISTINCT strftime(ts, '%Y%m%d')) AS files, count(*) AS lines FROM events GROUP BY 1)
+    SELECT topic, 'complete' AS status, files, lines, true AS bytes_told, CAST(0 AS BIGINT) AS left_over FROM n
+    UNION ALL SELECT topic, 'corrupt', 2, 0, true, 0 FROM n
+    UNION ALL SELECT NULL, 'unnamed', 1, 0, true, 0""")
+def published_files(spark, sf_dir):
+    """Finished files published or put into quarantine once: by a round before they rested, one that is stopped, one that finishes it, and one more."""
+    root, feed, log = work_dir(spark, "lake"), work_dir(spark, "feed"), work_dir(spark, "log")
+    _named_feed(spark, sf_dir, feed)
+    listed = files.list_files(spark, feed, files.FINISHED_GLOB).agg(F.sum("length").alias("n")).first()["n"]
+    catalog = _daily_catalog(root, spark)
+    defaults = PublishDefaults(base_partition=f"{root}/default", quarantine=f"{root}/quarantine")
+    later = datetime.now(timezone.utc) + timedelta(hours=1)
+    named.publish_named_files(spark, feed, log, catalog, defaults, wait_ms=7_200_000, now=later)
+    named.begin_round(spark, feed, log, now=later)
+    for _ in range(2):
+        named.publish_named_files(spark, feed, log, catalog, defaults, now=later)
+    meters = named.upload_meters(spark, log)
+    told = meters.agg(F.sum("bytes").alias("told"))
+    left = files.list_files(spark, feed, files.FINISHED_GLOB).agg(F.count("*").alias("left_over"))
+    event_type = F.get(F.split("value", "[|]"), F.lit(2))
+    lines = versions.read_published(spark, log).groupBy(event_type.alias("_topic")).agg(F.count("*").alias("lines"))
+    counted = meters.join(lines, (F.col("topic") == F.col("_topic")) & (F.col("status") == "complete"), "left")
+    return counted.join(F.broadcast(told)).join(F.broadcast(left)).select(
+        "topic", "status", "files", F.coalesce("lines", F.lit(0)).alias("lines"), (F.col("told") == listed).alias("bytes_told"), "left_over"
+    )
+
+
+@QUERIES.add("""
+    SELECT event_type || '.parquet' AS file, 'rows' AS kind, count(*) AS n, true AS file_ok FROM events GROUP BY 1
+    UNION ALL SELECT DISTINCT event_type || '-none.parquet', 'no rows', 0, true FROM events
+    UNION ALL SELECT DISTINCT event_type || '-cut.parquet', 'broken', 0, false FROM events
+    UNION ALL SELECT DISTINCT event_type || '-void.parquet', 'empty', 0, false FROM events""")
+def checked_files(spark, sf_dir):
+    """Parquet files with rows and without, broken and of no bytes, told apart by one scan of their folder."""
+    root = work_dir(spark, "checked")
+    make_folder(spark, root)
+    rows = parsed_events(spark, sf_dir).select("topic", "message", "ts")
+    for topic in sorted(r["topic"] for r in rows.select("topic").distinct().collect()):
+        mine = rows.filter(F.col("topic") == topic)
+        _put(spark, mine, f"{root}/{topic}.parquet", "parquet")
+        _put(spark, mine.filter("false"), f"{root}/{topic}-none.parquet", "parquet")
+        _put(spark, spark.range(1).select(F.lit("PAR1 and no footer").alias("value")), f"{root}/{topic}-cut.parquet")
+        _put(spark, spark.range(0).select(F.lit("").alias("value")), f"{root}/{topic}-void.parquet")
+    listed = files.list_files(spark, root, "*.parquet").unionByName(files.empty_files(spark, root).filter("path LIKE '%.parquet'"))
+    checked = files.check_files(listed, root)
+    sound = spark.read.schema(mine.schema).option("ignoreCorruptFiles", True).parquet(root)
+    counts = sound.groupBy(files.plain_path(F.col("_metadata.file_path")).alias("path")).agg(F.count("*").alias("n"))
+    name = F.substring_index("path", "/", -1)
+    kind = F.when(name.endswith("-none.parquet"), "no rows").when(name.endswith("-cut.parquet"), "broken").when(name.endswith("-void.parquet"), "empty").otherwise("rows")
+    return checked.join(counts, "path", "left").select(name.alias("file"), kind.alias("kind"), F.coalesce("n", F.lit(0)).alias("n"), "file_ok")
+
+
+_TABLES = {
+    "click": "Event_Id bigint, Detail struct<Kind: string, User_Id: bigint, absent: int>",
+    "purchase": "user_id string, event_id int",
+    "signup": "DETAIL struct<kind: string, user_id: bigint, absent: int>, EVENT_ID bigint",
+}
+
+
+@QUERIES.add("""
+    SELECT event_type AS topic, strftime(ts, '%Y-%m-%d-%H') AS hour,
+           CASE event_type WHEN 'purchase' THEN 'struct<event_id:int,user_id:string>' WHEN 'view' THEN 'fields'
+                ELSE 'struct<detail:struct<kind:string,user_id:bigint,absent:int>,event_id:bigint>' END AS type,
+           CASE WHEN event_type = 'view' THEN NULL ELSE event_id END AS event_id, user_id, CASE WHEN event_type IN ('click', 'signup') THEN event_type END AS kind
+    FROM events WHERE event_type <> 'error'""")
+def typed_landing(spark, sf_dir):
+    """Parquet topics landed by the schemas of their tables: two topics share one, another has its own, a fourth has no table."""
+    from rillflow.operators.catalog import make_catalog
+    from rillflow.plans.pipelines import ColumnPlugin
+
+    path, root = work_dir(spark, "landing"), work_dir(spark, "db")
+    database = "rf_" + root.rsplit("-", 1)[1]
+    tables.create_database(spark, database, root)
+    for topic, columns in _TABLES.items():
+        tables.create_landing_table(spark, f"{database}.{topic}", columns)
+    catalog = make_catalog(spark, [
+        {"log": t, "format": "txt:sep=pipe;msg=0:3;ts=3", "output_format": "parquet", "hive_table_name": f"{database}.{t}"} for t in (*_TABLES, "view")
+    ])
+    schemas = tables.schemas_by_topic(catalog)
+
+    def typed(columns):
+        event_id, user_id, kind = (F.get(columns["fields"], F.lit(i)) for i in range(3))
+        return {"EVENT_ID": event_id, "user_id": user_id, "detail": F.struct(user_id.alias("USER_ID"), kind.alias("kind"))}
+
+    plan = IngestPlan(path, {"plugins": {"typed": ColumnPlugin(typed)}, "pipeline": ["->", "typed", "disk-writer"]}, schemas=schemas)
+    messages = event_messages(spark, sf_dir).filter("topic <> 'error'")
+    # The same run twice: its folders are replaced.
+    for _ in range(2):
+        run_ingest(messages, catalog, plan)
+    landed = landing.landed_tables(spark, path, schemas)
+    parts = []
+    for fingerprint, (schema, _) in tables.schema_groups(schemas).items():
+        rows = landed[fingerprint]
+        nested = "detail" in schema.names
+        parts.append(rows.select(
+            "topic", "hour", F.lit(schema.simpleString()).alias("type"), F.col("event_id").cast("bigint").alias("event_id"),
+            (F.col("detail.user_id") if nested else F.col("user_id").cast("bigint")).alias("user_id"), (F.col("detail.kind") if nested else F.lit(None).cast("string")).alias("kind"),
+        ))
+    other = landing.landed_parquet(spark, path, StructType.fromDDL("fields array<string>"))
+    user_id = F.get("fields", F.lit(1)).cast("bigint").alias("user_id")
+    parts.append(other.select("topic", "hour", F.lit("fields").alias("type"), F.lit(None).cast("bigint").alias("event_id"), user_id, F.lit(None).cast("string").alias("kind")))
+    found = parts[0]
+    for part in parts[1:]:
+        found = found.unionByName(part)
+    return found

@@ -13,6 +13,7 @@ from rillflow.queries import Registry
 from rillflow.queries.feeds import event_catalog, event_messages, events, parsed_events, table
 from rillflow.session import work_dir
 from rillflow.sinks import reports
+from rillflow.sources.store import names_in
 
 QUERIES = Registry()
 
@@ -60,6 +61,37 @@ def counter_store(spark, sf_dir):
     return reports.live_counters(spark, path)
 
 
+@QUERIES.add("""
+    SELECT 'in' AS phase, event_type AS topic, strftime(ts, '%Y%m%d%H%M') AS minute, count(*) AS n, CAST(4 AS BIGINT) AS folders_left FROM events GROUP BY 2, 3""")
+def counter_snapshots(spark, sf_dir):
+    """Fifty batches, folded three times on the way, two folded ones published again, one that came late: every increment once, few folders left."""
+    path = work_dir(spark, "counters")
+    rows = parsed_events(spark, sf_dir).withColumn("_batch", F.pmod(F.xxhash64("message"), F.lit(50)))
+    counted = ops.minute_counters(rows, "in").limit(0)
+    staged = work_dir(spark, "counted")
+    rows.groupBy("_batch", "topic", ops.minute_key(F.col("ts")).alias("minute")).agg(F.count("*").alias("n")).write.partitionBy("_batch").parquet(staged)
+
+    def publish(batch):
+        mine = spark.read.parquet(staged).filter(F.col("_batch") == batch).select(F.lit("in").alias("phase"), "topic", "minute", "n")
+        reports.publish_counters(mine.select(*counted.columns), path, "run", str(batch))
+
+    for batch in range(50):
+        if batch != 7:
+            publish(batch)
+        if batch in (19, 39):
+            reports.fold_counters(spark, path)
+    publish(7)
+    for again in (3, 30):
+        publish(again)
+    reports.fold_counters(spark, path, keep=2)
+    # The last fold removes what the ones before it hold; its own batches go with the next.
+    reports.fold_counters(spark, path, keep=2)
+    publish(40)
+    publish(7)
+    left = len(names_in(spark, f"{path}/run=run"))
+    return reports.live_counters(spark, path).withColumn("folders_left", F.lit(left).cast("bigint"))
+
+
 @QUERIES.add("""
     WITH r AS (SELECT l_returnflag, CAST(l_quantity AS BIGINT) * 10 AS ms, l_linenumber AS m FROM lineitem)
     SELECT l_returnflag, count(*) AS runs, CAST(sum(m) AS BIGINT) AS messages, CAST(round(avg(ms) * 1000) AS BIGINT) AS mean_us,

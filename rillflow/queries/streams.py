@@ -10,8 +10,9 @@ from rillflow.operators.parse import parse_with_descriptor
 from rillflow.plans.ingest import IngestPlan
 from rillflow.plans.pipelines import ColumnPlugin
 from rillflow.queries import Registry
-from rillflow.queries.feeds import event_catalog, event_lines, event_messages, landing_catalog, table
+from rillflow.queries.feeds import event_catalog, event_lines, event_messages, landing_catalog, parsed_events, table
 from rillflow.queries.landing import _LANDED_SQL, _LINE, _land_all, _publish_catalog, _published, _PUBLISHED_SQL
+from rillflow.queries.metrics import _rate_sql
 from rillflow.session import work_dir
 from rillflow.sinks import landing, reports
 from rillflow.sources.files import stream_messages
@@ -132,3 +133,29 @@ def stream_publish(spark, sf_dir):
     )
     query.awaitTermination()
     return _published(spark, root)
+
+
+@QUERIES.add(f"""
+    WITH c AS (SELECT event_type AS topic, epoch_us(ts) // 60000000 AS i, count(*) AS n FROM events GROUP BY 1, 2),
+         f AS (SELECT *, min(i) OVER (PARTITION BY topic) AS first FROM c),
+         r AS (SELECT topic, i AS minute_index, CAST(sum(n) OVER w AS BIGINT) AS count,
+                      CAST(round(1000000 * (sum(n) OVER w) / ((i - first + 1) * 60)) AS BIGINT) AS mean_rate,
+                      CAST({_rate_sql(1)} AS BIGINT) AS one_minute_rate, CAST({_rate_sql(5)} AS BIGINT) AS five_minute_rate
+               FROM f WINDOW w AS (PARTITION BY topic ORDER BY i ROWS UNBOUNDED PRECEDING))
+    SELECT * FROM r WHERE (minute_index + 1) * 60000 <= (SELECT max(epoch_us(ts)) // 1000 - 60000 FROM events)""")
+def stream_rates(spark, sf_dir):
+    """The meter as a stream that is stopped and started again twice, each time with the next ten days: the values of all closed minutes."""
+    root = work_dir(spark, "meter")
+    rows = parsed_events(spark, sf_dir).select("topic", "ts")
+    ends = rows.agg(F.min("ts").alias("a"), F.max("ts").alias("b")).select(F.unix_seconds("a").alias("a"), F.unix_seconds("b").alias("b")).first()
+    third = F.least(F.floor((F.unix_seconds("ts") - ends["a"]) * 3 / (ends["b"] - ends["a"] + 1)), F.lit(2))
+    for part in range(3):
+        rows.filter(third == part).write.mode("append").parquet(f"{root}/in")
+        rates = metrics.streamed_rates(spark.readStream.schema(rows.schema).parquet(f"{root}/in"), watermark="1 minute")
+        query = (
+            rates.writeStream.outputMode("append").format("parquet")
+            .option("path", f"{root}/out").option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start()
+        )
+        query.awaitTermination()
+    names = ["mean_rate", *metrics.RATE_WINDOWS]
+    return spark.read.parquet(f"{root}/out").withColumns({name: F.round(F.col(name) * 1_000_000).cast("bigint") for name in names})

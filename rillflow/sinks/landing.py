@@ -5,7 +5,7 @@ Rows carry ``topic``, ``hour`` (``yyyy-MM-dd-HH``), ``codec`` and ``message``.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,9 +13,9 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from rillflow.functions.avro import has_avro_package
 from rillflow.operators.quality import keyed_rows
-from rillflow.operators.tables import conform_columns
+from rillflow.operators.tables import conform_columns, schema_groups
 from rillflow.sources.files import list_files
-from rillflow.sources.store import exists
+from rillflow.sources.store import exists, remove
 
 # Codecs of landed text, and the page compression of landed Parquet.
 TEXT_CODECS = ("none", "gzip", "snappy", "bzip2")
@@ -25,7 +25,7 @@ LANDING_PARTITIONS = ("topic", "hour")
 LANDED_TEXT_SCHEMA = "value string, topic string, hour string"
 HOURS_SCHEMA = "topic string, hour string, run string, batch string"
 COLUMNAR_CODECS = ("parquet", "avro")
-KINDS = ("text", "parquet", "avro")
+KINDS = ("text", "parquet", "avro", "tables")
 _PLACE = [StructField(name, StringType()) for name in ("topic", "hour", "run", "batch")]
 
 
@@ -101,17 +101,35 @@ def with_sink(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     return rows.filter(known & named), rows.filter(~(known & named)).withColumn("error", error)
 
 
-def land_by_codec(rows: DataFrame, path: str, schema: StructType | None = None, run: str = "batch", batch: str = "0", mode: str = "append", writers: int | None = None) -> DataFrame:
+def land_by_codec(
+    rows: DataFrame, path: str, schema: StructType | None = None, run: str = "batch", batch: str = "0", mode: str = "append", writers: int | None = None,
+    schemas: Mapping[str, StructType] | None = None,
+) -> DataFrame:
     """Each row with its own codec: text below ``path/text``, Parquet below
     ``path/parquet``, Avro below ``path/avro``, each with a folder per run and batch.
 
     There is one write per codec that the rows have, as a write has one codec;
     the rows should be staged or persisted, since each write reads them. Parquet
     and Avro rows take ``schema``, or their time and fields when there is none.
+    Parquet rows of topics in ``schemas`` take their topic's schema instead, below
+    ``path/tables``, in one write per schema, however many topics share it.
     Returns the rows that no sink takes, with the reason.
     """
     landable, rejected = with_sink(rows)
-    codecs = sorted(r["codec"] for r in landable.select("codec").distinct().collect())
+    groups = schema_groups(schemas or {})
+    own = F.lit(None).cast("string")
+    for fingerprint, (_, topics) in groups.items():
+        own = F.when((F.col("codec") == "parquet") & F.col("topic").isin(topics), F.lit(fingerprint)).otherwise(own)
+    landable = landable.withColumn("_schema", own)
+    found = landable.select("codec", "_schema").distinct().collect()
+    codecs = sorted({r["codec"] for r in found if r["_schema"] is None})
+    if mode == "overwrite":
+        # A topic's schema may have changed since the batch ran before.
+        remove(rows.sparkSession, batch_folder(f"{path}/tables", run, batch))
+    for fingerprint in sorted(r["_schema"] for r in found if r["_schema"]):
+        mine = landable.filter(F.col("_schema") == fingerprint).drop("_schema")
+        land_parquet(mine, f"{batch_folder(f'{path}/tables', run, batch)}/schema_id={fingerprint}", groups[fingerprint][0], mode, writers)
+    landable = landable.filter(F.col("_schema").isNull()).drop("_schema")
     if "avro" in codecs and not has_avro_package(rows.sparkSession):
         raise RuntimeError("start the session with the spark-avro package")
     for codec in codecs:
@@ -163,6 +181,15 @@ def landed_parquet(spark: SparkSession, path: str, schema: StructType, batches:
     return _landed(spark, f"{path}/parquet", batches, full, "parquet")
 
 
+def landed_tables(spark: SparkSession, path: str, schemas: Mapping[str, StructType], batches: Sequence[tuple[str, str]] | None = None) -> dict[str, DataFrame]:
+    """Rows landed by their topics' schemas, a table for each fingerprint; only the folders of that schema are read."""
+    found = {}
+    for fingerprint, (schema, _) in schema_groups(schemas).items():
+        full = StructType([*schema.fields, StructField("schema_id", StringType()), *_PLACE])
+        found[fingerprint] = _landed(spark, f"{path}/tables", batches, full, "parquet").filter(F.col("schema_id") == fingerprint).drop("schema_id")
+    return found
+
+
 def _landed(spark: SparkSession, root: str, batches: Sequence[tuple[str, str]] | None, schema: StructType, fmt: str) -> DataFrame:
     folders = [root] if batches is None else [batch_folder(root, *b) for b in batches]
     present = [f for f in folders if exists(spark, f)]

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import io
+import re
 from datetime import datetime, timedelta, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -19,6 +22,9 @@ FINISHED_NAME = r"\.(gz|parquet)$"
 FILE_WAIT_MS = 30_000
 COPYING_FOLDER = "/tmp/copying"
 
+# A Parquet file without rows is its footer alone; one larger than this is not read as a cell.
+FOOTER_BYTES = 64 << 20
+
 RAW_MESSAGE_SCHEMA = StructType([StructField("topic", StringType()), StructField("value", StringType())])
 
 
@@ -55,32 +61,62 @@ def finished_files(spark: SparkSession, path: str, wait_ms: int = FILE_WAIT_MS,
     return is_finished(list_files(spark, path, FINISHED_GLOB).unionByName(empty_files(spark, path)), wait_ms, now)
 
 
-def check_files(files: DataFrame) -> DataFrame:
-    """Adds ``file_ok``: Parquet files must have a readable footer, others pass.
+def plain_path(path: Column) -> Column:
+    """The path of a row's metadata, as listings write it."""
+    # A plus sign is itself there, which URL decoding would turn into a space.
+    return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+
+
+def literal_path(path: str) -> str:
+    """A path for a reader that would take some characters for a pattern."""
+    return re.sub(r"([\\*?\[\]{}])", r"\\\1", path)
+
+
+def check_files(files: DataFrame, root: str) -> DataFrame:
+    """Adds ``file_ok`` to a listing of files below ``root``: Parquet files must have a readable footer, others pass.
 
-    Spark reads the footers, in tasks, on whatever store the files are. A file
-    from which it gets a row is sound. The few others, broken or without rows,
-    are opened one by one through Hadoop, where only a footer that is no Parquet
-    footer counts as corrupt; a store that fails is an error, not a verdict.
+    One scan of the folder reads the footers, in tasks, on whatever store the
+    files are, and is joined with the listing: a file from which it gets a row is
+    sound. Of the few others, broken or without rows, the names pass the driver
+    and tasks read the bytes; only what is no Parquet file counts as corrupt, a
+    store that fails is an error and no verdict. Those above ``FOOTER_BYTES`` are
+    opened one by one through Hadoop.
     """
     spark = files.sparkSession
-    kept = files.persist()
-    parquet = kept.filter(F.col("path").endswith(".parquet")).select("path")
-    paths = [r["path"] for r in parquet.collect()]
-    if not paths:
-        return kept.withColumn("file_ok", F.lit(True))
-    readable = _with_rows(spark, paths)
-    doubtful = [r["path"] for r in parquet.join(readable, "path", "left_anti").collect()]
-    corrupt = spark.createDataFrame([(p, True) for p in doubtful if not footer_ok(spark, p)], "path string, _corrupt boolean")
-    return lookup_join(kept, corrupt.withColumnRenamed("path", "_corrupt_path"), "path", "_corrupt_path").withColumn(
-        "file_ok", F.col("_corrupt").isNull()
-    ).drop("_corrupt")
-
-
-def _with_rows(spark: SparkSession, paths: list[str]) -> DataFrame:
-    reader = spark.read.schema(StructType([])).option("ignoreCorruptFiles", True).option("ignoreMissingFiles", True)
-    found = reader.parquet(*paths)
-    return found.select(F.col("_metadata.file_path").alias("path")).distinct()
+    is_parquet = F.col("path").endswith(".parquet")
+    scan = spark.read.schema(StructType([])).option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet")
+    found = scan.option("ignoreCorruptFiles", True).option("ignoreMissingFiles", True).parquet(root)
+    with_rows = found.select(plain_path(F.col("_metadata.file_path")).alias("path")).distinct()
+    doubtful = files.filter(is_parquet & (F.col("length") > 0)).join(with_rows, "path", "left_anti")
+    small, sound = [], []
+    for row in doubtful.select("path", "length").toLocalIterator():
+        if row["length"] <= FOOTER_BYTES:
+            small.append(row["path"])
+        elif footer_ok(spark, row["path"]):
+            sound.append((row["path"],))
+    known = with_rows.unionByName(spark.createDataFrame(sound, "path string"))
+    if small:
+        content = spark.read.format("binaryFile").load([literal_path(p) for p in small])
+        known = known.unionByName(content.filter(_is_parquet("content")).select("path"))
+    known = known.select(F.col("path").alias("_known_path"), F.lit(True).alias("_sound"))
+    checked = lookup_join(files, known, "path", "_known_path")
+    return checked.withColumn("file_ok", ~is_parquet | F.col("_sound").isNotNull()).drop("_sound")
+
+
+@F.pandas_udf("boolean")
+def _is_parquet(content: pd.Series) -> pd.Series:
+    import pyarrow
+    from pyarrow import parquet
+
+    def opens(data: bytes) -> bool:
+        try:
+            parquet.read_metadata(io.BytesIO(data))
+            return True
+        except (pyarrow.ArrowException, OSError):
+            # The bytes are in memory: nothing but they can be at fault.
+            return False
+
+    return content.map(opens)
 
 
 def read_finished_text(spark: SparkSession, path: str, wait_ms: int = FILE_WAIT_MS) -> DataFrame:

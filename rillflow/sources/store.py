@@ -53,6 +53,23 @@ def move(spark: SparkSession, path: str, target: str) -> None:
         raise OSError(f"cannot move {path} to {target}")
 
 
+def move_file(spark: SparkSession, path: str, target: str) -> None:
+    """Moves one file to a name of its own, by a rename or, between stores, by Hadoop's copy. A move that was done before is no error."""
+    system, place = _place(spark, path)
+    goal_system, goal = _place(spark, target)
+    if not system.exists(place):
+        if not goal_system.exists(goal):
+            raise FileNotFoundError(path)
+        return
+    goal_system.mkdirs(goal.getParent())
+    if system.getUri().equals(goal_system.getUri()):
+        moved = system.rename(place, goal)
+    else:
+        moved = spark._jvm.org.apache.hadoop.fs.FileUtil.copy(system, place, goal_system, goal, True, True, spark._jsc.hadoopConfiguration())
+    if not moved:
+        raise OSError(f"cannot move {path} to {target}")
+
+
 def empty_below(spark: SparkSession, path: str) -> Iterator[tuple[str, int]]:
     """Path and modification time (ms) of every file of zero bytes below ``path``."""
     system, place = _place(spark, path)

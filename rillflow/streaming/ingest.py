@@ -29,6 +29,7 @@ from rillflow.operators.quality import (
     split_by_error,
     with_hour_key,
 )
+from rillflow.operators.tables import schemas_by_topic
 from rillflow.plans.ingest import IngestPipeline, IngestPlan, parsed_rows, with_rejected
 from rillflow.sinks.landing import batch_folder
 from rillflow.sinks.reports import publish_counters
@@ -44,7 +45,9 @@ class StreamPlan:
     """Folders of a streaming ingest. ``load_catalog`` is called for every
     micro-batch, so catalog changes take effect without a restart. With an
     ``errors`` folder, errors count across micro-batches and topics that pass the
-    threshold go to ``on_flagged``."""
+    threshold go to ``on_flagged``. With ``typed``, Parquet topics land by the
+    schema of their table; topics that are new to a micro-batch's catalog, or had
+    no table before, are described then."""
 
     ingest: IngestPlan
     load_catalog: Callable[[], DataFrame]
@@ -54,6 +57,7 @@ class StreamPlan:
     errors: str | None = None
     on_flagged: Callable[[DataFrame], None] | None = None
     error_threshold: int = ERROR_THRESHOLD
+    typed: bool = False
 
 
 def query_id(spark: SparkSession, checkpoint: str) -> str:
@@ -68,6 +72,7 @@ class IngestStream:
         self.plan = plan
         self.run = run
         self.pipeline = IngestPipeline(plan.ingest)
+        self.schemas = dict(plan.ingest.schemas or {})
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         """One micro-batch: land, quarantine, count.
@@ -79,10 +84,12 @@ class IngestStream:
         if self.run is None:
             self.run = query_id(batch.sparkSession, plan.checkpoint)
         catalog = plan.load_catalog()
+        if plan.typed:
+            self.schemas = schemas_by_topic(catalog, self.schemas)
         parsed = parsed_rows(batch, catalog, plan.ingest.avro_schemas).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             split = split_by_error(parsed)
-            _, rejected = self.pipeline.apply(split.good, replace(plan.ingest, run=self.run, batch=str(batch_id), mode="overwrite"))
+            _, rejected = self.pipeline.apply(split.good, replace(plan.ingest, run=self.run, batch=str(batch_id), mode="overwrite", schemas=self.schemas))
             failed = with_rejected(split.bad, rejected).select("topic", "value", "error").persist(StorageLevel.MEMORY_AND_DISK)
             try:
                 self._report(split.good, failed, batch_id)

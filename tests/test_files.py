@@ -63,7 +63,7 @@ def test_finished_files_and_integrity(spark, tmp_path):
     for name in os.listdir(tmp_path):
         os.utime(tmp_path / name, (old, old))
     (tmp_path / "young-2016-03-20-09.gz").write_bytes(gzip.compress(b"y\n"))
-    found = files.check_files(files.finished_files(spark, str(tmp_path)))
+    found = files.check_files(files.finished_files(spark, str(tmp_path)), str(tmp_path))
     got = {r["path"].rsplit("/", 1)[1]: r["file_ok"] for r in found.collect()}
     assert got == {
         "t %41-2016-03-20-09.parquet": True, "bad-2016-03-20-09.parquet": False, "t-2016-03-20-09.gz": True, "empty-2016-03-20-09.parquet": False,
@@ -161,16 +161,19 @@ def test_named_files_are_published_and_corrupt_ones_kept(spark, tmp_path):
         os.utime(source / name, (old, old))
     defaults = PublishDefaults(base_partition=f"{tmp_path}/lake", quarantine=f"{tmp_path}/q")
     catalog = make_catalog(spark, [])
-    checked = files.check_files(files.finished_files(spark, str(source)))
+    checked = files.check_files(files.finished_files(spark, str(source)), str(source))
     quarantine_files(spark, checked, catalog, defaults)
     rows = rows_of_named_files(files.read_finished_text(spark, str(source)))
     publish_rows(rows.withColumn("publication", F.lit("run")), rows.select("topic", "hour"), catalog, defaults)
     got = lake.read_lake(spark, f"{tmp_path}/lake", "test", "datehour", "value string", "text").collect()
     assert sorted(map(tuple, got)) == [("one", "20160320", "2016032009"), ("three", "20160320", "2016032010"), ("two", "20160320", "2016032009")]
-    kept = lake.read_lake(spark, f"{tmp_path}/q", "test", "datehour", "path string, content binary").collect()
-    assert [(bytes(r["content"]), r["date"], r["hour"]) for r in kept] == [(b"PAR1 broken", "20160320", "2016032011")]
-    unnamed = spark.read.parquet(f"{tmp_path}/q/unnamed").collect()
-    assert [bytes(r["content"]) for r in unnamed] == [b"PAR1 broken too"]
+    kept = {os.path.relpath(p, tmp_path / "q"): p.read_bytes() for p in (tmp_path / "q").rglob("*.parquet")}
+    assert sorted((k.rsplit("/", 2)[0], k.rsplit("/", 1)[1], v) for k, v in kept.items()) == [
+        ("test/date=20160320/hour=2016032011", "test-2016-03-20-11.parquet", b"PAR1 broken"), ("unnamed", "noname.parquet", b"PAR1 broken too"),
+    ]
+    assert sorted(os.listdir(source)) == sorted(n for n in os.listdir(source) if n.endswith((".gz", ".crc")))
+    # Moved before: the same call does nothing.
+    assert quarantine_files(spark, spark.createDataFrame([], "path string, length bigint, file_ok boolean"), catalog, defaults).count() == 0
 
 
 def test_hours_are_noted_from_directory_names(spark, tmp_path):
