@@ -12,13 +12,17 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming.stateful_processor import TimerValues
 
 from rillflow.functions.keys import minute_key
 
 # Averaging windows of the message meter, in minutes.
 RATE_WINDOWS = {"one_minute_rate": 1, "five_minute_rate": 5}
 
+# The state store that keyed state of any kind needs.
+STATE_STORE = ("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+
 # Minutes per block of the moving rates. What lies before the previous block weighs
 # at most exp(-200 / 5), below half a unit in the last place of a double, so a
 # rate needs its own block and the one before.
@@ -132,23 +136,31 @@ METER_SCHEMA = "topic string, minute_index bigint, count bigint, mean_rate doubl
 _METER_STATE = "first bigint, last bigint, count bigint, " + ", ".join(f"{name} double" for name in RATE_WINDOWS)
 
 
-def _advance_meter(key: tuple[str], minutes: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """A topic's meter moved on by its closed minutes, in their order; a minute without messages only lets the rates fall."""
-    if state.hasTimedOut:
-        state.remove()
-        return
-    closed = pd.concat(list(minutes)).sort_values("minute_index")
-    first, last, count, *rates = state.get if state.exists else (None, None, 0, *[0.0] * len(RATE_WINDOWS))
-    told = []
-    for minute, n in zip(closed["minute_index"].tolist(), closed["n"].tolist()):
-        if first is None:
-            first, rates = minute, [n / 60] * len(rates)
-        else:
-            rates = [old * math.exp((last - minute) / window) + (1 - math.exp(-1 / window)) * n / 60 for old, window in zip(rates, RATE_WINDOWS.values())]
-        last, count = minute, count + n
-        told.append((key[0], minute, count, count / ((minute - first + 1) * 60), *rates))
-    state.update((first, last, count, *rates))
-    yield pd.DataFrame(told, columns=["topic", "minute_index", "count", "mean_rate", *RATE_WINDOWS])
+class _Meter(StatefulProcessor):
+    """A topic's meter, moved on by its closed minutes in their order; minutes without messages only let the rates fall."""
+
+    def __init__(self, idle_ms: int | None):
+        self.idle_ms = idle_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.meter = handle.getValueState("meter", _METER_STATE, self.idle_ms)
+
+    def handleInputRows(self, key: tuple[str], rows: Iterator[pd.DataFrame], timerValues: TimerValues) -> Iterator[pd.DataFrame]:
+        closed = pd.concat(list(rows)).sort_values("minute_index")
+        first, last, count, *rates = self.meter.get() or (None, None, 0, *[0.0] * len(RATE_WINDOWS))
+        told = []
+        for minute, n in zip(closed["minute_index"].tolist(), closed["n"].tolist()):
+            if first is None:
+                first, rates = minute, [n / 60] * len(rates)
+            else:
+                rates = [old * math.exp((last - minute) / window) + (1 - math.exp(-1 / window)) * n / 60 for old, window in zip(rates, RATE_WINDOWS.values())]
+            last, count = minute, count + n
+            told.append((key[0], minute, count, count / ((minute - first + 1) * 60), *rates))
+        self.meter.update((first, last, count, *rates))
+        yield pd.DataFrame(told, columns=["topic", "minute_index", "count", "mean_rate", *RATE_WINDOWS])
+
+    def close(self) -> None:
+        pass
 
 
 def streamed_rates(rows: DataFrame, ts: str = "ts", watermark: str = "1 hour", idle_ms: int | None = None) -> DataFrame:
@@ -158,18 +170,13 @@ def streamed_rates(rows: DataFrame, ts: str = "ts", watermark: str = "1 hour", i
     its meter. The meter's state is one row per topic: its first and last minute,
     the count and the moving rates. Rows later than the watermark are not counted.
     With ``idle_ms`` a topic that is silent for so long is forgotten and starts
-    anew; this is the clock's time.
+    anew; this is the clock's time. The query must be started with ``STATE_STORE``
+    in its session's settings.
     """
     counted = rows.withWatermark(ts, watermark).groupBy("topic", F.window(ts, "1 minute").alias("w")).agg(F.count(F.lit(1)).alias("n"))
     minutes = counted.select("topic", F.floor(F.unix_seconds("w.start") / 60).alias("minute_index"), "n")
-
-    def advance(key: tuple[str], parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        yield from _advance_meter(key, parts, state)
-        if idle_ms is not None and state.exists:
-            state.setTimeoutDuration(idle_ms)
-
-    timeout = GroupStateTimeout.NoTimeout if idle_ms is None else GroupStateTimeout.ProcessingTimeTimeout
-    return minutes.groupBy("topic").applyInPandasWithState(advance, METER_SCHEMA, _METER_STATE, "append", timeout)
+    clock = "None" if idle_ms is None else "ProcessingTime"
+    return minutes.groupBy("topic").transformWithStateInPandas(_Meter(idle_ms), METER_SCHEMA, "append", clock)
 
 
 def file_meters(files: DataFrame) -> DataFrame:

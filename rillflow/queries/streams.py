@@ -152,10 +152,12 @@ def stream_rates(spark, sf_dir):
     for part in range(3):
         rows.filter(third == part).write.mode("append").parquet(f"{root}/in")
         rates = metrics.streamed_rates(spark.readStream.schema(rows.schema).parquet(f"{root}/in"), watermark="1 minute")
+        spark.conf.set(*metrics.STATE_STORE)
         query = (
             rates.writeStream.outputMode("append").format("parquet")
             .option("path", f"{root}/out").option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start()
         )
         query.awaitTermination()
+        spark.conf.unset(metrics.STATE_STORE[0])
     names = ["mean_rate", *metrics.RATE_WINDOWS]
     return spark.read.parquet(f"{root}/out").withColumns({name: F.round(F.col(name) * 1_000_000).cast("bigint") for name in names})
