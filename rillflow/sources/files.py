@@ -9,7 +9,7 @@ from datetime import datetime, timedelta, timezone
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import BooleanType, StringType, StructField, StructType
 
 from rillflow.functions.keys import base_name
 from rillflow.operators.lookup import lookup_join
@@ -103,7 +103,7 @@ def check_files(files: DataFrame, root: str) -> DataFrame:
     return checked.withColumn("file_ok", ~is_parquet | F.col("_sound").isNotNull()).drop("_sound")
 
 
-@F.pandas_udf("boolean")
+@F.pandas_udf(BooleanType())
 def _is_parquet(content: pd.Series) -> pd.Series:
     import pyarrow
     from pyarrow import parquet
