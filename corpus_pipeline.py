@@ -21,15 +21,19 @@ from rillflow.llm.shared import stage, table
 #: processes, so this, and not the number of rows, must bound them; one longer text is a batch alone.
 BATCH_BYTES = 1 << 20
 
+#: Rows of a batch that a Parquet scan decodes: the texts of a batch lie in one array on the heap.
+SCAN_ROWS = 512
+
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def in_small_batches(work: Stage) -> Stage:
-    """The setting stays with the session, as the stage's rows are only computed when they are written."""
+    """The settings stay with the session, as the stage's rows are only computed when they are written."""
 
     @wraps(work)
     def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+        spark.conf.set("spark.sql.parquet.columnarReaderBatchSize", str(SCAN_ROWS))
         return work(spark, docs, sf_dir)
 
     return run_stage
