@@ -377,7 +377,7 @@ def _daily_catalog(root, spark, **base):
     from rillflow.operators.catalog import make_catalog
 
     topics = ("click", "error", "purchase", "signup", "view")
-    return make_catalog(spark, [{"log": t, "base_partition": f"{root}/{base.get(t, 'days')}", "log_partition": "all", "date_format": "date"} for t in topics])
+    return make_catalog(spark, [{"log": t, "base_partition": f"{root}/{base.get(t, 'days')}", "log_partition": "all", "date_format": "date", "quarantine": f"{root}/quarantine"} for t in topics])
 
 
 def _event_increments(spark, sf_dir):
