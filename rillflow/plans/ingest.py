@@ -75,6 +75,9 @@ class IngestPipeline:
         self.writer.rejected = []
         return self.pipeline.apply(good), self.writer.rejected
 
+    def remove_staged(self, df: DataFrame) -> None:
+        self.pipeline.remove_staged(df)
+
     def close(self) -> None:
         self.pipeline.close()
 
@@ -88,7 +91,8 @@ def run_ingest(messages: DataFrame, catalog: DataFrame, plan: IngestPlan) -> Dat
 
     Messages are parsed once, into a staged table that everything after reads,
     so the raw input is scanned once whatever the codecs. The caller
-    quarantines and counts what is returned.
+    quarantines and counts what is returned. That table, and what branches of the
+    pipeline stage, stay below ``spark.checkpoint.dir``, as the result reads them.
     """
     spark = messages.sparkSession
     staged = work_dir(spark, "parsed")

@@ -16,7 +16,10 @@ from functools import reduce
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import NullType, StructType
+
+from rillflow.session import work_dir
+from rillflow.sources.store import remove
 
 TYPE = "type"
 
@@ -148,19 +151,48 @@ class Compose(Plugin):
         return reduce(lambda rows, step: rows.transform(step.apply), self.steps, df)
 
 
-class FanOut(Plugin):
+class Branching(Plugin):
+    """A step whose branches read one staged table. ``staged`` are its folders, which ``remove_staged`` removes."""
+
+    def __init__(self) -> None:
+        self.staged: list[str] = []
+
+    def stage(self, df: DataFrame, by: str | None = None) -> DataFrame:
+        """``df`` written once, partitioned by the column ``by``; without a shuffle, so a hot branch stays spread.
+
+        Columns of no type cannot be stored and come back as they were.
+        """
+        spark = df.sparkSession
+        path = work_dir(spark, "branches")
+        self.staged.append(path)
+        untyped = [f.name for f in df.schema if isinstance(f.dataType, NullType)]
+        stored = df.drop(*untyped)
+        stored.write.partitionBy(*([by] if by else [])).parquet(path)
+        rows = spark.read.schema(stored.schema).parquet(path)
+        return rows.withColumns({name: F.lit(None) for name in untyped}).select(*[F.col(f"`{c}`") for c in df.columns])
+
+    def remove_staged(self, df: DataFrame) -> None:
+        for path in self.staged:
+            remove(df.sparkSession, path)
+        self.staged.clear()
+
+
+class FanOut(Branching):
     """The same rows to every branch.
 
     One branch gives that branch's output. Several branches each run once for
-    their effects and the input passes through.
+    their effects, on rows that are computed once, and the input passes through.
     """
 
     def __init__(self, branches: Sequence[Plugin]):
+        super().__init__()
         self.branches = list(branches)
 
     def apply(self, df: DataFrame) -> DataFrame:
         if len(self.branches) == 1:
             return self.branches[0].apply(df)
+        if self.branches and not df.isStreaming:
+            df = self.stage(df)
         for branch in self.branches:
             branch.apply(df)
         return df
@@ -199,12 +231,13 @@ def _row_wise(step: Plugin) -> list[ColumnPlugin] | None:
     return None
 
 
-class Match(Plugin):
+class Match(Branching):
     """Routes rows by their type: the first matcher that fits wins, rows without a
     match pass unchanged. A text matches exactly, a pattern anywhere in the type.
     """
 
     def __init__(self, routes: Sequence[tuple[Matcher, Plugin]]):
+        super().__init__()
         self.routes = list(routes)
 
     def _route(self) -> Column:
@@ -241,10 +274,19 @@ class Match(Plugin):
         return routed.withColumns(new).drop("_route")
 
     def _apply_split(self, df: DataFrame) -> DataFrame:
-        """One filtered plan per branch; each filter reaches the scan."""
-        route = self._route()
-        parts = [step.apply(df.filter(route == i)) for i, (_, step) in enumerate(self.routes)]
-        parts.append(df.filter(route == -1))
+        """Rows staged by their route; a branch reads its own partition. A stream has a filtered plan per branch."""
+        route = "_route"
+        while route.lower() in {c.lower() for c in df.columns}:
+            route += "_"
+        routed = df.withColumn(route, self._route())
+        if not df.isStreaming:
+            routed = self.stage(routed, route)
+
+        def rows_of(position: int) -> DataFrame:
+            return routed.filter(F.col(route) == position).drop(route)
+
+        parts = [step.apply(rows_of(i)) for i, (_, step) in enumerate(self.routes)]
+        parts.append(rows_of(-1))
         return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
@@ -282,15 +324,25 @@ def as_plugin(step) -> Plugin:
 
 
 class Pipeline(Plugin):
-    """A built pipeline. ``close`` shuts its own plugins down."""
+    """A built pipeline. ``close`` shuts its own plugins down.
+
+    ``branching`` are the steps that stage rows. Their folders stay, as the
+    output reads them, until ``remove_staged``.
+    """
 
-    def __init__(self, plugins: Mapping[str, Plugin], root: Plugin):
+    def __init__(self, plugins: Mapping[str, Plugin], root: Plugin, branching: Sequence[Branching] = ()):
         self.plugins = dict(plugins)
         self.root = root
+        self.branching = list(branching)
 
     def apply(self, df: DataFrame) -> DataFrame:
         return self.root.apply(df)
 
+    def remove_staged(self, df: DataFrame) -> None:
+        """Removes what was staged for the outputs so far; ``df`` is any DataFrame of the session."""
+        for step in self.branching:
+            step.remove_staged(df)
+
     def shutdown(self) -> None:
         for plugin in self.plugins.values():
             plugin.shutdown()
@@ -314,6 +366,12 @@ def build_pipeline(definition: Mapping[str, object] | None, ctx: Context | None
     for plugin in plugins.values():
         plugin.init(ctx)
 
+    branching: list[Branching] = []
+
+    def kept(step: Branching) -> Branching:
+        branching.append(step)
+        return step
+
     def resolve(node) -> Plugin:
         if not isinstance(node, (list, tuple)):
             found = plugins.get(node) or ctx.plugins.get(node)
@@ -326,11 +384,11 @@ def build_pipeline(definition: Mapping[str, object] | None, ctx: Context | None
         if action == COMPOSE:
             return Compose([resolve(n) for n in rest])
         if action == ALL:
-            return FanOut([resolve(n) for n in rest])
+            return kept(FanOut([resolve(n) for n in rest]))
         if action == MATCH:
             if len(rest) % 2:
                 raise ValueError("match takes pairs of matcher and step")
-            return Match([(rest[i], resolve(rest[i + 1])) for i in range(0, len(rest), 2)])
+            return kept(Match([(rest[i], resolve(rest[i + 1])) for i in range(0, len(rest), 2)]))
         raise ValueError(f"unknown action {action!r}: a list starts with '->', 'all' or 'match'")
 
-    return Pipeline(plugins, resolve(definition["pipeline"]))
+    return Pipeline(plugins, resolve(definition["pipeline"]), branching)

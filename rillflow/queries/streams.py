@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import threading
+import time
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark import inheritable_thread_target
 from pyspark.sql import functions as F
 
 from rillflow.operators import metrics
-from rillflow.operators.catalog import PublishDefaults
+from rillflow.operators.catalog import PublishDefaults, load_catalog, make_catalog, save_catalog
 from rillflow.operators.parse import parse_with_descriptor
 from rillflow.plans.ingest import IngestPlan
 from rillflow.plans.pipelines import ColumnPlugin
@@ -16,7 +21,7 @@ from rillflow.queries.metrics import _rate_sql
 from rillflow.session import work_dir
 from rillflow.sinks import landing, reports
 from rillflow.sources.files import stream_messages
-from rillflow.streaming import ingest, publish
+from rillflow.streaming import ingest, publish, topics
 
 QUERIES = Registry()
 
@@ -122,6 +127,92 @@ def stream_two_topics(spark, sf_dir):
     return landed.join(counted, "topic")
 
 
+#: Seconds within which topics must start or stop when the catalog says so.
+_TOPICS_FOLLOW = 600
+
+
+def _wait_until(reached, loop) -> None:
+    """Until ``reached()``; a loop that has ended raises what ended it."""
+    deadline = time.monotonic() + _TOPICS_FOLLOW
+    while not reached():
+        if loop.done():
+            loop.result()
+            raise RuntimeError("the topic loop has ended")
+        if time.monotonic() > deadline:
+            raise TimeoutError("the topics did not follow the catalog")
+        time.sleep(0.05)
+
+
+@QUERIES.add("""
+    WITH e AS (SELECT *, event_id % 3 AS part, event_type || '|' || epoch_us(ts) // 1000 AS tail FROM events),
+         l AS (SELECT event_type AS topic, strftime(ts, '%Y-%m-%d-%H') AS hour,
+                      CASE WHEN event_type = 'view' OR (event_type = 'click' AND part = 0) THEN event_id || '|' || user_id || '|' || event_type
+                           WHEN event_type = 'click' THEN event_id || '|' || user_id ELSE CAST(user_id AS VARCHAR) END AS line
+               FROM e WHERE event_type IN ('click', 'purchase', 'view'))
+    SELECT topic, count(*) AS n, count(DISTINCT hour) AS hours, sha256(string_agg(hour || ' ' || line, chr(10) ORDER BY hour, line)) AS lines_sha256,
+           topic || ':' || CASE topic WHEN 'view' THEN '2' ELSE '1' END AS starts
+    FROM l GROUP BY 1""")
+def stream_followed_topics(spark, sf_dir):
+    """The topic loop with a stream for each topic: one is disabled in the stored catalog while a part of the input
+    arrives and enabled again before the next, and continues at its checkpoint; another gets a new format, which its
+    running stream takes at its next micro-batch. Every row is landed once."""
+    root = work_dir(spark, "followed")
+    source = table(spark, sf_dir, "events")
+    formats = {"click": "txt:sep=pipe;ts=3;msg=0:3", "purchase": "txt:sep=pipe;ts=3;msg=1", "view": "txt:sep=pipe;ts=3;msg=0:3"}
+
+    def save(snapshot: int, view: int, **changed: str) -> None:
+        rows = [{"log": t, "format": f, "output_format": "parquet", "log_group": "etl", "enabled": view if t == "view" else 1} for t, f in (formats | changed).items()]
+        # Of another group: never started.
+        rows.append({"log": "signup", "format": "txt:sep=pipe;ts=3;msg=1", "log_group": "web"})
+        save_catalog(make_catalog(spark, rows), f"{root}/catalog", snapshot)
+
+    def add_part(part: int) -> None:
+        source.filter(F.col("event_id") % 3 == part).write.mode("append").parquet(f"{root}/in")
+
+    running, started = {}, []
+
+    def start(topic: str):
+        plan = ingest.StreamPlan(IngestPlan(f"{root}/landing", writers=1), lambda: load_catalog(spark, f"{root}/catalog"), f"{root}/checkpoint-{topic}")
+        lines = event_lines(stream_messages(spark, f"{root}/in", source.schema)).drop("event_id").filter(F.col("topic") == topic)
+        started.append(topic)
+        running[topic] = ingest.start_ingest(lines, plan, interval_ms=100)
+        return running[topic]
+
+    def active() -> set[str]:
+        return {topic for topic, query in list(running.items()) if query.isActive}
+
+    def drain(loop, *topics_on: str) -> None:
+        _wait_until(lambda: active() == set(topics_on), loop)
+        for topic in topics_on:
+            running[topic].processAllAvailable()
+
+    everyone, stopped = ("click", "purchase", "view"), threading.Event()
+    save(0, view=1)
+    add_part(0)
+    with ThreadPoolExecutor(1) as pool:
+        follow = inheritable_thread_target(spark)(topics.follow_catalog)
+        loop = pool.submit(follow, lambda: load_catalog(spark, f"{root}/catalog"), "etl", start, stopped, 100)
+        try:
+            drain(loop, *everyone)
+            save(1, view=0, click="txt:sep=pipe;ts=3;msg=0:2")
+            _wait_until(lambda: active() == {"click", "purchase"}, loop)
+            add_part(1)
+            drain(loop, "click", "purchase")
+            save(2, view=1, click="txt:sep=pipe;ts=3;msg=0:2")
+            add_part(2)
+            drain(loop, *everyone)
+        finally:
+            stopped.set()
+        loop.result()
+    landed = spark.read.parquet(f"{root}/landing/parquet").select("topic", F.col("hour").cast("string").alias("hour"), F.array_join("fields", "|").alias("line"))
+    lines = F.transform(F.array_sort(F.collect_list(F.struct("hour", "line"))), lambda x: F.concat_ws(" ", x["hour"], x["line"]))
+    counted = landed.groupBy("topic").agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("hour").alias("hours"), F.sha2(F.array_join(lines, "\n"), 256).alias("lines_sha256")
+    )
+    times = spark.createDataFrame([(t, f"{t}:{started.count(t)}") for t in sorted(set(started))], "topic string, starts string")
+    return counted.join(times, "topic")
+
+
 @QUERIES.add(_PUBLISHED_SQL)
 def stream_publish(spark, sf_dir):
     """Landed batches published as they are found."""

@@ -98,6 +98,7 @@ class IngestStream:
             if plan.errors:
                 flag_topics(plan, errors_per_topic(parsed), self.run, batch_id)
         finally:
+            self.pipeline.remove_staged(batch)
             parsed.unpersist()
 
     def _report(self, good: DataFrame, bad: DataFrame, batch_id: int) -> None:

@@ -140,3 +140,46 @@ def test_pattern_flags(spark):
     for refused in (re.compile("(?P<n>a)"), re.compile("a", re.A)):
         with pytest.raises(ValueError):
             Match([(refused, Retag("a"))]).apply(df)
+
+
+def _source(spark, tmp_path):
+    path = str(tmp_path / "source")
+    rows(spark, "a", "a", "b", "c").withColumn("_route", F.lit("mine")).write.parquet(path)
+    return path, spark.read.parquet(path)
+
+
+@pytest.mark.parametrize("matcher", ["match", "all"])
+def test_branches_read_their_input_once(spark, tmp_path, matcher):
+    path, df = _source(spark, tmp_path)
+    computed = spark.sparkContext.accumulator(0)
+
+    def count(frames):
+        for frame in frames:
+            computed.add(len(frame))
+            yield frame
+
+    seen = []
+
+    class Keep(Plugin):
+        def apply(self, df):
+            seen.append(df.count())
+            return df.withColumn("msg", F.col("msg") + 1)
+
+    branches = {"match": ["match", "a", "k", "b", "k"], "all": ["all", "k", "k"]}[matcher]
+    built = build_pipeline({"plugins": {"k": Keep()}, "pipeline": branches})
+    out = built.apply(df.mapInPandas(count, df.schema).withColumn("empty", F.lit(None)))
+    assert out.columns == [*df.columns, "empty"]
+    assert seen == ([2, 1] if matcher == "match" else [4, 4])
+    assert not [f for f in out.inputFiles() if path in f]
+    got = sorted((r[TYPE], r["msg"], r["_route"], r["empty"]) for r in out.collect())
+    plus = int(matcher == "match")
+    assert got == [("a", plus, "mine", None)] * 2 + [("b", plus, "mine", None), ("c", 0, "mine", None)]
+    assert computed.value == 4
+    if matcher == "match":
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert len(re.findall(r"PartitionFilters: \[isnotnull\(_route_#\d+\), \(_route_#\d+ = ", plan)) == 3
+    folders = list(built.branching[0].staged)
+    built.remove_staged(df)
+    for folder in folders:
+        with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+            spark.read.parquet(folder)
