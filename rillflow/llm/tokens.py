@@ -4,6 +4,11 @@ Both public vocabularies split a text into pre-tokens and merge inside each on
 its own, so a text's ids are its pieces' ids joined. Pieces are cut at single
 spaces and newlines, where every cut is also a pre-token boundary; the distinct
 pieces of a batch are looked up once and only new ones reach the tokenizer.
+
+A byte-level vocabulary whose ids follow its merges is also a table of ranks:
+the lowest id is the earliest merge. Its texts are encoded whole from the ranks,
+about twice as fast, without remembered pieces. Long unbroken runs and texts
+with added tokens keep to the pieces and to the tokenizer.
 """
 
 from __future__ import annotations
@@ -20,6 +25,10 @@ import pyarrow.compute as pc
 from rillflow.llm.shared import ranges, sums_between, text_bytes, words_from
 
 CACHE_PIECES = 300_000
+#: Bytes without a change between blank and other; texts with a longer run are cut into pieces.
+LONGEST_RUN = 2000
+# Fixed value: the cut of byte-level vocabularies.
+_CUT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 _MARK = ""
 _OTHER_BLANK = "[\\t\\v\\f\\r\\x1c-\\x1f\\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}\\x{e000}]|[ \\n][ \\n]"
 _LETTERS_THEN_MARKS = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
@@ -42,14 +51,34 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(others)}
 
 
+def _ranks(file: dict) -> dict[bytes, int] | None:
+    """The ranks of a byte-level vocabulary, or None where its file says anything else than plain merges in the order of their ids."""
+    model, cut = file["model"], file.get("pre_tokenizer") or {}
+    if cut.get("type") != "ByteLevel" or cut.get("add_prefix_space") or not cut.get("use_regex", True) or file.get("normalizer") or model.get("ignore_merges"):
+        return None
+    letters = {letter: byte for byte, letter in _byte_letters().items()}
+    vocab = model["vocab"]
+    merged = ["".join(m.split(" ") if isinstance(m, str) else m) for m in model["merges"]]
+    ids = [vocab.get(token, -1) for token in merged]
+    singles = {letter: vocab.get(letter, len(vocab)) for letter in letters}
+    if not ids or max(singles.values()) >= ids[0] or any(a >= b for a, b in zip(ids, ids[1:])):
+        return None
+    return {bytes(letters[c] for c in token): vocab[token] for token in (*singles, *merged)}
+
+
 class PieceEncoder:
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         with open(path, encoding="utf-8") as f:
-            kept_spaces = json.load(f)["normalizer"] is None
-        self.keeps_spaces = kept_spaces
+            file = json.load(f)
+        self.keeps_spaces = file["normalizer"] is None
+        self.by_rank = None
+        if ranks := _ranks(file):
+            import tiktoken
+
+            self.by_rank = tiktoken.Encoding(path, pat_str=_CUT, mergeable_ranks=ranks, special_tokens={})
         self.tokenizer = Tokenizer.from_file(path)
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.model = self.tokenizer.model
@@ -70,6 +99,31 @@ class PieceEncoder:
             return self._merge(~whole, ids, counts, loose)
         if not self.keeps_spaces:
             return self._split(texts, None)
+        if self.by_rank is not None:
+            short = ~self._with_long_runs(texts)
+            found = [np.array(self.by_rank.encode_ordinary(text), np.uint32) for text in texts.filter(pa.array(short)).to_pylist()]
+            ids, counts = np.concatenate([np.zeros(0, np.uint32), *found]), np.array([len(x) for x in found], np.int64)
+            if short.all():
+                return ids, counts
+            rest, lengths = self._by_pieces(texts.filter(pa.array(~short)))
+            return self._merge(short, ids, counts, np.split(rest, np.cumsum(lengths)[:-1]))
+        return self._by_pieces(texts)
+
+    @staticmethod
+    def _with_long_runs(texts: pa.Array) -> np.ndarray:
+        """Texts with more than ``LONGEST_RUN`` bytes in a row that are all blanks or all not."""
+        raw, offsets = text_bytes(texts)
+        found = np.zeros(len(texts), bool)
+        blank = (raw == 32) | ((raw >= 9) & (raw <= 13))
+        edge = np.ones(len(raw) + 1, bool)
+        edge[1:-1] = blank[1:] != blank[:-1]
+        edge[offsets] = True
+        edges = np.flatnonzero(edge)
+        long = edges[:-1][np.diff(edges) > LONGEST_RUN]
+        found[np.searchsorted(offsets, long, "right") - 1] = True
+        return found
+
+    def _by_pieces(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         plain = pc.invert(pc.match_substring_regex(texts, _OTHER_BLANK)).to_numpy(zero_copy_only=False)
         if plain.all():
             return self._split(texts, _MARK)
