@@ -63,7 +63,13 @@ def tokenized(docs: DataFrame, tokenizer: str, end: int, window: int = WINDOW, b
             out = {name: [] for name in ("row", "doc_id", "doc_tokens", "full_crcs", "tail", "bag")}
             at = 0
             ids = ids.astype("<u4")
-            for key, n in zip(batch.column("doc_id").to_pylist(), counts.tolist()):
+            # One sort for all documents of the batch: each one's distinct ids and their numbers lie together.
+            owner = np.repeat(np.arange(len(counts), dtype=np.uint64), counts)
+            both, times = np.unique((owner << np.uint64(32)) | ids, return_counts=True)
+            distinct = (both & np.uint64(0xFFFFFFFF)).astype("<u4")
+            holders += np.bincount(distinct, minlength=len(holders))
+            bounds = np.searchsorted(both, np.arange(len(counts) + 1, dtype=np.uint64) << np.uint64(32)).tolist()
+            for key, n, a, b in zip(batch.column("doc_id").to_pylist(), counts.tolist(), bounds, bounds[1:]):
                 own = ids[at:at + n]
                 full = n // window * window
                 out["row"].append(number)
@@ -71,12 +77,8 @@ def tokenized(docs: DataFrame, tokenizer: str, end: int, window: int = WINDOW, b
                 out["doc_tokens"].append(n)
                 out["full_crcs"].append(np.array([zlib.crc32(own[i:i + window]) for i in range(0, full, window)], "<u4").tobytes())
                 out["tail"].append(_packed(own[full:]))
-                out["bag"].append(_packed(np.concatenate(np.unique(own, return_counts=True))) if full else None)
+                out["bag"].append(_packed(np.concatenate([distinct[a:b], times[a:b]])) if full else None)
                 at, number = at + n, number + 1
-            owner = np.repeat(np.arange(len(counts), dtype=np.uint64), counts)
-            both = np.unique((owner << np.uint64(32)) | ids)
-            seen = np.bincount((both & np.uint64(0xFFFFFFFF)).astype(np.int64), minlength=len(holders))
-            holders += seen
             yield pa.RecordBatch.from_arrays(
                 [pa.array(out[f.name], f.type) if f.name in out else pa.nulls(len(counts), f.type) for f in _TOKENS], schema=_TOKENS
             )
