@@ -1,5 +1,6 @@
 """Tokens, token files and packing against the tokenizer itself."""
 
+import json
 import zlib
 from collections import Counter, defaultdict
 
@@ -181,3 +182,31 @@ def test_neighbours_come_from_the_whole_corpus(spark):
 def test_equal_documents_are_split_over_shards():
     dealt = packing._dealt({0: 10, 1: 20, 2: 250, 3: 90, 5: 20}, 100)
     assert dealt == [(0, 0, 1), (1, 0, 1), (2, 1, 3), (3, 4, 1), (5, 5, 1)]
+
+
+def test_byte_level_texts_by_ranks():
+    """Whole texts by ranks, long runs by pieces and added tokens by the tokenizer, as a fresh tokenizer encodes them."""
+    path = tokenizer_path("byte_bpe_50k.json")
+    random = np.random.default_rng(4)
+    parts = [" ", "  ", "\n", "a", "aa", "b", "the", "'s", "'", "é", "ß", "中", "1", "23", "!", "...", "\t", "\u3000", "\u00a0", "<|endoftext|>", "\U0001f600"]
+    texts = ["".join(random.choice(parts, n)) for n in random.integers(0, 60, 2000)]
+    texts += ["", None, "a" * 5000, " " * 5000 + "x", "b " * 4000, "a<|endoftext|>b" + "c" * 3000, "x" * 2000 + " " + "y" * 2001]
+    own = tokens.PieceEncoder(path)
+    whole = [e.ids for e in Tokenizer.from_file(path).encode_batch([t or "" for t in texts], add_special_tokens=False)]
+    for column, want in ((pa.array(texts), whole), (pa.array(texts).slice(3, 500), whole[3:503]), (pa.array([], pa.string()), []), (pa.array(["x" * 3000]), None)):
+        ids, counts = own.encode(column)
+        if want is None:
+            want = [Tokenizer.from_file(path).encode("x" * 3000, add_special_tokens=False).ids]
+        assert counts.tolist() == [len(w) for w in want]
+        assert ids.tolist() == [i for w in want for i in w]
+    assert own.by_rank is not None and tokens.PieceEncoder(tokenizer_path("word_bpe_49k.json")).by_rank is None
+
+
+def test_ranks_only_where_ids_follow_the_merges(tmp_path):
+    with open(tokenizer_path("byte_bpe_50k.json"), encoding="utf-8") as f:
+        file = json.load(f)
+    assert tokens._ranks(file) is not None
+    merges = file["model"]["merges"]
+    swapped = {**file, "model": {**file["model"], "merges": [merges[1], merges[0], *merges[2:]]}}
+    assert tokens._ranks(swapped) is None
+    assert tokens._ranks({**file, "pre_tokenizer": {**file["pre_tokenizer"], "add_prefix_space": True}}) is None
