@@ -91,3 +91,26 @@ def test_equal_rows_and_maps_take_many_salts(spark):
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_large_side_is_not_broadcast_by_its_estimate(spark):
+    left = spark.range(2000).select("id", (F.col("id") % 500).cast("string").alias("k"))
+    right = spark.range(500).select(F.col("id").cast("string").alias("key"), F.col("id").alias("v"))
+    joined = lookup_join(left, right, "k", "key", broadcast_bytes=0)
+    assert "SortMergeJoin" in _plan(joined) and "Broadcast" not in _plan(joined)
+    assert joined.filter(F.col("v") == F.col("id") % 500).count() == 2000
+
+
+def test_salted_lookup_of_null_repeated_and_other_typed_keys(spark):
+    # Half of the keys are NULL, a quarter one key that comes twice in the side.
+    left = spark.range(4000).select("id", F.when(F.col("id") % 4 == 0, 7).when(F.col("id") % 4 == 1, F.col("id") % 100).cast("int").alias("k"))
+    for kind in ("int", "bigint"):
+        right = spark.createDataFrame([(7, "a"), (7, "b"), (None, "c"), (13, "d")], f"key {kind}, v string")
+        for how in ("left", "inner", "left_semi", "left_anti"):
+            small = lookup_join(left, right, "k", "key", how)
+            large = lookup_join(left, right, "k", "key", how, broadcast_bytes=0)
+            assert sorted(map(tuple, small.collect()), key=repr) == sorted(map(tuple, large.collect()), key=repr)
