@@ -439,7 +439,7 @@ def publish_compacted(spark, sf_dir):
     versions.remove_unseen(spark, log)
     files = versions.live_files(spark, log).groupBy("place").agg(F.count("*").alias("files"), F.sum("length").alias("bytes"))
     few = files.join(between, "place").select("place", ((F.col("files") == F.ceil(F.col("bytes") / F.lit(ROLLOVER_BYTES))) & (F.col("between") <= F.col("files") + 1)).alias("few_files"))
-    lines = versions.read_published(spark, log).join(few, "place")
+    lines = versions.read_published(spark, log).join(F.broadcast(few), "place")
     return lines.groupBy(_place_columns(root)[1], "few_files").agg(
         F.count("*").alias("n"), F.count_distinct("value").alias("n_lines"), F.sum(F.split_part("value", F.lit("|"), F.lit(1)).cast("bigint")).alias("ids")
     )
@@ -468,7 +468,8 @@ def switched_partitions(spark, sf_dir):
         versions.switch_partitions(spark, log, settings, pause=0)
     versions.compact(spark, log, whole=True)
     told = versions.switch_partitions(spark, log, settings, pause=0).groupBy("dt").agg(F.max("status").alias("status"), F.min("hr").alias("hr"))
-    return spark.table(f"{database}.t_click").join(told, ["dt", "hr"]).groupBy("dt", "status").agg(F.count("*").alias("n"))
+    # A row for each day: Spark knows no size of it and would broadcast the table's lines.
+    return spark.table(f"{database}.t_click").join(F.broadcast(told), ["dt", "hr"]).groupBy("dt", "status").agg(F.count("*").alias("n"))
 
 
 def _put(spark, rows, target, fmt="text"):

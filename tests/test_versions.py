@@ -120,3 +120,17 @@ def test_places_share_a_base_and_keep_apart(spark, tmp_path):
     versions.compact(spark, f"{root}/log")
     got = versions.read_published(spark, f"{root}/log").select(F.regexp_extract("place", "hour=(.*)$", 1).alias("h"), "value").collect()
     assert sorted(map(tuple, got)) == [("2024010105", "2024-01-01-05 0"), ("2024010105", "2024-01-01-05 2"), ("2024010106", "2024-01-01-06 1"), ("2024010106", "2024-01-01-06 3")]
+
+
+def test_lines_of_switched_partitions_are_not_broadcast(spark, tmp_path):
+    from rillflow.queries import all_queries
+
+    events = spark.range(40).select(
+        F.col("id").alias("event_id"), F.timestamp_seconds(F.lit(1704067200) + F.col("id") % 2 * 86_400 + F.col("id") % 3 * 3600).alias("ts"),
+        F.lit(1).cast("bigint").alias("user_id"), F.when(F.col("id") < 30, "click").otherwise("view").alias("event_type"),
+    )
+    events.coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
+    found = all_queries()["switched_partitions"].run(spark, str(tmp_path))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "BuildRight" in plan and "BuildLeft" not in plan
+    assert sorted(map(tuple, found.collect())) == [("20240101", "ok", 15), ("20240102", "ok", 15)]
