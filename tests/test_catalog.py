@@ -114,3 +114,10 @@ def test_salted_lookup_of_null_repeated_and_other_typed_keys(spark):
             small = lookup_join(left, right, "k", "key", how)
             large = lookup_join(left, right, "k", "key", how, broadcast_bytes=0)
             assert sorted(map(tuple, small.collect()), key=repr) == sorted(map(tuple, large.collect()), key=repr)
+
+
+def test_side_is_not_repeated_without_heavy_keys(spark):
+    topics = spark.range(300).select(F.concat(F.lit("t"), "id").alias("topic"))
+    side = topics.select(F.col("topic").alias("log"), F.lit("v").alias("v"))
+    joined = lookup_join(topics, side, "topic", "log", broadcast_bytes=0)
+    assert "Generate" not in _plan(joined) and joined.filter("v = 'v'").count() == 300
