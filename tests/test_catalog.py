@@ -2,7 +2,7 @@ from pyspark.sql import functions as F
 
 from rillflow.functions.keys import jdbc_database
 from rillflow.operators import catalog as ops
-from rillflow.operators.lookup import first_per_key, lookup_join, measured_bytes
+from rillflow.operators.lookup import _pieces, first_per_key, lookup_join, measured_bytes
 
 ORDERS = {
     "log": "orders", "base_partition": "/warehouse/raw", "log_partition": "orders_v2", "hive_url": "jdbc:hive2://lake.example:10000/sales",
@@ -121,3 +121,12 @@ def test_side_is_not_repeated_without_heavy_keys(spark):
     side = topics.select(F.col("topic").alias("log"), F.lit("v").alias("v"))
     joined = lookup_join(topics, side, "topic", "log", broadcast_bytes=0)
     assert "Generate" not in _plan(joined) and joined.filter("v = 'v'").count() == 300
+
+
+def test_side_grows_by_heavy_keys_alone(spark):
+    # A third of the rows hold one key: it gets a third of the salts and no other key is repeated.
+    left = spark.range(3000).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("k"))
+    pieces = _pieces(left, F.pmod(F.xxhash64("k"), F.lit(2048)), 32)
+    assert [r["_pieces"] for r in pieces.collect()] == [11]
+    assert _pieces(left.distinct(), F.pmod(F.xxhash64("k"), F.lit(2048)), 32) is None
+    assert _pieces(left.limit(0), F.pmod(F.xxhash64("k"), F.lit(2048)), 32) is None
