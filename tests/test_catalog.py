@@ -1,3 +1,5 @@
+import functools
+
 from pyspark.sql import functions as F
 
 from rillflow.functions.keys import jdbc_database
@@ -130,3 +132,15 @@ def test_side_grows_by_heavy_keys_alone(spark):
     assert [r["_pieces"] for r in pieces.collect()] == [11]
     assert _pieces(left.distinct(), F.pmod(F.xxhash64("k"), F.lit(2048)), 32) is None
     assert _pieces(left.limit(0), F.pmod(F.xxhash64("k"), F.lit(2048)), 32) is None
+
+
+def test_settings_of_a_catalog_past_the_bound(spark, monkeypatch):
+    # Every topic has few rows: the catalog is joined as it is, not once for each salt.
+    catalog = ops.make_catalog(spark, [{"log": f"t{i}", "base_partition": f"/lake/{i}"} for i in range(300)])
+    topics = spark.range(600).select(F.concat(F.lit("t"), F.col("id") % 400).alias("topic"))
+    small = ops.with_publish_settings(topics, catalog)
+    monkeypatch.setattr(ops, "lookup_join", functools.partial(lookup_join, broadcast_bytes=0))
+    large = ops.with_publish_settings(topics, catalog)
+    assert "Generate" not in _plan(large) and "Broadcast" not in _plan(large)
+    assert small.columns == large.columns
+    assert sorted(map(tuple, small.collect()), key=repr) == sorted(map(tuple, large.collect()), key=repr)
