@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from rillflow.functions.keys import jdbc_database
 from rillflow.operators import catalog as ops
+from rillflow.operators import parse
 from rillflow.operators.lookup import _pieces, first_per_key, lookup_join, measured_bytes
 
 ORDERS = {
@@ -144,3 +145,21 @@ def test_settings_of_a_catalog_past_the_bound(spark, monkeypatch):
     assert "Generate" not in _plan(large) and "Broadcast" not in _plan(large)
     assert small.columns == large.columns
     assert sorted(map(tuple, small.collect()), key=repr) == sorted(map(tuple, large.collect()), key=repr)
+
+
+def test_messages_of_a_catalog_past_the_bound(spark, monkeypatch):
+    catalog = ops.make_catalog(spark, [{"log": f"t{i}", "format": "txt:sep=pipe;ts_sec=0;msg=1", "output_format": "parquet"} for i in range(300)])
+    line = F.encode(F.concat(F.lit("9|m"), "id"), "UTF-8").alias("value")
+    even = spark.range(600).select((F.col("id") % 400).alias("n"), line)
+    # A third of all messages are of one topic.
+    heavy = spark.range(3000).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 400).alias("n"), line)
+    for numbered, repeats in ((even, False), (heavy, True)):
+        messages = numbered.select(F.concat(F.lit("t"), "n").alias("topic"), "value")
+        small = parse.parse_messages(messages, catalog)
+        with monkeypatch.context() as past:
+            past.setattr(parse, "lookup_join", functools.partial(lookup_join, broadcast_bytes=0))
+            large = parse.parse_messages(messages, catalog)
+        # The described topics are repeated by the pieces of heavy keys or not at all.
+        assert ("explode(" in _plan(large)) == repeats and "SortMergeJoin" in _plan(large)
+        assert small.columns == large.columns
+        assert sorted(map(tuple, small.collect()), key=repr) == sorted(map(tuple, large.collect()), key=repr)
